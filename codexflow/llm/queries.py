@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from codexflow.llm import bpe
+from codexflow.llm import bpe, decontam, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,5 +20,27 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe}
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hit words and contaminating items of every document, for windows of ten words."""
+    hits = decontam.find_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), width=10)
+    return hits.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the smallest doc_id of its component."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as it is read back from the archives that were written."""
+    records = warc.round_trip(_table(spark, sf_dir, "pages"), min_revisit_bytes=0)
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+
+
+QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op6_decontamination": op6_decontamination, "op8_simhash": op8_simhash, "op9_warc": op9_warc}
 ORACLE_SQL: dict[str, str] = {}
