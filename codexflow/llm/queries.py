@@ -6,13 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexflow.llm import bpe, decontam, simhash, warc
+from codexflow.llm import bpe, decontam, langid, media, orc_tokens, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predict_documents(docs, langid.train(docs))
+
+
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests and features of every document's audio, read from its stored form."""
+    stored = media.encode_media(_table(spark, sf_dir, "documents"))
+    return media.fingerprint_media(stored, keep=("n_bytes",)).drop("times", "codes")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, as digests, and the digest of what they decode to."""
     docs = _table(spark, sf_dir, "documents")
@@ -20,6 +32,17 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op5_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and checksum of every document's ids, read back from ORC."""
+    return orc_tokens.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and contaminating items of every document, for windows of ten words."""
     hits = decontam.find_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), width=10)
@@ -42,5 +65,14 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op6_decontamination": op6_decontamination, "op8_simhash": op8_simhash, "op9_warc": op9_warc}
+QUERIES = {
+    "op1_langid": op1_langid,
+    "op2_media": op2_media,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_toxicity": op4_toxicity,
+    "op5_orc_tokens": op5_orc_tokens,
+    "op6_decontamination": op6_decontamination,
+    "op8_simhash": op8_simhash,
+    "op9_warc": op9_warc,
+}
 ORACLE_SQL: dict[str, str] = {}
