@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexflow.llm import bpe, decontam, langid, media, orc_tokens, simhash, toxicity, warc
+from codexflow.llm import bpe, cdc, decontam, langid, media, orc_tokens, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What content-defined chunking removes from every document."""
+    return cdc.removal_report(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and the smallest doc_id of its component."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3)
@@ -72,6 +77,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_orc_tokens": op5_orc_tokens,
     "op6_decontamination": op6_decontamination,
+    "op7_chunk_dedup": op7_chunk_dedup,
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
 }
