@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexflow.llm import bpe, cdc, decontam, langid, media, orc_tokens, simhash, toxicity, warc
+from codexflow.llm import bpe, cdc, decontam, langid, media, orc_tokens, rindex, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3)
 
 
+def op10_rindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to documents of smaller ids, for strings of 50 bytes."""
+    return rindex.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record as it is read back from the archives that were written."""
     records = warc.round_trip(_table(spark, sf_dir, "pages"), min_revisit_bytes=0)
@@ -80,5 +85,6 @@ QUERIES = {
     "op7_chunk_dedup": op7_chunk_dedup,
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
+    "op10_rindex": op10_rindex,
 }
 ORACLE_SQL: dict[str, str] = {}

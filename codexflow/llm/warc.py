@@ -44,7 +44,7 @@ def sha1_base32(payload: Column) -> Column:
     return F.translate(F.upper(F.concat(*parts)), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str = "html", url_col: str | None = "url", min_revisit_bytes: int = 0) -> None:
+def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str = "html", url_col: str | None = "url", min_revisit_bytes: int = 0, compression: str = "none") -> None:
     """Write one record a row below ``path``. Payloads under ``min_revisit_bytes`` are always responses."""
     url = F.coalesce(F.regexp_replace(F.col(url_col).cast("string"), r"[\x00-\x20\x7F]", "%20"), F.lit("")) if url_col else F.lit("")
     page = pages.select(F.col(id_col).cast("long").alias("id"), url.alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
@@ -65,7 +65,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload
         F.concat(F.lit("Content-Length: "), F.octet_length("body").cast("string")),
     ]
     record = page.withColumn("body", body).select(F.concat(F.lit(MAGIC), F.concat_ws("\r\n", *lines), F.lit(END), F.col("body")).alias("value"))
-    record.write.option("lineSep", END).text(path)
+    record.write.option("lineSep", END).option("compression", compression).text(path)
 
 
 _CANDIDATE = T.StructType(
