@@ -1,6 +1,6 @@
-"""Registered queries over the driver's tables, and the SQL that gives the same rows."""
+"""All registered queries."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from codexflow.plans import functions, linking, publishing, searching, sources, versions  # noqa: F401  (they register)
+from codexflow.plans.base import ORACLE_SQL, QUERIES  # noqa: F401
