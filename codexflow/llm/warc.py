@@ -44,8 +44,11 @@ def sha1_base32(payload: Column) -> Column:
     return F.translate(F.upper(F.concat(*parts)), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str = "html", url_col: str | None = "url", min_revisit_bytes: int = 0, compression: str = "none") -> None:
-    """Write one record a row below ``path``. Payloads under ``min_revisit_bytes`` are always responses."""
+def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str = "html", url_col: str | None = "url", min_revisit_bytes: int = 0, compression: str = "gzip") -> None:
+    """Write one record a row below ``path``. Payloads under ``min_revisit_bytes`` are always responses.
+
+    A compressed archive is read by one task, an uncompressed one (``none``) by one for each split.
+    """
     url = F.coalesce(F.regexp_replace(F.col(url_col).cast("string"), r"[\x00-\x20\x7F]", "%20"), F.lit("")) if url_col else F.lit("")
     page = pages.select(F.col(id_col).cast("long").alias("id"), url.alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     page = page.withColumn("size", F.octet_length("payload")).withColumn("digest", sha1_base32(F.col("payload").cast("binary")))
