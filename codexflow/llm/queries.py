@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexflow.llm import bpe, cdc, decontam, langid, media, orc_tokens, rindex, simhash, toxicity, warc
+from codexflow.llm.oracles import ORACLE_SQL  # noqa: F401  (registered beside the queries)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,4 +88,3 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_rindex": op10_rindex,
 }
-ORACLE_SQL: dict[str, str] = {}
