@@ -9,20 +9,24 @@ COLUMN_GAP, HEADING_GAP, TIER_DEPTH, TIER_WORDS, TIER_MARGIN = 10.0, 6.0, 6, 4,
 
 
 def split_tiers(words: pd.DataFrame, depth: int = 0) -> list[pd.DataFrame]:
-    """Horizontal tiers of a page, top first: cut where at most one word is crossed, away from the margins."""
+    """Horizontal tiers of a page, top first, whose words are pieces of columns.
+
+    A tier is cut just below a piece, away from its margins, where fewest pieces are crossed (the first
+    such place); if more than one is, it stays whole. A crossed piece goes to the side of its middle.
+    """
     if depth >= TIER_DEPTH or len(words) < TIER_WORDS:
         return [words]
-    top, bottom = words.y.min(), words.y1.max()
-    margin = (bottom - top) * TIER_MARGIN
-    candidates = sorted(y for y in set(words.y) if top + margin < y < bottom - margin)
-    if not candidates:
+    margin = (words.y1.max() - words.y.min()) * TIER_MARGIN
+    places = words.y1 + 0.5
+    places = places[places.between(words.y.min() + margin, words.y1.max() - margin)]
+    if places.empty:
         return [words]
-    crossed = {y: int(((words.y < y) & (y < words.y1)).sum()) for y in candidates}
-    cut = min(candidates, key=lambda y: (crossed[y], y))
-    upper, lower = words[words.y < cut], words[words.y >= cut]
-    if crossed[cut] > 1 or len(upper) < 2 or len(lower) < 2:
+    crossed = places.map(lambda y: int(((words.y < y) & (y < words.y1)).sum()))
+    cut = places[crossed.idxmin()]
+    above = (words.y + words.y1) / 2 < cut
+    if crossed.min() > 1 or above.all() or not above.any():
         return [words]
-    return split_tiers(upper, depth + 1) + split_tiers(lower, depth + 1)
+    return split_tiers(words[above], depth + 1) + split_tiers(words[~above], depth + 1)
 
 
 def columns_of(words: pd.DataFrame, gap: float = COLUMN_GAP) -> list[pd.DataFrame]:

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codexflow.operators import textdiff, versions
 from codexflow.plans.base import Tables, query
 
 DATES = ["1996-01-01", "1998-06-30", "2001-01-01"]
-DAY = F.date_format("o_orderdate", "yyyy-MM-dd")
 SQL_ORDERS = "(select *, strftime(o_orderdate, '%Y-%m-%d') as day from orders)"
 
 
+def _day() -> Column:
+    return F.date_format("o_orderdate", "yyyy-MM-dd")
+
+
 @query(f"""select c.o_custkey, d.as_of, arg_max(o.o_orderkey, struct_pack(a := o.day, b := -o.o_orderkey)) as o_orderkey, max(o.day) as day
 from (select distinct o_custkey from orders) c cross join (select unnest({DATES}) as as_of) d
 left join {SQL_ORDERS} o on o.o_custkey = c.o_custkey and o.day <= d.as_of group by all""")
 def asof_order_per_customer(t: Tables) -> DataFrame:
     dates = t.spark.createDataFrame([(d,) for d in DATES], "as_of string")
-    held = t.orders.select("o_custkey", "o_orderkey", DAY.alias("day"))
+    held = t.orders.select("o_custkey", "o_orderkey", _day().alias("day"))
     found = versions.as_of(held, dates, "o_custkey", F.col("day"), F.col("o_orderkey"))
     return found.select("o_custkey", "as_of", "version.o_orderkey", "version.day")
 
@@ -30,7 +33,7 @@ on o.o_custkey = c.o_custkey and o.key <= d.as_of group by all""")
 def asof_include_unenforced(t: Tables) -> DataFrame:
     dates = t.spark.createDataFrame([(d,) for d in DATES], "as_of string")
     promulgated = F.date_format(F.col("o_orderdate") - F.expr("interval 90 days"), "yyyy-MM-dd")
-    held = t.orders.select("o_custkey", "o_orderkey", F.when(F.col("o_orderstatus") == "O", promulgated).otherwise(DAY).alias("key"))
+    held = t.orders.select("o_custkey", "o_orderkey", F.when(F.col("o_orderstatus") == "O", promulgated).otherwise(_day()).alias("key"))
     return versions.as_of(held, dates, "o_custkey", F.col("key"), F.col("o_orderkey")).select("o_custkey", "as_of", "version.o_orderkey")
 
 
@@ -140,7 +143,7 @@ a as (select b.o_custkey, coalesce(max(v.p) filter (v.s <> b.b.s), max(v.p)) as
 select b.o_custkey, b.b.p::bigint as b, a.a::bigint as a from b left join a using (o_custkey)""")
 def default_pair(t: Tables) -> DataFrame:
     place = F.expr("row_number() over (partition by o_custkey order by o_orderdate, o_orderkey)").cast("long")
-    held = t.orders.select("o_custkey", place.alias("p"), DAY.alias("day"), F.col("o_orderpriority").alias("s"))
+    held = t.orders.select("o_custkey", place.alias("p"), _day().alias("day"), F.col("o_orderpriority").alias("s"))
     return versions.default_pair(held, "o_custkey", F.col("day"), F.col("s"), "p", "2000-01-01")
 
 

@@ -8,6 +8,7 @@ import zipfile
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.functions import arrow_udf
 
 MOST_BYTES = 50 << 20
@@ -30,13 +31,13 @@ def _first_xml(content: bytes | None) -> bytes | None:
     return None
 
 
-@arrow_udf("binary")
+@arrow_udf(T.BinaryType())
 def unzipped_xml(content: pa.Array) -> pa.Array:
     """The first XML entry of a ZIP file under the size limit; other content stays as it is."""
     return pa.array([_first_xml(x) for x in content.to_pylist()], pa.binary())
 
 
-@arrow_udf("string")
+@arrow_udf(T.StringType())
 def legacy_text(content: pa.Array) -> pa.Array:
     """Text of bytes in the Windows form of Shift JIS; what can't be read becomes the replacement mark."""
     return pa.array([None if x is None else x.decode("cp932", "replace") for x in content.to_pylist()], pa.string())
@@ -51,7 +52,7 @@ def _zstd_lines(content: bytes | None) -> list[str] | None:
     return [line for line in text.split("\n") if line.strip()]
 
 
-@arrow_udf("array<string>")
+@arrow_udf(T.ArrayType(T.StringType()))
 def zstd_lines(content: pa.Array) -> pa.Array:
     """Lines of a zstandard file that aren't blank."""
     return pa.array([_zstd_lines(x) for x in content.to_pylist()], pa.list_(pa.string()))
