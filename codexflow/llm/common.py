@@ -8,15 +8,9 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import codexflow
-
-# Functions of this package travel with the task, so executors need no installed copy.
-cloudpickle.register_pickle_by_value(codexflow)
-
 #: Arrow batches are cut into runs of about this many text bytes, which bounds a task's arrays.
 RUN_BYTES = 4 << 20
 

@@ -1,0 +1,355 @@
+"""The corpus operators against brute force, on fixtures with nulls, empty and long texts, ties and repeats."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import public_tokenizers
+import tiktoken
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from codexflow.llm import bpe, cdc, decontam, langid, media, orc_tokens, rindex, simhash, toxicity, warc
+from codexflow.llm.components import connected_components
+
+RANKS, WORDS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, text_ string, id_ string, part string, `hit_id` int"
+
+
+def lower(text):
+    return text.translate({i: i + 32 for i in range(65, 91)})
+
+
+def corpus(seed=0, count=60):
+    """Generated texts with copies, near copies, a shared passage, nulls, empty and long texts."""
+    rng = random.Random(seed)
+    words = ["the", "of", "Haus", "être", "niño", "über", "x1", "don't", "a,b", "日本", "\U0001f600"] + ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(200)]
+    make = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passage = make(70)
+    texts = [make(rng.randint(0, 120)) for _ in range(count)]
+    texts += [texts[3], texts[3], texts[3] + " end", f"{make(5)} {passage} {make(9)}", f"{make(30)}\n{passage}", passage, passage.upper()]
+    texts += [None, "", " \t\n", "a", "ab " * 3000, "a" * 5000, "a" * 5001, "\0" * 100, "é" * 80, "<|endoftext|> \x1c  x"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    return rows + [(2, "again with an id"), (2, "again with an id"), (None, passage), (None, None)]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return corpus()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", 0, "clash", "clash", "clash", 1) for i, t in rows], SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def same(df, wanted):
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(wanted, key=repr)
+
+
+def test_byte_bpe(docs, rows, nothing):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ids = [library.encode_ordinary(t or "") for _, t in rows]
+    wanted = [(i, x, len(x), hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for (i, t), x in zip(rows, ids)]
+    coded = bpe.encode_documents(docs, RANKS, public_tokenizers.PATTERN)
+    same(coded, wanted)
+    same(bpe.decode_documents(coded, RANKS, public_tokenizers.PATTERN), [(i, bytearray((t or "").encode())) for i, t in rows])
+    assert bpe.encode_documents(nothing, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_long_pieces_merge_alike():
+    found = bpe.codec(RANKS, public_tokenizers.PATTERN)
+    rng = random.Random(4)
+    for _ in range(20):
+        raw = "".join(rng.choice("abinthe") for _ in range(rng.randint(2, 900))).encode()
+        (matrix,) = found._merge_matrix([raw], 1024)
+        assert matrix == found._merge_by_heap(raw)
+
+
+def test_orc_tokens(spark, docs, rows, nothing, tmp_path):
+    library = Tokenizer.from_file(WORDS)
+    library.encode_special_tokens = True
+    count = {}
+    for i, t in rows:
+        ids = library.encode(t or "", add_special_tokens=False).ids + [2]
+        count.setdefault(i, []).append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    found = orc_tokens.round_trip(docs, WORDS, 2).collect()
+    assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in found), key=repr) == sorted(((i, n, c) for i, own in count.items() for n, c in own), key=repr)
+    at = 0
+    for r in sorted(found, key=lambda r: r["start"]):
+        assert r["start"] == at
+        at += r["n_tokens"]
+    ids = [r["doc_id"] for r in sorted(found, key=lambda r: r["start"]) if r["doc_id"] is not None]
+    assert ids == sorted(ids)
+    assert orc_tokens.round_trip(nothing, WORDS, 2).count() == 0
+    path = str(tmp_path / "orc")
+    orc_tokens.write_tokens(docs, path, WORDS, 2)
+    one = orc_tokens.read_tokens(spark, path).filter("doc_id = 7")
+    assert "EqualTo(doc_id,7)" in one._jdf.queryExecution().executedPlan().toString() and one.count() == 1
+
+
+def test_media(docs, rows, nothing):
+    found = media.fingerprint_media(media.encode_media(docs), keep=("n_bytes",)).collect()
+    texts = {}
+    for i, t in rows:
+        raw = (t or "").encode()
+        payload = raw + b"\xff" * (-len(raw) % 576 if raw else 576)
+        texts.setdefault(i, set()).add((len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:])))
+    features = {}
+    for r in found:
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) in texts[r["doc_id"]]
+        assert r["media_bytes"] == r["payload_bytes"] + 44 and len(r["times"]) == len(r["codes"]) == int(r["feature"].split(":")[0])
+        assert features.setdefault(r["payload_sha256"], r["feature"]) == r["feature"]
+    assert len(found) == len(rows) and any(r["codes"] for r in found)
+    assert media.encode_media(nothing).count() == 0
+    broken = docs.limit(1).select("doc_id", F.lit(b"RIFF").alias("media"))
+    assert media.fingerprint_media(broken).first()["feature"] is None
+
+
+def test_peaks_of_a_tone():
+    t = np.arange(5760)
+    tone = (128 + 80 * np.sin(2 * np.pi * t * 20 / media.FRAME)).astype(np.uint8)
+    times, bins = media.peaks(tone)
+    assert set(bins[np.r_[True, times[1:] != times[:-1]]].tolist()) == {20}
+    pair_times, codes = media.peak_pairs(np.array([0, 1, 1, 5]), np.array([3, 4, 5, 6]))
+    assert pair_times.tolist() == [0, 0] and codes.tolist() == [3 << 10 | 4 << 2 | 1, 3 << 10 | 5 << 2 | 1]
+
+
+ITEMS = [(1, "Foo, BAR"), (2, ""), (3, None), (4, "foo bar"), (5, "the of")]
+
+
+def test_decontamination(spark, docs, rows, nothing):
+    passage = next(t for i, t in rows if i == 65)
+    items = spark.createDataFrame([*ITEMS, (6, passage), (7, passage)], "item_id long, text string")
+    pattern = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    windows = {}
+    for r in items.collect():
+        w = pattern.findall(lower(r["text"] or ""))
+        n = min(10, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[k : k + n]), set()).add(str(r["item_id"]))
+    wanted = []
+    for i, t in rows:
+        w, hit, ids = pattern.findall(lower(t or "")), set(), set()
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in windows:
+                    hit |= set(range(k, k + n))
+                    ids |= windows[tuple(w[k : k + n])]
+        wanted.append((i, len(w), len(hit), sorted(ids)))
+    found = decontam.find_hits(docs, items)
+    same(found.drop("spans"), wanted)
+    bad = {i for i, _, n, _ in wanted if n}
+    same(decontam.drop_documents(docs, items).select("doc_id"), [(i,) for i, _ in rows if i not in bad])
+    assert decontam.drop_documents(docs, items).columns == docs.columns
+    again = decontam.find_hits(decontam.drop_spans(docs.filter("doc_id is not null"), items), items).filter("n_hit > 0")
+    assert all(len(r["item_ids"]) and "6" not in r["item_ids"] for r in again.collect())
+    assert decontam.find_hits(nothing, items).count() == 0
+    assert decontam.find_hits(docs, items.limit(0)).filter("n_hit > 0").count() == 0
+
+
+def test_decontamination_runs_no_python(spark, docs):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    plan = decontam.find_hits(docs, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_simhash(docs, rows, nothing):
+    prints = []
+    for _, t in rows:
+        w = re.findall("[^\x20\x09-\x0d]+", lower(t or ""))
+        shingles = [" ".join(w[k : k + 3]) for k in range(max(1, len(w) - 2))] if w else []
+        hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+        prints.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 3 and group[a] != group[b]:
+                old = group[a]
+                group = [group[b] if g == old else g for g in group]
+    least = {}
+    for (i, _), g in zip(rows, group):
+        if i is not None:
+            least[g] = min(i, least.get(g, i))
+    wanted = [(i, f"{p:016x}", least.get(g)) for (i, _), p, g in zip(rows, prints, group)]
+    same(simhash.near_duplicates(docs), wanted)
+    kept = simhash.keep_representatives(docs)
+    assert kept.columns == docs.columns
+    same(kept.select("doc_id"), [(i,) for i, _, c in wanted if i is None or i == c])
+    assert simhash.near_duplicates(nothing).count() == 0
+
+
+@pytest.mark.parametrize("shard", [2000, 7])
+def test_links_of_crowded_codes(spark, monkeypatch, shard):
+    monkeypatch.setattr(simhash, "SHARD", shard)
+    rng = random.Random(shard)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    codes = {b ^ (1 << rng.randrange(14)) ^ (1 << rng.randrange(14)) ^ (1 << rng.randrange(64)) for b in base for _ in range(25)}
+    signed = [c - (1 << 64) if c >> 63 else c for c in codes]
+    df = spark.createDataFrame([(c,) for c in signed], "code long")
+    label = {r["node"]: r["label"] for r in connected_components(simhash.near_links(df)).collect()}
+    mask = (1 << 64) - 1
+    parent = {c: c for c in signed}
+
+    def root(c):
+        while parent[c] != c:
+            c = parent[c]
+        return c
+
+    for a in signed:
+        for b in signed:
+            if ((a ^ b) & mask).bit_count() <= 3:
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    assert {c: label.get(c, c) for c in signed} == {c: root(c) for c in signed}
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7), (None, 1), (100, 102)]
+    found = connected_components(spark.createDataFrame(chain, "a long, b long"))
+    assert {r["node"]: r["label"] for r in found.collect()} == {i: 0 for i in range(1, 41)} | {101: 100, 102: 100}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_chunk_dedup(spark, nothing):
+    rng = random.Random(9)
+    make = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopé") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    passages = [make(55) for _ in range(20)]
+    rows = [(i, f"{make(rng.randint(0, 90))} {passages[i % 20]} {make(rng.randint(0, 90))}") for i in range(100)]
+    clean = [(1000 + i, make(150)) for i in range(30)]
+    odd = [(2000, None), (2001, ""), (None, passages[0]), (5, rows[5][1]), (5, rows[5][1])]
+    df = spark.createDataFrame([(i, t, "en", "s", 0, "c", "c", "c", 1) for i, t in rows + clean + odd], SCHEMA).repartition(4)
+    found = cdc.removal_report(df).collect()
+    assert len(found) == len(rows + clean + odd)
+    lost = {r["doc_id"]: r["n_removed"] for r in found}
+    assert all(lost[i] == 0 for i, _ in clean) and all(lost[i] == 0 for i in range(20)) and lost[None] == 0
+    assert all(lost[i] > 0.5 * len(passages[i % 20].encode()) for i in range(20, 100))
+    texts = {}
+    for i, t in rows + clean + odd:
+        texts.setdefault(i, t)
+    out = cdc.deduplicate(df)
+    assert out.columns == df.columns
+    kept = sorted(hashlib.sha256((r["text"] or "").encode()).hexdigest() for r in out.collect())
+    assert kept == sorted(r["kept_sha256"] for r in found)
+    assert cdc.removal_report(nothing).count() == 0 and cdc.deduplicate(nothing).count() == 0
+
+
+def test_chunks_withstand_shifts_and_keep_characters():
+    rng = random.Random(1)
+    text = "".join(rng.choice("abc déø日 ") for _ in range(3000)).encode()
+    cut = lambda b: cdc._cut([b])
+    joined, _, begin, size = cut(text)
+    assert begin[0] == 0 and size.sum() == len(text) and size.max() <= cdc.MOST + 3
+    one = {text[b : b + s] for b, s in zip(begin, size)}
+    moved = "éé ".encode() + text
+    _, _, begin, size = cut(moved)
+    assert len(one & {moved[b : b + s] for b, s in zip(begin, size)}) >= len(one) - 3
+    assert all((x := text[b : b + s]).decode() for b, s in zip(*cut(text)[2:]))
+
+
+def test_toxicity(spark, nothing):
+    rng = random.Random(2)
+    syllables = ["an", "the", "er", "ing", "on", "st", "re", "nd", "ti", "ha"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
+    text = lambda bad: " ".join(("grumblefink" if bad and rng.random() < 0.05 else word()) for _ in range(80)) + (" grumblefink" if bad else "")
+    rows = [(i, text(i % 4 == 0), i % 4 == 0) for i in range(400)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0, "c", "c", "c", 1) for i, t, _ in rows] + [(9000, None, None, None, None, None, None, None, None), (9001, "", *[None] * 7)], SCHEMA)
+    labels = spark.createDataFrame([(i, int(y)) for i, _, y in rows] + [(None, 1), (9000, None)], "doc_id long, toxic int")
+    model = toxicity.train(df, labels)
+    found = {r["doc_id"]: r for r in toxicity.score_documents(df, model).collect()}
+    assert len(found) == 402 and all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in found.items())
+    held = [(i, y) for i, _, y in rows if found[i]["held_out"]]
+    assert sum(found[i]["predicted"] == y for i, y in held) >= 0.95 * len(held)
+    assert found[9000]["predicted"] == found[9001]["predicted"] == 0
+    kept = toxicity.drop_toxic(df, model)
+    assert kept.columns == df.columns and kept.count() == sum(r["predicted"] == 0 for r in found.values())
+    blank = toxicity.train(df, labels.limit(0))
+    assert {r["score"] for r in toxicity.score_documents(df, blank).collect()} == {0.0}
+    assert toxicity.score_documents(nothing, model).count() == 0
+
+
+def test_language(spark, nothing):
+    sf = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train(sf)
+    found = langid.predict_documents(sf, model).join(sf.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in found) > 0.98 * len(found)
+    assert all(0 <= r["score"] <= 1 and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in found)
+    odd = spark.createDataFrame([(1, None), (2, "123 !?"), (3, ""), (None, "the and of with")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict_documents(odd, model).collect()}
+    assert got[1] == got[2] == got[3] == ("und", 0.0) and got[None][0] == "en"
+    assert langid.train(nothing).languages == []
+    assert langid.predict_documents(odd, langid.train(nothing)).filter("lang_pred <> 'und'").count() == 0
+
+
+@pytest.mark.parametrize("compression, split", [("gzip", "128m"), ("none", "20000")])
+def test_warc(spark, tmp_path, compression, split):
+    inner = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:77>\r\nContent-Length: 19\r\n\r\nHTTP/1.1 200 OK\r\n\r\n\r\n\r\n"
+    rng = random.Random(1)
+    pages = [(i, "u", rng.choice(["x", inner * 20, "WARC/1.0\r\n", inner + "z" * 5000 + "é", None, "", "p" * 30_000])) for i in range(60)]
+    path, before = str(tmp_path / "warc"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2), path, compression=compression)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        found = warc.read_archives(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    first = {}
+    for i, _, h in pages:
+        first[h or ""] = max(i, first.get(h or "", i))
+    wanted = []
+    for i, _, h in pages:
+        raw, best = (h or "").encode(), first[h or ""]
+        digest = base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        wanted.append((i, "response" if i == best else "revisit", None if i == best else best, len(raw), digest, True))
+    assert sorted(map(tuple, found)) == sorted(wanted)
+
+
+def test_warc_odd_rows(spark):
+    pages = spark.createDataFrame([(1, "a\nb", "x", 5), (1, None, "x", 5), (None, "u", "x", 5), (None, "u", "y", 5)], "page_id long, url string, html string, digest int")
+    found = sorted(((r["id"], r["type"], r["refers_to"]) for r in warc.round_trip(pages).collect()), key=repr)
+    assert found == sorted([(1, "response", None), (1, "response", None), (None, "revisit", 1), (None, "response", None)], key=repr)
+    assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_run_length_index(docs, rows, nothing, hot):
+    first = {}
+    for i, t in rows:
+        raw = (t or "").encode()
+        if i is not None:
+            for k in range(len(raw) - 49):
+                first[raw[k : k + 50]] = min(i, first.get(raw[k : k + 50], i))
+    wanted = []
+    for i, t in rows:
+        raw = (t or "").encode()
+        gone = bytearray(len(raw))
+        for k in range(len(raw) - 49 if i is not None else 0):
+            if first[raw[k : k + 50]] < i:
+                gone[k : k + 50] = b"\1" * 50
+        spans = sum(1 for k in range(len(raw)) if gone[k] and not (k and gone[k - 1]))
+        wanted.append((i, len(raw), sum(gone), spans, hashlib.sha256(bytes(c for c, g in zip(raw, gone) if not g)).hexdigest()))
+    same(rindex.remove_repeats(docs, hot=hot).drop("spans"), wanted)
+    assert rindex.remove_repeats(nothing).count() == 0
+
+
+def test_backward_steps_follow_the_text():
+    texts = [b"banana" * 12, b"ananas" * 10, b"xx"]
+    index = rindex.RunLengthIndex(texts, np.array([3, 1, 2]))
+    joined = b"\0".join(texts) + b"\0"
+    order = sorted(range(len(joined)), key=lambda k: [joined[j] + 1 if joined[j] or j not in index.end else 0 for j in range(k, len(joined))])
+    row, at = index.end_row.copy(), index.end.copy()
+    for back in range(1, 3):
+        row = index.step(row, index.text[index.end - back])
+        assert [order[r] for r in row] == (at - back).tolist()
