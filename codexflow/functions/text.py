@@ -10,6 +10,8 @@ CJK = r"\x{3040}-\x{309F}\x{30A0}-\x{30FF}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}\x{4
 #: Full-width digits, and what stands for a hyphen in numbers.
 WIDE_DIGITS, DIGITS = "０１２３４５６７８９", "0123456789"
 DASHES = "−ー―‐－"
+#: Phrases of amendments in prose.
+PROSE = ["に改める", "次のように改正する", "を加える", "を削る", "廃止する", "定める"]
 
 
 def char_ngrams(text: Column, n: int = 2) -> Column:
@@ -119,7 +121,7 @@ def drop_private_use(text: Column) -> Column:
 def amendment_format(text: Column) -> Column:
     """``shinkyu`` if both table headings stand alone on lines, ``prose`` by its phrases, else ``unknown``."""
     both = text.rlike(r"(?m)^\s*改正後\s*$") & text.rlike(r"(?m)^\s*改正前\s*$")
-    prose = text.rlike("に改める|を加える|を削る|の次に次の|を次のように改正する|とする。")
+    prose = text.rlike("|".join(PROSE))
     return F.when(both, "shinkyu").when(prose, "prose").otherwise("unknown")
 
 
