@@ -16,16 +16,18 @@ aren't written.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexflow.llm.common import runs, shared_dir, worker_state
+from codexflow.llm.common import runs, shared_dir, stored, worker_state
 
 ROW_STRIDE, STRIPE_BYTES, BLOOM_FPP = 1000, 32 << 20, 0.01
-CACHE_CHUNKS = 500_000
+#: Chunks and words that a worker remembers; beyond this either memory starts anew.
+CACHE_CHUNKS, CACHE_WORDS = 500_000, 900_000
 
 
 class ChunkEncoder:
@@ -39,21 +41,35 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         """Little-endian 32-bit ids of each text, the end id last."""
         if len(self.known) > CACHE_CHUNKS:
-            self.known = {"": b""}
+            self.known.clear()
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
         cut = [x.replace("\n", " ").split(" ") for x in texts]
-        new = list(set().union(*cut).difference(self.known))
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[chunk] = np.array(found.ids, "<u4").tobytes()
+        new = set().union(*cut).difference(self.known)
+        # A word of Latin letters, with a comma or full stop: its ids are those of the word in lower
+        # case, then those of the mark. Such words recur in many forms.
+        parts = {}
+        for chunk in new:
+            core, mark = (chunk[:-1], chunk[-1]) if chunk[-1:] in (",", ".") else (chunk, "")
+            parts[chunk] = (core.lower(), mark) if core.isalpha() and max(core) <= "\xff" else (chunk, "")
+        self._learn(list({"", ",", "."}.union(core for core, _ in parts.values()).difference(self.words)))
+        words = self.words
+        self.known.update({chunk: words[core] + words[mark] for chunk, (core, mark) in parts.items()})
         known = self.known.__getitem__
         return [b"".join(map(known, chunks)) + end for chunks in cut]
 
+    def _learn(self, words: list[str]) -> None:
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.words[word] = array("I", found.ids).tobytes()
+
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write ``doc_id``, ``place`` (row number in its file) and ``ids`` below ``path``."""
@@ -101,6 +117,7 @@ def token_index(tokens: DataFrame) -> DataFrame:
 
     kind = tokens.schema["doc_id"].dataType.simpleString()
     rows = tokens.select("doc_id", "place", "file", "ids").mapInArrow(work, f"doc_id {kind}, place long, file string, n_tokens long, ids_crc32 long")
+    rows = stored(rows, "token-index")  # a few numbers a document, so the files are read once
     inside = rows.withColumn("before", F.expr("sum(n_tokens) over (partition by file order by place) - n_tokens"))
     # One row a file, summed before it is sent; files are named in the order of their ids.
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
