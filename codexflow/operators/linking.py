@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Patterns that an automaton takes; a larger dictionary is refused before anything is broadcast.
+MOST_PATTERNS = 500_000
+
+
 class Automaton:
     """Multi-pattern matcher (goto, failure and output links over dictionaries).
 
@@ -67,6 +71,14 @@ class Automaton:
         return kept
 
 
+def dictionary(rows: DataFrame, col: str, least: int) -> list[str]:
+    """Distinct patterns of a length, checked to be few enough for every task to hold."""
+    found = rows.filter(F.length(col) >= least).select(col).distinct().limit(MOST_PATTERNS + 1).collect()
+    if len(found) > MOST_PATTERNS:
+        raise ValueError(f"over {MOST_PATTERNS} patterns: split the dictionary and unite the hits")
+    return [r[0] for r in found]
+
+
 def find_patterns(texts: DataFrame, id_col: str, text_col: str, patterns: list[str], mode: str = "overlapping") -> DataFrame:
     """``id``, ``pattern``, ``begin`` and ``stop`` of every hit. The automaton (a dictionary of titles, not
     data) is broadcast once and the texts stream past it."""
@@ -83,12 +95,6 @@ def find_patterns(texts: DataFrame, id_col: str, text_col: str, patterns: list[s
     return texts.select(id_col, text_col).mapInArrow(work, f"id {kind}, pattern string, begin int, stop int")
 
 
-def contained(texts: DataFrame, text_col: str, dictionary: DataFrame, pattern_col: str, least: int = 4) -> DataFrame:
-    """Text and dictionary rows where the text holds the pattern: the small dictionary is the inner loop."""
-    usable = dictionary.filter(F.length(pattern_col) >= least)
-    return texts.join(F.broadcast(usable), F.contains(F.col(text_col), F.col(pattern_col)))
-
-
 def link_edges(hits: DataFrame, source: str, target: str, pattern: str, is_number: Column) -> DataFrame:
     """One edge for each pair, its sorted patterns as reasons, stronger if a number was among them."""
     edges = hits.groupBy(source, target).agg(F.array_sort(F.collect_set(pattern)).alias("reasons"), F.bool_or(is_number).alias("by_number"))
@@ -108,8 +114,7 @@ def cross_references(texts: DataFrame, id_col: str, text_col: str, titles: DataF
     ``titles`` has ``title`` and ``target``; ``articles`` has ``target`` and ``article_no``. Titles match
     leftmost-longest; the longest article number that begins the rest wins; own titles don't count.
     """
-    names = [r["title"] for r in titles.filter(F.length("title") >= 2).select("title").distinct().collect()]  # the dictionary
-    hits = find_patterns(texts, id_col, text_col, names, "longest")
+    hits = find_patterns(texts, id_col, text_col, dictionary(titles, "title", 2), "longest")
     placed = hits.join(texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text_")), "id")
     rest = placed.select("id", F.col("pattern").alias("title"), "begin", F.substring("text_", F.col("stop") + 1, F.lit(tail)).alias("rest"))
     linked = rest.join(titles, "title").filter(F.col("target") != F.col("id"))

@@ -39,16 +39,17 @@ def bm25(docs: DataFrame, id_col: str, text_cols: list[str], groups: list[list[s
     """``id`` and ``score`` of the documents that match; higher is better.
 
     Two passes of the documents: their number and mean length, and the postings of the query's tokens
-    alone. Document frequencies are counted over all documents that have a token, matching or not.
+    alone (a row a token, so their frequencies are broadcast). Document frequencies are counted over all documents that have a token, matching or not.
     """
     wanted = sorted({t for g in groups for t in g})
     lengths = docs.select(F.size(tokenize(F.concat_ws(" \n ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols]))).alias("dl"))
-    corpus = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
+    corpus = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()  # two numbers
+    n, mean = F.lit(corpus["n"]), F.lit(corpus["avgdl"] or 1.0)
     found = postings(docs, id_col, text_cols, tokenize, wanted or [""])
     df = found.groupBy("token").agg(F.count("*").alias("df"))
-    hits = found.join(match(found, groups), "id", "left_semi").join(F.broadcast(df), "token").crossJoin(F.broadcast(corpus))
-    idf = F.greatest(F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(LEAST_IDF))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+    hits = found.join(match(found, groups), "id", "left_semi").join(F.broadcast(df), "token")
+    idf = F.greatest(F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(LEAST_IDF))
+    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / mean))
     return hits.groupBy("id").agg(F.sum(part).alias("score"))
 
 

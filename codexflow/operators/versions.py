@@ -7,17 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def as_of(versions: DataFrame, dates: DataFrame, entity: str, key: Column, position: Column, date_col: str = "as_of") -> DataFrame:
+def as_of(versions: DataFrame, dates: list[str], entity: str, key: Column, position: Column, date_col: str = "as_of") -> DataFrame:
     """Latest version of every entity at every date, null where none had begun.
 
-    Equal keys keep the first in order. Dates are few (a parameter table) and are broadcast; the
-    versions meet them once and are reduced before the shuffle by a map-side ``max_by``.
+    Equal keys keep the first in order. One aggregation serves all dates: each has a ``max_by`` of its
+    own, combined before the shuffle, so rows aren't multiplied by the dates.
     """
-    keyed = versions.withColumn("key_", key).withColumn("position_", position)
-    row = F.struct(*[F.col(f"`{c}`") for c in versions.columns])
-    met = keyed.crossJoin(F.broadcast(dates))
-    begun = F.col("key_").isNotNull() & (F.col("key_") <= F.col(date_col))
-    return met.groupBy(entity, date_col).agg(F.max_by(F.when(begun, row), F.when(begun, F.struct("key_", -F.col("position_")))).alias("version"))
+    row, order = F.struct(*[F.col(f"`{c}`") for c in versions.columns]), F.struct(key, -position)
+    states = [F.struct(F.lit(d).alias(date_col), F.max_by(F.when(key <= d, row), F.when(key <= d, order)).alias("version")) for d in dates]
+    return versions.groupBy(entity).agg(F.array(*states).alias("states")).select(entity, F.inline("states"))
 
 
 def neighbours(versions: DataFrame, entity: str, order: list[Column], carry: list[str]) -> DataFrame:

@@ -66,9 +66,9 @@ def filters_text(t: Tables) -> DataFrame:
 
 
 @query("""select doc_id, case when a > 0 then case when b > 1 then '…' else '' end || substr(text, b, e - b + 1) || case when e < length(text) then '…' else '' end end as stretch
-from (select doc_id, text, a, greatest(a - 60, 1) as b, least(a + 6 + 100, length(text)) as e from (select doc_id, text, instr(lower(text), 'the and') as a from documents where lang = 'en'))""")
+from (select doc_id, text, a, greatest(a - 60, 1) as b, least(a + 6 + 100, length(text)) as e from (select doc_id, text, instr(lower(text), 'the and') as a from documents where text is not null))""")
 def text_context(t: Tables) -> DataFrame:
-    return t.documents.filter("lang = 'en'").select("doc_id", text.context(F.col("text"), "the and").alias("stretch"))
+    return t.documents.filter("text is not null").select("doc_id", text.context(F.col("text"), "the and").alias("stretch"))
 
 
 @query("select event_id, json_extract(props, '$.k')::bigint as k from events where json_extract(props, '$.k') is not null")

@@ -24,8 +24,7 @@ def _docs(t: Tables) -> DataFrame:
 
 def _hits(t: Tables) -> DataFrame:
     titles = _titles(t).filter(F.length("title") >= 4)
-    names = [r["title"] for r in titles.select("title").distinct().collect()]
-    found = linking.find_patterns(_docs(t), "doc_id", "text", names).select(F.col("id").alias("doc_id"), F.col("pattern").alias("title")).distinct()
+    found = linking.find_patterns(_docs(t), "doc_id", "text", linking.dictionary(titles, "title", 4)).select(F.col("id").alias("doc_id"), F.col("pattern").alias("title")).distinct()
     return found.join(titles, "title")
 
 
@@ -36,8 +35,9 @@ def dictionary_link(t: Tables) -> DataFrame:
 
 @query("select conv_id, turn, n_name from conversations join nation on contains(upper(text), n_name) and length(n_name) >= 4")
 def dictionary_link_contains(t: Tables) -> DataFrame:
-    turns = t.conversations.select("conv_id", "turn", F.upper("text").alias("text"))
-    return linking.contained(turns, "text", t.nation.select("n_name"), "n_name").select("conv_id", "turn", "n_name")
+    turns = t.conversations.select(F.struct("conv_id", "turn").alias("key"), F.upper("text").alias("text"))
+    found = linking.find_patterns(turns, "key", "text", linking.dictionary(t.nation, "n_name", 4)).select("id", "pattern").distinct()
+    return found.select("id.conv_id", "id.turn", F.col("pattern").alias("n_name"))
 
 
 @query(f"select title, list_sort(list(distinct item_id)) as targets, count(distinct doc_id) as n_documents from ({_LINK}) group by title")
@@ -102,15 +102,15 @@ def neighbor_refs(t: Tables) -> DataFrame:
     return linking.neighbour_references(t.conversations, "conv_id", "turn", "turn", "text", "the", "and")
 
 
-_EDGES = "(select event_id as a, lead(event_id) over (partition by user_id order by ts, event_id) as b from events)"
+_EDGES = "(select event_id as a, event_type = 'error' as x, lead(event_id) over w as b, lead(event_type) over w = 'error' as y from events window w as (partition by user_id order by ts, event_id))"
 
 
-@query(f"select a, b, case when a % 7 = 0 and b % 7 = 0 then 'both' when a % 7 = 0 then 'out' else 'in' end as direction from {_EDGES} where b is not null and (a % 7 = 0 or b % 7 = 0)")
+@query(f"select a, b, case when x and y then 'both' when x then 'out' else 'in' end as direction from {_EDGES} where b is not null and (x or y)")
 def graph_out_in_either(t: Tables) -> DataFrame:
-    step = F.expr("lead(event_id) over (partition by user_id order by ts, event_id)")
-    edges = t.events.select(F.col("event_id").alias("a"), step.alias("b")).filter("b is not null")
-    out, into = F.col("a") % 7 == 0, F.col("b") % 7 == 0
-    return edges.filter(out | into).withColumn("direction", F.when(out & into, "both").when(out, "out").otherwise("in"))
+    step = "lead({}) over (partition by user_id order by ts, event_id)"
+    edges = t.events.select(F.col("event_id").alias("a"), (F.col("event_type") == "error").alias("x"), F.expr(step.format("event_id")).alias("b"), (F.expr(step.format("event_type")) == "error").alias("y"))
+    touched = edges.filter("b is not null and (x or y)")
+    return touched.select("a", "b", F.when(F.col("x") & F.col("y"), "both").when(F.col("x"), "out").otherwise("in").alias("direction"))
 
 
 @query("""with m as (select c_custkey, s_suppkey, 0.4 + case when abs(c_acctbal - s_acctbal) < 500 then 0.35 else 0 end + case when (c_acctbal > 0) = (s_acctbal > 0) then 0.15 else 0 end as score

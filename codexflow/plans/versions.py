@@ -20,9 +20,8 @@ def _day() -> Column:
 from (select distinct o_custkey from orders) c cross join (select unnest({DATES}) as as_of) d
 left join {SQL_ORDERS} o on o.o_custkey = c.o_custkey and o.day <= d.as_of group by all""")
 def asof_order_per_customer(t: Tables) -> DataFrame:
-    dates = t.spark.createDataFrame([(d,) for d in DATES], "as_of string")
     held = t.orders.select("o_custkey", "o_orderkey", _day().alias("day"))
-    found = versions.as_of(held, dates, "o_custkey", F.col("day"), F.col("o_orderkey"))
+    found = versions.as_of(held, DATES, "o_custkey", F.col("day"), F.col("o_orderkey"))
     return found.select("o_custkey", "as_of", "version.o_orderkey", "version.day")
 
 
@@ -31,10 +30,9 @@ from (select distinct o_custkey from orders) c cross join (select unnest({DATES}
 left join (select *, case when o_orderstatus = 'O' then strftime(o_orderdate - interval 90 day, '%Y-%m-%d') else day end as key from {SQL_ORDERS}) o
 on o.o_custkey = c.o_custkey and o.key <= d.as_of group by all""")
 def asof_include_unenforced(t: Tables) -> DataFrame:
-    dates = t.spark.createDataFrame([(d,) for d in DATES], "as_of string")
     promulgated = F.date_format(F.col("o_orderdate") - F.expr("interval 90 days"), "yyyy-MM-dd")
     held = t.orders.select("o_custkey", "o_orderkey", F.when(F.col("o_orderstatus") == "O", promulgated).otherwise(_day()).alias("key"))
-    return versions.as_of(held, dates, "o_custkey", F.col("key"), F.col("o_orderkey")).select("o_custkey", "as_of", "version.o_orderkey")
+    return versions.as_of(held, DATES, "o_custkey", F.col("key"), F.col("o_orderkey")).select("o_custkey", "as_of", "version.o_orderkey")
 
 
 @query("select o_custkey, o_orderkey, lag(o_orderkey) over w as prev_o_orderkey, lag(o_totalprice) over w as prev_o_totalprice from orders window w as (partition by o_custkey order by o_orderdate, o_orderkey)")
@@ -62,14 +60,15 @@ def current_with_status(t: Tables) -> DataFrame:
     return versions.current_by_status(t.orders, "o_custkey", F.struct("o_orderdate", "o_orderkey"), F.col("o_orderstatus") == "F", "o_orderkey")
 
 
-_SIDE = "select l_partkey, l_linenumber, max(l_quantity) as q, max(l_returnflag) as f from lineitem where l_orderkey % 2 = {} group by all"
+_SIDE = "select l_partkey, l_linenumber, max(l_quantity) as q, max(l_returnflag) as f from lineitem where {} group by all"
+_EARLY, _LATE = "l_shipdate < timestamp '1998-01-01'", "l_shipdate >= timestamp '1998-01-01'"
 _DIFF = f"""select coalesce(a.l_partkey, b.l_partkey) as l_partkey, coalesce(a.l_linenumber, b.l_linenumber)::bigint as l_linenumber,
 case when a.l_partkey is null then 'added' when b.l_partkey is null then 'removed' when a.q = b.q and a.f = b.f then 'unchanged' else 'modified' end as change
-from ({_SIDE.format(0)}) a full join ({_SIDE.format(1)}) b on a.l_partkey = b.l_partkey and a.l_linenumber = b.l_linenumber"""
+from ({_SIDE.format(_EARLY)}) a full join ({_SIDE.format(_LATE)}) b on a.l_partkey = b.l_partkey and a.l_linenumber = b.l_linenumber"""
 
 
 def _diff(t: Tables) -> DataFrame:
-    sides = [t.lineitem.filter(F.col("l_orderkey") % 2 == i).groupBy("l_partkey", "l_linenumber").agg(F.max("l_quantity").alias("q"), F.max("l_returnflag").alias("f")) for i in (0, 1)]
+    sides = [t.lineitem.filter(side).groupBy("l_partkey", "l_linenumber").agg(F.max("l_quantity").alias("q"), F.max("l_returnflag").alias("f")) for side in (_EARLY, _LATE)]
     return versions.keyed_diff(*sides, ["l_partkey", "l_linenumber"], ["q", "f"])
 
 
@@ -128,12 +127,12 @@ def lcs_align(t: Tables) -> DataFrame:
 
 
 @query("""select o_orderkey, o_custkey, source, o_totalprice from (select *, row_number() over (partition by o_orderkey order by rank desc) as n from (
-select o_orderkey, o_custkey, 'prebuilt' as source, 0 as rank, o_totalprice from orders where o_orderkey % 3 <> 0
-union all select o_orderkey, o_custkey, 'public', 1, o_totalprice * 2 from orders where o_orderkey % 3 <> 1)) where n = 1""")
+select o_orderkey, o_custkey, 'prebuilt' as source, 0 as rank, o_totalprice from orders where o_orderstatus <> 'O'
+union all select o_orderkey, o_custkey, 'public', 1, o_totalprice * 2 from orders where o_orderstatus <> 'F')) where n = 1""")
 def history_merge(t: Tables) -> DataFrame:
     cols = lambda name, price: ["o_orderkey", "o_custkey", F.lit(name).alias("source"), price.alias("o_totalprice")]
-    low = t.orders.filter("o_orderkey % 3 <> 0").select(*cols("prebuilt", F.col("o_totalprice")))
-    high = t.orders.filter("o_orderkey % 3 <> 1").select(*cols("public", F.col("o_totalprice") * 2))
+    low = t.orders.filter("o_orderstatus <> 'O'").select(*cols("prebuilt", F.col("o_totalprice")))
+    high = t.orders.filter("o_orderstatus <> 'F'").select(*cols("public", F.col("o_totalprice") * 2))
     return versions.merge_histories(low, high, ["o_orderkey"], "o_custkey")
 
 
@@ -153,10 +152,11 @@ def sha_revision_ids(t: Tables) -> DataFrame:
     return held.groupBy("revision_id").agg(F.count("*").alias("n_documents"), F.min("doc_id").alias("first_doc_id"))
 
 
-@query("select count(*) as new_documents from (select distinct sha256(text) as h from documents where doc_id % 2 = 1 and text is not null) where h not in (select sha256(text) from documents where doc_id % 2 = 0 and text is not null)")
+@query("select count(*) as new_documents from (select distinct sha256(text) as h from documents where source like 'src1%' and text is not null) where h not in (select sha256(text) from documents where source not like 'src1%' and text is not null)")
 def content_dedup(t: Tables) -> DataFrame:
-    hashed = t.documents.filter("text is not null").select("doc_id", F.sha2("text", 256).alias("h"))
-    fresh = versions.unseen(hashed.filter("doc_id % 2 = 1").select("h"), hashed.filter("doc_id % 2 = 0"), ["h"])
+    hashed = t.documents.filter("text is not null").select("source", F.sha2("text", 256).alias("h"))
+    late = F.startswith(F.col("source"), F.lit("src1"))
+    fresh = versions.unseen(hashed.filter(late).select("h"), hashed.filter(~late), ["h"])
     return fresh.agg(F.count("*").alias("new_documents"))
 
 

@@ -16,14 +16,13 @@ def rows(df):
 
 def test_as_of(spark):
     held = spark.createDataFrame([("L", "r1", "2019-04-01", 0), ("L", "r2", "2020-04-01", 1), ("L", "r3", "2030-01-01", 2), ("M", "m1", None, 0)], "law string, rev string, eff string, pos int")
-    dates = spark.createDataFrame([("2021-01-01",), ("2000-01-01",)], "as_of string")
-    found = versions.as_of(held, dates, "law", F.col("eff"), F.col("pos")).select("law", "as_of", "version.rev")
+    found = versions.as_of(held, ["2021-01-01", "2000-01-01"], "law", F.col("eff"), F.col("pos")).select("law", "as_of", "version.rev")
     assert rows(found) == [("L", "2000-01-01", None), ("L", "2021-01-01", "r2"), ("M", "2000-01-01", None), ("M", "2021-01-01", None)]
 
 
 def test_as_of_keeps_first_of_equals(spark):
     held = spark.createDataFrame([("L", "a", "2020-01-01", 0), ("L", "b", "2020-01-01", 1)], "law string, rev string, eff string, pos int")
-    found = versions.as_of(held, spark.createDataFrame([("2021-01-01",)], "as_of string"), "law", F.col("eff"), F.col("pos"))
+    found = versions.as_of(held, ["2021-01-01"], "law", F.col("eff"), F.col("pos"))
     assert found.first()["version"]["rev"] == "a"
 
 
