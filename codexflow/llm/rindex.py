@@ -6,8 +6,9 @@ where equal strings must meet: the least hash of the 16-byte strings inside a wi
 bytes is the window's minimizer, equal windows have equal minimizers, and neighbouring windows with
 one minimizer form a stretch of text. The steps, all of one plan:
 
-1. Documents are dealt out to parts by the hash of their id (one exchange of the texts, which the
-   later steps reuse). Each part reports the minimizers of its documents, once each.
+1. Documents are dealt out to parts by the hash of their text (one exchange of the texts, which the
+   later steps reuse), so exact copies meet and only the first of them takes part in what follows.
+   Each part reports the minimizers of its documents, once each.
 2. A window over each minimizer, one row a part at most, keeps those that more than one document has.
 3. Parts hand on their distinct stretches with a shared minimizer, each with its least id. The task
    that gets a minimizer's stretches builds a run-length index over them: run heads and starts of the
@@ -42,6 +43,8 @@ from codexflow.llm.common import text_bytes
 LENGTH, GRAM = 50, 16
 #: Documents with one minimizer from which on its windows are dealt out one by one.
 HOT = 20_000
+#: Copies of one text from which on they are dealt out by id, and the number of such texts at most.
+COPIES, MOST_COPIED = 1000, 10_000
 #: Text bytes of a part, and of the stretches that one index holds (a minimizer's stretches stay together).
 PART_BYTES, INDEX_BYTES = 2 << 20, 2 << 20
 _MASK = np.uint64((1 << 48) - 1)
@@ -163,22 +166,36 @@ class RunLengthIndex:
             text, row = text[live], row[live]
 
 
-def long_matches(values: list[bytes], least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, ...]:
+def long_matches(keys: np.ndarray, values: list[bytes], least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, ...]:
     """For stretches with their parts' least and largest ids: stretch, first window, end, least id of all
-    documents that hold those windows; only where that is below the largest."""
-    place = {}
+    documents that hold those windows; only where that is below the largest.
+
+    A key with one stretch, whatever the number of parts that have it, needs no index: all of its
+    windows have the least id of all. Keys with several go into an index together.
+    """
+    place: dict[bytes, int] = {}
     number = np.array([place.setdefault(v, len(place)) for v in values], np.int64)
-    distinct = list(place)
-    low = np.full(len(distinct), np.iinfo(np.int64).max)
+    low = np.full(len(place), np.iinfo(np.int64).max)
     np.minimum.at(low, number, least)
-    index, size = RunLengthIndex(distinct, low), np.array([len(x) for x in distinct], np.int64)
-    steps = list(index.match(size))
-    text, window, found = (np.concatenate(x) for x in zip(*steps))
-    order = np.lexsort((window, text))
-    text, window, found = text[order], window[order], found[order]
-    first = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (found[1:] != found[:-1])])
-    stop = np.append(first[1:], len(text)) - 1
-    text, begin, end, found = text[first], window[first], window[stop] + 1, found[first]
+    size = np.array([len(v) for v in place], np.int64)
+    key = np.zeros(len(place), np.int64)
+    key[number] = keys
+    _, back, many = np.unique(key, return_inverse=True, return_counts=True)
+    alone = np.flatnonzero(many[back] == 1)
+    text, begin, end, found = [alone], [np.zeros(len(alone), np.int64)], [size[alone] - LENGTH + 1], [low[alone]]
+    mixed = np.flatnonzero(many[back] > 1)
+    if len(mixed):
+        distinct = list(place)
+        steps = list(RunLengthIndex([distinct[i] for i in mixed.tolist()], low[mixed]).match(size[mixed]))
+        t, w, f = (np.concatenate(x) for x in zip(*steps))
+        order = np.lexsort((w, t))
+        t, w, f = t[order], w[order], f[order]
+        first = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (f[1:] != f[:-1])])
+        stop = np.append(first[1:], len(t)) - 1
+        text, begin, end, found = text + [mixed[t[first]]], begin + [w[first]], end + [w[stop] + 1], found + [f[first]]
+    text, begin, end, found = (np.concatenate(x) for x in (text, begin, end, found))
+    order = np.argsort(text, kind="stable")
+    text, begin, end, found = text[order], begin[order], end[order], found[order]
     # Back from distinct stretches to those of each part.
     low_at, high_at = np.searchsorted(text, number, "left"), np.searchsorted(text, number, "right")
     many = high_at - low_at
@@ -199,7 +216,7 @@ def _match_batches(batches):
     def found(tables):
         table = pa.Table.from_batches(tables)
         value, (m, part, least, most, hot) = table.column("value").to_pylist(), (table.column(k).to_numpy() for k in names)
-        which, begin, stop, low = long_matches(value, least, most)
+        which, begin, stop, low = long_matches(table.column("key").to_numpy(), value, least, most)
         digest = [xxhash.xxh3_128_digest(value[i]) for i in which.tolist()]
         columns = [pa.array(part[which]), pa.array(m[which]), pa.array(digest, pa.binary())]
         columns += [pa.array(begin.astype(np.int32)), pa.array(stop.astype(np.int32)), pa.array(low), pa.array(hot[which].astype(bool))]
@@ -225,10 +242,12 @@ def _match_batches(batches):
 
 
 def _usable(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
-    """Ids and texts of the rows of a part that can match: the id isn't null, the text is long enough."""
-    ids, texts = table.column("id").to_pylist(), text_bytes(table.column("text").combine_chunks())
-    kept = [i for i, x in enumerate(ids) if x is not None and len(texts[i]) >= LENGTH]
-    return np.array([ids[i] for i in kept], np.int64), [texts[i] for i in kept]
+    """Distinct texts of a part that can match, with the least id of each: the id isn't null, the text is long enough."""
+    texts: dict[bytes, int] = {}
+    for i, text in zip(table.column("id").to_pylist(), text_bytes(table.column("text").combine_chunks())):
+        if i is not None and len(text) >= LENGTH:
+            texts[text] = min(i, texts.get(text, i))
+    return np.array(list(texts.values()), np.int64), list(texts)
 
 
 def _report(table: pa.Table) -> pa.Table:
@@ -263,19 +282,22 @@ def _mark(key, table: pa.Table, matches: pa.Table) -> pa.Table:
     known: dict[bytes, list] = {}
     for digest, begin, stop, least in zip(*(matches.column(k).to_pylist() for k in ("digest", "begin", "stop", "least"))):
         known.setdefault(digest, []).append((begin, stop, least))
-    texts = text_bytes(table.column("text").combine_chunks()) if table.num_rows else []
-    ids = table.column("id").to_pylist()
-    usable = [i for i, x in enumerate(ids) if x is not None and len(texts[i]) >= LENGTH]
-    spans: list[list] = [[] for _ in ids]
+    texts, ids = text_bytes(table.column("text").combine_chunks()) if table.num_rows else [], table.column("id").to_pylist()
+    least_ids, distinct = _usable(table) if table.num_rows else ([], [])
+    found: dict[bytes, tuple[int, list]] = {t: (int(i), []) for t, i in zip(distinct, least_ids)}
     if known:
         wanted = np.unique(matches.column("m").to_numpy()).astype(np.uint64)
         hot = set(matches.filter(matches.column("hot")).column("m").to_pylist())
-        for text, first, last, m in zip(*(x.tolist() for x in stretches([texts[i] for i in usable], wanted))):
-            i = usable[text]
+        for text, first, last, m in zip(*(x.tolist() for x in stretches(distinct, wanted))):
+            own, spans = found[distinct[text]]
             for at, to in [(w, w) for w in range(first, last + 1)] if m in hot else [(first, last)]:
-                for begin, stop, least in known.get(xxhash.xxh3_128_digest(texts[i][at : to + LENGTH]), ()):
-                    if least < ids[i]:
-                        spans[i].append((at + begin, at + stop - 1 + LENGTH))
+                for begin, stop, least in known.get(xxhash.xxh3_128_digest(distinct[text][at : to + LENGTH]), ()):
+                    if least < own:
+                        spans.append((at + begin, at + stop - 1 + LENGTH))
+    spans = []
+    for i, text in zip(ids, texts):
+        least, own = found.get(text, (i, []))
+        spans.append([] if i is None else own if i == least else [(0, len(text))])  # a copy in the same part goes whole
     merged = []
     for own in spans:
         out: list[list[int]] = []
@@ -306,9 +328,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Per row: the id, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept_sha256``
     of the remaining bytes and ``spans`` (the removed runs)."""
     spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
-    parts = max(-(-size // PART_BYTES), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = docs.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(parts)).alias("part"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    total = docs.agg(F.sum(F.octet_length(text_col)).alias("size"), F.count("*").alias("n")).first()
+    parts = max(-(-(total["size"] or 0) // PART_BYTES), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Copies meet in the part of their text. Texts with so many that a part would swell, MOST_COPIED of
+    # them at most, are dealt out by id instead, and their copies meet in every part.
+    text_key = F.xxhash64(F.col(text_col))
+    copied = docs.groupBy(text_key.alias("text_key")).agg(F.count("*").alias("n")).filter(F.col("n") > max(COPIES, total["n"] // MOST_COPIED))
+    copied = [r["text_key"] for r in copied.select("text_key").collect()]
+    spread = text_key.isin(copied) if copied else F.lit(False)
+    dealt = docs.select(F.pmod(F.when(spread, F.xxhash64(F.col(id_col))).otherwise(text_key), F.lit(parts)).alias("part"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     reported = dealt.groupBy("part").applyInArrow(_report, "m long, part long, docs long")
     shared = reported.withColumn("all", F.expr("sum(docs) over (partition by m)")).filter("all > 1")
     shared = shared.select("part", "m", (F.col("all") > hot).alias("hot"))

@@ -323,8 +323,9 @@ def test_warc_odd_rows(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("hot", [20_000, 2])
-def test_run_length_index(docs, rows, nothing, hot):
+@pytest.mark.parametrize("hot, copies", [(20_000, 1000), (2, 1)])
+def test_run_length_index(docs, rows, nothing, hot, copies, monkeypatch):
+    monkeypatch.setattr(rindex, "COPIES", copies)
     first = {}
     for i, t in rows:
         raw = (t or "").encode()
