@@ -29,7 +29,7 @@ from codexflow.llm.common import runs, worker_state
 #: Widths of the matrices; longer pieces take the heap.
 BUCKETS = (4, 6, 8, 10, 12, 16, 20, 24, 32, 48, 64, 96, 128, 256, 512, 1024)
 #: Pieces that a worker remembers; beyond this the memory starts anew.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 300_000
 _NONE = np.int32(2**31 - 1)
 _SHIFT = np.uint64(44)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)

@@ -16,11 +16,16 @@ RUN_BYTES = 4 << 20
 
 
 def worker_state(name: str, make: Callable[[], object]) -> object:
-    """A value kept in the Python worker between tasks (vocabularies, bounded word caches)."""
-    home = sys.modules.setdefault("_codexflow_worker", types.ModuleType("_codexflow_worker"))
-    if name not in home.__dict__:
-        home.__dict__[name] = make()
-    return home.__dict__[name]
+    """A value kept in the Python worker between tasks (a vocabulary, a bounded word cache).
+
+    One value at a time: workers live on from one operator to the next, and what the last one kept
+    would count against the next one's memory.
+    """
+    home = sys.modules.setdefault("_codexflow_worker", types.ModuleType("_codexflow_worker")).__dict__
+    if home.get("name") != name:
+        home["value"] = None
+        home["value"], home["name"] = make(), name
+    return home["value"]
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

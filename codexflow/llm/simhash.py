@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codexflow.llm.common import free_name, runs, stored, text_bytes
+from codexflow.llm.common import RUN_BYTES, free_name, runs, stored, text_bytes
 from codexflow.llm.components import connected_components
 
 #: Fingerprints of one key that a shard holds; a larger key becomes blocks of two parts.
@@ -166,7 +166,7 @@ def fingerprint_documents(docs: DataFrame, shingle: int = 3, id_col: str = "doc_
 
     def work(batches):
         for whole in batches:
-            for batch in runs(whole, "text_"):
+            for batch in runs(whole, "text_", RUN_BYTES // 4):  # a shingle takes over a hundred bytes here
                 codes = fingerprints(text_bytes(batch.column("text_")), shingle)
                 yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(codes.view(np.int64))], names=[id_col, "code"])
 

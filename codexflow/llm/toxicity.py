@@ -37,7 +37,7 @@ GRAM = 5
 #: A gram is toxic if it is in so many times the share of toxic documents as of ordinary ones.
 CONTRAST = 8.0
 DICTIONARY_BYTES, LEVEL = 2048, 3
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 _BEFORE, _AFTER = bytes(range(0x80, 0x98)), bytes(range(0xA8, 0xBC))
 
 
