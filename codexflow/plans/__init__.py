@@ -1 +1 @@
-
+"""Registered queries and the SQL that gives the same rows."""

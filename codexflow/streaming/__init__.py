@@ -1 +1 @@
-
+"""Incremental updates, for batch and streaming frames."""
