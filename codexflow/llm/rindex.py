@@ -166,6 +166,31 @@ class RunLengthIndex:
             text, row = text[live], row[live]
 
 
+def _digest(value: bytes) -> int:
+    """64-bit digest, signed. Beside the minimizer it names a stretch within its part."""
+    return xxhash.xxh3_64_intdigest(value) - (1 << 63)
+
+
+def may_match(values: list[bytes]) -> np.ndarray:
+    """Whether each text has a window whose 64-bit hash is that of another place too. Equal windows have
+    equal hashes, so what is left out has no match."""
+    size = np.array([len(v) for v in values], np.int64)
+    data = np.frombuffer(b"".join(values), np.uint8).astype(np.uint64) + np.uint64(1)
+    power, hashed, held, have = int(_BASE), data, None, 0
+    for n in (1, 2, 4, 8, 16, 32):  # hashes of n bytes; those that make up LENGTH are put together
+        if LENGTH & n:
+            held = hashed if held is None else hashed[: len(held) - n] * np.uint64(pow(int(_BASE), have, 1 << 64)) + held[n : n + len(hashed)][: len(hashed[: len(held) - n])]
+            have += n
+        hashed = hashed[: max(0, len(hashed) - n)] * np.uint64(power) + hashed[n:]
+        power = power * power % (1 << 64)
+    ends = np.cumsum(size)
+    first = ends - size
+    many = size - LENGTH + 1
+    at = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+    _, back, count = np.unique(held[at], return_inverse=True, return_counts=True)
+    return np.maximum.reduceat(count[back], np.cumsum(many) - many) > 1
+
+
 def long_matches(keys: np.ndarray, values: list[bytes], least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, ...]:
     """For stretches with their parts' least and largest ids: stretch, first window, end, least id of all
     documents that hold those windows; only where that is below the largest.
@@ -184,8 +209,14 @@ def long_matches(keys: np.ndarray, values: list[bytes], least: np.ndarray, most:
     alone = np.flatnonzero(many[back] == 1)
     text, begin, end, found = [alone], [np.zeros(len(alone), np.int64)], [size[alone] - LENGTH + 1], [low[alone]]
     mixed = np.flatnonzero(many[back] > 1)
+    distinct = list(place)
+    if len(mixed):
+        # Most stretches that share a minimizer share no whole window; only those that may go on.
+        likely = may_match([distinct[i] for i in mixed.tolist()])
+        other = mixed[~likely]
+        text, begin, end, found = text + [other], begin + [np.zeros(len(other), np.int64)], end + [size[other] - LENGTH + 1], found + [low[other]]
+        mixed = mixed[likely]
     if len(mixed):
-        distinct = list(place)
         steps = list(RunLengthIndex([distinct[i] for i in mixed.tolist()], low[mixed]).match(size[mixed]))
         t, w, f = (np.concatenate(x) for x in zip(*steps))
         order = np.lexsort((w, t))
@@ -206,7 +237,7 @@ def long_matches(keys: np.ndarray, values: list[bytes], least: np.ndarray, most:
 
 
 _HANDED = "key long, m long, value binary, part long, least long, most long, hot boolean"
-_MATCH = "part long, m long, digest binary, begin int, stop int, least long, hot boolean"
+_MATCH = "part long, m long, digest long, begin int, stop int, least long, hot boolean"
 
 
 def _match_batches(batches):
@@ -217,8 +248,8 @@ def _match_batches(batches):
         table = pa.Table.from_batches(tables)
         value, (m, part, least, most, hot) = table.column("value").to_pylist(), (table.column(k).to_numpy() for k in names)
         which, begin, stop, low = long_matches(table.column("key").to_numpy(), value, least, most)
-        digest = [xxhash.xxh3_128_digest(value[i]) for i in which.tolist()]
-        columns = [pa.array(part[which]), pa.array(m[which]), pa.array(digest, pa.binary())]
+        digest = [_digest(value[i]) for i in which.tolist()]
+        columns = [pa.array(part[which]), pa.array(m[which]), pa.array(digest, pa.int64())]
         columns += [pa.array(begin.astype(np.int32)), pa.array(stop.astype(np.int32)), pa.array(low), pa.array(hot[which].astype(bool))]
         return pa.RecordBatch.from_arrays(columns, names=["part", "m", "digest", "begin", "stop", "least", "hot"])
 
@@ -272,16 +303,16 @@ def _hand_on(key, table: pa.Table, shared: pa.Table) -> pa.Table:
                 row = rows.setdefault(value, [m, doc, doc, m in hot])
                 row[1], row[2] = min(row[1], doc), max(row[2], doc)
     m, least, most, hot_ = (pa.array([r[k] for r in rows.values()], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.bool_())))
-    keys = [xxhash.xxh3_64_intdigest(v) - (1 << 63) if r[3] else r[0] for v, r in rows.items()]
+    keys = [_digest(v) if r[3] else r[0] for v, r in rows.items()]
     part = pa.array([key[0].as_py()] * len(rows), pa.int64())
     return pa.table([pa.array(keys, pa.int64()), m, pa.array(list(rows), pa.binary()), part, least, most, hot_], names=["key", "m", "value", "part", "least", "most", "hot"])
 
 
 def _mark(key, table: pa.Table, matches: pa.Table) -> pa.Table:
     """What each document of a part loses."""
-    known: dict[bytes, list] = {}
-    for digest, begin, stop, least in zip(*(matches.column(k).to_pylist() for k in ("digest", "begin", "stop", "least"))):
-        known.setdefault(digest, []).append((begin, stop, least))
+    known: dict[tuple[int, int], list] = {}
+    for m, digest, begin, stop, least in zip(*(matches.column(k).to_pylist() for k in ("m", "digest", "begin", "stop", "least"))):
+        known.setdefault((m, digest), []).append((begin, stop, least))
     texts, ids = text_bytes(table.column("text").combine_chunks()) if table.num_rows else [], table.column("id").to_pylist()
     least_ids, distinct = _usable(table) if table.num_rows else ([], [])
     found: dict[bytes, tuple[int, list]] = {t: (int(i), []) for t, i in zip(distinct, least_ids)}
@@ -291,7 +322,7 @@ def _mark(key, table: pa.Table, matches: pa.Table) -> pa.Table:
         for text, first, last, m in zip(*(x.tolist() for x in stretches(distinct, wanted))):
             own, spans = found[distinct[text]]
             for at, to in [(w, w) for w in range(first, last + 1)] if m in hot else [(first, last)]:
-                for begin, stop, least in known.get(xxhash.xxh3_128_digest(distinct[text][at : to + LENGTH]), ()):
+                for begin, stop, least in known.get((m, _digest(distinct[text][at : to + LENGTH])), ()):
                     if least < own:
                         spans.append((at + begin, at + stop - 1 + LENGTH))
     spans = []
