@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of either side above which words rather than characters are compared.
 WORD_LEVEL_BYTES = 50_000
-#: Edits beyond which a middle isn't compared further.
+#: Edits beyond which a middle is halved instead, so that no trace is kept.
 MOST_EDITS = 400
 
 
@@ -18,7 +19,7 @@ def edit_script(a: list[str], b: list[str]) -> list[tuple[str, str]]:
     """Shortest edit script by greedy furthest-reaching paths; runs of one operation are joined.
 
     Common ends are set aside first. The trace keeps one frontier for each number of edits; middles
-    that need more than ``MOST_EDITS`` are removed and added as a whole.
+    that need more than ``MOST_EDITS`` are divided along a longest common subsequence, in linear space.
     """
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
@@ -42,11 +43,10 @@ def joined(steps: list[tuple[str, str]]) -> list[tuple[str, str]]:
 
 
 def _middle(a: list[str], b: list[str]) -> list[tuple[str, str]]:
-    whole = [("delete", t) for t in a] + [("insert", t) for t in b]
     if not a or not b:
-        return whole
+        return [("delete", t) for t in a] + [("insert", t) for t in b]
     reach, trace = {1: 0}, []
-    for edits in range(min(len(a) + len(b), MOST_EDITS) + 1):
+    for edits in range(MOST_EDITS + 1 if abs(len(a) - len(b)) <= MOST_EDITS else 0):
         trace.append(dict(reach))
         for k in range(-edits, edits + 1, 2):
             down = k == -edits or (k != edits and reach.get(k - 1, -1) < reach.get(k + 1, -1))
@@ -56,7 +56,70 @@ def _middle(a: list[str], b: list[str]) -> list[tuple[str, str]]:
             reach[k] = i
             if i >= len(a) and i - k >= len(b):
                 return _walk_back(a, b, trace)
-    return whole
+    return _divided(a, b)
+
+
+def _divided(a: list[str], b: list[str]) -> list[tuple[str, str]]:
+    """Shortest edit script by halving ``a`` and finding the place of ``b`` where a longest common
+    subsequence crosses; lengths come from bit vectors, so space is linear and no step is left out."""
+    number: dict[str, int] = {}
+    x, y = ([number.setdefault(t, len(number)) for t in side] for side in (a, b))
+    kept, waiting = [], [(0, len(x), 0, len(y))]
+    while waiting:
+        i, i_end, j, j_end = waiting.pop()
+        while i < i_end and j < j_end and x[i] == y[j]:
+            kept.append((i, j))
+            i, j = i + 1, j + 1
+        while i < i_end and j < j_end and x[i_end - 1] == y[j_end - 1]:
+            i_end, j_end = i_end - 1, j_end - 1
+            kept.append((i_end, j_end))
+        if i == i_end or j == j_end:
+            continue
+        if i_end - i == 1:
+            if x[i] in y[j:j_end]:
+                kept.append((i, y.index(x[i], j, j_end)))
+            continue
+        half = (i + i_end) // 2
+        both = _common_lengths(x[i:half], y[j:j_end]) + _common_lengths(x[half:i_end][::-1], y[j:j_end][::-1])[::-1]
+        cut = j + int(both.argmax())
+        waiting += [(half, i_end, cut, j_end), (i, half, j, cut)]
+    out: list[tuple[str, str]] = []
+    i = j = 0
+    for to_i, to_j in [*sorted(kept), (len(a), len(b))]:
+        out += [("delete", t) for t in a[i:to_i]] + [("insert", t) for t in b[j:to_j]] + [("equal", t) for t in a[to_i : to_i + 1]]
+        i, j = to_i + 1, to_j + 1
+    return out
+
+
+def _common_lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of a longest common subsequence of ``a`` and each beginning of ``b``, the empty one first.
+
+    Bit j of the vector is 0 where the length grows at b[j]; a unit of ``a`` takes one addition. Masks of
+    frequent units are kept, those of the others are made when they are needed.
+    """
+    places: dict[int, list[int]] = {}
+    wanted = set(a)
+    for j, unit in enumerate(b):
+        if unit in wanted:
+            places.setdefault(unit, []).append(j)
+    held: dict[int, int] = {}
+    full = (1 << len(b)) - 1
+    vector = full
+    for unit in a:
+        at = places.get(unit)
+        if at is None:
+            continue
+        mask = held.get(unit)
+        if mask is None:
+            bits = np.zeros(len(b), np.uint8)
+            bits[at] = 1
+            mask = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+            if len(held) < 512:
+                held[unit] = mask
+        met = vector & mask
+        vector = ((vector + met) | (vector - met)) & full
+    bits = np.unpackbits(np.frombuffer(vector.to_bytes((len(b) + 7) // 8, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
 
 
 def _walk_back(a: list[str], b: list[str], trace: list[dict[int, int]]) -> list[tuple[str, str]]:

@@ -167,3 +167,22 @@ def test_stream_deduplication(spark, tmp_path):
     done = updates.deduplicated(stream, ["k"], "ts").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out"))
     done.awaitTermination(60)
     assert rows(spark.read.parquet(str(tmp_path / "out")).select("k", "v")) == [(1, "a"), (2, "b")]
+
+
+@pytest.mark.parametrize("letters, sizes", [(3, (700, 900)), (400, (1500, 700)), (90, (1200, 1300))])
+def test_edit_script_beyond_the_trace_is_shortest(letters, sizes):
+    rng = random.Random(letters)
+    a, b = ([f"{rng.randrange(letters)} " for _ in range(n)] for n in sizes)
+    b[100:400] = a[200:500]
+    best = [0] * (len(b) + 1)
+    for unit in a:
+        row = [0]
+        for j, other in enumerate(b):
+            row.append(best[j] + 1 if unit == other else max(best[j + 1], row[j]))
+        best = row
+    assert len(a) + len(b) - 2 * best[-1] > textdiff.MOST_EDITS
+    script = textdiff.edit_script(a, b)
+    assert "".join(t for op, t in script if op != "insert") == "".join(a)
+    assert "".join(t for op, t in script if op != "delete") == "".join(b)
+    assert sum(len(t.split()) for op, t in script if op == "equal") == best[-1]
+    assert textdiff._common_lengths(list(map(int, a)), list(map(int, b)))[-1] == best[-1]
