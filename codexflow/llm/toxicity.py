@@ -1,13 +1,15 @@
 """Toxicity by compression distance: two zstandard dictionaries, one of toxic and one of ordinary text.
 
-Training takes a bounded sample of labelled rows. In one half of it, substrings that are much more
-frequent in toxic than in ordinary documents name the stretches that fill the toxic dictionary, the
-most frequent ones last, where zstandard reaches them most cheaply; the most frequent words of
-ordinary documents fill the other. A window is one word between fixed carrier bytes that both
+Training takes a bounded sample of labelled rows. Its texts fall into clusters by their common words,
+mostly one a language; each cluster, and all together, has an equal part of both dictionaries, so that
+what is rare in the whole corpus isn't lost. In one half of the sample, whole words and strings of 5 to
+8 bytes that are much more frequent in toxic than in ordinary documents of a cluster name the stretches
+that fill its part of the toxic dictionary, the most frequent ones last, where zstandard reaches them
+most cheaply; the most frequent words of ordinary documents fill the other. A window is one word between fixed carrier bytes that both
 dictionaries hold, since zstandard stores very short inputs as they are and doesn't search their
 last bytes. A window's gain is the length it has with the ordinary dictionary less that with the
 toxic one. The other half of the sample calibrates: logistic regression, weighted to the labels' true
-proportions, turns a document's highest gains and its number of windows into a score.
+proportions, turns a document's highest gains, their sum and number and its number of windows into a score.
 
 Scoring reads every word of every text; a worker keeps the gains of words it has met in a bounded
 memory.
@@ -32,12 +34,16 @@ from codexflow.llm.common import crc_remainder, worker_state
 
 #: The sample: rows of each class, and the longest text (bytes) that it takes.
 SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_BYTES = 2000, 4000, 32_768
-#: Length of the substrings that are compared between the classes.
-GRAM = 5
-#: A gram is toxic if it is in so many times the share of toxic documents as of ordinary ones.
-CONTRAST = 8.0
+#: Lengths of the substrings that are compared between the classes, beside whole words.
+GRAMS = (5, 6, 8)
+#: A gram is toxic if it is in so many times the share of toxic documents as of ordinary ones, and if the
+#: number of these times the logarithm of the ratio is ``EVIDENCE`` at least.
+CONTRAST, EVIDENCE = 20.0, 16.0
+#: Clusters of texts, the common words that tell them apart, and the ordinary texts that a cluster needs.
+CLUSTERS, COMMON, LEAST = 8, 300, 20
 DICTIONARY_BYTES, LEVEL = 2048, 3
 CACHE_WORDS = 300_000
+FEATURES = 6
 _BEFORE, _AFTER = bytes(range(0x80, 0x98)), bytes(range(0xA8, 0xBC))
 
 
@@ -47,7 +53,73 @@ def windows(text: str | None) -> list[str]:
 
 def _grams(word: str) -> set[bytes]:
     raw = f" {word} ".encode()
-    return {raw[i : i + GRAM] for i in range(len(raw) - GRAM + 1)}
+    return {raw[i : i + n] for n in GRAMS for i in range(len(raw) - n + 1)} | {raw}
+
+
+def clusters(toxic: list[set[str]], ordinary: list[set[str]]) -> list[tuple[list[int], list[int]]]:
+    """Places of the texts of each cluster. Spherical k-means over common words, on ordinary texts alone,
+    so that no cluster is that of the toxic ones; the first centres are far from each other."""
+    seen = Counter(w for words in ordinary for w in words)
+    place = {w: i for i, (w, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:COMMON])}
+
+    def vectors(texts):
+        out = np.zeros((len(texts), len(place)))
+        for i, words in enumerate(texts):
+            out[i, [place[w] for w in words if w in place]] = 1
+        return out / np.maximum(np.sqrt(out.sum(1, keepdims=True)), 1)
+
+    x = vectors(ordinary)
+    centres = x.mean(0, keepdims=True)
+    for _ in range(CLUSTERS - 1):
+        # Of the texts with most of the common words, the one least like any centre.
+        full = np.flatnonzero((x > 0).sum(1) >= np.median((x > 0).sum(1)))
+        centres = np.r_[centres, x[[full[(x[full] @ centres.T).max(1).argmin()]]]]
+    for _ in range(15):
+        own = (x @ centres.T).argmax(1)
+        for k in np.unique(own):
+            mean = x[own == k].mean(0)
+            centres[k] = mean / max(np.linalg.norm(mean), 1e-9)
+    own, theirs = (x @ centres.T).argmax(1), (vectors(toxic) @ centres.T).argmax(1)
+    found = [(np.flatnonzero(theirs == k).tolist(), np.flatnonzero(own == k).tolist()) for k in range(CLUSTERS)]
+    return [(t, o) for t, o in found if len(o) >= LEAST]
+
+
+def _stretches(toxic: list[set[str]], ordinary: list[set[str]]) -> list[bytes]:
+    """The parts of toxic words that telling grams cover, those of most texts first."""
+    shares = []
+    for texts in (toxic, ordinary):
+        shares.append(Counter())
+        for words in texts:
+            shares[-1].update(set().union(*map(_grams, words)))
+    telling = set()
+    for gram, n in shares[0].items():
+        ratio = n / len(toxic) * len(ordinary) / (shares[1][gram] + 0.5)
+        if n >= max(3, 0.01 * len(toxic)) and ratio >= CONTRAST and n * np.log(ratio) >= EVIDENCE:
+            telling.add(gram)
+    found: Counter = Counter()
+    for word, n in Counter(w for words in toxic for w in words).items():
+        raw = f" {word} ".encode()
+        at = [(i, i + m) for m in {*GRAMS, len(raw)} for i in range(len(raw) - m + 1) if raw[i : i + m] in telling]
+        if at:
+            found[raw[min(a for a, _ in at) : max(b for _, b in at)]] += n
+    return sorted(found, key=lambda x: (-found[x], x))
+
+
+def _filled(parts: list[list[bytes]], size: int) -> bytes:
+    """``size`` bytes at most, an equal share of each part, the first of every part last; nothing twice."""
+    taken: list[bytes] = []
+    held, left, at = b"", size, [0] * len(parts)
+    while any(at[k] < len(p) for k, p in enumerate(parts)):
+        for k, part in enumerate(parts):
+            while at[k] < len(part) and part[at[k]] in held:
+                at[k] += 1
+            if at[k] < len(part):
+                new, at[k] = part[at[k]], at[k] + 1
+                if len(new) > left:
+                    return b"".join(taken[::-1])
+                taken.append(new)
+                held, left = held + b"\xff" + new, left - len(new)
+    return b"".join(taken[::-1])
 
 
 class Dictionaries:
@@ -64,26 +136,13 @@ class Dictionaries:
 
     @classmethod
     def train(cls, toxic: list[str], ordinary: list[str]) -> Dictionaries:
-        shares: list[Counter] = []
-        words: list[Counter] = []
-        for texts in (toxic, ordinary):
-            shares.append(Counter())
-            words.append(Counter())
-            for text in texts:
-                own = set(windows(text))
-                words[-1].update(own)
-                shares[-1].update(set().union(*map(_grams, own)))
-        least = max(3, 0.01 * len(toxic))
-        telling = {g for g, n in shares[0].items() if n >= least and n / len(toxic) >= CONTRAST * (shares[1][g] + 0.5) / len(ordinary)}
-        stretches: Counter = Counter()
-        for word, n in words[0].items():
-            raw = f" {word} ".encode()
-            at = [i for i in range(len(raw) - GRAM + 1) if raw[i : i + GRAM] in telling]
-            if at:
-                stretches[raw[at[0] : at[-1] + GRAM]] += n
-        rising = sorted(stretches, key=lambda s: (stretches[s], s))
-        plain = sorted(words[1].most_common(4000), key=lambda x: (x[1], x[0]))
-        return cls(b"".join(rising), b"".join(f" {w}".encode() for w, _ in plain))
+        words = [[set(windows(t)) for t in texts] for texts in (toxic, ordinary)]
+        groups = [words] + [[[words[0][i] for i in t], [words[1][i] for i in o]] for t, o in clusters(*words)]
+        plain = []
+        for _, texts in groups:
+            seen = Counter(w for own in texts for w in own)
+            plain.append([f" {w}".encode() for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:4000]])
+        return cls(_filled([_stretches(t, o) for t, o in groups if t], DICTIONARY_BYTES), _filled(plain, DICTIONARY_BYTES))
 
     def gains(self, words: list[str]) -> list[int]:
         """How many bytes shorter each window is with the toxic dictionary."""
@@ -96,10 +155,12 @@ class Dictionaries:
         return list(map(self.known.__getitem__, words))
 
     def features(self, text: str | None) -> list[float]:
-        """The three highest gains, by how much they exceed 0, and the logarithm of the number of windows."""
+        """The three highest gains, by how much they exceed 0, and logarithms: of the sum of the gains of 2 and
+        more, of their number, and of the number of windows."""
         gains = self.gains(windows(text))
         top = sorted(gains, reverse=True)[:3]
-        return [float(max(0, x)) for x in top + [0] * (3 - len(top))] + [float(np.log1p(len(gains)))]
+        high = [x for x in gains if x > 1]
+        return [float(max(0, x)) for x in top + [0] * (3 - len(top))] + np.log1p([sum(high), len(high), len(gains)]).tolist()
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,7 +201,7 @@ class Model:
         if self.parts is None:
             return np.full(len(texts), self.constant)
         found = worker_state(f"toxicity:{hash(self.parts)}", lambda: Dictionaries(*self.parts))
-        x = np.array([found.features(t) for t in texts]).reshape(len(texts), 4)
+        x = np.array([found.features(t) for t in texts]).reshape(len(texts), FEATURES)
         z = np.c_[(x - self.mean) / self.scale, np.ones(len(x))] @ self.beta
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 

@@ -280,6 +280,19 @@ def test_toxicity(spark, nothing):
     assert toxicity.score_documents(nothing, model).count() == 0
 
 
+def test_toxicity_in_every_language(spark):
+    """Labels of sf0.1, most of them English: held-out toxic documents are found in the other languages too."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    known = docs.join(labels.filter("toxic is not null").groupBy("doc_id").agg({"toxic": "max"}).toDF("doc_id", "toxic"), "doc_id").filter("crc32(cast(string(doc_id) as binary)) % 5 = 0")
+    rows = known.select("lang", "toxic", "text").collect()
+    found = [(r["lang"] == "en", r["toxic"], s >= 0.5) for r, s in zip(rows, model.score([r["text"] for r in rows]))]
+    for english in (True, False):
+        caught = [hit for own, y, hit in found if own == english and y]
+        false = [hit for own, y, hit in found if own == english and not y]
+        assert len(caught) > 30 and sum(caught) >= 0.7 * len(caught) and sum(false) <= 0.05 * len(false)
+
+
 def test_language(spark, nothing):
     sf = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.train(sf)
