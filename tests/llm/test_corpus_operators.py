@@ -80,7 +80,6 @@ def test_long_pieces_merge_alike():
 
 def test_orc_tokens(spark, docs, rows, nothing, tmp_path):
     library = Tokenizer.from_file(WORDS)
-    library.encode_special_tokens = True
     count = {}
     for i, t in rows:
         ids = library.encode(t or "", add_special_tokens=False).ids + [2]
