@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,16 +30,28 @@ def worker_state(name: str, make: Callable[[], object]) -> object:
     return home["value"]
 
 
+def shipped(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast ``value`` with the code of its class, so that workers need no installed package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared: Broadcast) -> object:
+    """What ``shipped`` has sent; for use inside a task."""
+    return pickle.loads(shared.value)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder in the cluster's shared storage, named by ``spark.checkpoint.dir``.
 
-    Where that setting is absent (tests, a laptop), the context's own checkpoint folder is used
-    and set to a folder in the warehouse first.
+    Where that setting is absent, the context's own checkpoint folder is used. On a local master, which
+    shares all folders with its tasks, one in the warehouse is set if there is none; a cluster has to name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not root:
         if context.getCheckpointDir() is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             context.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
         root = context.getCheckpointDir()
     elif context.getCheckpointDir() is None:
@@ -45,9 +59,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into shared storage and read it back, which cuts its lineage."""
-    spark = df.sparkSession
+def stored(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into shared storage and read it back (by ``spark``, else by the session of
+    ``df``), which cuts its lineage."""
+    spark = spark or df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
