@@ -114,17 +114,20 @@ class RunLengthIndex:
         for i in range(span):
             packed[: n - i] |= joined[i:] << 9 * (span - 1 - i) if i < n else 0
         _, rank = np.unique(packed, return_inverse=True)
-        half = rank
+        half, levels = rank, [(span, rank)]
         while int(rank.max()) < n - 1:
             ahead = np.full(n, -1, np.int64)
             ahead[: max(0, n - span)] = rank[span:]
             _, rank = np.unique(rank * (n + 1) + ahead + 1, return_inverse=True)
             span *= 2
+            if span < 28:
+                levels.append((span, rank))
             if span == 28:
                 half = rank
+        if span < 28:
+            half = rank  # no two suffixes agree that far
         order = np.empty(n, np.int64)
         order[rank] = np.arange(n)
-        self.end_row = rank[self.end]
         before = joined[order - 1]
         starts = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
         heads, lengths = before[starts], np.diff(np.r_[starts, n])
@@ -142,28 +145,62 @@ class RunLengthIndex:
         self.range_start = np.flatnonzero(np.r_[True, (agree[:, 1:] != agree[:, :-1]).any(0)])
         document = np.repeat(least, size + 1)
         self.least = np.minimum.reduceat(document[order], self.range_start)
-        self.sample = document[order[np.r_[starts[1:] - 1, n - 1]]]  # at the ends of runs
-
-    def step(self, row: np.ndarray, byte: np.ndarray) -> np.ndarray:
-        """Row of the suffix that begins one byte earlier, by rank in the runs of that byte."""
+        # Where the suffixes at both ends of every run begin in the text.
+        self.first_place, self.last_place = order[self.run_start], order[self.run_start + self.run_length - 1]
+        self.levels = [(28, half), (28, half), *levels[::-1], *[(1, joined)] * 6]
+        self.any_row = (0, int(order[0]))
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many symbols the suffixes at ``a`` and ``b`` have in common, ``LENGTH`` at most."""
+        n, out = len(self.text), np.zeros(len(a), np.int64)
+        for span, rank in self.levels:
+            x, y = a + out, b + out
+            inside = np.maximum(x, y) < n
+            out[inside] += span * (rank[x[inside]] == rank[y[inside]])
+        return np.minimum(out, LENGTH)
+
+    def step(self, row: np.ndarray, place: np.ndarray, size: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Row, place and size (``LENGTH`` at most) of the longest match after one more byte to the left."""
+        runs = len(self.keys) - 1
         at = np.searchsorted(self.keys, byte << 40 | row, "right") - 1
-        mine = (at >= 0) & (self.run_head[at] == byte)
-        rank = np.where(mine, self.cumulated[at] + np.minimum(row - self.run_start[at], self.run_length[at]), 0)
-        return self.count_before[byte] + rank
-
-    def match(self, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Stream all texts through the index from their ends. Yields, for one place after another,
-        the texts, the window's begin and the least id of the documents that hold the window."""
-        text = np.arange(len(size))
-        row = self.end_row
+        low, high = at.clip(0), (at + 1).clip(max=runs)
+        has_low, has_high = (at >= 0) & (self.run_head[low] == byte), (at < runs) & (self.run_head[high] == byte)
+        grows = has_low & (row < self.run_start[low] + self.run_length[low])
+        run, offset, place, size = low.copy(), row - self.run_start[low], place.copy(), size.copy()
+        jumps = np.flatnonzero(~grows & (has_low | has_high))
+        if len(jumps):
+            before = np.where(has_low[jumps], self.common(place[jumps], self.last_place[low[jumps]]), -1)
+            behind = np.where(has_high[jumps], self.common(place[jumps], self.first_place[high[jumps]]), -1)
+            up = before >= behind
+            run[jumps] = np.where(up, low[jumps], high[jumps])
+            offset[jumps] = np.where(up, self.run_length[low[jumps]] - 1, 0)
+            place[jumps] = np.where(up, self.last_place[low[jumps]], self.first_place[high[jumps]])
+            size[jumps] = np.minimum(size[jumps], np.maximum(before, behind))
+        lost = ~grows & ~has_low & ~has_high  # no text has that byte
+        found = ~lost
+        out_row, out_place = np.full(len(row), self.any_row[0]), np.full(len(row), self.any_row[1])
+        out_row[found] = (self.count_before[byte] + self.cumulated[run] + offset)[found]
+        out_place[found] = place[found] - 1
+        return out_row, out_place, np.where(lost, 0, np.minimum(size + 1, LENGTH))
+
+    def match(self, patterns: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Stream patterns, which need not be of the index, through it from their ends. Yields, for one place
+        after another, the patterns, the begins and the least id of those texts that hold the ``LENGTH``
+        bytes from there."""
+        left = np.array([len(x) for x in patterns], np.int64)
+        data = np.frombuffer(b"".join(patterns), np.uint8)
+        end = np.cumsum(left)
+        live = np.flatnonzero(left > 0)
+        row, place, size = (np.full(len(live), x, np.int64) for x in (*self.any_row, 0))
         back = 1
-        while len(text):
-            row = self.step(row, self.text[self.end[text] - back])
-            if back >= LENGTH:
-                yield text, size[text] - back, self.least[np.searchsorted(self.range_start, row, "right") - 1]
+        while len(live):
+            row, place, size = self.step(row, place, size, data[end[live] - back].astype(np.int64) + 1)
+            long = size == LENGTH
+            if long.any():
+                yield live[long], left[live[long]] - back, self.least[np.searchsorted(self.range_start, row[long], "right") - 1]
             back += 1
-            live = size[text] >= back
-            text, row = text[live], row[live]
+            kept = left[live] >= back
+            live, row, place, size = live[kept], row[kept], place[kept], size[kept]
 
 
 def _digest(value: bytes) -> int:
@@ -217,7 +254,8 @@ def long_matches(keys: np.ndarray, values: list[bytes], least: np.ndarray, most:
         text, begin, end, found = text + [other], begin + [np.zeros(len(other), np.int64)], end + [size[other] - LENGTH + 1], found + [low[other]]
         mixed = mixed[likely]
     if len(mixed):
-        steps = list(RunLengthIndex([distinct[i] for i in mixed.tolist()], low[mixed]).match(size[mixed]))
+        patterns = [distinct[i] for i in mixed.tolist()]
+        steps = list(RunLengthIndex(patterns, low[mixed]).match(patterns))
         t, w, f = (np.concatenate(x) for x in zip(*steps))
         order = np.lexsort((w, t))
         t, w, f = t[order], w[order], f[order]
