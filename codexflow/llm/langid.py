@@ -8,7 +8,7 @@ part of the sample that the weights haven't seen sets the temperature of the sof
 
 Defined results: a null text or one without a letter is ``und`` with score 0; without any labelled
 row every text is ``und``; equal scores go to the language that sorts first; rows with a null lang
-or id train nothing; repeated rows get a row each; other columns are ignored.
+or id train nothing; repeated rows get a row each (and train once); other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,11 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexflow.llm.common import crc_remainder, runs, worker_state
+from codexflow.llm.common import crc_remainder, received, runs, shipped, worker_state
 
 FEATURES = 1 << 15
-#: The sample: rows of all languages together; one row in five of it calibrates.
+#: The sample: rows of all languages together, but one of each at least; one row in five of it calibrates.
 SAMPLE_ROWS = 4000
+#: Languages up to which the sample's bounds (one row a language) are broadcast.
+BROADCAST_LANGUAGES = 100_000
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.5, 1.0, 0.02, 0.001
 _ODD = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
@@ -127,15 +129,22 @@ class Model:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on rows with a language whose crc32(id) modulo 4 isn't 2: of each language those of the
-    lowest hash. Features are counted by the executors; the driver gets at most ``SAMPLE_ROWS`` rows."""
+    lowest hash. Features are counted by the executors; the driver gets at most ``SAMPLE_ROWS`` rows, or one a language."""
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (crc_remainder(F.col(id_col), 4) != 2))
-    known = known.select(F.col(id_col).alias("key_"), F.col(lang_col).alias("lang_"), F.xxhash64(F.col(id_col), F.lit(5)).alias("h_"))
-    many = known.select("lang_").distinct().count()
+    known = known.select(F.col(id_col).alias("key_"), F.col(lang_col).alias("lang_"), F.expr(f"xxhash64(`{id_col}`, 5) & {(1 << 63) - 1}").alias("h_"))
+    # Hashes fall into classes, eight for each halving, so the lowest rows are told from the rest by counts of
+    # classes, which combine before the shuffle; no task gets a language's rows.
+    known = known.withColumn("class_", F.expr("cast(8 * (63 - log2(h_ + 1.0D)) as int)"))
+    classes = known.groupBy("lang_", "class_").count()
+    classes = classes.withColumn("lower", F.expr("sum(count) over (partition by lang_ order by class_ desc) - count"))
+    many = classes.select("lang_").distinct().count()
     if not many:
         return Model([])
-    per = max(1, SAMPLE_ROWS // many)
-    ranked = known.withColumn("rank_", F.expr("row_number() over (partition by lang_ order by h_, key_)"))
-    picked = ranked.filter(F.col("rank_") <= per).select("key_", "lang_", "h_").orderBy("h_", "key_").limit(SAMPLE_ROWS)
+    per, most = max(1, SAMPLE_ROWS // many), max(SAMPLE_ROWS, many)
+    bound = classes.filter(F.col("lower") < per).groupBy("lang_").agg(F.min("class_").alias("bound_"))
+    low = known.join(F.broadcast(bound) if many <= BROADCAST_LANGUAGES else bound, "lang_").filter("class_ >= bound_")
+    ranked = low.withColumn("rank_", F.expr("row_number() over (partition by lang_ order by h_, key_)"))
+    picked = ranked.filter(F.col("rank_") <= per).select("key_", "lang_", "h_").distinct().orderBy("h_", "key_").limit(most)
     texts = docs.filter(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("key_"), F.col(lang_col).alias("lang_"), F.col(text_col).alias("text_"))
 
     def count(batches):
@@ -147,7 +156,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             )
 
     rows = texts.join(F.broadcast(picked), ["key_", "lang_"]).select("lang_", "h_", "text_").mapInArrow(count, "lang string, h long, features array<int>, counts array<int>")
-    got = rows.filter("features is not null").orderBy("h", "lang", F.hash("features", "counts")).limit(SAMPLE_ROWS).toArrow()
+    rows = rows.filter("features is not null").groupBy("h", "lang").agg(F.min(F.struct("features", "counts")).alias("row")).select("h", "lang", "row.*")
+    got = rows.orderBy("h", "lang").limit(most).toArrow()
     return Model(
         [
             (lang, h % 5 == 0, np.array(f, np.int64), np.array(c, np.int64))
@@ -158,12 +168,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def predict_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id column, ``held_out`` (crc32(id) modulo 4 is 2), ``lang_pred`` and ``score`` of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES x languages floats
+    shared = shipped(docs.sparkSession, model)  # FEATURES x languages floats
 
     def work(batches):
+        known = received(shared)
         for whole in batches:
             for batch in runs(whole, "text_"):
-                names, scores = shared.value.predict(batch.column("text_").to_pylist())
+                names, scores = known.predict(batch.column("text_").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(id_col), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                     names=[id_col, "held_out", "lang_pred", "score"],
