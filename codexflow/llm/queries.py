@@ -21,9 +21,9 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests and features of every document's audio, read from its stored form."""
+    """Digests, time-coded pair codes and their digest of every document's audio, read from its stored form."""
     stored = media.encode_media(_table(spark, sf_dir, "documents"))
-    return media.fingerprint_media(stored, keep=("n_bytes",)).drop("times", "codes")
+    return media.fingerprint_media(stored, keep=("n_bytes",))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

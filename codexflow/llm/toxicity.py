@@ -30,10 +30,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexflow.llm.common import crc_remainder, worker_state
+from codexflow.llm.common import crc_remainder, received, shipped, worker_state
 
-#: The sample: rows of each class, and the longest text (bytes) that it takes.
-SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_BYTES = 2000, 4000, 32_768
+#: The sample: rows of each class at most, and text bytes of a class at most (but one row, however long).
+SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_BYTES = 2000, 4000, 64 << 20
 #: Lengths of the substrings that are compared between the classes, beside whole words.
 GRAMS = (5, 6, 8)
 #: A gram is toxic if it is in so many times the share of toxic documents as of ordinary ones, and if the
@@ -207,16 +207,23 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Fit on labelled rows whose crc32(id) modulo 5 isn't 0: of each class those of the lowest hash."""
+    """Fit on labelled rows whose crc32(id) modulo 5 isn't 0: of each class those of the lowest hash, long
+    texts like short ones, up to ``SAMPLE_TOXIC`` or ``SAMPLE_ORDINARY`` rows and ``SAMPLE_BYTES``."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (crc_remainder(F.col(id_col), 5) != 0))
     known = known.groupBy(F.col(id_col).alias("key_")).agg(F.max(F.col(label_col).cast("int")).alias("y_")).withColumn("h_", F.xxhash64(F.col("key_"), F.lit(11)))
-    text = docs.select(F.col(id_col).alias("key_"), F.col(text_col).alias("text_")).filter(F.octet_length("text_") <= SAMPLE_BYTES)
+    text = docs.select(F.col(id_col).alias("key_"), F.col(text_col).alias("text_"))
     count = {r["y_"]: r["count"] for r in known.groupBy("y_").count().collect()}  # two rows
     rows = []
     for y, size in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY)):
-        # Ids first (a top-k without texts), so the texts that travel are bounded before the join.
+        # Ids first (a top-k without texts), then their sizes, so the texts that travel are bounded before they do.
         picked = known.filter(F.col("y_") == y).orderBy("h_", "key_").limit(size)
-        got = text.join(F.broadcast(picked), "key_").orderBy("h_", "key_", "text_").limit(size).collect()
+        listed = text.join(F.broadcast(picked), "key_").select("key_", "h_", F.coalesce(F.octet_length("text_"), F.lit(0)).alias("size_"))
+        sizes = listed.orderBy("h_", "key_", "size_").limit(size).collect()
+        fits = [r for r, end in zip(sizes, np.cumsum([r["size_"] for r in sizes])) if end <= SAMPLE_BYTES] or sizes[:1]
+        if not fits:
+            rows.append([])
+            continue
+        got = text.join(F.broadcast(picked.filter(F.col("h_") <= fits[-1]["h_"])), "key_").orderBy("h_", "key_", F.octet_length("text_")).limit(len(fits)).collect()
         rows.append([(r["text_"], bool(r["h_"] & 1)) for r in got])
     total = sum(count.values())
     return Model(rows[0], rows[1], count.get(1, 0) / total if total else 0.0)
@@ -224,11 +231,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id column, ``held_out`` (crc32(id) modulo 5 is 0), ``score`` and ``predicted`` of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries: 4 KB
+    shared = shipped(docs.sparkSession, model)  # two dictionaries: 4 KB
 
     def work(batches):
+        known = received(shared)
         for batch in batches:
-            score = shared.value.score(batch.column("text_").to_pylist())
+            score = known.score(batch.column("text_").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_col), batch.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
                 names=[id_col, "held_out", "score", "predicted"],
@@ -240,11 +248,12 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that score 0.5 or more; columns stay as they are, and nothing is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
     at = docs.columns.index(text_col)
 
     def work(batches):
+        known = received(shared)
         for batch in batches:
-            yield batch.filter(pa.array(shared.value.score(batch.column(at).to_pylist()) < 0.5))
+            yield batch.filter(pa.array(known.score(batch.column(at).to_pylist()) < 0.5))
 
     return docs.mapInArrow(work, docs.schema)
