@@ -104,9 +104,10 @@ def law_of_basis(text: Column) -> Column:
 
 
 def title_core(text: Column) -> Column:
-    """A title without its last bracket and without what says that it amends or abolishes."""
+    """A title without its last bracket, up to what says that it is amended, else to what says that it is abolished."""
     bare = F.regexp_replace(text, "（[^（]*$", "")
-    return F.regexp_extract(bare, "^(.*?)(?:の一部を|を廃止|$)", 1)
+    before = lambda mark: F.when(F.contains(bare, F.lit(mark)), F.substring_index(bare, mark, 1))
+    return F.regexp_replace(F.coalesce(before("の一部を"), before("を廃止"), bare), r"(?U)^\s+|\s+$", "")
 
 
 def chamber(text: Column) -> Column:

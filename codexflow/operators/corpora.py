@@ -23,8 +23,8 @@ def law_rows(laws: DataFrame) -> DataFrame:
 
 
 def speech_rows(speeches: DataFrame, meetings: DataFrame) -> DataFrame:
-    """Speeches that say something, with their meeting; those of unknown meetings are left out."""
-    first = meetings.groupBy("meeting_id").agg(F.first("committee").alias("committee"), F.first("date").alias("date"))
+    """Speeches that say something, with their meeting (of rows that repeat it, the earliest); those of unknown meetings are left out."""
+    first = meetings.groupBy("meeting_id").agg(*[F.min_by(c, F.struct("date", "committee")).alias(c) for c in ("committee", "date")])
     return speeches.filter(F.length(F.trim(F.coalesce("speech", F.lit("")))) > 0).join(first, "meeting_id")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codexflow.functions import gazette
@@ -13,12 +13,21 @@ from codexflow.operators.segments import line_segments, next_starts
 MOST_PAGES, LINKED_FROM = 24, 0.80
 
 
+def names_title(text: Column, core: Column) -> Column:
+    """Whether a text holds the core of a title, or its beginning: that may be cut by two characters and
+    then by four again and again, but not under six. A core under four characters names nothing."""
+    size = F.length(core)
+    shortest = F.when(size >= 8, 6 + (size - 8) % 4).otherwise(size)
+    return (size >= 4) & F.contains(text, F.left(core, shortest))
+
+
 def amendment_texts(items: DataFrame, pages: DataFrame, amending_only: bool = True) -> DataFrame:
     """``amend_text`` and ``amend_format`` of each item.
 
     ``items`` has ``issue``, ``item``, ``title``, ``page``; ``pages`` has ``issue``, ``page``, ``text``. An
     item runs to the page before the next item's, ``MOST_PAGES`` at most; the pages' text is cut at article
-    boundaries and the segment that names the title and reads most like an amendment stands for the item.
+    boundaries and of the segments that name the title the one that reads most like an amendment stands for
+    the item; an item that none names has no row.
     """
     wanted = items.filter(is_amending_title(F.col("title"))) if amending_only else items
     last = pages.groupBy("issue").agg(F.max("page").alias("last"))
@@ -30,9 +39,8 @@ def amendment_texts(items: DataFrame, pages: DataFrame, amending_only: bool = Tr
     joined = each.join(pages, ["issue", "page"]).groupBy("issue", "item", "title").agg(F.array_join(F.transform(ordered, lambda p: p.text), "\n").alias("text"))
     keyed = joined.select(F.struct("issue", "item", "title").alias("key"), gazette.cleaned(F.col("text")).alias("text"))
     parts = line_segments(keyed, "key", "text", gazette.is_boundary)
-    core = title_core(F.col("key.title"))
-    score = gazette.amending_score(F.col("text")) + F.when((F.length(core) >= 4) & F.contains("text", core), 10_000).otherwise(0)
-    best = parts.groupBy("key").agg(F.max_by("text", F.struct(score, "segment")).alias("amend_text"))
+    named = parts.filter(names_title(F.col("text"), title_core(F.col("key.title"))))
+    best = named.groupBy("key").agg(F.max_by("text", F.struct(gazette.amending_score(F.col("text")), "segment")).alias("amend_text"))
     return best.select("key.issue", "key.item", "key.title", F.trim("amend_text").alias("amend_text"), amendment_format(F.col("amend_text")).alias("amend_format"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -140,17 +141,10 @@ def _walk_back(a: list[str], b: list[str], trace: list[dict[int, int]]) -> list[
 
 
 def text_operations(before: str, after: str) -> list[tuple[str, str]]:
-    """Edit script of two texts: by words, and by characters inside what a few words replace."""
-    words = edit_script(re.findall(r"\s+|[^\s]+", before), re.findall(r"\s+|[^\s]+", after))
+    """Edit script of two texts by characters, or by words where either has more than ``WORD_LEVEL_BYTES``."""
     if max(len(before.encode()), len(after.encode())) > WORD_LEVEL_BYTES:
-        return words
-    steps: list[tuple[str, str]] = []
-    for op, text in words:
-        if op == "insert" and steps and steps[-1][0] == "delete":
-            steps += edit_script(list(steps.pop()[1]), list(text))
-        else:
-            steps.append((op, text))
-    return joined(steps)
+        return edit_script(re.findall(r"\s+|[^\s]+", before), re.findall(r"\s+|[^\s]+", after))
+    return edit_script(list(before), list(after))
 
 
 def diff_texts(pairs: DataFrame, id_col: str, before: str, after: str) -> DataFrame:
@@ -181,24 +175,49 @@ def coarse_diff(before: Column, after: Column) -> Column:
 
 
 def common_subsequence(a: list[str], b: list[str]) -> list[tuple[int | None, int | None]]:
-    """Aligned places of two lists; where both ways are equally long, what only the first has goes first."""
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
-    i = j = 0
+    """Aligned places of two lists; where both ways are equally long, what only the first has goes first.
+
+    By match points: ``reach[k]`` is minus the last place of ``b`` from which ``k + 1`` common units are left,
+    seen from a place of ``a``. It is built from the end of ``a``; what each place changed is undone again on
+    the walk from the beginning, so there is no table of all pairs of places.
+    """
+    where: dict[str, list[int]] = {}
+    for j, unit in enumerate(b):
+        where.setdefault(unit, []).append(j)
+    reach: list[int] = []
+    changes: list[list[tuple[int, int | None]]] = []
+    for unit in reversed(a):
+        changed: list[tuple[int, int | None]] = []
+        for j in where.get(unit, ()):
+            k = bisect_left(reach, -j)
+            if k == len(reach):
+                changed.append((k, None))
+                reach.append(-j)
+            elif reach[k] != -j:
+                changed.append((k, reach[k]))
+                reach[k] = -j
+        changes.append(changed)
     out: list[tuple[int | None, int | None]] = []
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and a[i] == b[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif i < len(a) and (j == len(b) or best[i + 1][j] >= best[i][j + 1]):
-            out.append((i, None))
-            i += 1
-        else:
+    j = 0
+    for i, unit in enumerate(a):
+        left = bisect_right(reach, -j)
+        for k, old in reversed(changes.pop()):
+            if old is None:
+                reach.pop()
+            else:
+                reach[k] = old
+        # Without this unit as many are left: it is not needed, unless it meets its like first.
+        without = bisect_right(reach, -j)
+        while j < len(b) and b[j] != unit and without < left:
             out.append((None, j))
             j += 1
-    return out
+            without = bisect_right(reach, -j)
+        if j < len(b) and b[j] == unit:
+            out.append((i, j))
+            j += 1
+        else:
+            out.append((i, None))
+    return out + [(None, k) for k in range(j, len(b))]
 
 
 def align_rows(rows: DataFrame, id_col: str, before: str, after: str) -> DataFrame:

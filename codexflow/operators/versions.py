@@ -46,12 +46,32 @@ def merge_histories(low: DataFrame, high: DataFrame, keys: list[str], position:
     return won.unionByName(both.filter(~known).drop("rank_"))
 
 
+def _change(same: Column) -> Column:
+    return F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(same, "unchanged").otherwise("modified")
+
+
 def keyed_diff(before: DataFrame, after: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """``change`` (added, removed, modified, unchanged) of every key of either side, with both sides' values."""
     one = before.select(*keys, F.struct(*values).alias("old"))
     two = after.select(*keys, F.struct(*values).alias("new"))
-    change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(F.col("old").eqNullSafe(F.col("new")), "unchanged").otherwise("modified")
-    return one.join(two, keys, "full_outer").withColumn("change", change)
+    return one.join(two, keys, "full_outer").withColumn("change", _change(F.col("old").eqNullSafe(F.col("new"))))
+
+
+def ordered_diff(before: DataFrame, after: DataFrame, keys: list[str], values: list[str], position: str, removed_last: bool = True) -> DataFrame:
+    """Like ``keyed_diff``, but a row for every row of ``after``, and for every row of ``before`` whose key is
+    in no row of ``after``; of a key that repeats on the other side the last by ``position`` is compared.
+
+    ``part`` and ``place`` give the order: that of ``after``, then what was removed in that of ``before``; with
+    ``removed_last`` false that of ``before``, then what was added.
+    """
+    row = F.struct(*values)
+    last = lambda df, name: df.groupBy(*keys).agg(F.max_by(row, position).alias(name))
+    one, two = (before, after) if removed_last else (after, before)
+    old, new = ("old", "new") if removed_last else ("new", "old")
+    kept = two.select(*keys, F.lit(0).alias("part"), F.col(position).alias("place"), row.alias(new)).join(last(one, old), keys, "left")
+    gone = one.join(two.select(*keys).distinct(), keys, "left_anti").select(*keys, F.lit(1).alias("part"), F.col(position).alias("place"), row.alias(old))
+    both = kept.unionByName(gone, allowMissingColumns=True)
+    return both.select(*keys, "part", "place", "old", "new", _change(F.col("old").eqNullSafe(F.col("new"))).alias("change"))
 
 
 def diff_summary(diff: DataFrame, by: list[str]) -> DataFrame:
@@ -61,21 +81,17 @@ def diff_summary(diff: DataFrame, by: list[str]) -> DataFrame:
 def paragraph_diff(before: DataFrame, after: DataFrame, article: str, number: str, position: str, text: str) -> DataFrame:
     """Paragraphs matched by number where both sides of an article number all of theirs, else by position.
 
-    A number that repeats on one side keeps its last paragraph. By position, text and number must both
-    agree to count as unchanged.
+    Every paragraph of ``after`` has a row, and every one of ``before`` without a partner; of a number that
+    repeats on one side the last is the partner. By position, text and number must both agree to count as
+    unchanged.
     """
     full = lambda df, name: df.groupBy(article).agg(F.bool_and(F.length(F.coalesce(F.col(number), F.lit(""))) > 0).alias(name))
     mode = full(before, "x").join(full(after, "y"), article, "full_outer").select(article, F.coalesce(F.col("x") & F.col("y"), F.lit(False)).alias("numbered"))
     key = F.when(F.col("numbered"), F.col(number)).otherwise(F.concat(F.lit("#"), F.col(position).cast("string")))
-
-    def side(df, name):
-        keyed = df.join(mode, article).withColumn("key", key)
-        return keyed.groupBy(article, "numbered", "key").agg(F.max_by(F.struct(F.col(number).alias("number"), F.col(text).alias("text")), F.col(position)).alias(name))
-
-    both = side(before, "old").join(side(after, "new"), [article, "numbered", "key"], "full_outer")
+    side = lambda df: df.join(mode, article).select(article, "numbered", key.alias("key"), F.col(position).alias("position"), F.col(number).alias("number"), F.col(text).alias("text"))
+    both = ordered_diff(side(before), side(after), [article, "numbered", "key"], ["number", "text"], "position")
     same = F.when(F.col("numbered"), F.col("old.text").eqNullSafe(F.col("new.text"))).otherwise(F.col("old").eqNullSafe(F.col("new")))
-    change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(same, "unchanged").otherwise("modified")
-    return both.withColumn("change", change)
+    return both.drop("part", "place").withColumn("change", _change(same))
 
 
 def default_pair(versions: DataFrame, entity: str, day: Column, signature: Column, position: str, today: str, reach: int = 15) -> DataFrame:

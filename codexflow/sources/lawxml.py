@@ -9,14 +9,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codexflow.functions.dates import era_date, normal_date
+
 PARAGRAPH = "struct<paragraph_no:string,text:string>"
 ARTICLE = f"struct<article_id:string,article_no:string,caption:string,paragraphs:array<{PARAGRAPH}>>"
-LAW = f"law_num string, title string, era string, year int, month int, day int, articles array<{ARTICLE}>, suppl_provisions array<struct<index:int,amend_law_num:string,label:string,articles:array<{ARTICLE}>>>"
+LAW = f"law_num string, title string, era string, year int, month int, day int, promulgated string, articles array<{ARTICLE}>, suppl_provisions array<struct<index:int,amend_law_num:string,label:string,articles:array<{ARTICLE}>>>"
 
 _P = pa.struct([("paragraph_no", pa.string()), ("text", pa.string())])
 _A = pa.struct([("article_id", pa.string()), ("article_no", pa.string()), ("caption", pa.string()), ("paragraphs", pa.list_(_P))])
 _S = pa.struct([("index", pa.int32()), ("amend_law_num", pa.string()), ("label", pa.string()), ("articles", pa.list_(_A))])
-_KINDS = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(_A), pa.list_(_S)]
+_KINDS = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(_A), pa.list_(_S)]
 #: Elements whose text belongs to no article of the law.
 _APART = ("TOC", "Appdx")
 
@@ -88,11 +90,12 @@ def parse_law(xml: bytes) -> tuple | None:
             own = [{"article_id": f"suppl{i}_art_preamble", "article_no": None, "caption": None, "paragraphs": loose}]
         provisions.append({"index": i, "amend_law_num": s.get("AmendLawNum"), "label": _text(s.find("SupplProvisionLabel")), "articles": own})
     number = lambda k: int(law.get(k)) if (law.get(k) or "").isdigit() else None
-    return _text(law.find("LawNum")), _text(body.find("LawTitle")), law.get("Era"), number("Year"), number("PromulgateMonth"), number("PromulgateDay"), articles, provisions
+    return _text(law.find("LawNum")), _text(body.find("LawTitle")), law.get("Era"), number("Year"), number("PromulgateMonth"), number("PromulgateDay"), _text(law.find("PromulgationDate")), articles, provisions
 
 
 def law_documents(raw: DataFrame, id_col: str = "law_id", xml_col: str = "xml") -> DataFrame:
-    """``law_id`` and the fields of each law; titles default to the id; rows that are no law have nulls."""
+    """``law_id`` and the fields of each law; titles default to the id, ``promulgated`` (ISO) to the date of the
+    era's attributes; rows that are no law have nulls."""
     names = [f.split()[0] for f in LAW.split(", ") if " " in f][: len(_KINDS)]
 
     def work(batches):
@@ -103,7 +106,8 @@ def law_documents(raw: DataFrame, id_col: str = "law_id", xml_col: str = "xml")
 
     kind = raw.schema[id_col].dataType.simpleString()
     found = raw.select(id_col, F.col(xml_col).cast("binary")).mapInArrow(work, f"law_id {kind}, {LAW}")
-    return found.withColumn("title", F.coalesce("title", F.col("law_id").cast("string")))
+    dated = F.coalesce(normal_date(F.col("promulgated")), era_date(F.col("era"), F.col("year"), F.col("month"), F.col("day")))
+    return found.withColumn("title", F.coalesce("title", F.col("law_id").cast("string"))).withColumn("promulgated", dated)
 
 
 def law_ids(xml: Column) -> Column:

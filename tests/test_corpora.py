@@ -16,7 +16,7 @@ from codexflow.sources import corpora, markup
         (gazette.without_lead, "官  第一条", "第一条"),
         (gazette.without_lead, "官報", "官報"),
         (gazette.cleaned, "官\n本文\n\n\n\n令和８年６月１２日\n次", "本文\n\n次"),
-        (gazette.is_boundary, "〇総務省令第七十七号", True),
+        (gazette.is_boundary, "〇水産庁令第四十二号", True),
         (gazette.is_boundary, "　告示　", True),
         (gazette.is_boundary, "法律をここに公布する。", True),
         (gazette.is_boundary, "告示する", False),
@@ -27,8 +27,8 @@ from codexflow.sources import corpora, markup
         (gazette.issue_kind, "号外　第12号", "extra"),
         (gazette.issue_kind, "本文 第1号", None),
         (gazette.issue_number, "本紙 第1234号", "第1234号"),
-        (gazette.item_title, "省令（総務七七） 3", "省令（総務七七）"),
-        (gazette.agency, "省令（総務七七）", "総務七七"),
+        (gazette.item_title, "省令（水産四二） 3", "省令（水産四二）"),
+        (gazette.agency, "省令（水産四二）", "水産四二"),
         (gazette.enactment_number, "告示第3号 条例第１２号", "条例第１２号"),
         (gazette.enactment_number, "なし", None),
         (gazette.is_number_like, "２−5　", True),
@@ -44,32 +44,32 @@ def nodes(spark, key, html):
 
 
 def test_gazette_contents(spark):
-    day = "20260615"
-    link = lambda page, t: f"<a href='{day}h01726/{day}h01726{page}f.html'>{t} {int(page)}</a>"
-    html = f"<a href='x'>{link('0001', 'before')}</a><a>本紙　第1726号</a>{link('0002', '省令（総務七七）')}{link('0002', '省令（総務七七）')}<a>号外　第3号</a>{link('0004', '告示')}"
+    day = "20310203"
+    link = lambda page, t: f"<a href='{day}h00345/{day}h00345{page}f.html'>{t} {int(page)}</a>"
+    html = f"<a href='x'>{link('0001', 'before')}</a><a>本紙　第345号</a>{link('0002', '省令（水産四二）')}{link('0002', '省令（水産四二）')}<a>号外　第3号</a>{link('0004', '告示')}"
     found = corpora.gazette_items(nodes(spark, day, html)).orderBy("place").collect()
-    assert [(r["kind"], r["number"], r["title"], r["page"], r["agency"]) for r in found] == [("regular", "第1726号", "省令（総務七七）", 2, "総務七七"), ("extra", "第3号", "告示", 4, None)]
+    assert [(r["kind"], r["number"], r["title"], r["page"], r["agency"]) for r in found] == [("regular", "第345号", "省令（水産四二）", 2, "水産四二"), ("extra", "第3号", "告示", 4, None)]
 
 
 def test_bills(spark):
-    row = "<tr><td><span>政治資金規正法の一部を改正する法律案</span></td><td>衆議院で審議中</td><td><a href='./keika/1DE153E.htm'>経過</a></td><td><a href='./honbun/g.htm'>本文</a></td></tr>"
-    found = corpora.bills(nodes(spark, "221", f"<table><tr><th>件名</th></tr>{row}{row}</table>")).collect()
-    assert [tuple(r) for r in found] == [("221", "1DE153E", "政治資金規正法の一部を改正する法律案", "衆議院で審議中")]
+    row = "<tr><td><span>灯台見学法の一部を改正する法律案</span></td><td>参議院で継続</td><td><a href='./keika/7AB02C1.htm'>経過</a></td><td><a href='./honbun/g.htm'>本文</a></td></tr>"
+    found = corpora.bills(nodes(spark, "305", f"<table><tr><th>件名</th></tr>{row}{row}</table>")).collect()
+    assert [tuple(r) for r in found] == [("305", "7AB02C1", "灯台見学法の一部を改正する法律案", "参議院で継続")]
 
 
 def test_comment_pages(spark):
-    html = "<table><tr><th>案件 番号</th><td>145</td></tr><tr><th>根拠法令条項</th><td>更生保護法第12条</td></tr></table><a onclick='show(id=145)'>件</a>"
+    html = "<table><tr><th>案件 番号</th><td>8802</td></tr><tr><th>根拠法令条項</th><td>灯台見学法第3条</td></tr></table><a onclick='show(id=8802)'>件</a>"
     page = nodes(spark, "p", html)
     case = corpora.comment_cases(page).first()
-    assert (case["case_id"], case["legal_basis"], case["reception_end"]) == ("145", "更生保護法第12条", None)
-    assert [(r["case_id"], r["title"]) for r in corpora.comment_list(page).collect()] == [("145", "件")]
+    assert (case["case_id"], case["legal_basis"], case["reception_end"]) == ("8802", "灯台見学法第3条", None)
+    assert [(r["case_id"], r["title"]) for r in corpora.comment_list(page).collect()] == [("8802", "件")]
 
 
 def test_circulars_and_ordinances(spark):
-    html = "<h2>（通則）</h2><p class='indent1'><strong>２−5</strong>　本文</p><p class='indent1'>注</p><div class='article'>（目的） 第一条 この条例は</div>"
+    html = "<h2>（開館）</h2><p class='indent1'><strong>２−5</strong>　本文</p><p class='indent1'>注</p><div class='article'>（開く日） 第一条 灯台は</div>"
     page = nodes(spark, "p", html)
-    assert [(r["number"], r["caption"], r["text"]) for r in corpora.circular_items(page).collect()] == [("2-5", "（通則）", "本文")]
-    assert [(r["article_no"], r["caption"]) for r in corpora.ordinance_articles(page).collect()] == [("第一条", "目的")]
+    assert [(r["number"], r["caption"], r["text"]) for r in corpora.circular_items(page).collect()] == [("2-5", "（開館）", "本文")]
+    assert [(r["article_no"], r["caption"]) for r in corpora.ordinance_articles(page).collect()] == [("第一条", "開く日")]
 
 
 def test_layouts(spark):

@@ -48,7 +48,10 @@ def test_tokens(spark, given, wanted):
         (text.plain_number, "２−5　", "2-5"),
         (text.digits_only, "第１２号", "12"),
         (text.chamber, "衆議院", "shugiin"),
-        (text.title_core, "民法の一部を改正する法律（令和六年法律第一号）", "民法"),
+        (text.title_core, "灯台見学法の一部を改正する法律（令和六年法律第九百号）", "灯台見学法"),
+        (text.title_core, "甲を廃止する法律の一部を改正する法律", "甲を廃止する法律"),
+        (text.title_core, " 甲を廃止する件", "甲"),
+        (text.title_core, "甲に関する件", "甲に関する件"),
         (text.squeeze, " a　 b\n", "a b"),
         (text.escape_markup, "<a & 'b'>", "&lt;a &amp; &apos;b&apos;&gt;"),
         (text.amendment_format, "x\n改正後\n改正前\n", "shinkyu"),

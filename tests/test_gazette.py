@@ -1,27 +1,38 @@
 """Gazette days, index rows and feeds of the corpora."""
 
+from pyspark.sql import functions as F
+
 from codexflow.operators import corpora, gazette, publish
 
 
 def test_amendment_texts(spark):
-    items = spark.createDataFrame([(1, 1, "総務省令の一部を改正する省令（総務七七）", 2), (1, 2, "告示の一部を改正する件", 3), (1, 3, "公示", 5)], "issue int, item int, title string, page int")
-    pages = spark.createDataFrame([(1, 2, "官\n〇総務省令第七十七号\n総務省令の一部を次のように改正する。\n甲を乙に改める。"), (1, 3, "〇告示第三号\n告示の一部を\n丙を加える。"), (1, 4, "改正後\n改正前"), (1, 5, "公示\n末")], "issue int, page int, text string")
+    items = spark.createDataFrame([(1, 1, "水産庁令の一部を改正する省令（水産四二）", 2), (1, 2, "漁港告示の一部を改正する件", 3), (1, 3, "公示", 5)], "issue int, item int, title string, page int")
+    pages = spark.createDataFrame([(1, 2, "官\n〇水産庁令第四十二号\n水産庁令の一部を次のように改正する。\n甲を乙に改める。"), (1, 3, "〇告示第三号\n漁港告示の一部を\n丙を加える。"), (1, 4, "改正後\n改正前"), (1, 5, "公示\n末")], "issue int, page int, text string")
     found = {r["item"]: r for r in gazette.amendment_texts(items, pages).collect()}
     assert set(found) == {1, 2}
-    assert found[1]["amend_text"].startswith("〇総務省令第七十七号") and found[1]["amend_format"] == "prose"
+    assert found[1]["amend_text"].startswith("〇水産庁令第四十二号") and found[1]["amend_format"] == "prose"
     assert found[2]["amend_text"].startswith("〇告示第三号") and found[2]["amend_format"] == "shinkyu"
 
 
+def test_titles_that_segments_name(spark):
+    rows = [("甲乙丙", "甲乙丙", False), ("甲乙丙丁", "x甲乙丙丁", True), ("甲乙丙丁戊己庚", "甲乙丙丁戊己", False), ("甲乙丙丁戊己庚辛", "甲乙丙丁戊己", True), ("甲乙丙丁戊己庚辛壬", "甲乙丙丁戊己", False), ("一二三四五六七八九十甲乙", "一二三四五六", True), ("甲乙丙丁", "別の記事", False)]
+    df = spark.createDataFrame([r[:2] for r in rows], "core string, text string")
+    assert [r[0] for r in df.select(gazette.names_title(F.col("text"), F.col("core"))).collect()] == [r[2] for r in rows]
+    items = spark.createDataFrame([(1, 1, "漁港整備規則の一部を改正する省令", 1)], "issue int, item int, title string, page int")
+    pages = spark.createDataFrame([(1, 1, "〇告示\n別の件について次のように定める。")], "issue int, page int, text string")
+    assert gazette.amendment_texts(items, pages).count() == 0
+
+
 def test_events_link_to_items(spark):
-    events = spark.createDataFrame([("e1", "2026-04-01", "民法等の一部を改正する法律"), ("e2", "2026-04-02", "民法等の一部を改正する法律"), ("e3", "2026-04-01", "別の法律")], "event string, date string, title string")
-    items = spark.createDataFrame([("2026-04-01", 1, 5, "民法等の一部を改正する法律（法務一）"), ("2026-04-01", 1, 2, "新民法等特例")], "date string, issue int, item int, title string")
+    events = spark.createDataFrame([("e1", "2026-04-01", "灯台見学法等の一部を改正する法律"), ("e2", "2026-04-02", "灯台見学法等の一部を改正する法律"), ("e3", "2026-04-01", "別の法律")], "event string, date string, title string")
+    items = spark.createDataFrame([("2026-04-01", 1, 5, "灯台見学法等の一部を改正する法律（水産一）"), ("2026-04-01", 1, 2, "新灯台見学法等特例")], "date string, issue int, item int, title string")
     found = {r["event"]: r["kanpo"] for r in gazette.linked_events(events, gazette.item_matches(events, items)).collect()}
     assert found["e1"]["linked"] and found["e1"]["confidence"] == 0.95 and found["e1"]["item"] == 5
     assert found["e2"] is None and found["e3"] is None
 
 
 def test_feed_of_all_corpora(spark):
-    updates = spark.createDataFrame([("2026-05-01", "L1", "民法", "amended"), ("x", "L2", "t", "added")], "date string, law_id string, title string, change_type string")
+    updates = spark.createDataFrame([("2026-05-01", "L1", "灯台見学法", "amended"), ("x", "L2", "t", "added")], "date string, law_id string, title string, change_type string")
     cases = spark.createDataFrame([("c1", "案", "open", "2026-06-01", "2026-07-01", None), ("c2", "果", "closed", None, None, "")], "case_id string, title string, status string, reception_start string, reception_end string, result_published string")
     items = spark.createDataFrame([("2026-04-02", "省令", "u", "改める"), ("2026-04-03", "告示", "u", "")], "date string, title string, pdf_url string, amend_text string")
     bills = spark.createDataFrame([("b1", "案", "衆法", "", "付託", "")], "bill_id string, title string, bill_type string, status string, latest_event string, latest_date string")
@@ -30,10 +41,10 @@ def test_feed_of_all_corpora(spark):
 
 
 def test_index_rows(spark):
-    laws = spark.createDataFrame([("L", "民法", "明治二十九年", [("art_1", "第一条", None, [("1", "私権は"), ("2", None)])])], "law_id string, title string, law_num string, articles array<struct<article_id:string,article_no:string,caption:string,paragraphs:array<struct<paragraph_no:string,text:string>>>>")
-    assert tuple(corpora.law_rows(laws).first()) == ("L", "art_1", "民法 明治二十九年", "第一条 私権は\n")
+    laws = spark.createDataFrame([("L", "灯台見学法", "令和四年", [("art_1", "第一条", None, [("1", "灯台は"), ("2", None)])])], "law_id string, title string, law_num string, articles array<struct<article_id:string,article_no:string,caption:string,paragraphs:array<struct<paragraph_no:string,text:string>>>>")
+    assert tuple(corpora.law_rows(laws).first()) == ("L", "art_1", "灯台見学法 令和四年", "第一条 灯台は\n")
     speeches = spark.createDataFrame([("m1", "s1", "話"), ("m1", "s2", " "), ("m9", "s3", "話")], "meeting_id string, speech_id string, speech string")
-    meetings = spark.createDataFrame([("m1", "法務", "2026-01-01"), ("m1", "法務", "2026-01-01")], "meeting_id string, committee string, date string")
+    meetings = spark.createDataFrame([("m1", "水産", "2026-01-01"), ("m1", "水産", "2026-01-01")], "meeting_id string, committee string, date string")
     assert [r["speech_id"] for r in corpora.speech_rows(speeches, meetings).collect()] == ["s1"]
     days = spark.createDataFrame([("2026-04-01", [("i.pdf", [("t", 3, "", [("L9", "x")], None), ("", 4, "", [], None)])])], "date string, issues array<struct<pdf_url:string,items:array<struct<title:string,page:int,pdf_url:string,linked_laws:array<struct<law_id:string,title:string>>,amend_text:string>>>>")
     assert [(r["title"], r["pdf_url"], r["law_id"]) for r in corpora.gazette_rows(days).collect()] == [("t", "i.pdf", "L9")]

@@ -14,6 +14,21 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def aligned_by_definition(a, b):
+    """Remove from the first if no longer alignment is lost by it, else add from the second."""
+    if not a or not b:
+        return [(i, None) for i in range(len(a))] + [(None, j) for j in range(len(b))]
+    size = lambda x, y: sum(i is not None and j is not None for i, j in aligned_by_definition(x, y))
+    if a[0] == b[0]:
+        first, rest = (0, 0), aligned_by_definition(a[1:], b[1:])
+    elif size(a[1:], b) >= size(a, b[1:]):
+        first, rest = (0, None), aligned_by_definition(a[1:], b)
+    else:
+        first, rest = (None, 0), aligned_by_definition(a, b[1:])
+    da, db = (int(x is not None) for x in first)
+    return [first] + [(None if i is None else i + da, None if j is None else j + db) for i, j in rest]
+
+
 def test_as_of(spark):
     held = spark.createDataFrame([("L", "r1", "2019-04-01", 0), ("L", "r2", "2020-04-01", 1), ("L", "r3", "2030-01-01", 2), ("M", "m1", None, 0)], "law string, rev string, eff string, pos int")
     found = versions.as_of(held, ["2021-01-01", "2000-01-01"], "law", F.col("eff"), F.col("pos")).select("law", "as_of", "version.rev")
@@ -49,6 +64,16 @@ def test_paragraphs_by_number_and_by_position(spark):
     assert rows(found) == [("a", "1", "removed"), ("a", "2", "unchanged"), ("a", "3", "added"), ("b", "#0", "unchanged"), ("b", "#1", "modified")]
 
 
+def test_numbers_that_repeat(spark):
+    schema = "article string, number string, place int, text string"
+    before = spark.createDataFrame([("a", "1", 0, "x"), ("a", "1", 1, "y"), ("a", "2", 2, "p"), ("a", "2", 3, "q")], schema)
+    after = spark.createDataFrame([("a", "1", 0, "y"), ("a", "1", 1, "x")], schema)
+    found = versions.paragraph_diff(before, after, "article", "number", "place", "text").select("key", "old.text", "new.text", "change")
+    assert rows(found) == sorted([("1", "y", "y", "unchanged"), ("1", "y", "x", "modified"), ("2", "p", None, "removed"), ("2", "q", None, "removed")], key=repr)
+    back = versions.ordered_diff(before, after, ["number"], ["text"], "place", removed_last=False).select("number", "part", "place", "change")
+    assert rows(back) == sorted([("1", 0, 0, "unchanged"), ("1", 0, 1, "modified"), ("2", 0, 2, "removed"), ("2", 0, 3, "removed")], key=repr)
+
+
 @pytest.mark.parametrize("found, baseline, wanted", [(77, 9000, True), (8990, 8971, False), (1, 10, False)])
 def test_shrink_guard(spark, found, baseline, wanted):
     assert spark.range(1).select(versions.shrunk(F.lit(found), F.lit(baseline)).alias("v")).first()["v"] is wanted
@@ -70,6 +95,10 @@ def test_edit_script_rebuilds_both_sides(seed):
 
 def test_alignment_prefers_removal():
     assert textdiff.common_subsequence(["a", "b"], ["b", "a"]) == [(0, None), (1, 0), (None, 1)]
+    rng = random.Random(2)
+    for _ in range(300):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 9))] for _ in range(2))
+        assert textdiff.common_subsequence(a, b) == aligned_by_definition(a, b)
     assert textdiff.assign_spans([(0, 2, "x"), (1, 6, "y"), (6, 8, "z")]) == [(1, 6, "y"), (6, 8, "z")]
 
 
