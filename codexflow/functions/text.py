@@ -133,3 +133,10 @@ def is_amending_title(text: Column) -> Column:
 def safe_name(text: Column, size: int = 24) -> Column:
     """The first characters with those that paths reserve replaced."""
     return F.translate(F.left(text, F.lit(size)), "/\\:\0", "____")
+
+
+def own_law_articles(text: Column) -> Column:
+    """Numbers of the articles of the law that a circular explains (``法第N条``), in narrow digits and in order;
+    the name of another law before it makes it another law's article."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(?:^|[^\x{4E00}-\x{9FFF}\x{3041}-\x{3093}\x{30A1}-\x{30F6}\x{30FC}\x{3005}])法第([0-9０-９]+)条"), F.lit(1))
+    return F.transform(found, narrow_digits)

@@ -56,11 +56,12 @@ def law_feed(updates: DataFrame) -> DataFrame:
 
 
 def comment_feed(cases: DataFrame) -> DataFrame:
-    """Open cases by the day they opened, with their deadline; closed ones by the day of the result."""
+    """Named cases: open ones by their deadline, closed ones by the day of the result; the summary names the law."""
     is_open = F.col("status") == "open"
-    summary = F.when(is_open, F.concat_ws(" ", F.lit("締切"), *_text("reception_end"))).otherwise("結果公示")
-    rows = cases.select(*_feed("pubcomment", F.when(is_open, F.col("reception_start")).otherwise(F.col("result_published")), F.col("title"), F.concat(F.lit("/pubcomment/"), "case_id"), summary))
-    return rows.filter(F.coalesce("date", F.lit("")) != "")
+    summary = F.concat_ws(" · ", F.when(is_open, "意見募集中（締切）"), F.concat(F.lit("関連: "), *_text("related_law_name")))
+    rows = cases.filter((F.coalesce("case_id", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != ""))
+    date = F.when(is_open, F.col("reception_end")).otherwise(F.col("result_published"))
+    return rows.select(*_feed("pubcomment", date, F.col("title"), F.concat(F.lit("/pubcomment/"), "case_id"), F.nullif(summary, F.lit("")))).filter(F.coalesce("date", F.lit("")) != "")
 
 
 def gazette_feed(items: DataFrame) -> DataFrame:

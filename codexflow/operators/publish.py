@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: What the kinds of a feed are called.
 KINDS = {"law": "法令", "pubcomment": "意見公募", "gazette": "官報", "bill": "議案"}
 
 
@@ -19,6 +20,22 @@ def feed(sources: list[DataFrame], limit: int = 200) -> DataFrame:
     return out.orderBy(F.col("date").desc(), F.col("kind").asc(), "seq_", *rest).limit(limit).drop("seq_")
 
 
+def kind_label(kind: Column) -> Column:
+    """What a kind is called; an unknown one is its own name."""
+    out = kind
+    for key, label in KINDS.items():
+        out = F.when(kind == key, label).otherwise(out)
+    return out
+
+
+def event_id(*parts: Column | str) -> Column:
+    return F.concat_ws(":", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def href(root: str, *parts: Column) -> Column:
+    return F.concat(F.lit(f"/{root}/"), F.concat_ws("/", *[p.cast("string") for p in parts]))
+
+
 def newest_dates(rows: DataFrame, date_col: str, count: int) -> DataFrame:
     """Rows of the ``count`` newest dates. The dates are found by a distinct and a top-k, then semi-joined."""
     dates = rows.select(date_col).distinct().orderBy(F.col(date_col).desc()).limit(count)
@@ -57,6 +74,11 @@ def open_first(is_open: Column, closes: Column, published: Column) -> list[Colum
     return [is_open.desc(), F.when(is_open, closes).asc_nulls_last(), F.when(~is_open, published).desc_nulls_last()]
 
 
+def open_first_key(is_open: Column, closes: Column, published: Column) -> Column:
+    """The same order as one ascending key, of days as numbers."""
+    return F.struct((~is_open).alias("late"), F.coalesce(F.when(is_open, closes), F.when(~is_open, -published), F.lit(2**31 - 1)).alias("day"))
+
+
 def by_title(updated: str, title: str, collation: str = "ja") -> list[Column]:
     """Order of a law list: last updated first, those without a date last, then titles as the language sorts them."""
     return [F.col(updated).desc_nulls_last(), F.collate(F.col(title), collation).asc()]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexflow.operators import publish, segments
+from codexflow.operators import publish, views, segments
 from codexflow.plans.base import Tables, query
 from codexflow.streaming import updates
 
@@ -74,11 +74,12 @@ def recent_flatten(t: Tables) -> DataFrame:
     return publish.recent_rows(t.events.select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day")), "day", tie="event_id")
 
 
-@query("select o_orderkey, row_number() over (order by (o_orderstatus = 'O') desc, case when o_orderstatus = 'O' then o_orderdate end asc nulls last, case when o_orderstatus <> 'O' then o_orderdate end desc nulls last, o_orderkey) as place from orders order by place limit 500")
+@query("select o_orderkey, row_number() over (order by (o_orderstatus = 'O') desc, case when o_orderstatus = 'O' then o_orderdate end asc nulls last, case when o_orderstatus <> 'O' then o_orderdate end desc nulls last, o_orderkey) as place from orders")
 def conditional_sort_index(t: Tables) -> DataFrame:
-    order = publish.open_first(F.col("o_orderstatus") == "O", F.col("o_orderdate"), F.col("o_orderdate"))
-    top = t.orders.orderBy(*order, "o_orderkey").limit(500)
-    return top.select("o_orderkey", F.expr("row_number() over (order by (o_orderstatus = 'O') desc, case when o_orderstatus = 'O' then o_orderdate end asc nulls last, case when o_orderstatus <> 'O' then o_orderdate end desc nulls last, o_orderkey)").cast("long").alias("place"))
+    # Whether a case is open and its day, as one key that sorts like the order of the index.
+    days = F.unix_date(F.to_date("o_orderdate"))
+    lead = publish.open_first_key(F.col("o_orderstatus") == "O", days, days)
+    return views.placed(t.orders, lead, [F.col("o_orderkey")], ascending=True).select("o_orderkey", "place")
 
 
 @query("select n_name, last, row_number() over (order by last desc nulls last, n_name) as place from (select n_name, max(strftime(o_orderdate, '%Y-%m-%d')) filter (o_orderstatus = 'P') as last from nation left join customer on c_nationkey = n_nationkey left join orders on o_custkey = c_custkey group by n_name)")

@@ -33,11 +33,11 @@ def test_events_link_to_items(spark):
 
 def test_feed_of_all_corpora(spark):
     updates = spark.createDataFrame([("2026-05-01", "L1", "灯台見学法", "amended"), ("x", "L2", "t", "added")], "date string, law_id string, title string, change_type string")
-    cases = spark.createDataFrame([("c1", "案", "open", "2026-06-01", "2026-07-01", None), ("c2", "果", "closed", None, None, "")], "case_id string, title string, status string, reception_start string, reception_end string, result_published string")
+    cases = spark.createDataFrame([("c1", "案", "open", "2026-06-01", "2026-07-01", None, "甲法"), ("c2", "果", "closed", None, None, "", None), ("c3", "果", "closed", None, None, "2026-03-01", None), ("", "果", "closed", None, None, "2026-03-01", None)], "case_id string, title string, status string, reception_start string, reception_end string, result_published string, related_law_name string")
     items = spark.createDataFrame([("2026-04-02", "省令", "u", "改める"), ("2026-04-03", "告示", "u", "")], "date string, title string, pdf_url string, amend_text string")
     bills = spark.createDataFrame([("b1", "案", "衆法", "", "付託", "")], "bill_id string, title string, bill_type string, status string, latest_event string, latest_date string")
     feed = publish.feed([corpora.law_feed(updates), corpora.comment_feed(cases), corpora.gazette_feed(items), corpora.bill_feed(bills)]).collect()
-    assert [(r["kind"], r["date"], r["summary"]) for r in feed] == [("pubcomment", "2026-06-01", "締切 2026-07-01"), ("law", "2026-05-01", "改正"), ("gazette", "2026-04-02", "改める")]
+    assert [(r["kind"], r["date"], r["summary"]) for r in feed] == [("pubcomment", "2026-07-01", "意見募集中（締切） · 関連: 甲法"), ("law", "2026-05-01", "改正"), ("gazette", "2026-04-02", "改める"), ("pubcomment", "2026-03-01", None)]
 
 
 def test_index_rows(spark):
