@@ -2,97 +2,132 @@
 
 from __future__ import annotations
 
-from collections import deque
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-
-#: Patterns that an automaton takes; a larger dictionary is refused before anything is broadcast.
+#: Patterns that one automaton takes; a larger dictionary is looked for in parts.
 MOST_PATTERNS = 500_000
 
 
-class Automaton:
-    """Multi-pattern matcher (goto, failure and output links over dictionaries).
+def _finder(patterns: list[str], mode: str):
+    """Function that gives (begin, stop, pattern) of a text's hits.
 
     ``overlapping`` reports every hit, ``earliest`` the hit that ends first and then goes on behind it,
     ``longest`` the leftmost hit, the longest of those that begin there.
     """
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    for p in patterns:
+        if p:
+            automaton.add_word(p, p)
+    automaton.make_automaton()
+
+    def find(text: str) -> list[tuple[int, int, str]]:
+        found = [(end + 1 - len(p), end + 1, p) for end, p in automaton.iter(text)] if len(automaton) else []
+        return found if mode == "overlapping" else chosen(found, mode)
 
-    def __init__(self, patterns: list[str]):
-        self.patterns = patterns
-        self.ahead: list[dict[str, int]] = [{}]
-        self.back, self.out, depth = [0], [[]], [0]
-        for number, pattern in enumerate(patterns):
-            state = 0
-            for character in pattern:
-                if character not in self.ahead[state]:
-                    self.ahead[state][character] = len(self.ahead)
-                    self.ahead.append({})
-                    self.back.append(0)
-                    self.out.append([])
-                    depth.append(depth[state] + 1)
-                state = self.ahead[state][character]
-            if pattern:
-                self.out[state].append(number)
-        queue = deque(self.ahead[0].values())
-        while queue:
-            state = queue.popleft()
-            for character, child in self.ahead[state].items():
-                queue.append(child)
-                at = self.back[state]
-                while at and character not in self.ahead[at]:
-                    at = self.back[at]
-                self.back[child] = self.ahead[at].get(character, 0) if self.ahead[at].get(character, 0) != child else 0
-                self.out[child] = self.out[child] + self.out[self.back[child]]
-
-    def hits(self, text: str) -> list[tuple[int, int, int]]:
-        """All (begin, stop, pattern), by where they end."""
-        state, found = 0, []
-        for i, character in enumerate(text):
-            while state and character not in self.ahead[state]:
-                state = self.back[state]
-            state = self.ahead[state].get(character, 0)
-            found += [(i + 1 - len(self.patterns[n]), i + 1, n) for n in self.out[state]]
-        return found
-
-    def matches(self, text: str, mode: str) -> list[tuple[int, int, int]]:
-        found = self.hits(text)
-        if mode == "overlapping":
-            return found
-        order = (lambda h: (h[0], -h[1])) if mode == "longest" else (lambda h: (h[1], h[0]))
-        kept, at = [], 0
-        for hit in sorted(found, key=order):
-            if hit[0] >= at:
-                kept.append(hit)
-                at = hit[1]
-        return kept
+    return find
+
+
+def chosen(hits: list[tuple[int, int, str]], mode: str) -> list[tuple[int, int, str]]:
+    """Hits that don't overlap, as ``mode`` prefers them."""
+    order = (lambda h: (h[0], -h[1])) if mode == "longest" else (lambda h: (h[1], h[0]))
+    kept, at = [], 0
+    for hit in sorted(hits, key=order):
+        if hit[0] >= at:
+            kept.append(hit)
+            at = hit[1]
+    return kept
 
 
 def dictionary(rows: DataFrame, col: str, least: int) -> list[str]:
-    """Distinct patterns of a length, checked to be few enough for every task to hold."""
-    found = rows.filter(F.length(col) >= least).select(col).distinct().limit(MOST_PATTERNS + 1).collect()
-    if len(found) > MOST_PATTERNS:
-        raise ValueError(f"over {MOST_PATTERNS} patterns: split the dictionary and unite the hits")
-    return [r[0] for r in found]
+    """Distinct patterns of a length, in order."""
+    found = rows.filter(F.length(col) >= least).select(col).distinct().toLocalIterator()
+    return sorted(r[0] for r in found)
+
+
+def _parts(patterns: list[str]) -> list[list[str]]:
+    distinct = sorted(set(patterns))
+    return [distinct[i : i + MOST_PATTERNS] for i in range(0, len(distinct), MOST_PATTERNS)] or [[]]
+
+
+def find_patterns(texts: DataFrame, id_col: str, text_col: str, patterns: list[str], mode: str = "overlapping", tail: int = 0) -> DataFrame:
+    """``id``, ``pattern``, ``begin`` and ``stop`` of every hit, and ``rest``, the ``tail`` characters behind it.
+
+    The patterns (a dictionary of titles, not data) go to the tasks as plain strings and the texts stream past an
+    automaton. Beyond ``MOST_PATTERNS`` each part of the dictionary has an automaton of its own, one after the
+    other, and hits that overlap are chosen among all parts' hits, so the rows are the same.
+    """
+    parts = [texts.sparkSession.sparkContext.broadcast(p) for p in _parts(patterns)]
+
+    def work(batches):
+        finders = [_finder(p.value, mode if len(parts) == 1 else "overlapping") for p in parts]
+        for batch in batches:
+            rows = []
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                hits = [h for find in finders for h in find(t or "")]
+                if len(parts) > 1 and mode != "overlapping":
+                    hits = chosen(hits, mode)
+                rows += [(i, p, a, b, t[b : b + tail]) for a, b, p in hits]
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = [batch.schema.field(0).type, pa.string(), pa.int32(), pa.int32(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "pattern", "begin", "stop", "rest"])
+
+    kind = texts.schema[id_col].dataType.simpleString()
+    found = texts.select(id_col, text_col).mapInArrow(work, f"id {kind}, pattern string, begin int, stop int, rest string")
+    return found if tail else found.drop("rest")
 
 
-def find_patterns(texts: DataFrame, id_col: str, text_col: str, patterns: list[str], mode: str = "overlapping") -> DataFrame:
-    """``id``, ``pattern``, ``begin`` and ``stop`` of every hit. The automaton (a dictionary of titles, not
-    data) is broadcast once and the texts stream past it."""
-    shared = texts.sparkSession.sparkContext.broadcast(Automaton(sorted(set(patterns))))
+def patterns_held(texts: DataFrame, id_col: str, text_col: str, patterns: list[str], mode: str = "overlapping") -> DataFrame:
+    """``id`` and ``patterns``, the distinct ones in order, of every text that holds one; and ``lines``, the number of
+    its lines that hold each. One row a text: nothing is shuffled to tell or to count."""
+    parts = [texts.sparkSession.sparkContext.broadcast(p) for p in _parts(patterns)]
 
     def work(batches):
+        finders = [_finder(p.value, mode if len(parts) == 1 else "overlapping") for p in parts]
         for batch in batches:
-            rows = [(i, shared.value.patterns[n], a, b) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for a, b, n in shared.value.matches(t or "", mode)]
-            columns = list(zip(*rows)) or [()] * 4
-            kinds = [batch.schema.field(0).type, pa.string(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "pattern", "begin", "stop"])
+            ids, held, lines = [], [], []
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                hits = [h for find in finders for h in find(t or "")]
+                if len(parts) > 1 and mode != "overlapping":
+                    hits = chosen(hits, mode)
+                if not hits:
+                    continue
+                breaks = [k for k, c in enumerate(t) if c == "\n"] if "\n" in t else []
+                seen: dict[str, set[int]] = {}
+                for a, b, p in hits:
+                    line = bisect_left(breaks, a)
+                    seen.setdefault(p, set()).update([line] if line == bisect_left(breaks, b - 1) else ())
+                ids.append(i)
+                held.append(sorted(seen))
+                lines.append([len(seen[p]) for p in held[-1]])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(held, pa.list_(pa.string())), pa.array(lines, pa.list_(pa.int64()))], names=["id", "patterns", "lines"])
 
     kind = texts.schema[id_col].dataType.simpleString()
-    return texts.select(id_col, text_col).mapInArrow(work, f"id {kind}, pattern string, begin int, stop int")
+    return texts.select(id_col, text_col).mapInArrow(work, f"id {kind}, patterns array<string>, lines array<bigint>")
+
+
+#: Number of an article as it is written: ``第``, digits or numerals, ``条``, and branches after ``の``.
+ARTICLE_NUMBER = "第[0-9０-９〇一二三四五六七八九十百千]+条(?:の[0-9０-９〇一二三四五六七八九十百千]+)*"
+
+
+def own_references(articles: DataFrame, law: str, article: str, number: str, body: str) -> DataFrame:
+    """``law``, ``source``, ``said`` and ``target``: references in articles to other articles of their own law.
+
+    What looks like an article's number is shortened character by character, down to its ``条``, and the longest
+    beginning that is a number of the law counts: leftmost-longest matching by joins on equal numbers.
+    """
+    runs = articles.select(F.col(law).alias("law"), F.col(article).alias("source"), F.posexplode(F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(ARTICLE_NUMBER), F.lit(0))).alias("at", "run"))
+    shorter = F.transform(F.sequence(F.instr("run", "条"), F.length("run")), lambda n: F.left("run", n))
+    tried = runs.select("law", "source", "at", F.explode(shorter).alias("said"))
+    known = articles.select(F.col(law).alias("law"), F.col(number).alias("said"), F.col(article).alias("target"))
+    best = tried.join(known, ["law", "said"]).groupBy("law", "source", "at").agg(F.max_by(F.struct("said", "target"), F.struct(F.length("said"), "target")).alias("b"))
+    return best.select("law", "source", "b.said", "b.target").filter("source <> target").distinct()
 
 
 def link_edges(hits: DataFrame, source: str, target: str, pattern: str, is_number: Column) -> DataFrame:
@@ -114,9 +149,8 @@ def cross_references(texts: DataFrame, id_col: str, text_col: str, titles: DataF
     ``titles`` has ``title`` and ``target``; ``articles`` has ``target`` and ``article_no``. Titles match
     leftmost-longest; the longest article number that begins the rest wins; own titles don't count.
     """
-    hits = find_patterns(texts, id_col, text_col, dictionary(titles, "title", 2), "longest")
-    placed = hits.join(texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text_")), "id")
-    rest = placed.select("id", F.col("pattern").alias("title"), "begin", F.substring("text_", F.col("stop") + 1, F.lit(tail)).alias("rest"))
+    hits = find_patterns(texts, id_col, text_col, dictionary(titles, "title", 2), "longest", tail)
+    rest = hits.select("id", F.col("pattern").alias("title"), "begin", "rest")
     linked = rest.join(titles, "title").filter(F.col("target") != F.col("id"))
     met = linked.join(articles, (linked["target"] == articles["target"]) & F.startswith(F.col("rest"), F.col("article_no")), "left").drop(articles["target"])
     return met.groupBy("id", "title", "begin", "target").agg(F.max_by("article_no", F.length("article_no")).alias("article_no"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexflow.operators import linking
+from codexflow.operators import gazette, linking
 from codexflow.plans.base import Tables, query
 
 #: The dictionary: opening words of benchmark items as titles, and their ids.
@@ -24,7 +24,8 @@ def _docs(t: Tables) -> DataFrame:
 
 def _hits(t: Tables) -> DataFrame:
     titles = _titles(t).filter(F.length("title") >= 4)
-    found = linking.find_patterns(_docs(t), "doc_id", "text", linking.dictionary(titles, "title", 4)).select(F.col("id").alias("doc_id"), F.col("pattern").alias("title")).distinct()
+    held = linking.patterns_held(_docs(t), "doc_id", "text", linking.dictionary(titles, "title", 4))
+    found = held.select(F.col("id").alias("doc_id"), F.inline(F.arrays_zip(F.col("patterns").alias("title"), F.col("lines").alias("mentions"))))
     return found.join(titles, "title")
 
 
@@ -33,11 +34,17 @@ def dictionary_link(t: Tables) -> DataFrame:
     return _hits(t).select("doc_id", "item_id", "title")
 
 
-@query("select conv_id, turn, n_name from conversations join nation on contains(upper(text), n_name) and length(n_name) >= 4")
+@query("select conv_id, turn, word from conversations join (select distinct lower(string_split(text, ' ')[3]) as word from benchmark) on contains(lower(text), word) and length(word) >= 4")
 def dictionary_link_contains(t: Tables) -> DataFrame:
-    turns = t.conversations.select(F.struct("conv_id", "turn").alias("key"), F.upper("text").alias("text"))
-    found = linking.find_patterns(turns, "key", "text", linking.dictionary(t.nation, "n_name", 4)).select("id", "pattern").distinct()
-    return found.select("id.conv_id", "id.turn", F.col("pattern").alias("n_name"))
+    words = t.benchmark.select(F.lower(F.get(F.split("text", " "), F.lit(2))).alias("word"))
+    turns = t.conversations.select(F.struct("conv_id", "turn").alias("key"), F.lower("text").alias("text"))
+    found = linking.find_patterns(turns, "key", "text", linking.dictionary(words, "word", 4)).select("id", "pattern").distinct()
+    return found.select("id.conv_id", "id.turn", F.col("pattern").alias("word"))
+
+
+@query(f"select doc_id, item_id, 0.55::double as confidence, list(distinct title order by title) as reasons from ({_LINK}) group by doc_id, item_id")
+def dictionary_edges(t: Tables) -> DataFrame:
+    return linking.link_edges(_hits(t), "doc_id", "item_id", "title", F.lit(False)).select("doc_id", "item_id", "confidence", "reasons")
 
 
 @query(f"select title, list_sort(list(distinct item_id)) as targets, count(distinct doc_id) as n_documents from ({_LINK}) group by title")
@@ -49,10 +56,7 @@ def reverse_link(t: Tables) -> DataFrame:
 
 @query(f"select doc_id, item_id, title, (select count(*) from (select unnest(string_split(text, chr(10))) as line) where contains(line, title)) as mentions from ({_LINK}) join {_DOCS_SQL} using (doc_id)")
 def mention_counts(t: Tables) -> DataFrame:
-    edges = linking.link_edges(_hits(t), "doc_id", "item_id", "title", F.lit(False))
-    lines = _docs(t).select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    found = linking.mentions(edges, lines, "doc_id", "line")
-    return found.select("doc_id", "item_id", F.element_at("reasons", 1).alias("title"), "mentions")
+    return _hits(t).select("doc_id", "item_id", "title", "mentions")
 
 
 @query(f"select doc_id, item_id, (case when bool_or(strong) then 0.9 else 0.55 end)::double as confidence, count(*) as n_reasons from (select doc_id, item_id, title, false as strong from ({_LINK}) union all select d.doc_id, i.item_id, i.title, true from {_DOCS_SQL} d join {_TITLES_SQL} i on trim(array_to_string(string_split(d.text, ' ')[1:2], ' ')) = i.title) group by doc_id, item_id")
@@ -90,9 +94,14 @@ def cross_refs_prefix(t: Tables) -> DataFrame:
     return linking.cross_references(_docs(t), "doc_id", "text", titles.withColumn("target", F.col("target") + 1_000_000_000), articles.withColumn("target", F.col("target") + 1_000_000_000))
 
 
-@query("select doc_id, list_sort(list_distinct(regexp_extract_all(text, '[0-9]+'))) as refs from documents where text is not null")
+@query("""with a as (select o_custkey as law, o_orderkey as id, row_number() over (partition by o_custkey order by o_orderkey) as n from orders)
+select x.law, x.id as source, '第' || y.n || '条' as said, y.id as target from a x join a y on x.law = y.law and (y.n = x.n + 1 or y.n = x.n * 10)""")
 def self_refs(t: Tables) -> DataFrame:
-    return t.documents.filter("text is not null").select("doc_id", F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0)))).alias("refs"))
+    number = F.expr("row_number() over (partition by o_custkey order by o_orderkey)")
+    said = lambda n: F.concat(F.lit("第"), n.cast("string"), F.lit("条"))
+    articles = t.orders.select(F.col("o_custkey").alias("law"), F.col("o_orderkey").alias("id"), number.alias("n"))
+    body = F.concat(said(F.col("n")), F.lit("及び"), said(F.col("n") + 1), F.lit("の二並びに"), said(F.col("n") * 10), said(F.col("n") * 10))
+    return linking.own_references(articles.withColumns({"no": said(F.col("n")), "body": body}), "law", "id", "no", "body")
 
 
 @query("""with c as (select conv_id, turn, text, lag(turn) over w as p, lead(turn) over w as n from conversations window w as (partition by conv_id order by turn))
@@ -102,15 +111,9 @@ def neighbor_refs(t: Tables) -> DataFrame:
     return linking.neighbour_references(t.conversations, "conv_id", "turn", "turn", "text", "the", "and")
 
 
-_EDGES = "(select event_id as a, event_type = 'error' as x, lead(event_id) over w as b, lead(event_type) over w = 'error' as y from events window w as (partition by user_id order by ts, event_id))"
-
-
-@query(f"select a, b, case when x and y then 'both' when x then 'out' else 'in' end as direction from {_EDGES} where b is not null and (x or y)")
+@query("select l_orderkey as a, l_partkey as b, case when l_orderkey = l_partkey then 'loop' when l_orderkey = 42 then 'out' else 'in' end as direction from lineitem where l_orderkey = 42 or l_partkey = 42")
 def graph_out_in_either(t: Tables) -> DataFrame:
-    step = "lead({}) over (partition by user_id order by ts, event_id)"
-    edges = t.events.select(F.col("event_id").alias("a"), (F.col("event_type") == "error").alias("x"), F.expr(step.format("event_id")).alias("b"), (F.expr(step.format("event_type")) == "error").alias("y"))
-    touched = edges.filter("b is not null and (x or y)")
-    return touched.select("a", "b", F.when(F.col("x") & F.col("y"), "both").when(F.col("x"), "out").otherwise("in").alias("direction"))
+    return linking.touching(t.lineitem.select(F.col("l_orderkey").alias("a"), F.col("l_partkey").alias("b")), "a", "b", F.lit(42))
 
 
 @query("""with m as (select c_custkey, s_suppkey, 0.4 + case when abs(c_acctbal - s_acctbal) < 500 then 0.35 else 0 end + case when (c_acctbal > 0) = (s_acctbal > 0) then 0.15 else 0 end as score
@@ -126,13 +129,13 @@ def score_match_best(t: Tables) -> DataFrame:
     return best.select("c_custkey", "s_suppkey", F.round("score", 2).alias("score"))
 
 
-@query("""with p as (select p_partkey, p_size, p_name, p_type from part),
-m as (select a.p_partkey, b.p_partkey as other, case when a.p_name = b.p_name then 0.95 when contains(a.p_name, split_part(b.p_name, ' ', 1)) then round(0.5 + 0.45 * 0.8, 2) end as confidence
-from p a join p b on a.p_size = b.p_size and a.p_type = b.p_type and a.p_partkey <> b.p_partkey)
-select p_partkey, max(confidence)::double as confidence, arg_max(other, struct_pack(c := confidence, o := -other)) as other from m where confidence is not null group by p_partkey""")
+@query("""with e as (select p_partkey as event, p_size || p_type as date, p_name as core from part where p_partkey % 2 = 0),
+i as (select p_partkey as item, p_size || p_type as date, case when p_partkey % 4 = 1 then split_part(p_name, ' ', 1) else p_name end as core from part where p_partkey % 2 = 1),
+m as (select event, item, case when e.core = i.core then 0.95 when contains(e.core, i.core) and length(i.core) >= 4 then 0.86 end as confidence from e join i using (date))
+select event, max(confidence)::double as confidence, arg_max(item, struct_pack(c := confidence, o := -item)) as item from m where confidence is not null group by event""")
 def item_title_match(t: Tables) -> DataFrame:
-    a = t.part.select("p_partkey", "p_size", "p_type", "p_name")
-    b = t.part.select(F.col("p_partkey").alias("other"), "p_size", "p_type", F.col("p_name").alias("o"))
-    score = F.when(F.col("p_name") == F.col("o"), 1.0).when(F.contains("p_name", F.split_part("o", F.lit(" "), F.lit(1))), 0.8)
-    met = a.join(b, ["p_size", "p_type"]).filter("p_partkey <> other").withColumn("confidence", F.round(0.5 + 0.45 * score, 2)).filter("confidence is not null")
-    return met.groupBy("p_partkey").agg(F.max("confidence").alias("confidence"), F.max_by("other", F.struct("confidence", -F.col("other"))).alias("other"))
+    day = F.concat(F.col("p_size").cast("string"), F.col("p_type"))
+    events = t.part.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("event"), day.alias("date"), F.concat("p_name", F.lit("の一部を改正する法律")).alias("title"))
+    name = F.when(F.col("p_partkey") % 4 == 1, F.split_part("p_name", F.lit(" "), F.lit(1))).otherwise(F.col("p_name"))
+    items = t.part.filter("p_partkey % 2 = 1").select(day.alias("date"), F.lit(1).alias("issue"), F.col("p_partkey").alias("item"), F.concat(name, F.lit("の一部を改正する法律（甲）")).alias("title"))
+    return gazette.item_matches(events, items).select("event", "confidence", "item")

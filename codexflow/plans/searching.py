@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codexflow.functions.text import char_ngrams, words
-from codexflow.operators import search
+from codexflow.operators import index, search
 from codexflow.plans.base import Tables, query
+from codexflow.sources.workspace import workspace
 
 TOKENS = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
 AND_GROUP, DNF_GROUPS = ["the", "of"], [["the", "and", "with"], ["que", "para"], ["und"]]
@@ -43,51 +44,86 @@ def bigram_tokens_nation(t: Tables) -> DataFrame:
     return rows.select("n_nationkey", (F.col("p") + 1).cast("long").alias("place"), "bigram")
 
 
+_INDICES: dict[tuple[str, str], str] = {}
+
+
+def _turns(t: Tables) -> DataFrame:
+    return t.conversations.select(F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("key"), "text")
+
+
+def _index(t: Tables) -> str:
+    """Path of the stored index of the four corpora; a session writes it once and its searches read it."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _INDICES:
+        path = workspace(t.spark, "search-index")
+        sources = {
+            "document": t.documents.select(F.col("doc_id").alias("key"), "text"),
+            "turn": _turns(t),
+            "benchmark": t.benchmark.select(F.col("item_id").alias("key"), "text"),
+            "page": t.pages.select(F.col("page_id").alias("key"), F.col("html").alias("text")),
+        }
+        index.write_index(sources, path)
+        _INDICES[key] = path
+    return _INDICES[key]
+
+
+def _scored(t: Tables, groups: list[list[str]]) -> DataFrame:
+    found = index.search(t.spark, _index(t), "document", groups)
+    return found.select(F.col("id").cast("long").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+def _matched(t: Tables, groups: list[list[str]]) -> DataFrame:
+    wanted = sorted({w for g in groups for w in g})
+    return search.match(index.postings(t.spark, _index(t), "document", wanted), groups).select(F.col("id").cast("long").alias("doc_id"))
+
+
 @query(_match_sql("documents", "doc_id", [AND_GROUP]))
 def fts_match_and(t: Tables) -> DataFrame:
-    return search.match(search.postings(t.documents, "doc_id", ["text"], words, AND_GROUP), [AND_GROUP]).select(F.col("id").alias("doc_id"))
+    return _matched(t, search.query_groups("The of a"))
 
 
 @query(_match_sql("documents", "doc_id", DNF_GROUPS))
 def fts_match_dnf(t: Tables) -> DataFrame:
-    wanted = sorted({w for g in DNF_GROUPS for w in g})
-    return search.match(search.postings(t.documents, "doc_id", ["text"], words, wanted), DNF_GROUPS).select(F.col("id").alias("doc_id"))
+    return _matched(t, search.query_groups("the (and) with", {"with": ["que para", "und"]}))
 
 
 @query(_bm25_sql("documents", "doc_id", DNF_GROUPS) + " order by score desc, doc_id limit 50")
 def fts_bm25_topk(t: Tables) -> DataFrame:
-    scored = search.bm25(t.documents, "doc_id", ["text"], DNF_GROUPS, words)
-    return scored.select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score")).orderBy(F.col("score").desc(), "doc_id").limit(50)
+    return _scored(t, DNF_GROUPS).orderBy(F.col("score").desc(), "doc_id").limit(50)
 
 
 @query(_bm25_sql("documents", "doc_id", [AND_GROUP]))
 def fts_bm25_scores(t: Tables) -> DataFrame:
-    return search.bm25(t.documents, "doc_id", ["text"], [AND_GROUP], words).select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+    return _scored(t, [AND_GROUP])
 
 
 @query(f"select s.doc_id, lang, score from ({_bm25_sql('documents', 'doc_id', [AND_GROUP])}) s join documents using (doc_id) where lang in ('en', 'fr') order by score desc, doc_id limit 20")
 def fts_category_filter(t: Tables) -> DataFrame:
-    docs = t.documents
-    scored = search.bm25(docs, "doc_id", ["text"], [AND_GROUP], words).select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
-    kept = docs.filter(F.col("lang").isin("en", "fr")).select("doc_id", "lang")
-    return scored.join(kept, "doc_id").orderBy(F.col("score").desc(), "doc_id").limit(20)
+    kept = t.documents.filter(F.col("lang").isin("en", "fr")).select("doc_id", "lang")
+    return _scored(t, [AND_GROUP]).join(kept, "doc_id").select("doc_id", "lang", "score").orderBy(F.col("score").desc(), "doc_id").limit(20)
 
 
 _FEDERATED = [["the", "and"]]
 
 
-@query(f"""select 'document' as kind, doc_id::varchar as key, score from ({_bm25_sql('documents', 'doc_id', _FEDERATED)} order by score desc, doc_id limit 50)
+@query(f"""select 'document' as kind, doc_id::varchar as key, score from ({_bm25_sql('documents', 'doc_id', _FEDERATED)} order by score desc, doc_id::varchar limit 50)
 union all select 'turn', key, score from ({_bm25_sql("(select conv_id::varchar || '-' || turn::varchar as key, text from conversations)", 'key', _FEDERATED)} order by score desc, key limit 10)
-union all select 'benchmark', key, score from ({_bm25_sql("(select item_id::varchar as key, text from benchmark)", 'key', _FEDERATED)} order by score desc, key limit 10)""")
+union all select 'benchmark', key, score from ({_bm25_sql("(select item_id::varchar as key, text from benchmark)", 'key', _FEDERATED)} order by score desc, key limit 10)
+union all select 'page', key, score from ({_bm25_sql("(select page_id::varchar as key, html as text from pages)", 'key', _FEDERATED)} order by score desc, key limit 10)""")
 def fts_federated(t: Tables) -> DataFrame:
-    turns = t.conversations.select(F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("key"), "text")
-    items = t.benchmark.select(F.col("item_id").cast("string").alias("key"), "text")
+    return index.federated(t.spark, _index(t), _FEDERATED, {"document": 50, "turn": 10, "benchmark": 10, "page": 10, "gazette": 10})
+
 
-    def top(kind, rows, key, limit):
-        found = search.bm25(rows, key, ["text"], _FEDERATED, words).select(F.col("id"), F.round("score", 6).alias("score"))
-        return found.orderBy(F.col("score").desc(), "id").limit(limit).select(F.lit(kind).alias("kind"), F.col("id").cast("string").alias("key"), "score")
+@query(f"""select 'document' as kind, count(*) as n, sum(len({TOKENS}))::bigint as tokens from documents union all select 'turn', count(*), sum(len({TOKENS}))::bigint from conversations
+union all select 'benchmark', count(*), sum(len({TOKENS}))::bigint from benchmark union all select 'page', count(*), sum(len(text))::bigint from (select {TOKENS} as text from (select html as text from pages))""")
+def index_meta(t: Tables) -> DataFrame:
+    return index.meta(t.spark, _index(t))
 
-    return top("document", t.documents, "doc_id", 50).union(top("turn", turns, "key", 10)).union(top("benchmark", items, "key", 10))
+
+@query(f"select token, count(*) as df, sum(tf)::bigint as tf from (select doc_id, token, count(*) as tf from (select doc_id, unnest({TOKENS}) as token from documents) group by all) group by token")
+def index_tokens(t: Tables) -> DataFrame:
+    held = t.spark.read.parquet(f"{_index(t)}/postings").filter("kind = 'document'")
+    return held.groupBy("token").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
 
 
 @query(f"select 'documents' as key, count(*) as value from documents union all select 'tokens', sum(len({TOKENS}))::bigint from documents union all select 'turns', count(*) from conversations union all select 'pages', count(*) from pages")
@@ -100,8 +136,7 @@ def fts_meta(t: Tables) -> DataFrame:
 
 @query()
 def fts_snippet(t: Tables) -> DataFrame:
-    hits = search.match(search.postings(t.documents, "doc_id", ["text"], words, AND_GROUP), [AND_GROUP])
-    return t.documents.join(hits, F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", search.snippet(F.col("text"), AND_GROUP).alias("snippet"))
+    return t.documents.join(_matched(t, [AND_GROUP]), "doc_id", "left_semi").select("doc_id", search.snippet(F.col("text"), AND_GROUP).alias("snippet"))
 
 
 @query("select conv_id, turn, text as joined from conversations where text is not null and regexp_matches(text, '^[ -~]+$') and not regexp_matches(text, '  |^ | $|\\.\\.\\.')")
@@ -110,15 +145,16 @@ def unbigram_snippet(t: Tables) -> DataFrame:
     return plain.select("conv_id", "turn", search.join_bigrams(F.split("text", " ")).alias("joined"))
 
 
-THESAURUS = {"question": ["answer", "reply"], "the": ["this", "that"], "_note": ["the"]}
+@query("select o_orderkey, '条約改正...' || o_orderkey || ' word' as folded from orders")
+def bigrams_folded(t: Tables) -> DataFrame:
+    parts = F.array(*[F.lit(x) for x in ("条約", "約改", "改正", "...")], F.col("o_orderkey").cast("string"), F.lit("word"))
+    return t.orders.select("o_orderkey", search.join_bigrams(parts).alias("folded"))
+
+
+THESAURUS = {"question": ["answer", "reply"], "the": ["this", "that", "x"], "_note": ["the"], "alone": []}
+_FORMS = "flatten([case when list_contains(h, 'question') or list_contains(h, 'answer') or list_contains(h, 'reply') then ['question', 'answer', 'reply'] else [] end, case when list_contains(h, 'the') or list_contains(h, 'this') or list_contains(h, 'that') then ['the', 'this', 'that', 'x'] else [] end])"
 
 
-@query("select conv_id, turn, list_sort(list_distinct(flatten([case when contains(text, 'question') or contains(text, 'answer') or contains(text, 'reply') then ['answer', 'question', 'reply'] else [] end, case when contains(text, 'the') or contains(text, 'this') or contains(text, 'that') then ['that', 'the', 'this'] else [] end]))) as forms from (select conv_id, turn, coalesce(text, '') as text from conversations)")
+@query(f"select key, {_FORMS} as forms from (select conv_id || '-' || turn as key, regexp_extract_all(text, 'question|answer|reply|the|this|that') as h from conversations) where len(h) > 0")
 def synonym_expand(t: Tables) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    parts = []
-    for entry, synonyms in THESAURUS.items():
-        if not entry.startswith("_"):
-            forms = F.array(*map(F.lit, [entry, *synonyms]))
-            parts.append(F.when(F.exists(forms, lambda f: F.contains(text, f)), forms).otherwise(F.array().cast("array<string>")))
-    return t.conversations.select("conv_id", "turn", F.array_sort(F.array_distinct(F.flatten(F.array(*parts)))).alias("forms"))
+    return index.appended_forms(_turns(t), "key", "text", THESAURUS).select(F.col("id").alias("key"), "forms")

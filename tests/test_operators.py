@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from codexflow.operators import layout, linking, publish, search, segments, textdiff, versions
+from codexflow.operators import index, layout, linking, publish, search, segments, textdiff, versions
 from codexflow.streaming import updates
 
 
@@ -102,12 +102,31 @@ def test_alignment_prefers_removal():
     assert textdiff.assign_spans([(0, 2, "x"), (1, 6, "y"), (6, 8, "z")]) == [(1, 6, "y"), (6, 8, "z")]
 
 
-def test_automaton_modes():
-    found = linking.Automaton(["民法", "民法施行法", "施行", "法"])
-    text = "民法施行法"
-    assert {(a, b) for a, b, _ in found.matches(text, "overlapping")} == {(0, 2), (1, 2), (2, 4), (0, 5), (4, 5)}
-    assert [(a, b) for a, b, _ in found.matches(text, "longest")] == [(0, 5)]
-    assert [(a, b) for a, b, _ in found.matches(text, "earliest")] == [(0, 2), (2, 4), (4, 5)]
+@pytest.mark.parametrize("most", [500_000, 2])
+def test_automaton_modes(spark, monkeypatch, most):
+    monkeypatch.setattr(linking, "MOST_PATTERNS", most)
+    texts = spark.createDataFrame([(1, "甲法施行法"), (2, None), (3, "甲\n法\n甲法"), (4, "")], "id int, text string")
+    patterns = ["甲法", "甲法施行法", "施行", "法", ""]
+    find = lambda mode: [tuple(r) for r in linking.find_patterns(texts, "id", "text", patterns, mode).filter("id = 1").select("begin", "stop").collect()]
+    assert set(find("overlapping")) == {(0, 2), (1, 2), (2, 4), (0, 5), (4, 5)}
+    assert find("longest") == [(0, 5)]
+    assert find("earliest") == [(0, 2), (2, 4), (4, 5)]
+    held = linking.patterns_held(texts, "id", "text", patterns)
+    assert rows(held) == sorted([(1, ["施行", "法", "甲法", "甲法施行法"], [1, 1, 1, 1]), (3, ["法", "甲法"], [2, 1])], key=repr)
+    rest = linking.find_patterns(texts, "id", "text", ["甲法"], tail=2).select("id", "rest")
+    assert rows(rest) == [(1, "施行"), (3, "")]
+
+
+def test_stored_index(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "b a b"), (2, None), (3, "条約改正 A")], "key int, text string")
+    path = str(tmp_path / "index")
+    index.write_index({"law": docs, "none": docs.limit(0)}, path)
+    held = spark.read.parquet(f"{path}/postings").select("kind", "token", "id", "tf", "dl")
+    assert rows(held) == sorted([("law", "a", "1", 1, 3), ("law", "b", "1", 2, 3), ("law", "条約", "3", 1, 4), ("law", "約改", "3", 1, 4), ("law", "改正", "3", 1, 4), ("law", "a", "3", 1, 4)], key=repr)
+    assert [r["id"] for r in index.search(spark, path, "law", [["条約", "a"]]).collect()] == ["3"]
+    assert index.search(spark, path, "none", [["a"]]).count() == index.search(spark, path, "law", []).count() == 0
+    plan = index.postings(spark, path, "law", ["a"])._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(token,a)" in plan
 
 
 def test_cross_references(spark):
