@@ -113,3 +113,38 @@ def best_segment(segments: DataFrame, group: str, text: str, place: str, markers
     found = sum((F.contains(F.col(text), F.lit(m)).cast("long") for m in markers), F.lit(0).cast("long"))
     score = found * 1000 + F.length(text)
     return segments.groupBy(group).agg(F.max_by(F.struct(F.col(place), F.col(text), score.alias("score")), F.struct(score, F.col(place))).alias("s")).select(group, "s.*")
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("n", "line"))
+
+
+def _joined(lines: Column) -> Column:
+    """Lines (structs of ``n`` and ``line``) as one text in order, without blanks at its ends."""
+    return F.regexp_replace(F.array_join(F.transform(F.array_sort(lines), lambda x: x["line"]), "\n"), r"(?U)^\s+|\s+$", "")
+
+
+def headed_segments(docs: DataFrame, id_col: str, text_col: str, is_heading) -> DataFrame:
+    """``id``, ``segment``, ``heading`` and ``text``: what a heading begins, the heading with it; what stands before the
+    first has none. Empty segments are left out."""
+    by = Window.partitionBy("id").orderBy("n")
+    marked = _lines(docs, id_col, text_col).withColumn("head", is_heading(F.col("line")))
+    numbered = marked.withColumn("segment", F.sum(F.col("head").cast("int")).over(by))
+    grouped = numbered.groupBy("id", "segment").agg(F.max(F.when(F.col("head"), F.regexp_replace("line", r"(?U)^\s+|\s+$", ""))).alias("heading"), _joined(F.collect_list(F.struct("n", "line"))).alias("text"))
+    return grouped.filter("text <> ''")
+
+
+def before_and_after(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Texts with both headings, cut into rows: ``row`` 0 has the ``preamble``, each other what stands below one
+    ``改正後`` (``after``) and below the ``改正前`` that follows it (``before``)."""
+    bare = F.regexp_replace("line", r"(?U)^\s+|\s+$", "")
+    lines = _lines(docs, id_col, text_col).withColumns({"new": bare == "改正後", "old": bare == "改正前", "noise": bare.isin("", "（傍線部分は改正部分）")})
+    row = F.sum(F.col("new").cast("int")).over(Window.partitionBy("id").orderBy("n"))
+    olds = F.sum(F.col("old").cast("int")).over(Window.partitionBy("id", "row").orderBy("n"))
+    placed = lines.withColumn("row", row).withColumn("olds", F.when(F.col("row") > 0, olds).otherwise(0))
+    # Only the first of the old headings of a row is one; in the preamble none is.
+    kept = placed.filter(~F.col("noise") & ~F.col("new") & ~(F.col("old") & (F.col("olds") == 1) & (F.col("row") > 0)))
+    part = lambda hit: _joined(F.collect_list(F.when(hit, F.struct("n", "line"))))
+    both = placed.groupBy("id").agg(F.bool_or("new").alias("a"), F.bool_or("old").alias("b")).filter("a and b").select("id")
+    rows = kept.groupBy("id", "row").agg(part(F.col("row") == 0).alias("preamble"), part((F.col("row") > 0) & (F.col("olds") == 0)).alias("after"), part((F.col("row") > 0) & (F.col("olds") > 0)).alias("before"))
+    return rows.join(both, "id", "left_semi")

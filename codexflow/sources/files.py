@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.functions import arrow_udf
 
+from codexflow.functions.text import chamber
+
 MOST_BYTES = 50 << 20
 
 
@@ -82,7 +84,7 @@ def meeting_rows(text: DataFrame, json_col: str) -> DataFrame:
     speech = "struct<speechID:string,speechOrder:string,speaker:string,speakerGroup:string,speech:string>"
     schema = f"meetingRecord array<struct<issueID:string,meetingId:string,session:string,nameOfHouse:string,nameOfMeeting:string,date:string,speechRecord:array<{speech}>>>"
     read = text.select(F.get(F.from_json(json_col, schema)["meetingRecord"], F.lit(0)).alias("m"))
-    rows = read.select(F.coalesce("m.issueID", "m.meetingId").alias("meeting_id"), F.expr("try_cast(m.session as int)").alias("session"), F.col("m.nameOfHouse").alias("house"), F.col("m.date").alias("date"), F.explode("m.speechRecord").alias("s"))
+    rows = read.select(F.coalesce("m.issueID", "m.meetingId").alias("meeting_id"), F.expr("try_cast(m.session as int)").alias("session"), chamber(F.coalesce("m.nameOfHouse", F.lit(""))).alias("house"), F.col("m.date").alias("date"), F.explode("m.speechRecord").alias("s"))
     return rows.filter(F.length(F.coalesce("s.speechID", F.lit(""))) > 0).select(
         "meeting_id", "session", "house", "date", F.col("s.speechID").alias("speech_id"), F.expr("try_cast(s.speechOrder as int)").alias("place"), F.col("s.speaker").alias("speaker"), F.col("s.speech").alias("speech")
     )

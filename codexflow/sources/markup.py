@@ -24,7 +24,7 @@ class _Nodes(HTMLParser):
     def handle_starttag(self, tag, attrs):
         values = {k: v or "" for k, v in attrs}
         row = {"tag": tag, "parent": self.open[-1]["place"] if self.open else None, "place": len(self.rows), "id": values.get("id"), "class": values.get("class"), "href": values.get("href"), "text": []}
-        row["onclick"] = values.get("onclick")
+        row |= {"onclick": values.get("onclick"), "headers": values.get("headers")}
         self.rows.append(row)
         if tag not in VOID:
             self.open.append(row)
@@ -50,20 +50,20 @@ def parse_nodes(html: str) -> list[dict]:
 
 def html_nodes(pages: DataFrame, id_col: str, html_col: str, tags: list[str] | None = None) -> DataFrame:
     """One row an element: ``id``, ``place`` (document order), ``parent``, ``tag``, ``node_id``, ``classes``,
-    ``href``, ``onclick`` and ``text`` (white space collapsed). Null pages have no elements."""
+    ``href``, ``onclick``, ``headers`` and ``text`` (white space collapsed). Null pages have no elements."""
 
     def work(batches):
-        fields = ["place", "parent", "tag", "id", "class", "href", "onclick", "text"]
-        kinds = [pa.int32(), pa.int32()] + [pa.string()] * 6
+        fields = ["place", "parent", "tag", "id", "class", "href", "onclick", "headers", "text"]
+        kinds = [pa.int32(), pa.int32()] + [pa.string()] * 7
         for batch in batches:
             for i in range(batch.num_rows):
                 nodes = [n for n in parse_nodes(batch.column(1)[i].as_py() or "") if tags is None or n["tag"] in tags]
                 columns = [pa.array([batch.column(0)[i].as_py()] * len(nodes), batch.schema.field(0).type)]
                 columns += [pa.array([n[f] for n in nodes], k) for f, k in zip(fields, kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "place", "parent", "tag", "node_id", "classes", "href", "onclick", "text"])
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "place", "parent", "tag", "node_id", "classes", "href", "onclick", "headers", "text"])
 
     kind = pages.schema[id_col].dataType.simpleString()
-    return pages.select(id_col, html_col).mapInArrow(work, f"id {kind}, place int, parent int, tag string, node_id string, classes string, href string, onclick string, text string")
+    return pages.select(id_col, html_col).mapInArrow(work, f"id {kind}, place int, parent int, tag string, node_id string, classes string, href string, onclick string, headers string, text string")
 
 
 def links(nodes: DataFrame) -> DataFrame:
