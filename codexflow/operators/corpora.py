@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codexflow.functions.dates import is_iso
+from codexflow.operators.index import appended_forms
+from codexflow.operators.publish import newest_dates
 
 #: How changes are named in a feed.
 CHANGES = {"added": "新規", "amended": "改正", "repealed": "廃止"}
@@ -15,11 +17,19 @@ def _text(*cols: str) -> list[Column]:
     return [F.nullif(F.col(c), F.lit("")) for c in cols]
 
 
-def law_rows(laws: DataFrame) -> DataFrame:
-    """One row an article: ``heading`` of title and number, ``content`` of its number, caption and paragraphs."""
+def law_rows(laws: DataFrame, thesaurus: dict[str, list[str]] | None = None) -> DataFrame:
+    """One row an article: ``heading`` of title and number, ``content`` of its number, caption and paragraphs, and
+    below these, with a thesaurus, all forms of the entries of which the content holds one. Supplementary
+    provisions have no rows."""
     article = laws.select("law_id", "title", "law_num", F.explode("articles").alias("a"))
     body = F.array_join(F.transform("a.paragraphs", lambda p: F.coalesce(p.text, F.lit(""))), "\n")
-    return article.select("law_id", "a.article_id", F.concat_ws(" ", "title", "law_num").alias("heading"), F.concat_ws(" ", "a.article_no", "a.caption", body).alias("content"))
+    rows = article.select("law_id", "a.article_id", F.concat_ws(" ", "title", "law_num").alias("heading"), F.concat_ws(" ", "a.article_no", "a.caption", body).alias("content"))
+    if not thesaurus:
+        return rows
+    forms = appended_forms(rows.withColumn("key", F.struct("law_id", "article_id")), "key", "content", thesaurus)
+    said = forms.select("id.law_id", "id.article_id", F.concat(F.lit("\n"), F.array_join("forms", " ")).alias("forms"))
+    joined = rows.join(said, ["law_id", "article_id"], "left")
+    return joined.select("law_id", "article_id", "heading", F.concat("content", F.coalesce("forms", F.lit(""))).alias("content"))
 
 
 def speech_rows(speeches: DataFrame, meetings: DataFrame) -> DataFrame:
@@ -46,12 +56,13 @@ def _feed(kind: str, date: Column, title: Column, link: Column, summary: Column)
     return [F.lit(kind).alias("kind"), date.alias("date"), title.alias("title"), link.alias("link"), summary.alias("summary")]
 
 
-def law_feed(updates: DataFrame) -> DataFrame:
-    """Feed rows of dated updates that name a law; changes that have no name pass through."""
+def law_feed(updates: DataFrame, days: int = 14) -> DataFrame:
+    """Feed rows of the newest dates' updates that name a law; changes that have no name pass through."""
     named = F.col("change_type")
     for change, name in CHANGES.items():
         named = F.when(F.col("change_type") == change, name).otherwise(named)
-    kept = updates.filter(is_iso(F.col("date")) & (F.coalesce("law_id", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != ""))
+    dated = newest_dates(updates.filter(is_iso(F.col("date"))), "date", days)
+    kept = dated.filter(is_iso(F.col("date")) & (F.coalesce("law_id", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != ""))
     return kept.select(*_feed("law", F.col("date"), F.col("title"), F.concat(F.lit("/laws/"), "law_id"), named))
 
 
@@ -64,9 +75,9 @@ def comment_feed(cases: DataFrame) -> DataFrame:
     return rows.select(*_feed("pubcomment", date, F.col("title"), F.concat(F.lit("/pubcomment/"), "case_id"), F.nullif(summary, F.lit("")))).filter(F.coalesce("date", F.lit("")) != "")
 
 
-def gazette_feed(items: DataFrame) -> DataFrame:
-    """Items with an amendment text."""
-    return items.filter(F.coalesce("amend_text", F.lit("")) != "").select(*_feed("gazette", F.col("date"), F.col("title"), F.col("pdf_url"), F.left("amend_text", F.lit(80))))
+def gazette_feed(items: DataFrame, days: int = 30) -> DataFrame:
+    """Items of the newest days that have an amendment text."""
+    return newest_dates(items, "date", days).filter(F.coalesce("amend_text", F.lit("")) != "").select(*_feed("gazette", F.col("date"), F.col("title"), F.col("pdf_url"), F.left("amend_text", F.lit(80))))
 
 
 def bill_feed(bills: DataFrame) -> DataFrame:

@@ -246,3 +246,50 @@ def assign_spans(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]
         if all(span[1] <= t[0] or span[0] >= t[1] for t in taken):
             taken.append(span)
     return sorted(taken)
+
+
+def linked_spans(hits: DataFrame, id_col: str = "id") -> DataFrame:
+    """``spans`` array<struct<begin, stop, pattern>> of each text: its hits (``begin``, ``stop``, ``pattern``), longer
+    ones first, those that overlap one already taken left out, in the order of the text."""
+
+    def work(batches):
+        kind = pa.list_(pa.struct([("begin", pa.int32()), ("stop", pa.int32()), ("pattern", pa.string())]))
+        for batch in batches:
+            spans = [assign_spans([(h["begin"], h["stop"], h["pattern"]) for h in hits]) for hits in batch.column(1).to_pylist()]
+            rows = [[{"begin": a, "stop": b, "pattern": p} for a, b, p in own] for own in spans]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], names=[id_col, "spans"])
+
+    listed = hits.groupBy(id_col).agg(F.collect_set(F.struct("begin", "stop", "pattern")).alias("hits"))
+    return listed.mapInArrow(work, f"`{id_col}` {hits.schema[id_col].dataType.simpleString()}, spans array<struct<begin:int,stop:int,pattern:string>>")
+
+
+#: Pairs of characters up to which a page compares texts character by character.
+MOST_CELLS = 250_000
+
+
+def compared_texts(pairs: DataFrame, id_col: str, before: str, after: str) -> DataFrame:
+    """``ops`` of each pair as the compare page shows them: along a longest common subsequence of characters, deletions
+    first; beyond ``MOST_CELLS`` pairs of characters the common beginning and end and what lies between (the
+    page's own rule, by which equal stretches in the middle aren't told apart)."""
+
+    def work(batches):
+        kind = pa.list_(pa.struct([("op", pa.string()), ("text", pa.string())]))
+        for batch in batches:
+            out = []
+            for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                a, b = a or "", b or ""
+                if len(a) * len(b) <= MOST_CELLS:
+                    steps = [("equal", a[i]) if j is not None and i is not None else ("delete", a[i]) if j is None else ("insert", b[j]) for i, j in common_subsequence(list(a), list(b))]
+                else:
+                    head = 0
+                    while head < min(len(a), len(b)) and a[head] == b[head]:
+                        head += 1
+                    tail = 0
+                    while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
+                        tail += 1
+                    parts = [("equal", a[:head]), ("delete", a[head : len(a) - tail]), ("insert", b[head : len(b) - tail]), ("equal", a[len(a) - tail :])]
+                    steps = [(op, text) for op, text in parts if text]
+                out.append([{"op": op, "text": text} for op, text in joined(steps)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], names=[id_col, "ops"])
+
+    return pairs.select(id_col, before, after).mapInArrow(work, f"`{id_col}` {pairs.schema[id_col].dataType.simpleString()}, ops array<struct<op:string,text:string>>")

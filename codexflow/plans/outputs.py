@@ -17,7 +17,7 @@ from codexflow.sources.workspace import workspace
 def documents_written(t: Tables) -> DataFrame:
     rows, path = t.customer.select("c_custkey", "c_name", "c_mktsegment"), workspace(t.spark, "documents")
     outputs.write_documents(rows, "c_custkey", path)
-    return t.spark.read.schema(rows.schema).json(path)
+    return t.spark.read.schema(rows.schema).json(path).drop("bucket")
 
 
 @query("select c_custkey, c_name from customer where c_custkey = 42")

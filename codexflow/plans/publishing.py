@@ -149,9 +149,11 @@ def min_crossing_cut(t: Tables) -> DataFrame:
     return found.select("o_custkey", "cut", F.col("crossings").cast("long").alias("crossings"))
 
 
-@query("select l_orderkey, arg_max(l_linenumber, struct_pack(s := l_quantity, n := l_linenumber))::bigint as best from lineitem group by l_orderkey")
+@query("""select conv_id, arg_max(turn, struct_pack(s := score, n := turn)) as turn, max(score) as score from
+(select *, (contains(text, 'and')::int + contains(text, 'tion')::int) * 1000 + length(text) as score from conversations where text is not null) group by conv_id""")
 def argmax_priority(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_orderkey").agg(F.max_by("l_linenumber", F.struct("l_quantity", "l_linenumber")).cast("long").alias("best"))
+    found = segments.best_segment(t.conversations.filter("text is not null"), "conv_id", "text", "turn", ["and", "tion"])
+    return found.select("conv_id", "turn", F.col("score").cast("long").alias("score"))
 
 
 @query("select o_orderkey, strftime(greatest(o_orderdate, ship), '%Y-%m-%d') as date, case when o_orderdate >= ship or ship is null then 'ordered' else 'shipped' end as label from orders left join (select l_orderkey, max(l_shipdate) as ship from lineitem group by 1) on l_orderkey = o_orderkey")

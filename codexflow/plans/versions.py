@@ -100,9 +100,12 @@ def positional_diff(t: Tables) -> DataFrame:
 
 def _pairs(t: Tables) -> DataFrame:
     """Documents of one beginning: each with the one of the next smaller id."""
-    held = t.documents.filter("text is not null").select("doc_id", "text", F.xxhash64(F.left("text", F.lit(40))).alias("head"))
-    found = versions.neighbours(held, "head", [F.col("doc_id")], ["doc_id", "text"])
-    return found.filter("prev_doc_id is not null").select("doc_id", "prev_text", "text")
+    texts = t.documents.filter("text is not null").select("doc_id", "text")
+    # The neighbours are found by ids alone; texts are joined to the pairs.
+    ids = texts.select("doc_id", F.xxhash64(F.left("text", F.lit(40))).alias("head"))
+    pairs = versions.neighbours(ids, "head", [F.col("doc_id")], ["doc_id"]).filter("prev_doc_id is not null").select("doc_id", "prev_doc_id")
+    before = texts.select(F.col("doc_id").alias("prev_doc_id"), F.col("text").alias("prev_text"))
+    return pairs.join(before, "prev_doc_id").join(texts, "doc_id").select("doc_id", "prev_text", "text")
 
 
 @query()
@@ -112,8 +115,8 @@ def text_diff_chars(t: Tables) -> DataFrame:
 
 @query("""with p as (select doc_id, lag(text) over (partition by substr(text, 1, 40) order by doc_id) as a, text as b from documents where text is not null),
 q as (select doc_id, a, b, least(length(a), length(b)) as short from p where a is not null),
-r as (select *, (select coalesce(max(i), 0) from range(1, 40000) t(i) where i <= short and left(a, i) = left(b, i)) as prefix from q),
-s as (select *, least((select coalesce(max(i), 0) from range(1, 40000) t(i) where i <= short and right(a, i) = right(b, i)), short - prefix) as suffix from r)
+r as (select *, (select coalesce(max(i), 0) from range(1, (select max(length(text)) + 1 from documents)) t(i) where i <= short and left(a, i) = left(b, i)) as prefix from q),
+s as (select *, least((select coalesce(max(i), 0) from range(1, (select max(length(text)) + 1 from documents)) t(i) where i <= short and right(a, i) = right(b, i)), short - prefix) as suffix from r)
 select doc_id, prefix::bigint as prefix, suffix::bigint as suffix, substr(a, (prefix + 1)::bigint, (length(a) - prefix - suffix)::bigint) as removed, substr(b, (prefix + 1)::bigint, (length(b) - prefix - suffix)::bigint) as added from s""")
 def coarse_diff(t: Tables) -> DataFrame:
     found = _pairs(t).select("doc_id", textdiff.coarse_diff(F.col("prev_text"), F.col("text")).alias("d"))
