@@ -91,7 +91,7 @@ def gazette_amendments(t: Tables) -> DataFrame:
 
 @query("""with e as (select p_partkey as event, p_size || p_type as date, p_name as core from part where p_partkey % 2 = 0),
 i as (select p_size || p_type as date, p_name as core from part where p_partkey % 2 = 1)
-select event, case when max((e.core = i.core)::int) = 1 then true end as linked from e left join i using (date) group by event""")
+select event, case when max((e.core = i.core or (least(length(e.core), length(i.core)) >= 4 and (contains(e.core, i.core) or contains(i.core, e.core))))::int) = 1 then true end as linked from e left join i using (date) group by event""")
 def gazette_linked_events(t: Tables) -> DataFrame:
     day = F.concat(F.col("p_size").cast("string"), F.col("p_type"))
     events = t.part.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("event"), day.alias("date"), F.col("p_name").alias("title"))

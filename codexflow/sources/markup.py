@@ -11,6 +11,8 @@ from pyspark.sql.window import Window
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 HIDDEN = {"script", "style", "noscript", "template"}
+#: Characters of pages whose elements make up one batch.
+BATCH_CHARACTERS = 2 << 20
 
 
 class _Nodes(HTMLParser):
@@ -55,12 +57,21 @@ def html_nodes(pages: DataFrame, id_col: str, html_col: str, tags: list[str] | N
     def work(batches):
         fields = ["place", "parent", "tag", "id", "class", "href", "onclick", "headers", "text"]
         kinds = [pa.int32(), pa.int32()] + [pa.string()] * 7
+        def held(ids, nodes, id_kind):
+            columns = [pa.array(ids, id_kind)] + [pa.array([n[f] for n in nodes], k) for f, k in zip(fields, kinds)]
+            return pa.RecordBatch.from_arrays(columns, names=["id", "place", "parent", "tag", "node_id", "classes", "href", "onclick", "headers", "text"])
+
         for batch in batches:
-            for i in range(batch.num_rows):
-                nodes = [n for n in parse_nodes(batch.column(1)[i].as_py() or "") if tags is None or n["tag"] in tags]
-                columns = [pa.array([batch.column(0)[i].as_py()] * len(nodes), batch.schema.field(0).type)]
-                columns += [pa.array([n[f] for n in nodes], k) for f, k in zip(fields, kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "place", "parent", "tag", "node_id", "classes", "href", "onclick", "headers", "text"])
+            ids, nodes, size = [], [], 0
+            for key, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = [n for n in parse_nodes(html or "") if tags is None or n["tag"] in tags]
+                ids += [key] * len(own)
+                nodes += own
+                size += len(html or "")
+                if size > BATCH_CHARACTERS:
+                    yield held(ids, nodes, batch.schema.field(0).type)
+                    ids, nodes, size = [], [], 0
+            yield held(ids, nodes, batch.schema.field(0).type)
 
     kind = pages.schema[id_col].dataType.simpleString()
     return pages.select(id_col, html_col).mapInArrow(work, f"id {kind}, place int, parent int, tag string, node_id string, classes string, href string, onclick string, headers string, text string")
