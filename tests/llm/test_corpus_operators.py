@@ -426,3 +426,36 @@ def test_matching_statistics():
             assert size[0] == min(longest, length)
             at = int(place[0])
             assert (index.text[at : at + size[0]] - 1).tolist() == list(pattern[i : i + size[0]])
+
+
+def chunks_one_by_one(text):
+    """Begins of a text's chunks, byte by byte from the definition."""
+    boundary = lambda at: at == len(text) or text[at] & 0xC0 != 0x80
+    low = lambda at: sum(int(cdc._GEAR[text[at - 1 - back]]) << back for back in range(16)) % 65536 < 65536 // cdc.SPREAD
+    found = [at for at in range(cdc.LEAST, len(text) - cdc.LEAST + 1) if boundary(at) and low(at)]
+    cuts = [0] + [at for before, at in zip([0, *found], found) if at - before >= cdc.LEAST]
+    for begin, stop in zip(list(cuts), [*cuts[1:], len(text)]):
+        for at in range(begin + cdc.MOST, stop, cdc.MOST):
+            cuts.append(next(x for x in range(at, len(text) + 1) if boundary(x)))
+    return sorted({at for at in cuts if at < len(text)})
+
+
+def test_chunk_dedup_by_brute_force(docs, rows):
+    texts = {(i, (t or "").encode()) for i, t in rows}
+    pieces = {k: [k[1][a:b] for a, b in zip(cuts, [*cuts[1:], len(k[1])])] for k in texts if k[0] is not None and len(k[1]) >= cdc.RUN for cuts in [chunks_one_by_one(k[1])]}
+    least = {}
+    for (i, _), parts in pieces.items():
+        for part in parts:
+            least[part] = min(i, least.get(part, i))
+    wanted = []
+    for i, t in rows:
+        data, kept, run, spans = (t or "").encode(), b"", b"", 0
+        for part in [*pieces.get((i, data), [data]), None]:
+            if part is not None and (i, data) in pieces and least[part] < i:
+                run += part
+                continue
+            spans, kept, run = (spans + 1, kept, b"") if len(run) >= cdc.RUN else (spans, kept + run, b"")
+            kept += part or b""
+        wanted.append((i, len(data), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+    assert sum(r[2] > 0 for r in wanted) >= 3
+    same(cdc.removal_report(docs), wanted)
