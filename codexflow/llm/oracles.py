@@ -47,4 +47,42 @@ kept as (select doc_id, string_agg(substr(x, (2 * b + 1)::bigint, (2 * (e - b)):
 select doc_id, (length(x) // 2)::bigint as n_bytes, coalesce(r, 0)::bigint as n_removed, coalesce(c, 0)::bigint as n_spans, sha256(unhex(k)) as kept_sha256
 from d join kept using (doc_id) left join (select doc_id, sum(e - b) as r, count(*) as c from spans group by doc_id) using (doc_id)"""
 
-ORACLE_SQL = {"op6_decontamination": OP6, "op9_warc": OP9, "op10_rindex": OP10}
+OP12 = """
+with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size,
+('0x' || substr(md5('mix|' || coalesce(doc_id::varchar, '') || '|' || coalesce(text, '')), 1, 13))::bigint / 4503599627370496.0::double as draw from documents),
+s as (select source, sum(size)::bigint as own, [5, 2, 1][(row_number() over (order by encode(source) nulls last) - 1) % 3 + 1]::bigint as weight from d group by source),
+f as (select *, coalesce(sum(2 * own) over v, 0) as caps, sum(weight) over () - coalesce(sum(weight) over v, 0) as open, sum(own) over () as words from s
+window v as (order by 2 * own / weight, encode(source) nulls last rows between unbounded preceding and 1 preceding)),
+l as (select max_by({'rest': (words * 1.5 - caps)::double, 'open': open::double}, (words * 1.5 - caps)::double / open::double) as level from f),
+t as (select source, own, least((2 * own)::double, level['rest'] * weight / level['open']) as target from s, l),
+r as (select doc_id, size, own as source_size, target, draw, case when own > 0 then target / own else 0.0 end as rate from d join t on d.source is not distinct from t.source)
+select doc_id, size, source_size, target, (size * (floor(rate) + (draw < rate - floor(rate))::int))::bigint as taken from r"""
+
+
+def _codes(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
+    """Product codes, a round a pair of tables: nearest entries, then their parts' means."""
+    near = "select a.vec_id, a.part, any_value(a.v) as v, min({far} * 256 + entry) as best from p a join c{r} b using (part) group by a.vec_id, a.part"
+    far = "list_sum(list_transform(list_zip(a.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2])))::hugeint"
+    steps = [
+        """k as materialized (select vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as v from embeddings
+where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+        f"w as materialized (select max(len(v)) // {parts} as width from k)",
+        f"p as materialized (select vec_id, label, part, v[part * width + 1:(part + 1) * width] as v from k, w, range({parts}) r(part))",
+        f"c0 as materialized (select part, rank as entry, v from p join (select vec_id, row_number() over (order by vec_id) - 1 as rank from k qualify rank < {entries}) using (vec_id))",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"a{r} as materialized ({near.format(far=far, r=r)})")
+        if r < rounds:
+            steps.append(
+                f"m{r} as materialized (select part, entry, list(mean order by place) as v from (select part, (best % 256)::bigint as entry, place, floor(sum(x)::double / count(*))::bigint as mean "
+                f"from (select part, best, unnest(v) as x, generate_subscripts(v, 1) as place from a{r}) group by all) group by part, entry)"
+            )
+            steps.append(f"c{r + 1} as materialized (select part, entry, coalesce(m{r}.v, c{r}.v) as v from c{r} left join m{r} using (part, entry))")
+    steps.append(f"e as (select vec_id, string_agg(lower(lpad(to_hex((best % 256)::bigint), 2, '0')), '' order by part) as code, sum(best // 256)::bigint as error from a{rounds} group by vec_id)")
+    steps.append(f"b as (select sha256(string_agg(array_to_string(v, ','), ',' order by part, entry)) as codebooks_sha256 from c{rounds})")
+    return f"with {', '.join(steps)} select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from e join k using (vec_id), b"
+
+
+OP13 = _codes()
+
+ORACLE_SQL = {"op6_decontamination": OP6, "op9_warc": OP9, "op10_rindex": OP10, "op12_mixing": OP12, "op13_codes": OP13}

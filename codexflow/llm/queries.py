@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexflow.llm import bpe, cdc, decontam, langid, media, orc_tokens, rindex, simhash, toxicity, warc
+from codexflow.llm import bpe, cdc, decontam, langid, media, mixing, orc_tokens, product_codes, rindex, simhash, toxicity, turns, warc
 from codexflow.llm.oracles import ORACLE_SQL  # noqa: F401  (registered beside the queries)
 
 
@@ -76,6 +76,23 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation once its rows are damaged."""
+    return turns.repair(turns.damage(_table(spark, sf_dir, "conversations")), times_col="times")
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    plan = mixing.plan_mix(_table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every embedding."""
+    coded = product_codes.quantise(_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_media": op2_media,
@@ -87,4 +104,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
     "op10_rindex": op10_rindex,
+    "op11_repair": op11_repair,
+    "op12_mixing": op12_mixing,
+    "op13_codes": op13_codes,
 }
