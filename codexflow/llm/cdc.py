@@ -7,9 +7,9 @@ at fixed lengths, and no character is cut in two. Every chunk is keyed by a 128-
 repeats if a document of a smaller id has one of the same digest; runs of such chunks of
 ``RUN`` bytes and more are removed, so a passage stays in the document of the smallest id alone.
 
-The smallest id of each digest is found by an aggregation, which combines before it shuffles; the
-join that brings it back to the chunks has one row for a digest on that side, so a digest that much
-of the corpus shares is dealt out by Spark's skew handling. Nothing pairs documents with each other.
+The smallest id of each digest is found by an aggregation, which combines before it shuffles. Those of digests that
+repeat are stored, and the join that brings them back to the chunks has one row for a digest on that side, so
+Spark's skew handling splits the chunks of a digest that much of the corpus shares. Nothing pairs documents with each other.
 
 Defined results: null texts stay null and count as empty; documents of a null id keep their text and
 take none from others; rows that repeat an id belong to one document and don't repeat each other;
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexflow.llm.common import free_name, runs, text_bytes
+from codexflow.llm.common import free_name, runs, stored, text_bytes
 
 LEAST, SPREAD, MOST = 16, 16, 128
 #: Bytes of a run of repeated chunks from which on it is removed.
@@ -96,6 +96,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``id``, ``text_key`` and ``spans`` (begin, stop in bytes, sorted): the runs to remove, of texts that have one."""
     pieces = chunk_documents(docs, id_col, text_col)
     known = pieces.groupBy("d1", "d2").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").drop("most")
+    known = stored(known, "repeated")
     again = pieces.join(known, ["d1", "d2"]).filter("id > least")
     listed = again.groupBy("id", "text_key").agg(F.array_sort(F.collect_set(F.struct("begin", (F.col("begin") + F.col("size")).alias("stop")))).alias("parts"))
     empty = F.array().cast("array<struct<begin:int,stop:int>>")

@@ -5,7 +5,8 @@ become a table keyed by a 64-bit hash, which is broadcast after its size has bee
 document is scanned once: its words give one hash for every window position, the positions probe the
 broadcast hash table, and the few that meet a key are verified word by word. Per document one row
 without a window passes the filter too, so the word count needs no second scan and only rows of
-hits, not words, are shuffled.
+hits, not words, are shuffled. A larger table of windows is stored and joined by a shuffle of the positions' hashes
+alone, a few bytes a word; what meets a key goes back to its document, where the words are compared.
 
 Defined results: a null or empty text has no words and no hit; items without words give no window;
 an empty benchmark or an empty document table gives no hit or no row; equal items all count, by
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codexflow.llm.common import ascii_lower, free_name
+from codexflow.llm.common import ascii_lower, free_name, stored
 
 #: What counts as a word once A-Z are in lower case, and the same before that.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -58,18 +59,13 @@ def find_hits(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str =
     windows = item_windows(items, width, item_col, item_text_col)
     sizes = windows.groupBy(F.size("window").alias("n")).count().collect()  # width rows at most
     lengths = sorted(r["n"] for r in sizes)
-    if sum(r["count"] for r in sizes) <= BROADCAST_WINDOWS:
-        windows = F.broadcast(windows)
+    if sum(r["count"] for r in sizes) > BROADCAST_WINDOWS:
+        return _hits_by_shuffle(docs, stored(windows, "windows"), lengths, id_col, text_col)
+    windows = F.broadcast(windows)
     cut = docs.select(F.monotonically_increasing_id().alias("row_"), F.col(id_col).alias("id_"), words(F.col(text_col)).alias("w"))
     cut = cut.withColumn("n_words", F.size("w"))
-    hashes = [_window_hashes(n) for n in lengths]
-    probes = F.concat(*hashes) if hashes else F.array().cast("array<bigint>")
-    probed = cut.select("row_", "id_", "n_words", "w", F.posexplode_outer(probes).alias("place", "key"))
-    # The places of one length follow those of the shorter ones.
-    start, before = F.col("place"), F.lit(0)
-    for n in lengths[:-1]:
-        before = before + F.greatest(F.col("n_words") - n + 1, F.lit(0))
-        start = F.when(F.col("place") >= before, F.col("place") - before).otherwise(start)
+    probed = cut.select("row_", "id_", "n_words", "w", F.posexplode_outer(_probes(lengths)).alias("place", "key"))
+    start = _start(lengths)
     joined = probed.join(windows, "key", "left").filter(F.col("window").isNotNull() | F.coalesce(F.col("place") == 0, F.lit(True)))
     placed = joined.withColumn("start", start).withColumn("n", F.size("window"))
     hit = F.coalesce(F.slice("w", F.col("start") + 1, F.greatest(F.col("n"), F.lit(0))) == F.col("window"), F.lit(False))
@@ -79,6 +75,25 @@ def find_hits(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str =
         F.when(hit, F.col("item_ids")).alias("item_ids"),
     )
     found = rows.groupBy("row_", "id_", "n_words").agg(F.array_sort(F.collect_list("span")).alias("spans"), F.collect_set("item_ids").alias("sets"))
+    return _report(found, id_col)
+
+
+def _probes(lengths: list[int]) -> Column:
+    """Hashes of all windows of ``w``, those of one length after those of the shorter ones."""
+    hashes = [_window_hashes(n) for n in lengths]
+    return F.concat(*hashes) if hashes else F.array().cast("array<bigint>")
+
+
+def _start(lengths: list[int]) -> Column:
+    """The word at which the window of ``place`` among ``_probes`` begins."""
+    start, before = F.col("place"), F.lit(0)
+    for n in lengths[:-1]:
+        before = before + F.greatest(F.col("n_words") - n + 1, F.lit(0))
+        start = F.when(F.col("place") >= before, F.col("place") - before).otherwise(start)
+    return start
+
+
+def _report(found: DataFrame, id_col: str) -> DataFrame:
     covered = F.aggregate(
         "spans",
         F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
@@ -91,6 +106,26 @@ def find_hits(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str =
     )
 
 
+def _hits_by_shuffle(docs: DataFrame, windows: DataFrame, lengths: list[int], id_col: str, text_col: str) -> DataFrame:
+    """As ``find_hits``, for windows that aren't broadcast. A document is named by its id and the hash of its text,
+    so rows that repeat both share their hits."""
+    named = docs.select(F.col(id_col).alias("id_"), F.coalesce(F.col(text_col), F.lit("")).alias("text_"))
+    named = named.withColumn("hash_", F.xxhash64("text_"))
+    cut = named.select("id_", "hash_", words(F.col("text_")).alias("w")).withColumn("n_words", F.size("w"))
+    probed = cut.select("id_", "hash_", "n_words", F.posexplode(_probes(lengths)).alias("place", "key"))
+    met = probed.select("id_", "hash_", _start(lengths).alias("start"), "key").join(windows, "key")
+    met = met.groupBy(F.col("id_").alias("of"), F.col("hash_").alias("of_hash")).agg(F.collect_set(F.struct("start", "window", "item_ids")).alias("met"))
+    back = named.join(met, F.col("id_").eqNullSafe(F.col("of")) & (F.col("hash_") == F.col("of_hash")), "left")
+    back = back.select("id_", words(F.col("text_")).alias("w"), "met").withColumn("n_words", F.size("w"))
+    hits = F.filter(F.coalesce("met", F.array().cast(back.schema["met"].dataType)), lambda m: F.slice("w", m.start + 1, F.size(m.window)) == m.window)
+    found = back.select("id_", "n_words", hits.alias("hits")).select(
+        "id_", "n_words",
+        F.array_sort(F.transform("hits", lambda m: F.struct(m.start.alias("start"), (m.start + F.size(m.window)).alias("stop")))).alias("spans"),
+        F.transform("hits", lambda m: m.item_ids).alias("sets"),
+    )
+    return _report(found, id_col)
+
+
 def drop_documents(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a window; all their columns stay."""
     hits = find_hits(docs, items, width, id_col, text_col).filter("n_hit > 0")

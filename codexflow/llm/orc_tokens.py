@@ -168,7 +168,7 @@ class ChunkEncoder:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write ``doc_id``, ``place`` (row number in its file) and ``ids`` below ``path``."""
+    """Write ``doc_id``, ``place`` (row number among those of its task) and ``ids`` below ``path``."""
 
     def work(batches):
         coder = worker_state(f"orc:{tokenizer_file}", lambda: ChunkEncoder(tokenizer_file))
@@ -213,12 +213,12 @@ def token_index(tokens: DataFrame) -> DataFrame:
     rows = tokens.select("doc_id", "place", "file", "ids").mapInArrow(work, f"doc_id {kind}, place long, file string, n_tokens long, ids_crc32 long")
     rows = stored(rows, "token-index")  # a few numbers a document, so the files are read once
     inside = rows.withColumn("before", F.expr("sum(n_tokens) over (partition by file order by place) - n_tokens"))
-    # One row a file. Files are numbered in the order of their ids; sums run inside groups of files, and
-    # over groups, of which there is one for FILE_GROUP files.
+    # One row a file. Files are numbered in the order of their ids, and those of one task, if it writes several, by
+    # their first places; sums run inside groups of files, and over groups, of which there is one for FILE_GROUP tasks.
     number = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).withColumn("number", number).withColumn("group", F.expr(f"number div {FILE_GROUP}"))
+    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"), F.min("place").alias("first")).withColumn("number", number).withColumn("group", F.expr(f"number div {FILE_GROUP}"))
     groups = files.groupBy("group").agg(F.sum("n").alias("all")).select("group", F.expr("sum(all) over (order by group) - all").alias("earlier"))
-    files = files.join(groups, "group").select("file", F.expr("earlier + sum(n) over (partition by group order by number) - n").alias("base"))
+    files = files.join(groups, "group").select("file", F.expr("earlier + sum(n) over (partition by group order by number, first rows unbounded preceding) - n").alias("base"))
     return inside.join(files, "file").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 

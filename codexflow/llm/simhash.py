@@ -178,6 +178,7 @@ def near_links(codes: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` that join all fingerprints (distinct, column ``code``) within three bits."""
     keyed = codes.select("code", F.explode(_shards(F.col("code"))).alias("shard"))
     parts = keyed.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1").select("shard", F.ceil(F.col("n") / SHARD).cast("int").alias("parts"))
+    parts = stored(parts, "parts")  # so that a crowded key can be split before it is dealt out
     placed = keyed.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("code", "shard"), F.col("parts")).cast("int"))
     blocks = placed.select("shard", "code", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     blocks = blocks.select("shard", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "code")

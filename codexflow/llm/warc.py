@@ -61,7 +61,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload
     page = pages.select(F.col(id_col).alias("id"), url.alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     page = page.withColumn("size", F.octet_length("payload")).withColumn("digest", sha1_base32(F.col("payload").cast("binary")))
     many = page.filter(F.col("size") >= min_revisit_bytes).groupBy("digest", "size").agg(F.max("id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    many = many.select("digest", "size", "first")
+    many = stored(many.select("digest", "size", "first"), "repeated")  # so that the pages of a hot payload can be split
     page = page.join(many, ["digest", "size"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size").cast("string"), F.lit("\r\n\r\n"))

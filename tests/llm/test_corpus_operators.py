@@ -130,7 +130,9 @@ def test_peaks_of_a_tone():
 ITEMS = [(1, "Foo, BAR"), (2, ""), (3, None), (4, "foo bar"), (5, "the of")]
 
 
-def test_decontamination(spark, docs, rows, nothing):
+@pytest.mark.parametrize("broadcast", [300_000, 0])
+def test_decontamination(spark, docs, rows, nothing, monkeypatch, broadcast):
+    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", broadcast)
     passage = next(t for i, t in rows if i == 65)
     items = spark.createDataFrame([*ITEMS, (6, passage), (7, passage)], "item_id long, text string")
     pattern = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -160,12 +162,59 @@ def test_decontamination(spark, docs, rows, nothing):
     assert decontam.find_hits(docs, items.limit(0)).filter("n_hit > 0").count() == 0
 
 
-def test_decontamination_runs_no_python(spark, docs):
+@pytest.mark.parametrize("broadcast", [300_000, 0])
+def test_decontamination_runs_no_python(spark, docs, monkeypatch, broadcast):
+    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", broadcast)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     plan = decontam.find_hits(docs, items)._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def shuffled(spark, df):
+    """Bytes that the stages of a run of ``df`` write for shuffles."""
+    context, gateway = spark.sparkContext._jsc.sc(), spark.sparkContext._gateway
+
+    def written():
+        context.listenerBus().waitUntilEmpty()
+        stages = context.statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = written()
+    df.write.format("noop").mode("overwrite").save()
+    return written() - before
+
+
+def test_decontamination_shuffles_in_proportion_to_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 1)
+    items = spark.createDataFrame([(i, " ".join(f"v{i}x{k}" for k in range(12))) for i in range(5)], "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = lambda n: F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.hex(F.xxhash64(i, "id"))), " ")
+    short, long = (shuffled(spark, decontam.find_hits(spark.range(40).select(F.col("id").alias("doc_id"), text(n).alias("text")), items)) for n in (1000, 10_000))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert short < long < 15 * short
+
+
+def test_a_hot_chunk_is_split(spark):
+    """Most chunks have one digest: the final plan splits its rows."""
+    passage = F.lit("".join(f"line {k} of a passage that all documents share. " for k in range(40)))
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("x" * 3000), F.hex(F.xxhash64("id")), passage).alias("text")).repartition(8)
+    hot = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "64",
+    }
+    before = {k: spark.conf.get(k) for k in hot}
+    for k, v in hot.items():
+        spark.conf.set(k, v)
+    try:
+        found = cdc.repeated_spans(docs)
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_simhash(docs, rows, nothing):
     prints = []
     for _, t in rows:
@@ -316,7 +365,7 @@ def test_warc(spark, tmp_path, compression, split):
     rng = random.Random(1)
     pages = [(i, "u", rng.choice(["x", inner * 20, "WARC/1.0\r\n", "WARC/1.", inner + "z" * 5000 + "é", None, "", "p" * 30_000])) for i in range(60)]
     path = str(tmp_path / "warc")
-    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2), path, compression=compression)
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(1 if split == 20_000 else 2), path, compression=compression)
     if compression == "none":
         placed = spark.read.option("lineSep", warc.MAGIC).text(path).select("_metadata.file_size").distinct()
         assert all(r[0] > 3 * split for r in placed.collect())  # the chain of every archive crosses splits

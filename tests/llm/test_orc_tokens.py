@@ -64,3 +64,17 @@ def test_starts_follow_file_numbers(spark, monkeypatch):
     for r in sorted(orc_tokens.token_index(tokens).collect(), key=lambda r: r["doc_id"]):
         assert r["start"] == at
         at += r["n_tokens"]
+
+
+def test_starts_when_a_task_writes_many_files(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 10)
+    try:
+        found = orc_tokens.round_trip(docs, WORDS, 2).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    at = 0
+    for r in sorted(found, key=lambda r: r["doc_id"]):
+        assert r["start"] == at
+        at += r["n_tokens"]
+    assert len(found) == docs.count()
