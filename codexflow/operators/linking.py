@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from codexflow.operators import patterns as pattern_join
+from codexflow.operators.patterns import chosen
+
 #: Patterns that one automaton takes; a larger dictionary is looked for in parts.
 MOST_PATTERNS = 500_000
 
@@ -34,23 +37,6 @@ def _finder(patterns: list[str], mode: str):
     return find
 
 
-def chosen(hits: list[tuple[int, int, str]], mode: str) -> list[tuple[int, int, str]]:
-    """Hits that don't overlap, as ``mode`` prefers them."""
-    order = (lambda h: (h[0], -h[1])) if mode == "longest" else (lambda h: (h[1], h[0]))
-    kept, at = [], 0
-    for hit in sorted(hits, key=order):
-        if hit[0] >= at:
-            kept.append(hit)
-            at = hit[1]
-    return kept
-
-
-def dictionary(rows: DataFrame, col: str, least: int) -> list[str]:
-    """Distinct patterns of a length, in order."""
-    found = rows.filter(F.length(col) >= least).select(col).distinct().toLocalIterator()
-    return sorted(r[0] for r in found)
-
-
 def _parts(patterns: list[str]) -> list[list[str]]:
     distinct = sorted(set(patterns))
     return [distinct[i : i + MOST_PATTERNS] for i in range(0, len(distinct), MOST_PATTERNS)] or [[]]
@@ -59,8 +45,8 @@ def _parts(patterns: list[str]) -> list[list[str]]:
 def find_patterns(texts: DataFrame, id_col: str, text_col: str, patterns: list[str], mode: str = "overlapping", tail: int = 0) -> DataFrame:
     """``id``, ``pattern``, ``begin`` and ``stop`` of every hit, and ``rest``, the ``tail`` characters behind it.
 
-    The patterns (a dictionary of titles, not data) go to the tasks as plain strings and the texts stream past an
-    automaton. Beyond ``MOST_PATTERNS`` each part of the dictionary has an automaton of its own, one after the
+    The patterns (a fixed list of words; a table of them is for ``patterns.find``) go to the tasks as plain strings
+    and the texts stream past an automaton. Beyond ``MOST_PATTERNS`` each part of the dictionary has an automaton of its own, one after the
     other, and hits that overlap are chosen among all parts' hits, so the rows are the same.
     """
     parts = [texts.sparkSession.sparkContext.broadcast(p) for p in _parts(patterns)]
@@ -149,7 +135,7 @@ def cross_references(texts: DataFrame, id_col: str, text_col: str, titles: DataF
     ``titles`` has ``title`` and ``target``; ``articles`` has ``target`` and ``article_no``. Titles match
     leftmost-longest; the longest article number that begins the rest wins; own titles don't count.
     """
-    hits = find_patterns(texts, id_col, text_col, dictionary(titles, "title", 2), "longest", tail)
+    hits = pattern_join.find(texts, id_col, text_col, titles, "title", 2, "longest", tail)
     rest = hits.select("id", F.col("pattern").alias("title"), "begin", "rest")
     linked = rest.join(titles, "title").filter(F.col("target") != F.col("id"))
     met = linked.join(articles, (linked["target"] == articles["target"]) & F.startswith(F.col("rest"), F.col("article_no")), "left").drop(articles["target"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexflow.operators import gazette, linking
+from codexflow.operators import gazette, linking, patterns
 from codexflow.plans.base import Tables, query
 
 #: The dictionary: opening words of benchmark items as titles, and their ids.
@@ -24,7 +24,7 @@ def _docs(t: Tables) -> DataFrame:
 
 def _hits(t: Tables) -> DataFrame:
     titles = _titles(t).filter(F.length("title") >= 4)
-    held = linking.patterns_held(_docs(t), "doc_id", "text", linking.dictionary(titles, "title", 4))
+    held = patterns.held(_docs(t), "doc_id", "text", titles, "title", 4)
     found = held.select(F.col("id").alias("doc_id"), F.inline(F.arrays_zip(F.col("patterns").alias("title"), F.col("lines").alias("mentions"))))
     return found.join(titles, "title")
 
@@ -38,7 +38,7 @@ def dictionary_link(t: Tables) -> DataFrame:
 def dictionary_link_contains(t: Tables) -> DataFrame:
     words = t.benchmark.select(F.lower(F.get(F.split("text", " "), F.lit(2))).alias("word"))
     turns = t.conversations.select(F.struct("conv_id", "turn").alias("key"), F.lower("text").alias("text"))
-    found = linking.find_patterns(turns, "key", "text", linking.dictionary(words, "word", 4)).select("id", "pattern").distinct()
+    found = patterns.find(turns, "key", "text", words, "word", 4).select("id", "pattern").distinct()
     return found.select("id.conv_id", "id.turn", F.col("pattern").alias("word"))
 
 
@@ -80,7 +80,8 @@ _WORDS = ["the", "then", "there", "here", "he", "these"]
 @query("select doc_id, len(m)::bigint as n, md5(array_to_string(m, ' ')) as matches_md5 from (select doc_id, regexp_extract_all(text, 'these|there|then|here|the|he') as m from documents where text is not null)")
 def leftmost_longest_refs(t: Tables) -> DataFrame:
     docs = t.documents.filter("text is not null").select("doc_id", "text")
-    hits = linking.find_patterns(docs, "doc_id", "text", _WORDS, "longest")
+    words = t.spark.createDataFrame([(w,) for w in _WORDS], "word string")
+    hits = patterns.find(docs, "doc_id", "text", words, "word", 2, "longest")
     listed = hits.groupBy(F.col("id").alias("doc_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("begin", "pattern"))), lambda r: r.pattern).alias("m"))
     every = docs.select("doc_id").join(listed, "doc_id", "left").withColumn("m", F.coalesce("m", F.array().cast("array<string>")))
     return every.select("doc_id", F.size("m").cast("long").alias("n"), F.md5(F.array_join("m", " ").cast("binary")).alias("matches_md5"))
