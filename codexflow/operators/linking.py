@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from codexflow.operators import patterns as pattern_join
 from codexflow.operators.patterns import chosen
+from codexflow.sources.workspace import workspace
 
 #: Patterns that one automaton takes; a larger dictionary is looked for in parts.
 MOST_PATTERNS = 500_000
@@ -170,6 +171,44 @@ def best_match(left: DataFrame, right: DataFrame, left_id: str, rules: list[tupl
     return best.filter("best.score > 0").select(left_id, "best.*")
 
 
+def best_by_keys(left: DataFrame, right: DataFrame, left_id: str, rules: list[tuple[str, str, str, float]], order: str) -> DataFrame:
+    """Best-scored partner of every left row, of all right rows: id, ``order`` of the partner, ``score``, ``reasons``.
+
+    ``rules`` are (name, left column, right column, weight); a rule is met if the left value equals the right one or, where
+    that is an array, one of its elements. Equal scores go to the partner of the least ``order``.
+
+    Nothing is paired to be scored: of the right rows that agree in a set of rules, only the first can win, so the right
+    side shrinks to one row for each set of rules and values, and a left row looks up at most one for each set: what a
+    key's rows have in common never meets row by row. A right row's own arrays are multiplied with each other.
+    """
+    sets = [[k for k in range(len(rules)) if mask >> k & 1] for mask in range(1, 1 << len(rules))]
+    for_sets = lambda keys: F.array(*[
+        F.when(_all(keys[k].isNotNull() for k in chosen_), F.struct(F.lit(m).alias("set"), F.array(*[keys[k] for k in chosen_]).alias("keys"))) for m, chosen_ in enumerate(sets)
+    ])
+    values = right.select(F.col(order).alias("order_"), *[F.col(r).alias(f"k{k}_") for k, (_, _, r, _) in enumerate(rules)])
+    for k, (_, _, r, _) in enumerate(rules):
+        if right.schema[r].dataType.typeName() == "array":
+            values = values.withColumn(f"k{k}_", F.explode_outer(F.array_distinct(f"k{k}_")))
+    values = values.select("order_", F.explode(F.array_compact(for_sets([F.col(f"k{k}_").cast("string") for k in range(len(rules))]))).alias("s"))
+    first = values.groupBy("s.set", "s.keys").agg(F.min("order_").alias("order_"))
+    path = workspace(right.sparkSession, "first")  # stored, so that Spark can split the left rows of a hot key
+    first.write.parquet(path)
+    first = right.sparkSession.read.schema(first.schema).parquet(path)
+    asked = left.select(F.col(left_id).alias("id_"), F.explode(F.array_compact(for_sets([F.col(c).cast("string") for _, c, _, _ in rules]))).alias("s")).select("id_", "s.set", "s.keys")
+    met = asked.join(first, ["set", "keys"])
+    scores = F.array(*[F.lit(round(sum(rules[k][3] for k in chosen_), 6)) for chosen_ in sets])
+    best = met.groupBy("id_").agg(F.min(F.struct((-F.element_at(scores, F.col("set") + 1)).alias("s"), "order_", "set")).alias("b"))
+    names = F.array(*[F.array(*[F.lit(rules[k][0]) for k in chosen_]) for chosen_ in sets])
+    return best.select(F.col("id_").alias(left_id), F.col("b.order_").alias(order), (-F.col("b.s")).alias("score"), F.element_at(names, F.col("b.set") + 1).alias("reasons"))
+
+
+def _all(conditions) -> Column:
+    found = F.lit(True)
+    for c in conditions:
+        found = found & c
+    return found
+
+
 def title_score(a: Column, b: Column, least: int = 4) -> Column:
     """1 for equal cores, 0.8 if one holds the other and the shorter is long enough, else 0."""
     long = F.least(F.length(a), F.length(b)) >= least

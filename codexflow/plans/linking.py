@@ -130,6 +130,24 @@ def score_match_best(t: Tables) -> DataFrame:
     return best.select("c_custkey", "s_suppkey", F.round("score", 2).alias("score"))
 
 
+@query("""with l as (select p_partkey as event, 'Brand#' || (p_size % 5 + 1) || (p_partkey % 5 + 1) as date, p_size as num, split_part(p_name, ' ', 2) as title, split_part(p_type, ' ', 1) as target from part),
+r as (select p_partkey as item, p_brand as date, [p_size + 1, p_size + 2] as nums, string_split(p_name, ' ')[1:2] as titles, p_type as named from part),
+m as (select event, item, 0.4 * (l.date = r.date)::int + 0.35 * list_contains(nums, num)::int + 0.15 * list_contains(titles, title)::int + 0.1 * contains(named, target)::int as score from l, r)
+select event, item, round(score, 2)::double as score from (select *, row_number() over (partition by event order by round(score, 2) desc, item) as n from m where score > 0) where n = 1""")
+def match_without_key(t: Tables) -> DataFrame:
+    """The best item of each event over all dates, by date, number, title and the title that an item's holds."""
+    events = t.part.select(
+        F.col("p_partkey").alias("event"), F.concat(F.lit("Brand#"), (F.col("p_size") % 5 + 1).cast("int"), (F.col("p_partkey") % 5 + 1).cast("int")).alias("date"),
+        F.col("p_size").alias("num"), F.split_part("p_name", F.lit(" "), F.lit(2)).alias("title"), F.split_part("p_type", F.lit(" "), F.lit(1)).alias("target"),
+    )
+    items = t.part.select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("date"), F.array(F.col("p_size") + 1, F.col("p_size") + 2).alias("nums"), F.slice(F.split("p_name", " "), 1, 2).alias("titles"), F.col("p_type").alias("named"))
+    # Which of the events' targets each distinct name holds; then holding is a rule like the others.
+    held = patterns.held(items.select("named").distinct(), "named", "named", events, "target", 4).select(F.col("id").alias("named"), F.col("patterns").alias("targets"))
+    items = items.join(held, "named", "left")
+    rules = [("promulgation_date", "date", "date", 0.40), ("law_num", "num", "nums", 0.35), ("title", "title", "titles", 0.15), ("target_law", "target", "targets", 0.10)]
+    return linking.best_by_keys(events, items, "event", rules, "item").select("event", "item", "score")
+
+
 @query("""with e as (select p_partkey as event, p_size || p_type as date, p_name as core from part where p_partkey % 2 = 0),
 i as (select p_partkey as item, p_size || p_type as date, case when p_partkey % 4 = 1 then split_part(p_name, ' ', 1) else p_name end as core from part where p_partkey % 2 = 1),
 m as (select event, item, case when e.core = i.core then 0.95 when contains(e.core, i.core) and length(i.core) >= 4 then 0.86 end as confidence from e join i using (date))
