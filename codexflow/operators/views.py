@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from codexflow.functions.dates import is_iso
+from codexflow.operators.ordering import total_order
 
 #: A field of a bill's page that says nothing.
 NOTHING = ["", "／"]
@@ -55,16 +56,11 @@ def linked_with_file(events: DataFrame, link: str = "kanpo") -> DataFrame:
 def placed(rows: DataFrame, lead: Column, rest: list[Column], ascending: bool = False, name: str = "place") -> DataFrame:
     """``rows`` with their places, from 1, in the order of ``lead`` and then of ``rest``; nulls of ``lead`` come last.
 
-    Values of ``lead`` (dates, sessions) are counted, and the counts of those before are added to the place
-    among equal ones, so that no task sorts everything.
+    Rows are dealt out by ranges of the whole order, so a value of ``lead`` that half of them share is split like the others,
+    as far as ``rest`` tells its rows apart.
     """
-    keyed = rows.withColumn("lead_", lead)
-    order = F.col("lead_").asc_nulls_last() if ascending else F.col("lead_").desc_nulls_last()
-    counts = keyed.groupBy("lead_").agg(F.count("*").alias("n_"))
-    before = counts.select(F.col("lead_").alias("key_"), (F.sum("n_").over(Window.orderBy(order)) - F.col("n_")).alias("before_"))
-    inside = keyed.withColumn("inside_", F.row_number().over(Window.partitionBy("lead_").orderBy(*rest)))
-    joined = inside.join(before, F.col("lead_").eqNullSafe(F.col("key_")))
-    return joined.withColumn(name, (F.col("before_") + F.col("inside_")).cast("long")).drop("lead_", "key_", "before_", "inside_")
+    order = lead.asc_nulls_last() if ascending else lead.desc_nulls_last()
+    return total_order(rows, [order, *rest], name).withColumn(name, F.col(name) + 1)
 
 
 def ranked(rows: DataFrame, group: str, order: list[Column], most: int | None = None, name: str = "place") -> DataFrame:

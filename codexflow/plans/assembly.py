@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexflow.operators import assembly
+from codexflow.operators import assembly, nested
 from codexflow.plans.base import Tables, query
 
 #: Articles of a revision: lines by their number; lines of one number count as one article.
@@ -61,6 +61,52 @@ def diff_payloads(t: Tables) -> DataFrame:
     return assembly.payloads(_changes(t)).select("law", "revision", "article", F.col("whole.side").alias("side"), F.col("whole.text").alias("whole"), F.col("ends.prefix").alias("prefix"))
 
 
+#: A line as an article of up to four paragraphs; one in twelve has a paragraph without a number.
+_NESTED = """(select o_custkey as law, o_orderkey as revision, l_linenumber as article, arg_max({'no': l_returnflag, 'caption': l_linestatus, 'ps': list_filter([
+{'no': '1', 'text': '品目' || l_suppkey % 7 || '番'}, {'no': case when l_suppkey % 12 > 0 then '2' end, 'text': '数量は' || l_quantity::int || '個とする。'}, case when l_quantity > 25 then {'no': '3', 'text': '割引' || (l_discount * 100)::int} end,
+case when l_quantity > 40 then {'no': '4', 'text': '終わり'} end], lambda x: x is not null)}, l_partkey * 1000000 + l_suppkey) as a from lineitem join orders on o_orderkey = l_orderkey group by all)"""
+_NESTED_PAIRS = f"""a as {_NESTED}, o as {ORDER}, n as (select law, revision, article, a as new from a join o using (law, revision)),
+p as (select o.law, o.revision, a.article, a.a as old from o join a on a.law = o.law and a.revision = o.prev),
+c as (select law, revision, article, old, new, case when old is null then 'added' when new is null then 'removed' else 'modified' end as change from n full join p using (law, revision, article) where new is distinct from old),
+m as (select *, len(list_filter(old.ps || new.ps, lambda x: x.no is null)) = 0 and len(old.ps) > 0 and len(new.ps) > 0 as numbered from c where change = 'modified'),
+s as (select law, revision, article, 'modified' as article_change, no, case when q is null then 'added' when p is null then 'removed' when numbered and p.text = q.text or p.text = q.text and p.no is not distinct from q.no then 'unchanged' else 'modified' end as change, q.text as before, p.text as after from
+(select law, revision, article, numbered, coalesce(p.no, case when p is null then q.no end) as no, p, q from
+(select law, revision, article, numbered, i, new.ps[i] as p, case when numbered then list_filter(old.ps, lambda x: x.no = new.ps[i].no)[1] else old.ps[i] end as q from (select *, unnest(range(1, len(new.ps) + 1)) as i from m)
+union all select law, revision, article, numbered, i, null, old.ps[i] from (select *, unnest(range(1, len(old.ps) + 1)) as i from m) where case when numbered then len(list_filter(new.ps, lambda x: x.no = old.ps[i].no)) = 0 else i > len(new.ps) end)))"""
+
+
+def _nested_pairs(t: Tables) -> DataFrame:
+    lines = t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
+    number = lambda c: F.col(c).cast("int").cast("string")
+    paragraph = lambda no, *text: F.struct(no.alias("paragraph_no"), F.concat(*[F.lit(x) if isinstance(x, str) else x for x in text]).alias("text"))
+    ps = F.array(
+        paragraph(F.lit("1"), "品目", (F.col("l_suppkey") % 7).cast("string"), "番"),
+        paragraph(F.when(F.col("l_suppkey") % 12 > 0, "2"), "数量は", number("l_quantity"), "個とする。"),
+        F.when(F.col("l_quantity") > 25, paragraph(F.lit("3"), "割引", F.round(F.col("l_discount") * 100).cast("int").cast("string"))),
+        F.when(F.col("l_quantity") > 40, paragraph(F.lit("4"), "終わり")),
+    )
+    article = F.struct(F.col("l_returnflag").alias("article_no"), F.col("l_linestatus").alias("caption"), F.array_compact(ps).alias("paragraphs")).cast(nested.ARTICLE)
+    articles = lines.groupBy(F.col("o_custkey").alias("law"), F.col("o_orderkey").alias("revision"), F.col("l_linenumber").alias("number")).agg(F.max_by(article, F.col("l_partkey") * 1000000 + F.col("l_suppkey")).alias("article"))
+    order = assembly.revision_order(_revisions(t), "law", "revision", [F.col("day"), F.col("revision")])
+    later = articles.join(order.select("law", "revision"), ["law", "revision"])
+    earlier = order.filter("prev is not null").join(articles.withColumnRenamed("revision", "prev"), ["law", "prev"]).drop("prev")
+    return nested.article_pairs(earlier, later, ["law", "revision", "number"])
+
+
+@query(f"""with {_NESTED_PAIRS} select law, revision, article as number, article_change, no as paragraph_no, change, before, after from s where change <> 'unchanged'
+union all select law, revision, article, change, null, null, old.no || old.caption, new.no || new.caption from c""")
+def nested_diffs(t: Tables) -> DataFrame:
+    """Heads of changed articles, and their changed paragraphs with both texts, put together again from the operations."""
+    changes = nested.diff_articles(_nested_pairs(t))
+    keys = ["law", "revision", "number", F.col("change").alias("article_change")]
+    said = lambda side: F.concat(f"{side}.article_no", f"{side}.caption")
+    none = F.lit(None).cast("string")
+    heads = changes.select(*keys, none.alias("paragraph_no"), none.alias("change"), said("from_article").alias("before"), said("to_article").alias("after"))
+    steps = changes.select(*keys, F.explode("paragraphs").alias("p")).filter("p.change <> 'unchanged'")
+    side = lambda kind, name: F.when(F.col("p.change") == kind, F.col("p.text")).when(F.col("p.change") == "modified", nested.text_of(F.col("p.text_diff"), name))
+    return heads.unionByName(steps.select("law", "revision", "number", "article_change", "p.paragraph_no", "p.change", side("removed", "old").alias("before"), side("added", "new").alias("after")))
+
+
 @query("select o_custkey as law, o_orderkey as revision, case when o_orderkey in (select l_orderkey from lineitem where l_linenumber = 1) then 'laws/' || o_custkey || '/revisions/' || o_orderkey || '.json' end as path from orders")
 def version_bodies(t: Tables) -> DataFrame:
     bodies = t.lineitem.filter("l_linenumber = 1").select(F.col("l_orderkey").alias("revision"))
