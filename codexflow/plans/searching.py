@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codexflow.functions.text import char_ngrams, words
-from codexflow.operators import index, search
+from codexflow.operators import index, search, snippets
 from codexflow.plans.base import Tables, query
 from codexflow.sources.workspace import workspace
 
@@ -139,6 +139,14 @@ def fts_snippet(t: Tables) -> DataFrame:
     return t.documents.join(_matched(t, [AND_GROUP]), "doc_id", "left_semi").select("doc_id", search.snippet(F.col("text"), AND_GROUP).alias("snippet"))
 
 
+@query("select doc_id, case when regexp_matches(lower(coalesce(text, '')), '(^|[^[:alnum:]_])the($|[^[:alnum:]_])') then true else false end as in_text from documents where regexp_matches(lower(coalesce(lang, '') || ' ' || coalesce(source, '') || chr(10) || coalesce(text, '')), '(^|[^[:alnum:]_])(the|de)($|[^[:alnum:]_])')")
+def fts_snippet_columns(t: Tables) -> DataFrame:
+    """Rows that hold a word in one of three columns, and whether the marks of the text show one of them."""
+    plain = t.documents.withColumn("text", F.regexp_replace("text", r"[^\x00-\x7F]", " "))
+    found = snippets.snippets(plain, ["doc_id"], ["lang", "source", "text"], [["the"], ["de"]])
+    return found.select("doc_id", F.lower(F.element_at("marked", 3)).contains("<mark>the</mark>").alias("in_text"))
+
+
 @query("select conv_id, turn, text as joined from conversations where text is not null and regexp_matches(text, '^[ -~]+$') and not regexp_matches(text, '  |^ | $|\\.\\.\\.')")
 def unbigram_snippet(t: Tables) -> DataFrame:
     plain = t.conversations.filter(F.col("text").rlike("^[ -~]+$") & ~F.col("text").rlike(r"  |^ | $|\.\.\."))
