@@ -64,7 +64,7 @@ def diff_payloads(t: Tables) -> DataFrame:
 #: A line as an article of up to four paragraphs; one in twelve has a paragraph without a number.
 _NESTED = """(select o_custkey as law, o_orderkey as revision, l_linenumber as article, arg_max({'no': l_returnflag, 'caption': l_linestatus, 'ps': list_filter([
 {'no': '1', 'text': '品目' || l_suppkey % 7 || '番'}, {'no': case when l_suppkey % 12 > 0 then '2' end, 'text': '数量は' || l_quantity::int || '個とする。'}, case when l_quantity > 25 then {'no': '3', 'text': '割引' || (l_discount * 100)::int} end,
-case when l_quantity > 40 then {'no': '4', 'text': '終わり'} end], lambda x: x is not null)}, l_partkey * 1000000 + l_suppkey) as a from lineitem join orders on o_orderkey = l_orderkey group by all)"""
+case when l_quantity > 40 then {'no': '4', 'text': '終わり'} end], lambda x: x is not null)}, concat_ws('|', l_partkey, l_suppkey, l_quantity::int, (l_discount * 100)::int, l_returnflag, l_linestatus)) as a from lineitem join orders on o_orderkey = l_orderkey group by all)"""
 _NESTED_PAIRS = f"""a as {_NESTED}, o as {ORDER}, n as (select law, revision, article, a as new from a join o using (law, revision)),
 p as (select o.law, o.revision, a.article, a.a as old from o join a on a.law = o.law and a.revision = o.prev),
 c as (select law, revision, article, old, new, case when old is null then 'added' when new is null then 'removed' else 'modified' end as change from n full join p using (law, revision, article) where new is distinct from old),
@@ -86,7 +86,7 @@ def _nested_pairs(t: Tables) -> DataFrame:
         F.when(F.col("l_quantity") > 40, paragraph(F.lit("4"), "終わり")),
     )
     article = F.struct(F.col("l_returnflag").alias("article_no"), F.col("l_linestatus").alias("caption"), F.array_compact(ps).alias("paragraphs")).cast(nested.ARTICLE)
-    articles = lines.groupBy(F.col("o_custkey").alias("law"), F.col("o_orderkey").alias("revision"), F.col("l_linenumber").alias("number")).agg(F.max_by(article, F.col("l_partkey") * 1000000 + F.col("l_suppkey")).alias("article"))
+    articles = lines.groupBy(F.col("o_custkey").alias("law"), F.col("o_orderkey").alias("revision"), F.col("l_linenumber").alias("number")).agg(F.max_by(article, F.concat_ws("|", "l_partkey", "l_suppkey", number("l_quantity"), F.round(F.col("l_discount") * 100).cast("int").cast("string"), "l_returnflag", "l_linestatus")).alias("article"))
     order = assembly.revision_order(_revisions(t), "law", "revision", [F.col("day"), F.col("revision")])
     later = articles.join(order.select("law", "revision"), ["law", "revision"])
     earlier = order.filter("prev is not null").join(articles.withColumnRenamed("revision", "prev"), ["law", "prev"]).drop("prev")
