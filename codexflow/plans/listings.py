@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from codexflow.functions import gazette
 from codexflow.operators import segments
 from codexflow.plans.base import Tables, query
-from codexflow.sources import corpora, files, listings, markup
+from codexflow.sources import comments, corpora, files, listings, markup
 
 
 def _said(*parts: str | Column) -> Column:
@@ -137,6 +137,51 @@ def comment_lists(t: Tables) -> DataFrame:
     return corpora.comment_list(_nodes(t, "<a onclick='show(id=", _key(), ")'>件", _key(), "</a><a href='?id=", _key(), "'>again</a><a>x</a>"))
 
 
+@query("""select o_orderkey // 20 as page, case when o_orderstatus = 'F' then 'n' || o_orderkey else o_orderkey::varchar end as case_id, case when o_orderkey % 5 > 0 then o_orderpriority || ' の件' else '' end as title,
+case when o_orderpriority <> '5-LOW' then o_orderpriority end as ministry, case when o_orderstatus = 'O' then strftime(o_orderdate, '%Y-%m-%d') end as reception_start,
+case when o_orderstatus <> 'O' then strftime(o_orderdate, '%Y-%m-%d') end as result_published from orders where not (o_orderstatus = 'F' and o_orderkey % 7 = 0)""")
+def comment_cards(t: Tables) -> DataFrame:
+    """Cards of list pages of twenty: with and without handlers, titles and labels; a nested list and a stray label don't count."""
+    day, status = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderstatus")
+    detail = lambda label, *value: _said('<div class="x egovui-comment-detail"><span>', label, "</span>", *value, "</div>")
+    card = F.concat(
+        F.lit("<li>"), F.when(_key() % 5 > 0, _said('<h2>\n<a class="egovui-link">', F.col("o_orderpriority"), "  の件</a></h2>")).otherwise('<a class="egovui-link">no heading</a>'),
+        F.when(status != "F", _said("<div class='egovui-link-area-cursor' onclick=\"go('?CLASSNAME=P&amp;id=", _key(), "&amp;Mode=1')\"></div>")).otherwise(""),
+        F.when((status == "F") & (_key() % 7 > 0), detail("案件番号", "<span>n", _key(), "</span>")).otherwise(""),
+        F.when(status == "O", detail("案の公示日", " ", day, " ")).when(_key() % 2 == 0, detail("結果の公示日", day)).otherwise(detail("結果公示日", "<b>", day, "</b>")),
+        detail("所管省庁", F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("<span>"), F.col("o_orderpriority"), F.lit("</span>"))).otherwise("")), F.lit("<ul><li>inner</li></ul></li>"),
+    )
+    lists = t.orders.groupBy(F.expr("o_orderkey div 20").alias("page")).agg(F.array_join(F.collect_list(card), "\n").alias("cards"))
+    html = _said("<ul><li>none</li></ul><ul class='egovui-list-comment-list'>", F.col("cards"), "</ul>", detail("所管省庁", "outside"))
+    return comments.cards(markup.html_nodes(lists.select("page", html.alias("html")), "page", "html")).select(F.col("id").alias("page"), "case_id", "title", "ministry", "reception_start", "result_published")
+
+
+_FILES = "(select o_orderkey, o_orderdate, o_orderpriority, count(l_linenumber) as n, coalesce(list(l_partkey order by l_linenumber, l_partkey) filter (l_linenumber is not null), []) as parts from orders left join lineitem on l_orderkey = o_orderkey group by all)"
+
+
+@query(f"""select o_orderkey as id, case when o_orderkey % 3 > 0 then '件' || o_orderkey when o_orderkey % 2 = 0 then '令' || o_orderkey else '' end as title, case when o_orderkey % 4 > 0 then '法' || o_orderkey % 9 end as related_law_name,
+case when o_orderkey % 5 > 0 then '水産庁' else 'office ' || o_orderpriority end as ministry, strftime(o_orderdate, '%Y-%m-%d') as reception_start, case when n > 0 then n end as opinion_count,
+case when n > 0 then array_to_string([case when x % 3 > 0 then '別紙' || x else '添付' end || ' ' || case when x % 2 = 0 then 'https://a.example/pcm/download?id=' || x else 'https://b.example/' || x || '.pdf' end for x in parts], ';') else '' end as files from {_FILES}""")
+def comment_attachments(t: Tables) -> DataFrame:
+    """Cases with as many attachments as their order has lines, under labels that differ; other tables and links don't count."""
+    row = lambda label, *value: _said("<tr><th>", label, "</th><td>", *value, "</td></tr>")
+    number = F.col("l_partkey").cast("string")
+    name = F.when(F.col("l_partkey") % 3 > 0, F.concat(F.lit("別紙"), number)).otherwise("")
+    link = F.when(F.col("l_partkey") % 2 == 0, _said("<a href='/pcm/download?id=", number, "'>", name, "</a>")).otherwise(_said("<a class='file' href='https://b.example/", number, ".pdf'>", name, "</a>"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), link.alias("a")).alias("l"))
+    links = lines.groupBy("o_orderkey").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["a"]), "<a href='/else'>x</a>").alias("links"))
+    cases = t.orders.join(links, "o_orderkey", "left")
+    html = F.concat(
+        F.when(_key() % 3 > 0, _said("<h1 class='egovui-article-title'>件", _key(), "</h1>")).otherwise("<h1>other</h1>"), F.lit("<table class='egovui-normal-horizontal'>"),
+        F.when(_key() % 2 == 0, row("命令等の題名", "令", _key())).otherwise(""), F.when(_key() % 4 > 0, row("根拠法令 条項", "法", _key() % 9, "第", _key(), "条（甲）")).otherwise(row("根拠法令条項", "")),
+        F.when(_key() % 5 > 0, row("（所管省庁・部局名等）", "水産庁灯台課")).otherwise(row("所管省庁", "office ", F.col("o_orderpriority"))), row("意見募集開始日", F.date_format("o_orderdate", "yyyy-MM-dd")), row("意見募集開始日", "again"),
+        row("提出意見数", F.coalesce(F.concat(F.col("n").cast("string"), F.lit("件")), F.lit("なし"))), F.lit("</table><table><tr><th>カテゴリー</th><td>other</td></tr></table><a class='file' href=''>none</a>"), F.coalesce("links", F.lit("")),
+    )
+    found = comments.cases(markup.html_nodes(cases.select(_key().alias("key"), html.alias("html")), "key", "html"), "https://a.example")
+    files_ = F.array_join(F.transform("attachments", lambda f: F.concat_ws(" ", f["name"], f["url"])), ";")
+    return found.select("id", "title", "related_law_name", "ministry", "reception_start", "opinion_count", files_.alias("files"))
+
+
 @query("select o_orderkey as id, 'regular' as kind, '第' || o_orderkey || '号' as number, '告示（甲）' as title, (o_orderkey % 90)::int as page, '甲' as agency from orders")
 def gazette_contents(t: Tables) -> DataFrame:
     page = F.lpad((_key() % 90).cast("string"), 4, "0")

@@ -26,7 +26,7 @@ class _Nodes(HTMLParser):
     def handle_starttag(self, tag, attrs):
         values = {k: v or "" for k, v in attrs}
         row = {"tag": tag, "parent": self.open[-1]["place"] if self.open else None, "place": len(self.rows), "id": values.get("id"), "class": values.get("class"), "href": values.get("href"), "text": []}
-        row |= {"onclick": values.get("onclick"), "headers": values.get("headers")}
+        row |= {"onclick": values.get("onclick"), "headers": values.get("headers"), "upto": row["place"] if tag in VOID else None}
         self.rows.append(row)
         if tag not in VOID:
             self.open.append(row)
@@ -34,6 +34,8 @@ class _Nodes(HTMLParser):
     def handle_endtag(self, tag):
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth]["tag"] == tag:
+                for row in self.open[depth:]:
+                    row["upto"] = len(self.rows) - 1
                 del self.open[depth:]
                 return
 
@@ -47,19 +49,21 @@ def parse_nodes(html: str) -> list[dict]:
     parser = _Nodes()
     parser.feed(html)
     parser.close()
-    return [row | {"text": " ".join("".join(row["text"]).split())} for row in parser.rows]
+    last = len(parser.rows) - 1
+    return [row | {"text": " ".join("".join(row["text"]).split()), "upto": last if row["upto"] is None else row["upto"]} for row in parser.rows]
 
 
 def html_nodes(pages: DataFrame, id_col: str, html_col: str, tags: list[str] | None = None) -> DataFrame:
     """One row an element: ``id``, ``place`` (document order), ``parent``, ``tag``, ``node_id``, ``classes``,
-    ``href``, ``onclick``, ``headers`` and ``text`` (white space collapsed). Null pages have no elements."""
+    ``href``, ``onclick``, ``headers``, ``text`` (white space collapsed) and ``upto``, the place of the last element
+    inside, so what an element holds are the places after its own up to that. Null pages have no elements."""
 
     def work(batches):
-        fields = ["place", "parent", "tag", "id", "class", "href", "onclick", "headers", "text"]
-        kinds = [pa.int32(), pa.int32()] + [pa.string()] * 7
+        fields = ["place", "parent", "tag", "id", "class", "href", "onclick", "headers", "text", "upto"]
+        kinds = [pa.int32(), pa.int32()] + [pa.string()] * 7 + [pa.int32()]
         def held(ids, nodes, id_kind):
             columns = [pa.array(ids, id_kind)] + [pa.array([n[f] for n in nodes], k) for f, k in zip(fields, kinds)]
-            return pa.RecordBatch.from_arrays(columns, names=["id", "place", "parent", "tag", "node_id", "classes", "href", "onclick", "headers", "text"])
+            return pa.RecordBatch.from_arrays(columns, names=["id", "place", "parent", "tag", "node_id", "classes", "href", "onclick", "headers", "text", "upto"])
 
         for batch in batches:
             ids, nodes, size = [], [], 0
@@ -74,7 +78,7 @@ def html_nodes(pages: DataFrame, id_col: str, html_col: str, tags: list[str] | N
             yield held(ids, nodes, batch.schema.field(0).type)
 
     kind = pages.schema[id_col].dataType.simpleString()
-    return pages.select(id_col, html_col).mapInArrow(work, f"id {kind}, place int, parent int, tag string, node_id string, classes string, href string, onclick string, headers string, text string")
+    return pages.select(id_col, html_col).mapInArrow(work, f"id {kind}, place int, parent int, tag string, node_id string, classes string, href string, onclick string, headers string, text string, upto int")
 
 
 def links(nodes: DataFrame) -> DataFrame:
@@ -91,6 +95,18 @@ def label_values(nodes: DataFrame, label_tag: str = "th", value_tag: str = "td")
     return pairs.groupBy("id", "label").agg(F.min_by("value", "place").alias("value"))
 
 
+def has_class(name: str) -> Column:
+    return F.array_contains(F.split(F.coalesce("classes", F.lit("")), r"\s+"), name)
+
+
+def inside(nodes: DataFrame, name: str, holder: Column) -> DataFrame:
+    """Elements with ``name``: ``place``, ``upto`` and ``text`` of the last element at or before them, in document
+    order, that ``holder`` is true of and that holds them; null where none does."""
+    by = Window.partitionBy("id").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.last(F.when(holder, F.struct("place", "upto", "text")), True).over(by)
+    return nodes.withColumn(name, last).withColumn(name, F.when((F.col("place") > F.col(f"{name}.place")) & (F.col("place") <= F.col(f"{name}.upto")), F.col(name)))
+
+
 def captioned(nodes: DataFrame, caption_tag: str = "h2", item_tag: str = "p") -> DataFrame:
     """Items with the caption that was last seen before them."""
     by = Window.partitionBy("id").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
