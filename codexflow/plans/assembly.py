@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexflow.operators import assembly, nested
+from codexflow.operators import assembly, law_files, nested
 from codexflow.plans.base import Tables, query
+from codexflow.sources.workspace import workspace
 
 #: Articles of a revision: lines by their number; lines of one number count as one article.
 LINES = "(select o_custkey as law, o_orderkey as revision, l_linenumber as article, max(l_returnflag || l_linestatus || l_quantity::int) as body from lineitem join orders on o_orderkey = l_orderkey group by all)"
@@ -163,3 +164,60 @@ def compared_articles(t: Tables) -> DataFrame:
     held = _articles(t).join(pairs, "law")
     diff = ordered_diff(held.filter("revision = a"), held.filter("revision = b"), ["law", "article"], ["body"], "article", removed_last=False)
     return diff.select("law", "article", "part", "change")
+
+
+#: Orders with lines are bodies, a third of them under the ids that the metadata has; three laws of four have metadata.
+_FILES = """b as (select o_custkey as law, case o_orderkey % 3 when 0 then 'm' else 's' end || o_orderkey as revision, o_orderkey as position, o_orderpriority as title,
+list({'no': 'a' || l_linenumber, 'part': l_partkey} order by l_linenumber, l_partkey) as articles from orders join lineitem on l_orderkey = o_orderkey group by all),
+m as (select o_custkey as law, 'm' || o_orderkey as revision, o_orderkey as position, case when o_orderstatus = 'P' then 'CurrentEnforced' when o_orderstatus = 'F' then 'Repealed' end as status,
+case o_orderkey % 5 when 0 then '1' when 1 then '3' when 2 then '8' when 3 then '9' end as amendment_type, strftime(o_orderdate, '%Y-%m-%d') as effective_date from orders where o_custkey % 4 > 0),
+i as (select law, arg_max(revision, position) as body_revision from b group by law),
+k as (select law, coalesce(arg_max(revision, position) filter (status = 'CurrentEnforced'), arg_max(revision, position)) as revision from m group by law),
+n as (select i.law, body_revision, coalesce(k.revision, body_revision) as cur from i left join k using (law)),
+p as (select b.* replace (case when revision = body_revision then cur else revision end as revision), revision = body_revision as last, cur from b join n using (law)),
+v as (select m.law, m.revision, m.position, m.status, m.effective_date, null as title, exists (select 1 from p where p.law = m.law and p.revision = m.revision) as body_available from m semi join n using (law)
+union all select law, revision, position, null, null, title, true from p where law not in (select law from m)),
+e as (select law, 1 as part, position, 'evt_' || revision as event_id, case amendment_type when '1' then 'enactment' when '3' then 'amendment' when '8' then 'repeal' else 'snapshot' end as event_type, coalesce(status, 'Unknown') as status, effective_date, null as promulgation_date from m semi join n using (law)
+union all select c_custkey, 0, null, 'evt_' || c_custkey || '_enactment', 'enactment', 'Enacted', null, '2001-01-0' || c_nationkey % 9 + 1 from customer where c_custkey % 3 > 0 and c_custkey in (select law from m semi join n using (law))
+union all select law, 1, position, 'evt_' || revision, case when position = min(position) over (partition by law) then 'initial' else 'snapshot' end, 'snapshot', null, null from p where law not in (select law from m))"""
+
+
+def _law_files(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Bodies, metadata and days of enactment."""
+    key = F.col("o_orderkey").cast("string")
+    article = F.struct("l_linenumber", "l_partkey")
+    held = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.transform(F.array_sort(F.collect_list(article)), lambda a: F.struct(F.concat(F.lit("a"), a["l_linenumber"].cast("string")).alias("no"), a["l_partkey"].alias("part"))).alias("articles"))
+    bodies = t.orders.join(held, "o_orderkey").select(F.col("o_custkey").alias("law"), F.concat(F.when(F.col("o_orderkey") % 3 == 0, "m").otherwise("s"), key).alias("revision"), F.col("o_orderkey").alias("position"), F.col("o_orderpriority").alias("title"), "articles")
+    kind = F.element_at(F.array(*map(F.lit, "1389"), F.lit(None)), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    status = F.when(F.col("o_orderstatus") == "P", "CurrentEnforced").when(F.col("o_orderstatus") == "F", "Repealed")
+    meta = t.orders.filter("o_custkey % 4 > 0").select(F.col("o_custkey").alias("law"), F.concat(F.lit("m"), key).alias("revision"), F.col("o_orderkey").alias("position"), status.alias("status"), kind.alias("amendment_type"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("effective_date"))
+    day = F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit("2001-01-0"), (F.col("c_nationkey") % 9 + 1).cast("string")))
+    return bodies, meta, t.customer.select(F.col("c_custkey").alias("law"), day.alias("date"))
+
+
+@query(f"with {_FILES} select law, revision, position, status, effective_date, title, case when body_available then 'laws/' || law || '/revisions/' || revision || '.json' end as path, body_available from v")
+def law_versions(t: Tables) -> DataFrame:
+    bodies, meta, _ = _law_files(t)
+    return law_files.versions(meta, bodies, law_files.current_ids(bodies, meta)).drop("amendment_type", "articles")
+
+
+@query(f"with {_FILES} select law, part, position, event_id, event_type, status, effective_date, promulgation_date from e")
+def law_timeline(t: Tables) -> DataFrame:
+    bodies, meta, enacted = _law_files(t)
+    events = law_files.timeline(meta, bodies, law_files.current_ids(bodies, meta), enacted)
+    return events.select("law", "part", "position", "event_id", "event_type", "status", "effective_date", "promulgation_date")
+
+
+@query(f"""with {_FILES} select law, 'laws/' || law || '/current.json' as path, 0 as part, 0::bigint as position, cur as revision, 'current' as status, title, len(articles) as articles, null as no from p where last
+union all select law, 'laws/' || law || '/articles/' || a.no || '.json', 0, 0, null, null, null, null, a.no from (select law, unnest(articles) as a from p where last)
+union all select law, 'laws/' || law || '/revisions/' || revision || '.json', 0, 0, revision, case when revision = cur then 'current' else 'historical' end, title, len(articles), null from p
+union all select law, 'laws/' || law || '/versions.json', -1, 0, cur, null, null, null, null from n union all select law, 'laws/' || law || '/timeline.json', -1, 0, null, null, null, null, null from n
+union all select law, 'laws/' || law || '/versions.json', 1, position, revision, status, title, null, null from v
+union all select law, 'laws/' || law || '/timeline.json', part, position, case when part > 0 then event_id[5:] end, status, case when part > 0 and law % 4 = 0 then (select max(title) from p where 'evt_' || p.revision = event_id and p.law = e.law and p.position = e.position) end, null, null from e""")
+def law_files_written(t: Tables) -> DataFrame:
+    """All files of all laws, written in folders and read back."""
+    path = workspace(t.spark, "law-files")
+    law_files.write_files(law_files.file_lines(*_law_files(t), "articles", "no"), path)
+    said = lambda *names: F.coalesce(*[F.get_json_object("line", f"$.{n}") for n in names])
+    count = F.json_array_length(F.get_json_object("line", "$.articles")).cast("long")
+    return t.spark.read.parquet(path).select("law", "path", "part", "position", said("revision", "current_revision").alias("revision"), said("status").alias("status"), said("title").alias("title"), count.alias("articles"), said("no").alias("no"))

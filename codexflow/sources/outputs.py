@@ -13,7 +13,8 @@ BUCKETS = 64
 def write_documents(rows: DataFrame, key: str, path: str, buckets: int = BUCKETS) -> None:
     """One line of JSON a law, in folders by a hash of its id, compressed; a law's place follows from its id."""
     bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-    bucketed.repartition("bucket").write.mode("overwrite").option("compression", "gzip").partitionBy("bucket").json(path)
+    # Ranges, so that a folder is written by as many tasks as it has data for.
+    bucketed.repartitionByRange("bucket", key).write.mode("overwrite").option("compression", "gzip").partitionBy("bucket").json(path)
 
 
 def read_document(spark: SparkSession, path: str, schema: T.StructType, key: str, wanted: Column, buckets: int = BUCKETS) -> DataFrame:
