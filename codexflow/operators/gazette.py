@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from codexflow.functions import gazette
 from codexflow.functions.text import amendment_format, is_amending_title, title_core
-from codexflow.operators.linking import title_score
 from codexflow.operators.segments import line_segments, next_starts
+from codexflow.sources.workspace import stored
 
 MOST_PAGES, LINKED_FROM = 24, 0.80
+#: Characters of the grams by which titles are looked up; a shorter title is found only if it is equal.
+GRAM = 4
 
 
 def names_title(text: Column, core: Column) -> Column:
@@ -44,18 +46,44 @@ def amendment_texts(items: DataFrame, pages: DataFrame, amending_only: bool = Tr
     return best.select("key.issue", "key.item", "key.title", F.trim("amend_text").alias("amend_text"), amendment_format(F.col("amend_text")).alias("amend_format"))
 
 
+def _grams(rows: DataFrame) -> DataFrame:
+    """``date``, ``core`` and the distinct grams of ``GRAM`` characters of each core that has one."""
+    at = F.sequence(F.lit(1), F.length("core") - (GRAM - 1))
+    grams = F.array_distinct(F.transform(at, lambda i: F.substr("core", i, F.lit(GRAM))))
+    return rows.filter(F.length("core") >= GRAM).select("date", "core", F.size(grams).alias("size"), F.explode(grams).alias("gram"))
+
+
+def _holding(short: DataFrame, long: DataFrame) -> DataFrame:
+    """``date``, ``core`` (of ``short``) and ``holder`` (of ``long``): cores of ``GRAM`` characters and more that another
+    core of their date holds. A core is looked up by that of its grams which the fewest holders have."""
+    held = stored(_grams(long).select("date", "gram", F.col("core").alias("holder")), "grams")  # so that Spark can split a frequent gram
+    counts = held.groupBy("date", "gram").agg(F.count("*").alias("n"))
+    met = _grams(short).join(counts, ["date", "gram"]).groupBy("date", "core").agg(F.count("*").alias("found"), F.max("size").alias("size"), F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    anchors = stored(met.filter("found = size").select("date", "core", "gram"), "anchors")
+    return anchors.join(held, ["date", "gram"]).filter(F.contains("holder", F.col("core")) & (F.col("holder") != F.col("core"))).select("date", "core", "holder")
+
+
 def item_matches(events: DataFrame, items: DataFrame) -> DataFrame:
     """Best item of each event by equal dates and the cores of their titles.
 
     ``events`` has ``event``, ``date``, ``title``; ``items`` has ``date``, ``issue``, ``item``, ``title``. The
-    confidence is a half and 0.45 of the title's score; equal ones go to the first issue and item.
+    confidence is a half and 0.45 of the title's score (``linking.title_score``); equal ones go to the first issue and item.
+    Null dates and titles match nothing.
+
+    A date's titles aren't paired: equal ones are one row, of which the first item counts, and one that holds
+    another is found by a gram of the other.
     """
-    left = events.select("event", "date", title_core(F.col("title")).alias("core"))
-    right = items.select("date", "issue", "item", F.col("title").alias("item_title"), title_core(F.col("title")).alias("item_core"))
-    score = title_score(F.col("core"), F.col("item_core"))
-    met = left.join(right, "date").withColumn("score", score).filter("score > 0").withColumn("confidence", F.round(0.5 + 0.45 * F.col("score"), 4))
-    best = met.groupBy("event").agg(F.max(F.struct("confidence", (-F.col("issue")).alias("i"), (-F.col("item")).alias("k"), "item_title")).alias("b"))
-    return best.select("event", F.col("b.confidence").alias("confidence"), (-F.col("b.i")).alias("issue"), (-F.col("b.k")).alias("item"), F.col("b.item_title").alias("item_title"))
+    left = stored(events.select("event", "date", title_core(F.col("title")).alias("core")).filter("date is not null and core is not null"), "events")
+    titled = items.select("date", title_core(F.col("title")).alias("core"), F.struct("issue", "item").alias("place"), F.col("title").alias("item_title")).filter("core is not null")
+    first = stored(titled.groupBy("date", "core").agg(F.min("place").alias("place"), F.min_by("item_title", "place").alias("item_title")), "first-items")
+    asked, known = left.select("date", "core").distinct(), first.select("date", "core")
+    ours = F.col("core").alias("item_core")
+    pairs = asked.join(known, ["date", "core"]).select("date", "core", ours, F.lit(1.0).alias("score"))
+    pairs = pairs.union(_holding(known, asked).select("date", F.col("holder").alias("core"), ours, F.lit(0.8))).union(_holding(asked, known).select("date", "core", F.col("holder").alias("item_core"), F.lit(0.8)))
+    scored = pairs.join(first.withColumnRenamed("core", "item_core"), ["date", "item_core"])
+    best = scored.groupBy("date", "core").agg(F.min_by(F.struct("score", "place", "item_title"), F.struct(-F.col("score"), F.col("place"))).alias("b"))
+    best = stored(best, "best-items")
+    return left.join(best, ["date", "core"]).select("event", F.round(0.5 + 0.45 * F.col("b.score"), 4).alias("confidence"), "b.place.issue", "b.place.item", "b.item_title")
 
 
 def linked_events(events: DataFrame, matches: DataFrame) -> DataFrame:

@@ -103,15 +103,35 @@ def enriched(live: DataFrame, known: DataFrame, key: str, cols: list[str], defau
     return joined.withColumns({c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"known_{c}"), F.lit(default)) for c in cols}).drop(*[f"known_{c}" for c in cols])
 
 
-def rss(items: DataFrame, title: str, link: str) -> DataFrame:
-    """One row, the feed as RSS 2.0. Items are a feed's top-k, so they are few."""
-    from codexflow.functions.dates import feed_date
-    from codexflow.functions.text import escape_markup as esc
-
-    entry = F.concat(
-        F.lit("<item><title>"), esc(F.col("title")), F.lit("</title><link>"), esc(F.col("link")), F.lit("</link><guid>"), esc(F.col("link")),
-        F.lit("</guid><pubDate>"), feed_date(F.to_date("date")), F.lit("</pubDate></item>"),
-    )
-    body = items.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("date", entry.alias("x"))), asc=False), lambda r: r.x), "").alias("body"))
-    head = f'<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>{title}</title><link>{link}</link>'
-    return body.select(F.concat(F.lit(head), "body", F.lit("</channel></rss>")).alias("value"))
+def rss_entry(rows: DataFrame, base: str = "/") -> Column:
+    """A feed's row as an item of RSS 2.0: its kind before the title, links that begin with ``/`` below ``base``, no date if
+    it is none, a description if there is a summary. Null titles are empty."""
+    from codexflow.functions.dates import feed_date, is_iso
+    from codexflow.functions.text import escape_markup
+
+    esc = lambda text: escape_markup(text, False)
+    tag = lambda name, text, more="": F.concat(F.lit(f"<{name}{more}>"), text, F.lit(f"</{name}>"))
+    link, title = F.coalesce("link", F.lit("")), F.concat(F.lit("["), kind_label(F.col("kind")), F.lit("] "), F.coalesce("title", F.lit("")))
+    day = F.when(is_iso(F.col("date")), F.try_to_date("date"))
+    summary = F.col("summary") if "summary" in rows.columns else F.lit(None).cast("string")
+    parts = [
+        tag("title", esc(title)), tag("link", esc(F.when(F.startswith(link, F.lit("/")), F.concat(F.lit(base.rstrip("/") + "/#"), link)).otherwise(link))),
+        tag("guid", esc(F.concat_ws(":", "kind", F.coalesce("date", F.lit("")), link)), ' isPermaLink="false"'), tag("pubDate", feed_date(day)), tag("description", esc(summary)),
+    ]
+    return tag("item", F.concat_ws("", *parts))
+
+
+def rss(items: DataFrame, title: str, link: str, description: str = "", base: str = "/") -> DataFrame:
+    """One row, the feed as RSS 2.0, newest first; its day is that of the newest item. Items are a feed's top-k, so they are few."""
+    from codexflow.functions.dates import feed_date, is_iso
+    from codexflow.functions.text import escape_markup
+
+    # Digits turned round sort the newest day first.
+    late = F.translate("date", "0123456789", "9876543210")
+    row = F.struct(late.alias("late"), "kind", "title", "link", rss_entry(items, base).alias("entry"))
+    newest = F.max(F.when(is_iso(F.col("date")), F.try_to_date("date")))
+    body = items.agg(F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["entry"]), "").alias("body"), feed_date(newest).alias("day"))
+    said = lambda name, text: F.concat(F.lit(f"<{name}>"), escape_markup(F.lit(text), False), F.lit(f"</{name}>"))
+    head = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel>'), said("title", title), said("description", description), said("link", link))
+    built = F.coalesce(F.concat(F.lit("<lastBuildDate>"), "day", F.lit("</lastBuildDate>")), F.lit(""))
+    return body.select(F.concat(head, built, "body", F.lit("</channel></rss>")).alias("value"))

@@ -99,14 +99,24 @@ def circular_texts(t: Tables) -> DataFrame:
     return found.select("id", "number", "caption", "text")
 
 
-@query("select * from (values ('shotoku', '340AC0000000033'), ('hojin', '340AC0000000034'), ('shohi', '363AC0000000108'), ('sozoku', '325AC0000000073'), ('hyoka', '325AC0000000073')) v(tax, parent_law_id)")
+@query("""with s as (select * from (values ('shotoku', '340AC0000000033'), ('hojin', '340AC0000000034'), ('shohi', '363AC0000000108'), ('sozoku', '325AC0000000073'), ('hyoka', '325AC0000000073')) v(tax, parent_law_id)),
+o as (select o_orderkey, case when o_orderkey % 6 < 3 then 'shotoku' when o_orderkey % 6 = 3 then 'sozoku' when o_orderkey % 6 = 4 then 'hyoka' else 'unknown' end as tax from orders)
+select parent_law_id, count(distinct s.tax) as sets, count(o_orderkey) as items, min(o_orderkey) as first from s left join o using (tax) group by 1""")
 def circular_sets(t: Tables) -> DataFrame:
-    return listings.circular_sets(t.spark).select("tax", "parent_law_id")
+    """Circulars by the law that their set explains: a law of two sets, sets without circulars, circulars of no known set."""
+    tax = F.when(_key() % 6 < 3, "shotoku").when(_key() % 6 == 3, "sozoku").when(_key() % 6 == 4, "hyoka").otherwise("unknown")
+    # Items are counted by set before they meet the few sets, and those by law.
+    items = t.orders.select(tax.alias("tax"), "o_orderkey").groupBy("tax").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("least"))
+    joined = listings.circular_sets(t.spark).join(items, "tax", "left")
+    return joined.groupBy("parent_law_id").agg(F.count("*").alias("sets"), F.coalesce(F.sum("n"), F.lit(0)).alias("items"), F.min("least").alias("first"))
 
 
-@query("select '121002' as code, '千葉市' as name")
+@query("""select code, '千葉市' as name, code || '_g' || o_orderkey as ordinance_id from (select o_orderkey, case o_orderkey % 3 when 0 then '121002' when 1 then '999999' end as code from orders) where code = '121002'""")
 def municipalities_known(t: Tables) -> DataFrame:
-    return listings.municipalities(t.spark).select("code", "name").intersect(listings.municipalities(t.spark, ["121002"]).select("code", "name"))
+    """Ordinances of the municipalities that are known and wanted, with their names; others and those without a code are left out."""
+    code = F.when(_key() % 3 == 0, "121002").when(_key() % 3 == 1, "999999")
+    ordinances = t.orders.select(code.alias("code"), F.concat(code, F.lit("_g"), _key().cast("string")).alias("ordinance_id"))
+    return ordinances.join(F.broadcast(listings.municipalities(t.spark, ["121002", "999999"])), "code").select("code", "name", "ordinance_id")
 
 
 @query("select o_orderkey as id, '審議会' || o_orderkey as committee from orders")

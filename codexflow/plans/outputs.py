@@ -107,15 +107,45 @@ def site_map_lines(t: Tables) -> DataFrame:
     return sinks.site_map(urls, "url").select(F.regexp_extract("value", "<url><loc>(.*)</loc></url>", 1).alias("loc"))
 
 
-@query("select l_name as path, fault from (values ('a.json', 'changed'), ('b.json', 'missing'), ('c.json', 'unlisted')) v(l_name, fault)")
+_LINES = "(select 'nation=' || c_nationkey as path, string_agg(c_custkey || '|' || {name} || chr(10), '' order by c_custkey) as body from customer {where} group by 1)"
+
+
+def _written(t: Tables, rows: DataFrame) -> str:
+    """A folder a nation, of lines in the order of keys."""
+    path = workspace(t.spark, "site")
+    line = F.concat(F.col("c_custkey").cast("string"), F.lit("|"), "c_name").alias("value")
+    rows.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").select(line, F.col("c_nationkey").alias("nation")).write.partitionBy("nation").text(path)
+    return path
+
+
+def _changed(t: Tables) -> DataFrame:
+    """Without the nations of every fourth place, with other names of those after them, and one more nation."""
+    renamed = F.when(F.col("c_nationkey") % 4 == 1, F.upper("c_name")).otherwise(F.col("c_name"))
+    kept = t.customer.filter("c_nationkey % 4 > 0").withColumn("c_name", renamed)
+    return kept.unionByName(t.customer.filter("c_nationkey = 3").withColumn("c_nationkey", F.lit(99)))
+
+
+@query(f"select path, sha256(sha256(body)) as sha256, octet_length(encode(body))::bigint as bytes, 1::bigint as files from {_LINES.format(name='c_name', where='')}")
+def manifest_of_folders(t: Tables) -> DataFrame:
+    """The manifest of folders that were written from a table."""
+    return sinks.folder_manifest(t.spark, _written(t, t.customer), "^nation=")
+
+
+@query("""select distinct 'nation=' || c_nationkey as path, case c_nationkey % 4 when 0 then 'missing' else 'changed' end as fault from customer where c_nationkey % 4 < 2
+union all select distinct 'nation=99', 'unlisted' from customer where c_nationkey = 3""")
 def manifest_checked(t: Tables) -> DataFrame:
-    root = workspace(t.spark, "site")
-    fs = t.spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(t.spark._jsc.hadoopConfiguration())
-    for name, text in (("a.json", "{}"), ("b.json", "[]"), ("d.json", "1"), ("manifest.json", "x"), ("health.json", "y")):
-        out = fs.create(t.spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"))
-        out.write(bytearray(text.encode()))
-        out.close()
-    found = sinks.manifest(t.spark, root)
-    stated = found.withColumn("bytes", F.when(F.col("path") == "a.json", 3).otherwise(F.col("bytes")).cast("long"))
-    held = found.filter("path <> 'b.json'").union(found.filter("path = 'b.json'").withColumn("path", F.lit("c.json")))
-    return sinks.mismatches(stated, held)
+    """What differs between a manifest and the folders of a later build."""
+    return sinks.mismatches(*_two_manifests(t))
+
+
+def _two_manifests(t: Tables) -> tuple[DataFrame, DataFrame]:
+    return sinks.folder_manifest(t.spark, _written(t, t.customer), "^nation="), sinks.folder_manifest(t.spark, _written(t, _changed(t)), "^nation=")
+
+
+@query(f"""with f as (select * from {_LINES.format(name="case when c_nationkey % 4 = 1 then upper(c_name) else c_name end", where="where c_nationkey % 4 > 0")}
+union all select 'nation=99', body from {_LINES.format(name="c_name", where="where c_nationkey = 3")})
+select false as ok, (select strftime(max(o_orderdate), '%Y-%m-%d') from orders) as latest_update_date, (select count(*) from orders) as entry_count, (select count(*) from f) as file_count,
+(select sum(octet_length(encode(body)))::bigint from f) as bytes, (select count(distinct c_nationkey) from customer where c_nationkey % 4 < 2) + (select count(distinct c_nationkey) from customer where c_nationkey = 3) as fault_count""")
+def health_record(t: Tables) -> DataFrame:
+    stated, found = _two_manifests(t)
+    return sinks.health(found, sinks.mismatches(stated, found), t.orders.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")), "day")

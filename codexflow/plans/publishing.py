@@ -40,9 +40,26 @@ def feed_topk_dates(t: Tables) -> DataFrame:
     return publish.newest_dates(t.events.select("event_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")), "day", 14)
 
 
-@query()
+def _entry_sql(summary: str) -> str:
+    """An item of RSS of the columns ``kind``, ``date``, ``title`` and ``link``."""
+    esc = lambda x: f"replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(34), '&quot;')"
+    return f"""'<item><title>' || {esc("'[' || kind || '] ' || title")} || '</title><link>/#' || link || '</link><guid isPermaLink="false">' || kind || ':' || date || ':' || link || '</guid><pubDate>'
+|| strftime(date::date, '%a, %d %b %Y %H:%M:%S +0000') || '</pubDate>' || coalesce('<description>' || {esc(summary)} || '</description>', '') || '</item>'"""
+
+
+@query(f"""select '<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>updates</title><description>all &amp; new</description><link>/feed</link><lastBuildDate>' || strftime(max(date)::date, '%a, %d %b %Y %H:%M:%S +0000') || '</lastBuildDate>'
+|| string_agg({_entry_sql("null::varchar")}, '' order by date desc, kind, title, link) || '</channel></rss>' as value from ({_FEED_SQL} order by date desc, kind, seq, title, link limit 200)""")
 def feed_rss(t: Tables) -> DataFrame:
-    return publish.rss(publish.feed(_sources(t)), "updates", "/feed")
+    return publish.rss(publish.feed(_sources(t)), "updates", "/feed", "all & new")
+
+
+@query(f"""with f as (select doc_id, 'doc' as kind, '20' || lpad((doc_id % 90 + 10)::varchar, 2, '0') || '-03-0' || (doc_id % 9 + 1) as date, coalesce(text, '') as title, '/d/' || doc_id as link, source as summary from documents)
+select doc_id, sha256({_entry_sql("summary")}) as entry_sha256 from f""")
+def rss_entries(t: Tables) -> DataFrame:
+    """Every document's whole text as the title of an item, its source as the description."""
+    day = F.concat(F.lit("20"), (F.col("doc_id") % 90 + 10).cast("string"), F.lit("-03-0"), (F.col("doc_id") % 9 + 1).cast("string"))
+    rows = t.documents.select("doc_id", F.lit("doc").alias("kind"), day.alias("date"), F.col("text").alias("title"), F.concat(F.lit("/d/"), F.col("doc_id").cast("string")).alias("link"), F.col("source").alias("summary"))
+    return rows.select("doc_id", F.sha2(publish.rss_entry(rows), 256).alias("entry_sha256"))
 
 
 @query("select l_orderkey, l_linenumber::bigint as l_linenumber, date, basis from (select *, case when l_returnflag = 'R' then strftime(l_shipdate, '%Y-%m-%d') else strftime(l_shipdate + interval 30 day, '%Y-%m-%d') end as date, case when l_returnflag = 'R' then 'scheduled' else 'effective' end as basis from lineitem) where date > '1998-06-01' order by date, l_orderkey, l_linenumber limit 1000")

@@ -50,3 +50,33 @@ def test_index_rows(spark):
     assert [(r["title"], r["pdf_url"], r["law_id"]) for r in corpora.gazette_rows(days).collect()] == [("t", "i.pdf", "L9")]
     sets = spark.createDataFrame([("shotoku", "L", [("1-1", "c", "文"), ("1-2", "c", "")])], "tax string, parent_law_id string, items array<struct<number:string,caption:string,text:string>>")
     assert [r["number"] for r in corpora.circular_rows(sets).collect()] == ["1-1"]
+
+
+def test_item_matches_equal_all_pairs(spark):
+    import random
+
+    pick = random.Random(5)
+    name = lambda: "".join(pick.choice("甲乙丙") for _ in range(pick.choice([1, 3, 4, 5, 7, 12])))
+    events = [(i, pick.choice(["a", "b", None]), pick.choice([name(), None]) if i % 9 == 0 else name()) for i in range(150)]
+    items = [(pick.choice("ab"), pick.randrange(4), i, name()) for i in range(400)]
+    want = {}
+    for event, date, title in events:
+        scored = []
+        for day, issue, item, other in items:
+            if title is None or date != day:
+                continue
+            score = 1.0 if title == other else 0.8 if min(len(title), len(other)) >= 4 and (title in other or other in title) else 0
+            scored += [(-round(0.5 + 0.45 * score, 4), issue, item, other)] if score else []
+        if scored:
+            want[event] = min(scored)
+    left = spark.createDataFrame(events, "event int, date string, title string")
+    right = spark.createDataFrame(items, "date string, issue int, item int, title string")
+    found = {r["event"]: (-r["confidence"], r["issue"], r["item"], r["item_title"]) for r in gazette.item_matches(left, right).collect()}
+    assert found == want and len(want) > 40
+    assert gazette.item_matches(left, right.limit(0)).count() == 0 and gazette.item_matches(left.limit(0), right).count() == 0
+
+
+def test_a_date_of_equal_titles_makes_no_pairs(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("event"), F.lit("a").alias("date"), F.lit("甲乙丙丁規則").alias("title"))
+    found = gazette.item_matches(rows, rows.select("date", F.lit(1).alias("issue"), F.col("event").alias("item"), "title"))
+    assert found.groupBy("item", "confidence").count().collect() == [(0, 0.95, 20_000)]

@@ -163,7 +163,19 @@ def test_feed_order(spark):
     a = spark.createDataFrame([("law", "2026-06-01", "x", "1"), ("law", "2026-05-01", "y", "2")], schema)
     b = spark.createDataFrame([("bill", "2026-06-01", "z", "3")], schema)
     assert [r["link"] for r in publish.feed([a, b]).collect()] == ["3", "1", "2"]
-    assert "<title>x</title>" in publish.rss(publish.feed([a, b]), "t", "/").first()["value"]
+    assert "<title>[法令] x</title>" in publish.rss(publish.feed([a, b]), "t", "/").first()["value"]
+
+
+def test_feed_entries(spark):
+    rows = spark.createDataFrame([("law", "2026-06-01", 'a<b & "c"', "/laws/1", "it's"), ("new", "soon", None, "https://x.example/?a=1&b=2", None), ("law", "2026-02-31", "t", None, "")], "kind string, date string, title string, link string, summary string")
+    found = [r[0] for r in rows.select(publish.rss_entry(rows, "https://a.example/")).collect()]
+    assert found[0] == '<item><title>[法令] a&lt;b &amp; &quot;c&quot;</title><link>https://a.example/#/laws/1</link><guid isPermaLink="false">law:2026-06-01:/laws/1</guid><pubDate>Mon, 01 Jun 2026 00:00:00 +0000</pubDate><description>it\'s</description></item>'
+    assert found[1] == '<item><title>[new] </title><link>https://x.example/?a=1&amp;b=2</link><guid isPermaLink="false">new:soon:https://x.example/?a=1&amp;b=2</guid></item>'
+    assert "pubDate" not in found[2] and "<description></description>" in found[2]
+    value = publish.rss(rows, "t", "/", "d").first()["value"]
+    assert value.count("<item>") == 3 and "<lastBuildDate>Mon, 01 Jun 2026" in value
+    empty = publish.rss(rows.limit(0), "t & u", "/", "d").first()["value"]
+    assert empty.endswith("<channel><title>t &amp; u</title><description>d</description><link>/</link></channel></rss>")
 
 
 def test_segments(spark):

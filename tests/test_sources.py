@@ -1,6 +1,8 @@
 """Sources and sinks over small fixtures."""
 
+import hashlib
 import io
+import shutil
 import zipfile
 
 import zstandard
@@ -96,3 +98,24 @@ def test_manifest(spark, tmp_path):
     assert [tuple(r) for r in sinks.mismatches(stated, found).collect()] == [("laws/index.json", "changed")]
     assert sinks.mismatches(found, found).count() == 0
     assert tuple(sinks.compression_stats(spark, str(root)).first()) == (2, 4)
+
+
+def test_folder_manifest_and_health(spark, tmp_path):
+    root = tmp_path / "public"
+    for name, text in (("a/x.json", "1"), ("a/y.json", "22"), ("b/x.json", "1"), ("health.json", "z"), ("_SUCCESS", "")):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(text)
+    found = sinks.folder_manifest(spark, str(root))
+    rows = {r["path"]: r for r in found.collect()}
+    digest = lambda *texts: hashlib.sha256("".join(sorted(hashlib.sha256(t.encode()).hexdigest() for t in texts)).encode()).hexdigest()
+    assert sorted(rows) == ["a", "b"] and (rows["a"]["bytes"], rows["a"]["files"], rows["a"]["sha256"]) == (3, 2, digest("1", "22"))
+    assert [r["path"] for r in sinks.folder_manifest(spark, str(root), "^b").collect()] == ["b"]
+    other = tmp_path / "again" / "public"
+    shutil.copytree(root, other)
+    (other / "a" / "y.json").rename(other / "a" / "renamed.json")
+    again = sinks.folder_manifest(spark, str(other))
+    assert sinks.mismatches(found, again).count() == 0
+    days = spark.createDataFrame([("2031-01-02",), (None,), ("2030-01-01",)], "day string")
+    assert tuple(sinks.health(found, sinks.mismatches(found, again), days, "day").first()) == (True, "2031-01-02", 3, 2, 4, 0)
+    none = found.limit(0)
+    assert tuple(sinks.health(none, sinks.mismatches(found, none), days.limit(0), "day").first()) == (False, None, 0, 0, 0, 2)
