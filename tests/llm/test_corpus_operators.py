@@ -508,3 +508,55 @@ def test_chunk_dedup_by_brute_force(docs, rows):
         wanted.append((i, len(data), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
     assert sum(r[2] > 0 for r in wanted) >= 3
     same(cdc.removal_report(docs), wanted)
+
+
+def test_media_features_by_brute_force(docs, rows):
+    """Peaks and pairs by loops over frames and bins."""
+    got = {r["doc_id"]: r for r in media.fingerprint_media(media.encode_media(docs)).collect()}
+    times = {}
+    for i, text in rows:
+        times[i] = times.get(i, 0) + 1
+    checked = 0
+    for i, text in rows:
+        payload = media.payload_of((text or "").encode())
+        if times[i] > 1 or len(payload) > 40_000:
+            continue
+        samples, peaks = np.frombuffer(payload, np.uint8).astype(np.float32), []
+        for frame, at in enumerate(range(0, len(samples) - media.FRAME + 1, media.HOP)):
+            part = samples[at : at + media.FRAME]
+            power = np.abs(np.fft.rfft((part - part.mean()) * media._HANN)) ** 2
+            tops = [k for k in range(1, len(power) - 1) if power[k] > power[k - 1] and power[k] >= power[k + 1] and power[k] > 1.0]
+            peaks += [(frame, k) for k in sorted(tops, key=lambda k: -power[k])[: media.PEAKS]]
+        pairs = sorted((t, k << 10 | m << 2 | u - t) for t, k in peaks for u, m in peaks if 1 <= u - t <= media.REACH)
+        assert list(zip(got[i]["times"], got[i]["codes"])) == pairs
+        checked += len(pairs)
+    assert checked > 100
+
+
+def test_toxicity_scores_by_brute_force(spark):
+    """Every window of a text through both dictionaries, one by one, and the calibration's formula."""
+    import math
+
+    import zstandard
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    found = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, model).collect()}
+
+    def length(word, part):
+        held = zstandard.ZstdCompressionDict(part[-toxicity.DICTIONARY_BYTES :] + toxicity._AFTER + toxicity._BEFORE, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        held.precompute_compress(level=toxicity.LEVEL)
+        plain = zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=held, write_checksum=False, write_content_size=False, write_dict_id=False)
+        return len(plain.compress(toxicity._BEFORE + f" {word} ".encode() + toxicity._AFTER))
+
+    gain = {}
+    for row in docs.orderBy("doc_id").limit(12).collect():
+        words = (row["text"] or "").lower().split()
+        for w in words:
+            if w not in gain:
+                gain[w] = length(w, model.parts[1]) - length(w, model.parts[0])
+        gains = sorted((gain[w] for w in words), reverse=True)
+        high = [g for g in gains if g >= 2]
+        x = [max(0, g) for g in (gains + [0, 0, 0])[:3]] + [math.log(1 + v) for v in (sum(high), len(high), len(gains))]
+        z = model.beta[-1] + sum(b * (v - m) / s for b, v, m, s in zip(model.beta, x, model.mean, model.scale))
+        assert abs(found[row["doc_id"]] - 1 / (1 + math.exp(-z))) < 1e-9
