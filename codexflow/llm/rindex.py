@@ -20,7 +20,9 @@ one minimizer form a stretch of text. The steps, all of one plan:
 
 A minimizer of more than ``HOT`` documents (a passage in much of the corpus has one at each end, with
 a different neighbourhood in every document) is not gathered: parts hand on its distinct windows one
-by one, and these are dealt out by their own hash, so a task gets at most one row a part for each.
+by one, and these are dealt out by their own hash, so a task gets at most one row a part for each. The same
+goes for a minimizer whose stretches are as many bytes as those of so many documents: a text of short period is one long
+stretch, of few distinct windows. What one minimizer brings to a task is thus bounded in bytes.
 
 Defined results: a null text is empty; texts under ``LENGTH`` bytes lose nothing and match nothing;
 rows of a null id lose nothing and match nothing; rows that repeat an id are one document, and
@@ -43,6 +45,8 @@ from codexflow.llm.common import text_bytes
 LENGTH, GRAM = 50, 16
 #: Documents with one minimizer from which on its windows are dealt out one by one.
 HOT = 20_000
+#: The longest stretch of one place of a minimizer. Documents with more than ``LONG`` such stretches each weigh more than one.
+WIDEST, LONG = 2 * LENGTH - GRAM, 4
 #: Copies of one text from which on they are dealt out by id, and the number of such texts at most.
 COPIES, MOST_COPIED = 1000, 10_000
 #: Text bytes of a part, and of the stretches that one index holds (a minimizer's stretches stay together).
@@ -320,11 +324,14 @@ def _usable(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
 
 
 def _report(table: pa.Table) -> pa.Table:
-    """Minimizers of a part, with the number of its documents that have each."""
+    """Minimizers of a part, with the number of its documents that have each, or with the number that
+    its stretches' bytes stand for if that is far more."""
     ids, texts = _usable(table)
-    text, _, _, value = stretches(texts)
+    text, first, last, value = stretches(texts)
     pair = np.unique(np.stack([value.astype(np.int64), ids[text]], 1), axis=0)
     m, docs = np.unique(pair[:, 0], return_counts=True)
+    widths = np.bincount(np.searchsorted(m, value.astype(np.int64)), weights=last - first + LENGTH, minlength=len(m)).astype(np.int64) // WIDEST
+    docs = np.where(widths > LONG * docs, widths, docs)
     part = pa.array(np.full(len(m), table.column("part")[0].as_py()), pa.int64())
     return pa.table([pa.array(m), part, pa.array(docs.astype(np.int64))], names=["m", "part", "docs"])
 
@@ -337,7 +344,7 @@ def _hand_on(key, table: pa.Table, shared: pa.Table) -> pa.Table:
         ids, texts = _usable(table)
         for text, first, last, m in zip(*(x.tolist() for x in stretches(texts, np.sort(shared.column("m").to_numpy()).astype(np.uint64)))):
             doc, whole = int(ids[text]), texts[text][first : last + LENGTH]
-            for value in [whole[i : i + LENGTH] for i in range(last - first + 1)] if m in hot else [whole]:
+            for value in (whole[i : i + LENGTH] for i in range(last - first + 1)) if m in hot else [whole]:
                 row = rows.setdefault(value, [m, doc, doc, m in hot])
                 row[1], row[2] = min(row[1], doc), max(row[2], doc)
     m, least, most, hot_ = (pa.array([r[k] for r in rows.values()], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.bool_())))
@@ -359,10 +366,14 @@ def _mark(key, table: pa.Table, matches: pa.Table) -> pa.Table:
         hot = set(matches.filter(matches.column("hot")).column("m").to_pylist())
         for text, first, last, m in zip(*(x.tolist() for x in stretches(distinct, wanted))):
             own, spans = found[distinct[text]]
-            for at, to in [(w, w) for w in range(first, last + 1)] if m in hot else [(first, last)]:
+            for at, to in ((w, w) for w in range(first, last + 1)) if m in hot else [(first, last)]:
                 for begin, stop, least in known.get((m, _digest(distinct[text][at : to + LENGTH])), ()):
-                    if least < own:
-                        spans.append((at + begin, at + stop - 1 + LENGTH))
+                    if least >= own:
+                        continue
+                    begin, stop = at + begin, at + stop - 1 + LENGTH
+                    if spans and spans[-1][0] <= begin <= spans[-1][1]:  # neighbouring windows
+                        begin, stop = spans[-1][0], max(stop, spans.pop()[1])
+                    spans.append((begin, stop))
     spans = []
     for i, text in zip(ids, texts):
         least, own = found.get(text, (i, []))

@@ -8,6 +8,8 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import public_tokenizers
 import tiktoken
@@ -444,6 +446,39 @@ def test_run_length_index(docs, rows, nothing, hot, copies, monkeypatch):
     assert rindex.remove_repeats(nothing).count() == 0
 
 
+def test_periodic_texts_are_dealt_out_by_windows(spark):
+    """A text of short period is one long stretch: its few distinct windows are handed on, not its bytes."""
+    rng = random.Random(8)
+    draw = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    texts = [draw(40) + "-=" * rng.randint(400, 900) + draw(40) + "cell | " * rng.randint(100, 300) for _ in range(40)]
+    texts += ["-=" * 30, "=-" * 26 + "x", "x" * 5000, "y" + "x" * 49, "x" * 50, draw(400)]
+    first = {}
+    for i, t in enumerate(texts):
+        for k in range(len(t) - 49):
+            first.setdefault(t[k : k + 50], i)
+    wanted = []
+    for i, t in enumerate(texts):
+        gone = bytearray(len(t))
+        for k in range(len(t) - 49):
+            if first[t[k : k + 50]] < i:
+                gone[k : k + 50] = b"\1" * 50
+        spans = sum(1 for k in range(len(t)) if gone[k] and not (k and gone[k - 1]))
+        wanted.append((i, len(t), sum(gone), spans, hashlib.sha256("".join(c for c, g in zip(t, gone) if not g).encode()).hexdigest()))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for hot in (20_000, 45):  # 46 documents at most have a minimizer; beyond that only bytes count
+        same(rindex.remove_repeats(df, hot=hot).drop("spans"), wanted)
+    ends = [draw(40) for _ in range(80)]
+    handed = []
+    for scale in (1, 8):
+        texts = [ends[i] + "-=" * scale * (400 + i) + ends[40 + i] + "cell | " * scale * (100 + i) for i in range(40)]
+        table = pa.table({"part": pa.array([0] * 40, pa.int64()), "id": pa.array(range(40), pa.int64()), "text": texts})
+        reported = rindex._report(table)
+        shared = pa.table({"part": reported.column("part"), "m": reported.column("m"), "hot": pc.greater(reported.column("docs"), 45)})
+        handed.append(rindex._hand_on((pa.scalar(0),), table, shared.filter(pc.greater(reported.column("docs"), 1))))
+    values = [t.column("value").to_pylist() for t in handed]
+    assert set(values[0]) == set(values[1]) and max(map(len, values[1])) <= rindex.WIDEST and any(handed[1].column("hot").to_pylist())
+
+
 def test_index_streams_patterns_from_outside():
     """Matching statistics and least ids of patterns, some of which no text of the index holds."""
     rng = random.Random(4)
