@@ -40,14 +40,15 @@ def segments_of(lines: Column) -> Column:
     return F.when(F.size(lines) > 0, F.filter(parts, lambda p: p.text != "")).otherwise(F.array().cast(_SEGMENTS))
 
 
-def _aligned(blocks: DataFrame, id_col: str) -> DataFrame:
-    """``rows`` array<struct<after, before>> of each block with its cells' segments; one row if they can't be aligned."""
+def _aligned(blocks: DataFrame, id_col: str, least: int) -> DataFrame:
+    """``rows`` array<struct<after, before>> of each block with its cells' segments; one row if a side has under ``least``
+    headings or none is common. With ``least`` 0 every block is cut into rows."""
     kind = pa.list_(pa.struct([("after", pa.string()), ("before", pa.string())]))
 
     def rows(new, old, whole_new, whole_old):
         heads = [[s["heading"] or "" for s in side] for side in (new, old)]
         common = {h for h in heads[0]} & {h for h in heads[1]}
-        if min(sum(s["heading"] is not None for s in side) for side in (new, old)) < 2 or not common:
+        if least and (min(sum(s["heading"] is not None for s in side) for side in (new, old)) < least or not common):
             return [{"after": whole_new, "before": whole_old}]
         pairs = common_subsequence(*heads)
         return [{"after": "" if i is None else new[i]["text"], "before": "" if j is None else old[j]["text"]} for i, j in pairs]
@@ -61,9 +62,10 @@ def _aligned(blocks: DataFrame, id_col: str) -> DataFrame:
     return blocks.select(id_col, "block", "new", "old", "whole_new", "whole_old").mapInArrow(work, f"`{id_col}` {kind_}, block int, rows array<struct<after:string,before:string>>")
 
 
-def document_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def document_rows(docs: DataFrame, id_col: str, text_col: str, least: int = 2) -> DataFrame:
     """``block``, ``kind`` (``paragraph`` or ``comparison``), ``row``, ``after``, ``before`` and ``format`` of every row of a document;
-    a paragraph's text is in ``after``. Rows are ordered by ``block`` and ``row``; null texts have none."""
+    a paragraph's text is in ``after``. Rows are ordered by ``block`` and ``row``; null texts have none. A comparison of which a
+    side has under ``least`` row headings is one row."""
     lines = F.split(F.col(text_col), "\n")
     named = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col), lines.alias("lines"), amendment_format(F.col(text_col)).alias("format"))
     bare = lambda x: F.regexp_replace(x, _ENDS, "")
@@ -79,7 +81,7 @@ def document_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     blocks = blocks.withColumn("old_at", old_at)
     new, old = F.slice("own", F.lit(1), F.col("old_at")), F.slice("own", F.col("old_at") + 2, F.greatest(F.size("own") - F.col("old_at") - 1, F.lit(0)))
     blocks = blocks.select(id_col, "format", "block", segments_of(new).alias("new"), segments_of(old).alias("old"), cell_text(new).alias("whole_new"), cell_text(old).alias("whole_old"))
-    rows = _aligned(blocks, id_col).select(id_col, "block", F.posexplode("rows").alias("row", "r")).select(id_col, "block", "row", "r.after", "r.before").filter("after <> '' or before <> ''")
+    rows = _aligned(blocks, id_col, least).select(id_col, "block", F.posexplode("rows").alias("row", "r")).select(id_col, "block", "row", "r.after", "r.before").filter("after <> '' or before <> ''")
     apart = F.startswith("after", F.lit("附則")) | F.startswith("before", F.lit("附則"))
     rows = rows.join(named.select(id_col, "format"), id_col).withColumn("apart", apart)
     inside = rows.filter("not apart").select(id_col, "format", (F.col("block") * 2 - 1).alias("block"), F.lit("comparison").alias("kind"), "row", "after", "before")

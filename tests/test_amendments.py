@@ -195,3 +195,17 @@ def test_documents(spark):
     whole = {r["doc"]: r["blocks"] for r in amendment_documents.documents(filled, "doc").collect()}
     assert [b["kind"] for b in whole["a"]] == ["paragraph", "comparison", "paragraph", "comparison"] and len(whole["a"][1]["rows"]) == 5
     assert set(whole) == {"a", "b", "e"}
+
+
+def test_amendment_rows_of_documents_with_few_headings(spark, tmp_path):
+    """Documents of which a side has no row heading, or only one, have the rows of the SQL too."""
+    import parity
+
+    from codexflow.plans.registry import ORACLE_SQL, QUERIES
+
+    rows = [(3, 5), (17, 6), (25, 5), (26, 10), (31, 3), (32, 5), (48, 15), (50, 5), *((60 + k, 7 * k + 1) for k in range(10))]
+    parts = [(k, f"name {k % 4}", f"Brand#{k}", "LARGE", size) for k, size in rows]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    con = parity.connect("/root/testdata/sf0.001")
+    con.execute(f"create or replace view part as select * from read_parquet('{tmp_path}/part.parquet/*.parquet')")
+    assert parity.difference(QUERIES["amendment_document_rows"](spark, str(tmp_path)), con, ORACLE_SQL["amendment_document_rows"]) == ""
