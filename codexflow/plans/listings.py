@@ -161,7 +161,7 @@ def comment_cards(t: Tables) -> DataFrame:
         F.when(status == "O", detail("案の公示日", " ", day, " ")).when(_key() % 2 == 0, detail("結果の公示日", day)).otherwise(detail("結果公示日", "<b>", day, "</b>")),
         detail("所管省庁", F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("<span>"), F.col("o_orderpriority"), F.lit("</span>"))).otherwise("")), F.lit("<ul><li>inner</li></ul></li>"),
     )
-    lists = t.orders.groupBy(F.expr("o_orderkey div 20").alias("page")).agg(F.array_join(F.collect_list(card), "\n").alias("cards"))
+    lists = t.orders.groupBy(F.expr("o_orderkey div 20").alias("page")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(_key().alias("k"), card.alias("c")))), lambda x: x["c"]), "\n").alias("cards"))
     html = _said("<ul><li>none</li></ul><ul class='egovui-list-comment-list'>", F.col("cards"), "</ul>", detail("所管省庁", "outside"))
     return comments.cards(markup.html_nodes(lists.select("page", html.alias("html")), "page", "html")).select(F.col("id").alias("page"), "case_id", "title", "ministry", "reception_start", "result_published")
 

@@ -39,20 +39,22 @@ def cards(nodes: DataFrame) -> DataFrame:
     lists = inside(nodes, "list_", (F.col("tag") == "ul") & has_class("egovui-list-comment-list"))
     card = inside(lists, "card", (F.col("tag") == "li") & (F.col("parent") == F.col("list_.place"))).filter("card is not null")
     parts = inside(inside(card, "head", F.col("tag") == "h2"), "detail", has_class("egovui-comment-detail"))
-    found = parts.groupBy("id", F.col("card.place").alias("card")).agg(
-        F.min_by(case_id(F.col("onclick")), F.when(has_class("egovui-link-area-cursor") & case_id(F.col("onclick")).isNotNull(), F.col("place"))).alias("case_id"),
-        F.min_by("text", F.when(F.col("head").isNotNull() & has_class("egovui-link"), F.col("place"))).alias("title"),
+    # The first span of a labelled value is its label, what follows in the element its value. The parts are grouped by labelled value
+    # and those by card, without a join: pages that are parsed twice could differ in the order of their cards.
+    first = lambda value, hit: F.min(F.when(hit, F.struct("place", value.alias("value"))))
+    labels = parts.groupBy("id", F.col("card.place").alias("card"), F.col("detail.place").alias("at"), F.col("detail.text").alias("whole")).agg(
+        first(case_id(F.col("onclick")), has_class("egovui-link-area-cursor") & case_id(F.col("onclick")).isNotNull()).alias("case"),
+        first(F.col("text"), F.col("head").isNotNull() & has_class("egovui-link")).alias("title"),
+        F.min_by("text", F.when((F.col("tag") == "span") & F.col("detail").isNotNull(), F.col("place"))).alias("label"),
     )
-    # The first span of a labelled value is its label, what follows in the element its value.
-    labels = parts.filter((F.col("tag") == "span") & F.col("detail").isNotNull()).groupBy("id", F.col("card.place").alias("card"), F.col("detail.place").alias("at"), F.col("detail.text").alias("whole")).agg(F.min_by("text", "place").alias("label"))
     value = F.when(F.startswith("whole", F.col("label")), F.substr("whole", F.length("label") + 1)).otherwise(F.col("whole"))
     labels = labels.withColumn("value", F.trim(value))
     filled = {}
     for label, name in CARD_LABELS.items():
         filled.setdefault(name, []).append(label)
-    values = labels.groupBy("id", "card").agg(*[F.nullif(F.max_by("value", F.when(F.col("label").isin(*names), F.col("at"))), F.lit("")).alias(name) for name, names in filled.items()])
-    joined = found.join(values, ["id", "card"], "left").withColumns({"case_id": F.coalesce("case_id", "own_id"), "title": F.coalesce("title", F.lit(""))})
-    return joined.filter("case_id is not null").select("id", "case_id", "title", "ministry", "reception_start", "reception_end", "result_published")
+    own = [F.min("case")["value"].alias("case_id"), F.coalesce(F.min("title")["value"], F.lit("")).alias("title")]
+    found = labels.groupBy("id", "card").agg(*own, *[F.nullif(F.max_by("value", F.when(F.col("label").isin(*names), F.col("at"))), F.lit("")).alias(name) for name, names in filled.items()])
+    return found.withColumn("case_id", F.coalesce("case_id", "own_id")).filter("case_id is not null").select("id", "case_id", "title", "ministry", "reception_start", "reception_end", "result_published")
 
 
 def cases(nodes: DataFrame, base_url: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Comment cases: cards of lists, labelled rows, attachments."""
 
+import random
+
 from codexflow.sources import comments, markup
 
 CARD = """<ul class="other egovui-list-comment-list">
@@ -39,3 +41,17 @@ def test_case(spark):
     assert [tuple(a) for a in case["attachments"]] == [("甲", "https://a.example/a.pdf"), ("添付", "https://b.example/pcm/download?i=1")]
     assert sorted(found) == [0, 2, 3] and (found[2]["title"], found[2]["attachments"], found[2]["opinion_count"]) == ("", [], None)
     assert (found[3]["title"], found[3]["opinion_count"]) == ("令", None)
+
+
+def test_cards_of_pages_that_change_from_run_to_run(spark):
+    """Cards in another order whenever the page is made: a value must not come to the card of another run's page."""
+
+    def made(batches):
+        for pdf in batches:
+            cards = [f"<li><h2><a class='egovui-link'>t{k}</a></h2><div class='egovui-comment-detail'><span>案件番号</span>{k}</div></li>" for k in range(300)]
+            random.SystemRandom().shuffle(cards)
+            yield pdf.assign(html="<ul class='egovui-list-comment-list'>" + "".join(cards) + "</ul>")
+
+    pages = spark.range(2).mapInPandas(made, "id long, html string")
+    found = comments.cards(markup.html_nodes(pages, "id", "html")).collect()
+    assert len(found) == 600 and all(r["title"] == f"t{r['case_id']}" for r in found)
