@@ -63,12 +63,12 @@ def _holding(short: DataFrame, long: DataFrame) -> DataFrame:
     return anchors.join(held, ["date", "gram"]).filter(F.contains("holder", F.col("core")) & (F.col("holder") != F.col("core"))).select("date", "core", "holder")
 
 
-def item_matches(events: DataFrame, items: DataFrame) -> DataFrame:
+def item_matches(events: DataFrame, items: DataFrame, longer_items: bool = True) -> DataFrame:
     """Best item of each event by equal dates and the cores of their titles.
 
     ``events`` has ``event``, ``date``, ``title``; ``items`` has ``date``, ``issue``, ``item``, ``title``. The
     confidence is a half and 0.45 of the title's score (``linking.title_score``); equal ones go to the first issue and item.
-    Null dates and titles match nothing.
+    Null dates and titles match nothing. Without ``longer_items`` an item's core may be held by the event's, but not hold it.
 
     A date's titles aren't paired: equal ones are one row, of which the first item counts, and one that holds
     another is found by a gram of the other.
@@ -79,7 +79,9 @@ def item_matches(events: DataFrame, items: DataFrame) -> DataFrame:
     asked, known = left.select("date", "core").distinct(), first.select("date", "core")
     ours = F.col("core").alias("item_core")
     pairs = asked.join(known, ["date", "core"]).select("date", "core", ours, F.lit(1.0).alias("score"))
-    pairs = pairs.union(_holding(known, asked).select("date", F.col("holder").alias("core"), ours, F.lit(0.8))).union(_holding(asked, known).select("date", "core", F.col("holder").alias("item_core"), F.lit(0.8)))
+    pairs = pairs.union(_holding(known, asked).select("date", F.col("holder").alias("core"), ours, F.lit(0.8)))
+    if longer_items:
+        pairs = pairs.union(_holding(asked, known).select("date", "core", F.col("holder").alias("item_core"), F.lit(0.8)))
     scored = pairs.join(first.withColumnRenamed("core", "item_core"), ["date", "item_core"])
     best = scored.groupBy("date", "core").agg(F.min_by(F.struct("score", "place", "item_title"), F.struct(-F.col("score"), F.col("place"))).alias("b"))
     best = stored(best, "best-items")

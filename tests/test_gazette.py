@@ -80,3 +80,17 @@ def test_a_date_of_equal_titles_makes_no_pairs(spark):
     rows = spark.range(20_000).select(F.col("id").alias("event"), F.lit("a").alias("date"), F.lit("甲乙丙丁規則").alias("title"))
     found = gazette.item_matches(rows, rows.select("date", F.lit(1).alias("issue"), F.col("event").alias("item"), "title"))
     assert found.groupBy("item", "confidence").count().collect() == [(0, 0.95, 20_000)]
+
+
+def test_item_title_match_where_items_hold_titles_of_events(spark, tmp_path):
+    """``old plate`` stands in ``cold plate``: an event's title held by an item's is no match of the query."""
+    import parity
+
+    from codexflow.plans.registry import ORACLE_SQL, QUERIES
+
+    names = ["old plate", "cold plate", "old plate", "bold cold plate", "hot gear", "hot gear"]
+    rows = [(k, name, "LARGE", size) for size in (1, 2) for k, name in enumerate(names[size - 1 :], 10 * size)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    con = parity.connect("/root/testdata/sf0.001")
+    con.execute(f"create or replace view part as select * from read_parquet('{tmp_path}/part.parquet/*.parquet')")
+    assert parity.difference(QUERIES["item_title_match"](spark, str(tmp_path)), con, ORACLE_SQL["item_title_match"]) == ""
