@@ -11,10 +11,13 @@ from pyspark.sql.window import Window
 
 from codexflow.operators import patterns as pattern_join
 from codexflow.operators.patterns import chosen
-from codexflow.sources.workspace import workspace
+from codexflow.operators.ranges import cells_between, cells_of, grid_cell
+from codexflow.sources.workspace import stored, workspace
 
 #: Patterns that one automaton takes; a larger dictionary is looked for in parts.
 MOST_PATTERNS = 500_000
+#: Widths of a range from which on a value is compared with each of that size.
+HUGE = 1 << 30
 
 
 def _finder(patterns: list[str], mode: str):
@@ -171,6 +174,42 @@ def best_match(left: DataFrame, right: DataFrame, left_id: str, rules: list[tupl
     return best.filter("best.score > 0").select(left_id, "best.*")
 
 
+def best_within(left: DataFrame, right: DataFrame, left_id: str, key: tuple[str, str], value: tuple[str, str], width: float, weights: tuple[float, float, float], order: str) -> DataFrame:
+    """Best-scored partner of every left row among the right rows of its key: id, ``order`` of the partner and ``score``.
+
+    ``weights`` are those of the equal key, of values less than ``width`` apart and of values that are both positive or both not; a null
+    value meets neither. Equal scores go to the partner of the least ``order``.
+
+    Nothing is paired to be scored. A key's right rows shrink to the first of each value and those to the first of each cell of a
+    grid, in cells of all sizes; a left row looks up the cells inside its range, some tens at most. Only the values in the cells at
+    the range's two ends, each a 65,536th of ``width``, are compared themselves, and values of ``HUGE`` widths and more, beside
+    which such a cell is no longer told apart.
+    """
+    sign = lambda v: F.col(v) > 0
+    finite = lambda v: F.abs(v) < float("inf")
+    known = right.select(F.col(key[1]).alias("key_"), F.col(value[1]).cast("double").alias("theirs_"), F.col(order).alias("order_")).filter("key_ is not null")
+    known = stored(known.groupBy("key_", "theirs_").agg(F.min("order_").alias("order_")), "values")
+    placed = known.filter(F.abs("theirs_") < HUGE * width).withColumn("at_", grid_cell(F.col("theirs_"), width))
+    cells = placed.select("key_", sign("theirs_").alias("sign_"), F.explode(cells_of(F.col("at_"))).alias("cell_"), "order_")
+    cells = stored(cells.groupBy("key_", "sign_", "cell_").agg(F.min("order_").alias("order_")), "cells")
+    signs = known.groupBy("key_", sign("theirs_").alias("sign_")).agg(F.min("order_").alias("order_"))
+
+    rows = left.select(F.col(left_id).alias("id_"), F.col(key[0]).alias("key_"), F.col(value[0]).cast("double").alias("ours_")).filter("key_ is not null")
+    usual = rows.filter(F.abs("ours_") < (HUGE + 1) * width)
+    low, high = grid_cell(F.col("ours_") - width, width), grid_cell(F.col("ours_") + width, width)
+    inner = usual.select("id_", "key_", sign("ours_").alias("own_"), F.explode(cells_between(low + 2, high - 1)).alias("cell_")).join(cells, ["key_", "cell_"])
+    ends = usual.select("id_", "key_", "ours_", F.explode(F.concat(F.sequence(low - 1, low + 1), F.sequence(high - 1, high + 1))).alias("at_")).join(placed, ["key_", "at_"])
+    large = rows.filter(finite("ours_") & (F.abs("ours_") >= (HUGE - 1) * width)).join(known.filter(finite("theirs_") & (F.abs("theirs_") >= HUGE * width)), "key_")
+    score = lambda near, same: F.lit(weights[0]) + F.lit(weights[1] if near else 0.0) + F.when(same, F.lit(weights[2])).otherwise(F.lit(0.0))
+    same = sign("ours_") == sign("theirs_")
+    found = inner.select("id_", score(True, F.col("own_") == F.col("sign_")).alias("s"), "order_")
+    for part in (ends, large):
+        found = found.unionByName(part.filter(F.abs(F.col("ours_") - F.col("theirs_")) < width).select("id_", score(True, same).alias("s"), "order_"))
+    found = found.unionByName(rows.join(signs, "key_").select("id_", score(False, sign("ours_") == F.col("sign_")).alias("s"), "order_"))
+    best = found.groupBy("id_").agg(F.min(F.struct((-F.col("s")).alias("s"), "order_")).alias("b"))
+    return best.select(F.col("id_").alias(left_id), F.col("b.order_").alias(order), (-F.col("b.s")).alias("score"))
+
+
 def best_by_keys(left: DataFrame, right: DataFrame, left_id: str, rules: list[tuple[str, str, str, float]], order: str) -> DataFrame:
     """Best-scored partner of every left row, of all right rows: id, ``order`` of the partner, ``score``, ``reasons``.
 

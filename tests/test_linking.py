@@ -50,3 +50,53 @@ def test_a_key_that_all_share_makes_no_pairs(spark):
     plan = found._jdf.queryExecution().executedPlan()
     joins = [line for line in plan.toString().splitlines() if "Join" in line]
     assert joins and not any("NestedLoop" in j or "Cartesian" in j for j in joins)
+
+
+def test_best_within_equals_all_pairs(spark):
+    """Values at the very ends of ranges, of both signs, huge, not finite and null."""
+    import math
+
+    rng = random.Random(7)
+    edges = [0.0, -0.0, 500.0, 499.99999999999994, 500.00000000000006, 1e-20, -1e-20, 1000.0, 1e11, 1e11 + 499.9, 5.4e11, 1e15, 1e15 + 400, 1e300, math.inf, -math.inf, math.nan, None]
+    some = lambda: rng.choice([rng.choice(edges), round(rng.uniform(-2000, 2000), 2), round(rng.uniform(-2000, 2000), 2)])
+    left = [(i, rng.choice([1, 2, 3, None]), some()) for i in range(400)]
+    right = [(o, rng.choice([1, 2, None]), some()) for o in range(120)]
+    want = {}
+    for i, k, x in left:
+        for o, key, y in right:
+            if k is not None and k == key:
+                close, above = x is not None and y is not None and abs(x - y) < 500, lambda v: None if v is None else v > 0 or math.isnan(v)
+                score = 0.4 + (0.35 if close else 0) + (0.15 if None not in (x, y) and above(x) == above(y) else 0)
+                want[i] = min(want.get(i, (0, 0)), (-round(score, 6), o))
+    made = lambda rows: spark.createDataFrame(rows, "id long, k int, v double")
+    found = linking.best_within(made(left), made(right).withColumnRenamed("id", "o"), "id", ("k", "k"), ("v", "v"), 500.0, (0.4, 0.35, 0.15), "o").collect()
+    assert {r["id"]: (-round(r["score"], 6), r["o"]) for r in found} == want and len(want) > 200
+    assert linking.best_within(made(left), made([]).withColumnRenamed("id", "o"), "id", ("k", "k"), ("v", "v"), 500.0, (0.4, 0.35, 0.15), "o").count() == 0
+
+
+def test_score_match_best_pairs_no_key(spark, tmp_path):
+    """A customer's rows grow with the levels of a grid, not with the suppliers of its nation."""
+    from pyspark.sql import functions as F
+
+    from codexflow.plans.registry import QUERIES
+
+    n = 3000
+    spark.range(n).select(F.col("id").alias("c_custkey"), F.lit(1).alias("c_nationkey"), (F.col("id") / 100).alias("c_acctbal")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(n).select(F.col("id").alias("s_suppkey"), F.lit(1).alias("s_nationkey"), (F.col("id") / 100).alias("s_acctbal")).write.parquet(f"{tmp_path}/supplier.parquet")
+    found = QUERIES["score_match_best"](spark, str(tmp_path))
+    # A balance of 0 isn't positive: the first supplier's sign is that of the first customer alone.
+    assert sorted(map(tuple, found.collect()))[:3] == [(0, 0, 0.9), (1, 1, 0.9), (2, 1, 0.9)]
+    joined = []
+    plans = [found._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            plans.append(plan.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            plans.append(plan.plan())
+        if "Join" in name:
+            joined.append(plan.metrics().apply("numOutputRows").value())
+        plans += [plan.children().apply(k) for k in range(plan.children().size())]
+    assert n <= sum(joined) < 60 * n, joined
