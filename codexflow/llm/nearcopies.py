@@ -1,7 +1,9 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-SimHash codes of such pairs differ in up to 17 of 64 bits, a radius for which no bands are both
-selective and complete. So candidates come from sets of keys instead: each of ``BANDS`` keys is a
+SimHash comes first: every shingle set has a 64-bit code, codes of three bits' difference at most are linked by
+the BK-trees of ``simhash``, and what hangs together by them has a key in common. The codes of pairs of that similarity
+differ in up to 17 bits, though, a radius for which no bands are both selective and complete. So further
+candidates come from sets of keys: each of ``BANDS`` keys is a
 digest of ``ROWS`` minima of the shingles' hashes, and a pair of similarity s shares one with
 probability 1 - (1 - s^ROWS)^BANDS, 0.998 at 0.8. Keys only propose, and only pairs whose sets
 reach the similarity are linked. What hangs together by keys is compared in one task if it has ``PART`` members
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 
 from codexflow.llm.common import RUN_BYTES, free_name, runs, stored, text_bytes
 from codexflow.llm.components import connected_components
+from codexflow.llm.simhash import codes_of, near_links
 
 ROWS, BANDS = 6, 20
 #: Documents that a part of a group holds.
@@ -139,17 +142,25 @@ def _star_batches(batches, similarity: float):
 
 
 def mark_documents(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """The id column, ``node`` (the digest of the shingle set) and ``keys`` of every row that has an id."""
+    """The id column, ``node`` (the digest of the shingle set), ``keys`` and ``code`` (its SimHash) of every row that has an id."""
 
     def work(batches):
         for whole in batches:
             for batch in runs(whole, "text_", RUN_BYTES // 4):  # a shingle takes over a hundred bytes here
                 sets = [shingle_set(t, shingle) for t in text_bytes(batch.column("text_"))]
                 keys = pa.ListArray.from_arrays(np.arange(0, BANDS * len(sets) + 1, BANDS, dtype=np.int32), band_keys(sets).ravel())
-                yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array([digest(s) for s in sets], pa.int64()), keys], names=[id_col, "node", "keys"])
+                codes = codes_of(np.concatenate([np.zeros(0, np.uint64), *sets]), np.array([len(s) for s in sets], np.int64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array([digest(s) for s in sets], pa.int64()), keys, pa.array(codes)], names=[id_col, "node", "keys", "code"])
 
     narrow = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col), F.col(text_col).alias("text_"))
-    return narrow.mapInArrow(work, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, node long, keys array<long>")
+    return narrow.mapInArrow(work, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, node long, keys array<long>, code long")
+
+
+def with_code_keys(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with one more key each: the least code of those that its own hangs together with, within three bits a link."""
+    label = connected_components(near_links(nodes.select("code").distinct())).select(F.col("node").alias("code"), "label")
+    keyed = nodes.join(label, "code", "left").withColumn("keys", F.concat("keys", F.array(F.coalesce("label", "code"))))
+    return keyed.select(*nodes.columns)
 
 
 def key_heads(nodes: DataFrame) -> DataFrame:
@@ -223,7 +234,8 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     with it; rows whose id is null stay, as no decision can name them.
     """
     marked = stored(mark_documents(docs, shingle, id_col, text_col), "marked")
-    nodes = stored(marked.groupBy("node").agg(F.min(id_col).alias("least"), F.first("keys").alias("keys")), "nodes")
+    nodes = stored(marked.groupBy("node").agg(F.min(id_col).alias("least"), F.first("keys").alias("keys"), F.first("code").alias("code")), "nodes")
+    nodes = stored(with_code_keys(nodes), "nodes")
     label = connected_components(similar_links(docs, nodes, shingle, similarity, id_col, text_col))
     classed = nodes.select("node", "least").join(label, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     least = classed.groupBy("label").agg(F.min("least").alias("component_id"))

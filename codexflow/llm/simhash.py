@@ -50,10 +50,15 @@ def fingerprints(texts: list[bytes], shingle: int) -> np.ndarray:
         before = len(hashes)
         hashes += [digest(joined[a:b], 42) for a, b in spans]
         counts[i] = len(hashes) - before
-    out = np.zeros(len(texts), np.uint64)
+    return codes_of(np.array(hashes, np.uint64), counts)
+
+
+def codes_of(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """uint64 fingerprint of each run of ``counts`` hashes; zero of none."""
+    out = np.zeros(len(counts), np.uint64)
     full = np.flatnonzero(counts)
     if len(full):
-        bits = np.unpackbits(np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         sums = np.add.reduceat(bits, np.concatenate([[0], np.cumsum(counts[full])[:-1]]), axis=0, dtype=np.int64)
         out[full] = np.packbits(2 * sums > counts[full, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
     return out

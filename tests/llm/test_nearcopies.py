@@ -102,3 +102,19 @@ def test_members_that_only_other_members_join(spark, monkeypatch):
                 group = [group[b] if g == group[a] else g for g in group]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(r["doc_id"] for r in nearcopies.drop_near_copies(df).collect()) == sorted({group.index(g) for g in group})
+
+
+def test_codes_of_three_bits_propose(spark):
+    """SimHash alone: nodes that have no other key in common are linked if their codes are close and their sets similar."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(9000)}" for _ in range(3000)]
+    copy, other = list(base), [f"w{rng.randrange(9000)}" for _ in range(300)]
+    copy[-1] = "changed"
+    df = spark.createDataFrame([(0, " ".join(base)), (1, " ".join(copy)), (2, " ".join(other))], "doc_id long, text string")
+    marked = nearcopies.mark_documents(df, 5, "doc_id", "text").withColumnRenamed("doc_id", "least").withColumn("keys", F.array("node")).cache()
+    node = {r["least"]: r["node"] for r in marked.collect()}
+    linked = nearcopies.similar_links(df, nearcopies.with_code_keys(marked), 5, 0.8, "doc_id", "text").collect()
+    assert {frozenset(r) for r in linked} == {frozenset((node[0], node[1]))}
+    assert nearcopies.similar_links(df, marked, 5, 0.8, "doc_id", "text").count() == 0
