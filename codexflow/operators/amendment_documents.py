@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from codexflow.functions.gazette import is_row_heading
 from codexflow.functions.text import amendment_format
+from codexflow.operators.batches import slices
 from codexflow.operators.segments import joined_lines
 from codexflow.operators.textdiff import common_subsequence
 
@@ -54,7 +55,7 @@ def _aligned(blocks: DataFrame, id_col: str, least: int) -> DataFrame:
         return [{"after": "" if i is None else new[i]["text"], "before": "" if j is None else old[j]["text"]} for i, j in pairs]
 
     def work(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = [rows(*r) for r in zip(*(batch.column(c).to_pylist() for c in ("new", "old", "whole_new", "whole_old")))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind)], names=[id_col, "block", "rows"])
 

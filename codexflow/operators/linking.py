@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from codexflow.operators import patterns as pattern_join
+from codexflow.operators.batches import slices
 from codexflow.operators.patterns import chosen
 from codexflow.operators.ranges import cells_between, cells_of, grid_cell
 from codexflow.sources.workspace import stored, workspace
@@ -57,7 +58,7 @@ def find_patterns(texts: DataFrame, id_col: str, text_col: str, patterns: list[s
 
     def work(batches):
         finders = [_finder(p.value, mode if len(parts) == 1 else "overlapping") for p in parts]
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 hits = [h for find in finders for h in find(t or "")]
@@ -80,7 +81,7 @@ def patterns_held(texts: DataFrame, id_col: str, text_col: str, patterns: list[s
 
     def work(batches):
         finders = [_finder(p.value, mode if len(parts) == 1 else "overlapping") for p in parts]
-        for batch in batches:
+        for batch in slices(batches):
             ids, held, lines = [], [], []
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 hits = [h for find in finders for h in find(t or "")]

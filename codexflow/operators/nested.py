@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codexflow.operators.batches import slices
 from codexflow.operators.textdiff import text_operations
 
 PARAGRAPH = "struct<paragraph_no:string,text:string>"
@@ -92,7 +93,7 @@ def diff_articles(pairs: DataFrame, unchanged: bool = False) -> DataFrame:
         return out
 
     def work(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [None if steps is None else [said(s) for s in steps] for steps in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, kind)], names=[*batch.schema.names[:-1], "paragraphs"])
 

@@ -20,6 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codexflow.operators.batches import slices
 from codexflow.sources.workspace import workspace
 
 #: Bits of the bitmap for each anchor, and bits at most (16 MB).
@@ -52,7 +53,7 @@ def _pattern_grams(patterns: DataFrame, gram: int) -> DataFrame:
     """``pattern``, ``offset`` and ``key`` (its hash) of every gram of a pattern."""
 
     def work(batches):
-        for batch in batches:
+        for batch in slices(batches):
             held = batch.column(0).to_pylist()
             found = [gram_hashes(p, gram) for p in held]
             sizes = [len(f) for f in found]
@@ -88,7 +89,7 @@ def _met(text: str, gram: int, bitmap: np.ndarray, shift: int):
 def _place_batches(batches, gram: int, shared: Broadcast, shift: int, counted: bool):
     """Places and hashes of met grams; if ``counted``, only how often each hash is met in the batch."""
     bitmap = np.frombuffer(shared.value, np.uint8)
-    for batch in batches:
+    for batch in slices(batches):
         ids, places, keys = [], [], []
         for k, text in enumerate(batch.column("text_").to_pylist()):
             for place, key in _met(text or "", gram, bitmap, shift):
@@ -154,7 +155,7 @@ def find(texts: DataFrame, id_col: str, text_col: str, patterns: DataFrame, patt
     """``id``, ``pattern``, ``begin`` and ``stop`` of every hit, and ``rest``, the ``tail`` characters behind it."""
 
     def work(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for i, t, hits in zip(*(c.to_pylist() for c in batch.columns)):
                 rows += [(i, p, a, b, t[b : b + tail]) for a, b, p in _there(t, hits, mode)]
@@ -172,7 +173,7 @@ def held(texts: DataFrame, id_col: str, text_col: str, patterns: DataFrame, patt
     its lines that hold each. One row a text."""
 
     def work(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, names, lines = [], [], []
             for i, t, hits in zip(*(c.to_pylist() for c in batch.columns)):
                 found = _there(t, hits, mode)
