@@ -65,22 +65,25 @@ def cases(nodes: DataFrame, base_url: str) -> DataFrame:
     its cell and is null where there are none or the number is over 32 bits.
     """
     tables = inside(nodes, "table_", (F.col("tag") == "table") & has_class("egovui-normal-horizontal"))
-    rows = inside(tables.filter(F.col("table_").isNotNull()), "row", F.col("tag") == "tr").filter("row is not null")
-    first = lambda tag: F.min_by("text", F.when(F.col("tag") == tag, F.col("place"))).alias(tag)
-    pairs = rows.groupBy("id", F.col("row.place").alias("at")).agg(first("th"), first("td")).filter("th is not null and td is not null")
-    label = F.regexp_replace("th", r"(?U)\s+", "")
-    cell = lambda name: F.nullif(F.min_by("td", F.when(F.col("label") == name, F.col("at"))), F.lit(""))
-    values = pairs.withColumn("label", label).groupBy("id").agg(*[F.coalesce(*map(cell, names)).alias(field) for field, names in CASE_LABELS.items()])
+    rows = inside(tables, "row", (F.col("tag") == "tr") & F.col("table_").isNotNull())
+    at = F.when(F.col("table_").isNotNull(), F.col("row.place")).alias("at")  # null outside of such tables and rows
     href = F.coalesce("href", F.lit(""))
     is_file = (F.col("tag") == "a") & (href != "") & (has_class("file") | F.contains(href, F.lit("/pcm/download")))
     url = F.when(F.startswith(href, F.lit("http")), href).otherwise(F.concat(F.lit(base_url), href))
     file = F.struct("place", F.coalesce(F.nullif("text", F.lit("")), F.lit(UNNAMED)).alias("name"), url.alias("url"))
-    pages = nodes.groupBy("id").agg(
-        F.min_by("text", F.when((F.col("tag") == "h1") & has_class("egovui-article-title"), F.col("place"))).alias("heading"),
-        F.transform(F.array_sort(F.collect_list(F.when(is_file, file))), lambda f: F.struct(f["name"].alias("name"), f["url"].alias("url"))).cast(f"array<{ATTACHMENT}>").alias("attachments"),
+    # A page is parsed once: its elements are grouped by row and those by page, in the partitions that the windows have made.
+    first = lambda tag: F.min_by("text", F.when((F.col("tag") == tag) & at.isNotNull(), F.col("place"))).alias(tag)
+    titled = F.when((F.col("tag") == "h1") & has_class("egovui-article-title"), F.struct("place", "text"))
+    parts = rows.groupBy("id", at).agg(first("th"), first("td"), F.min(titled).alias("heading"), F.collect_list(F.when(is_file, file)).alias("files"))
+    label = F.when(F.col("td").isNotNull(), F.regexp_replace("th", r"(?U)\s+", ""))
+    cell = lambda name: F.nullif(F.min_by("td", F.when(F.col("label") == name, F.col("at"))), F.lit(""))
+    pages = parts.withColumn("label", label).groupBy("id").agg(
+        *[F.coalesce(*map(cell, names)).alias(field) for field, names in CASE_LABELS.items()],
+        F.min("heading")["text"].alias("heading"),
+        F.transform(F.array_sort(F.flatten(F.collect_list("files"))), lambda f: F.struct(f["name"].alias("name"), f["url"].alias("url"))).cast(f"array<{ATTACHMENT}>").alias("attachments"),
     )
     digits = F.regexp_replace("opinion_count", "[^0-9]", "").try_cast("long")
-    return pages.join(values, "id", "left").select(
+    return pages.select(
         "id", F.coalesce(F.nullif("heading", F.lit("")), "command_title", F.lit("")).alias("title"), short_ministry(F.col("responsible_office")).alias("ministry"),
         *[c for c in CASE_LABELS if c != "opinion_count"], F.when(digits < 1 << 32, digits).alias("opinion_count"), law_of_basis(F.col("legal_basis")).alias("related_law_name"), "attachments",
     )

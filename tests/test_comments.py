@@ -55,3 +55,8 @@ def test_cards_of_pages_that_change_from_run_to_run(spark):
     pages = spark.range(2).mapInPandas(made, "id long, html string")
     found = comments.cards(markup.html_nodes(pages, "id", "html")).collect()
     assert len(found) == 600 and all(r["title"] == f"t{r['case_id']}" for r in found)
+
+
+def test_cases_parse_a_page_once(spark):
+    found = comments.cases(nodes(spark, CASE), "https://a.example")
+    assert found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("MapInArrow") == 1
