@@ -12,13 +12,15 @@ from pyspark.sql.window import Window
 from codexflow.operators import patterns as pattern_join
 from codexflow.operators.batches import slices
 from codexflow.operators.patterns import chosen
-from codexflow.operators.ranges import cells_between, cells_of, grid_cell
+from codexflow.operators.ranges import LEVELS, grid_cell
 from codexflow.sources.workspace import stored, workspace
 
 #: Patterns that one automaton takes; a larger dictionary is looked for in parts.
 MOST_PATTERNS = 500_000
 #: Widths of a range from which on a value is compared with each of that size.
 HUGE = 1 << 30
+#: Grid cells that lie inside each range of two widths, wherever it begins; and those of a block.
+BLOCK = (2 << LEVELS) - 4
 
 
 def _finder(patterns: list[str], mode: str):
@@ -181,36 +183,59 @@ def best_within(left: DataFrame, right: DataFrame, left_id: str, key: tuple[str,
     ``weights`` are those of the equal key, of values less than ``width`` apart and of values that are both positive or both not; a null
     value meets neither. Equal scores go to the partner of the least ``order``.
 
-    Nothing is paired to be scored. A key's right rows shrink to the first of each value and those to the first of each cell of a
-    grid, in cells of all sizes; a left row looks up the cells inside its range, some tens at most. Only the values in the cells at
-    the range's two ends, each a 65,536th of ``width``, are compared themselves, and values of ``HUGE`` widths and more, beside
-    which such a cell is no longer told apart.
+    Nothing is paired to be scored, and a left row is sent on a fixed number of times. A range has ``BLOCK`` cells of a grid, of a 65,536th
+    of ``width`` each, that lie wholly inside it: the end of one block of that many cells and the beginning of the next, so the first
+    partner of each sign there is a running minimum over a block's cells from either side. Ranges that begin in one cell share it, so
+    a block never holds more than ``BLOCK`` cells and as many ranges. Only the values in the few cells at the range's two ends are
+    compared themselves, and values of ``HUGE`` widths and more, beside which such a cell is no longer told apart.
     """
     sign = lambda v: F.col(v) > 0
     finite = lambda v: F.abs(v) < float("inf")
     known = right.select(F.col(key[1]).alias("key_"), F.col(value[1]).cast("double").alias("theirs_"), F.col(order).alias("order_")).filter("key_ is not null")
     known = stored(known.groupBy("key_", "theirs_").agg(F.min("order_").alias("order_")), "values")
     placed = known.filter(F.abs("theirs_") < HUGE * width).withColumn("at_", grid_cell(F.col("theirs_"), width))
-    cells = placed.select("key_", sign("theirs_").alias("sign_"), F.explode(cells_of(F.col("at_"))).alias("cell_"), "order_")
-    cells = stored(cells.groupBy("key_", "sign_", "cell_").agg(F.min("order_").alias("order_")), "cells")
     signs = known.groupBy("key_", sign("theirs_").alias("sign_")).agg(F.min("order_").alias("order_"))
 
     rows = left.select(F.col(left_id).alias("id_"), F.col(key[0]).alias("key_"), F.col(value[0]).cast("double").alias("ours_")).filter("key_ is not null")
-    usual = rows.filter(F.abs("ours_") < (HUGE + 1) * width)
-    low, high = grid_cell(F.col("ours_") - width, width), grid_cell(F.col("ours_") + width, width)
-    inner = usual.select("id_", "key_", sign("ours_").alias("own_"), F.explode(cells_between(low + 2, high - 1)).alias("cell_")).join(cells, ["key_", "cell_"])
-    ends = usual.select("id_", "key_", "ours_", F.explode(F.concat(F.sequence(low - 1, low + 1), F.sequence(high - 1, high + 1))).alias("at_")).join(placed, ["key_", "at_"])
+    usual = rows.filter(F.abs("ours_") < (HUGE + 1) * width).withColumn("low_", grid_cell(F.col("ours_") - width, width))
+    usual = usual.withColumn("own_", sign("ours_"))
+    inner = usual.join(stored(_firsts_of_ranges(placed, usual.select("key_", "low_").distinct()), "ranges"), ["key_", "low_"])
+    # The range's cells at its ends, by the cell where it begins: ``grid_cell`` of the other end is at most one more or less than 2 widths away.
+    edge = [*range(-1, 2), *range(BLOCK + 2, (2 << LEVELS) + 3)]
+    edges = placed.select("key_", "theirs_", "order_", F.explode(F.array(*[F.col("at_") - n for n in edge])).alias("low_"))
+    ends = usual.join(edges, ["key_", "low_"])
     large = rows.filter(finite("ours_") & (F.abs("ours_") >= (HUGE - 1) * width)).join(known.filter(finite("theirs_") & (F.abs("theirs_") >= HUGE * width)), "key_")
     score = lambda near, same: F.lit(weights[0]) + F.lit(weights[1] if near else 0.0) + F.when(same, F.lit(weights[2])).otherwise(F.lit(0.0))
     same = sign("ours_") == sign("theirs_")
-    found = inner.select("id_", score(True, F.col("own_") == F.col("sign_")).alias("s"), "order_")
+    best_of = lambda s, found: F.when(found.isNotNull(), F.struct((-s).alias("s"), found.alias("order_")))
+    # Of the two firsts of a range the better one is kept at once.
+    two = F.least(best_of(score(True, F.col("own_")), F.col("above_")), best_of(score(True, ~F.col("own_")), F.col("below_")))
+    found = inner.select("id_", two.alias("b"))
     for part in (ends, large):
-        found = found.unionByName(part.filter(F.abs(F.col("ours_") - F.col("theirs_")) < width).select("id_", score(True, same).alias("s"), "order_"))
-    found = found.unionByName(rows.join(signs, "key_").select("id_", score(False, sign("ours_") == F.col("sign_")).alias("s"), "order_"))
-    best = found.groupBy("id_").agg(F.min(F.struct((-F.col("s")).alias("s"), "order_")).alias("b"))
+        found = found.unionByName(part.filter(F.abs(F.col("ours_") - F.col("theirs_")) < width).select("id_", best_of(score(True, same), F.col("order_")).alias("b")))
+    found = found.unionByName(rows.join(signs, "key_").select("id_", best_of(score(False, sign("ours_") == F.col("sign_")), F.col("order_")).alias("b")))
+    best = found.groupBy("id_").agg(F.min("b").alias("b"))
     return best.select(F.col("id_").alias(left_id), F.col("b.order_").alias(order), (-F.col("b.s")).alias("score"))
 
 
+def _firsts_of_ranges(placed: DataFrame, begins: DataFrame) -> DataFrame:
+    """``above_`` and ``below_``, the least ``order_`` of positive and of other values, over the ``BLOCK`` cells from the second after ``low_``."""
+    least = lambda hit: F.min(F.when(hit, F.col("order_")))
+    cells = placed.groupBy("key_", "at_").agg(least(F.col("theirs_") > 0).alias("above_"), least(F.col("theirs_") <= 0).alias("below_"))
+    cells = cells.select("key_", "at_", F.lit(None).cast("bigint").alias("low_"), "above_", "below_")
+    sides = []
+    for from_end in (True, False):
+        # The first range side goes to the end of its block, the second up to before the same place in the next block.
+        none = [F.lit(None).cast(cells.schema[c].dataType).alias(c) for c in ("above_", "below_")]
+        asked = begins.select("key_", (F.col("low_") + (2 if from_end else 2 + BLOCK)).alias("at_"), "low_", *none)
+        at = F.col("at_").desc() if from_end else F.col("at_")
+        asks = F.col("low_").isNotNull()
+        by = Window.partitionBy("key_", F.floor(F.col("at_") / BLOCK)).orderBy(at, asks if from_end else ~asks).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        running = cells.unionByName(asked).select("key_", "low_", F.min("above_").over(by).alias("above_"), F.min("below_").over(by).alias("below_"))
+        sides.append(running.filter("low_ is not null and (above_ is not null or below_ is not null)"))
+    return sides[0].unionByName(sides[1]).groupBy("key_", "low_").agg(F.min("above_").alias("above_"), F.min("below_").alias("below_"))
+
+
 def best_by_keys(left: DataFrame, right: DataFrame, left_id: str, rules: list[tuple[str, str, str, float]], order: str) -> DataFrame:
     """Best-scored partner of every left row, of all right rows: id, ``order`` of the partner, ``score``, ``reasons``.
 

@@ -1,8 +1,4 @@
-"""Ranges of numbers as cells of a grid: what lies in a range is looked up by equal keys, without comparing rows.
-
-A cell of level n is 2**n grid cells wide, up to ``LEVELS``; a range of grid cells is made up of two cells of each level at most
-and the few of the last level between them.
-"""
+"""Ranges of numbers as cells of a grid: what lies in a range is looked up by equal keys, without comparing rows."""
 
 from __future__ import annotations
 
@@ -15,22 +11,3 @@ LEVELS = 16
 def grid_cell(value: Column, width: float) -> Column:
     """Number of the grid cell; ``width`` has 2**LEVELS of them. It never falls where the value grows."""
     return F.floor(value / F.lit(width / (1 << LEVELS)))
-
-
-def cells_of(cell: Column) -> Column:
-    """``level`` and ``cell`` of every size that hold a grid cell."""
-    return F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda n: F.struct(n.alias("level"), F.call_function("shiftright", cell, n).alias("cell")))
-
-
-def cells_between(first: Column, stop: Column) -> Column:
-    """``level`` and ``cell`` of the cells that make up the grid cells from ``first`` up to before ``stop``, each once."""
-
-    def ends(n: Column) -> Column:
-        low, high = -F.call_function("shiftright", -first, n), F.call_function("shiftright", stop, n)
-        taken = lambda odd, cell: F.when((low < high) & (odd % 2 != 0), F.struct(n.alias("level"), cell.alias("cell")))
-        return F.array(taken(low, low), taken(high, high - 1))
-
-    low, high = -F.call_function("shiftright", -first, F.lit(LEVELS)), F.call_function("shiftright", stop, F.lit(LEVELS))
-    whole = F.when(low < high, F.transform(F.sequence(low, high - 1), lambda c: F.struct(F.lit(LEVELS).alias("level"), c.alias("cell"))))
-    sides = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), ends))
-    return F.array_compact(F.concat(sides, F.coalesce(whole, F.array().cast("array<struct<level:int,cell:bigint>>"))))

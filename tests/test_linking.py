@@ -100,3 +100,34 @@ def test_score_match_best_pairs_no_key(spark, tmp_path):
             joined.append(plan.metrics().apply("numOutputRows").value())
         plans += [plan.children().apply(k) for k in range(plan.children().size())]
     assert n <= sum(joined) < 60 * n, joined
+
+
+def test_best_within_sends_a_row_on_a_fixed_number_of_times(spark):
+    """Without broadcasts, what is shuffled is a few records a left row, not one for each cell of its range."""
+    from pyspark.sql import functions as F
+
+    n = 3000
+    rng = random.Random(3)
+    left = spark.createDataFrame([(i, i % 3, round(rng.uniform(-1000, 10000), 2)) for i in range(n)], "id long, k int, v double")
+    right = spark.createDataFrame([(i, i % 3, round(rng.uniform(-1000, 10000), 2)) for i in range(200)], "o long, k int, v double")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = linking.best_within(left, right, "id", ("k", "k"), ("v", "v"), 500.0, (0.4, 0.35, 0.15), "o")
+        assert found.filter(F.col("score") > 0).count() == n
+        found.collect()
+        sent, plans = 0, [found._jdf.queryExecution().executedPlan()]
+        while plans:
+            plan = plans.pop()
+            name = plan.nodeName()
+            if name == "AdaptiveSparkPlan":
+                plans.append(plan.executedPlan())
+                continue
+            if name.endswith("QueryStage"):
+                plans.append(plan.plan())
+            if name == "Exchange":
+                sent += plan.metrics().apply("shuffleRecordsWritten").value()
+            plans += [plan.children().apply(k) for k in range(plan.children().size())]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert n <= sent < 12 * n, sent
