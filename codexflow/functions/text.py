@@ -26,8 +26,12 @@ def tokens(text: Column) -> Column:
     A run of CJK characters gives its overlapping bigrams (a single one gives itself), any other run
     of letters and digits gives one token in lower case; everything else separates.
     """
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"[{CJK}]+|[\p{{L}}\p{{N}}&&[^{CJK}]]+"), F.lit(0))
-    return F.flatten(F.transform(found, _of_run))
+    text = F.coalesce(text, F.lit(""))
+    found = F.regexp_extract_all(text, F.lit(rf"[{CJK}]+|[\p{{L}}\p{{N}}&&[^{CJK}]]+"), F.lit(0))
+    # Most texts have no CJK character or are ASCII alone, and then a plainer pattern finds the same.
+    other = F.transform(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), F.lower)
+    ascii_ = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
+    return F.when(F.octet_length(text) == F.length(text), ascii_).when(~text.rlike(f"[{CJK}]"), other).otherwise(F.flatten(F.transform(found, _of_run)))
 
 
 def _of_run(run: Column) -> Column:

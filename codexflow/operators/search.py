@@ -27,11 +27,15 @@ def match(found: DataFrame, groups: list[list[str]]) -> DataFrame:
     """Ids that hold every token of one group at least."""
     if not any(groups):
         return found.select("id").limit(0)
-    held = found.groupBy("id").agg(F.collect_set("token").alias("held"))
+    names = {t: f"held{n}_" for n, t in enumerate(sorted({t for g in groups for t in g}))}
+    held = found.groupBy("id").agg(*[F.bool_or(F.col("token") == t).alias(n) for t, n in names.items()])
     some = F.lit(False)
     for group in groups:
         if group:
-            some = some | (F.size(F.array_intersect("held", F.array(*map(F.lit, sorted(set(group)))))) == len(set(group)))
+            every = F.lit(True)
+            for t in set(group):
+                every = every & F.col(names[t])
+            some = some | every
     return held.filter(some).select("id")
 
 

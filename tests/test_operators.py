@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from codexflow.functions.text import tokens
 from codexflow.operators import index, layout, linking, publish, search, segments, textdiff, versions
 from codexflow.streaming import updates
 
@@ -129,6 +130,24 @@ def test_stored_index(spark, tmp_path):
     assert "EqualTo(token,a)" in plan
 
 
+def test_index_shuffles_no_posting(spark, tmp_path):
+    """Postings are counted where a document is read; rows that repeat an id are still one document."""
+    docs = spark.createDataFrame([("b", "2", 3, ["x", "y", "x"]), ("a", "1", 1, ["y"]), ("a", "0", 2, ["z", "y"]), ("a", None, 0, [])], "kind string, id string, dl long, tokens array<string>").coalesce(1)
+    found = index.counted(docs)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [("a", "y", "0", 1, 2), ("a", "y", "1", 1, 1), ("a", "z", "0", 1, 2), ("b", "x", "2", 2, 3), ("b", "y", "2", 1, 3)]
+    path = str(tmp_path / "index")
+    index.write_index({"law": spark.createDataFrame([(1, "a"), (1, "a"), (2, "a b"), (None, "c"), (None, "c")], "key int, text string")}, path)
+    held = spark.read.parquet(f"{path}/postings").select("token", "id", "tf")
+    assert rows(held) == sorted([("a", "1", 2), ("a", "2", 1), ("b", "2", 1), ("c", None, 2)], key=repr)
+
+
+def test_tokens_of_plain_texts_equal_those_of_any(spark):
+    texts = ["Ab c1-d", "ÄB ΣΑΣ İx e\u0301", "第1条 Ab", "", None, "a_b\u00b2"]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(tokens(F.col("t")).alias("t")).collect()
+    assert [r["t"] for r in found] == [["ab", "c1", "d"], ["äb", "σας", "i\u0307x", "e"], ["第", "1", "条", "ab"], [], [], ["a", "b\u00b2"]]
+
+
 def test_cross_references(spark):
     texts = spark.createDataFrame([("A", "民法第十条の二及び刑法を準用する。民法"), ("B", "民法第一条")], "id string, text string")
     titles = spark.createDataFrame([("民法", "B"), ("刑法", "C")], "title string, target string")
