@@ -16,7 +16,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codexflow.llm.common import runs, worker_state
+from codexflow.llm.common import RUN_BYTES, runs, worker_state
 
 #: Widths of the matrices; longer pieces take the heap.
 BUCKETS = (4, 6, 8, 10, 12, 16, 20, 24, 32, 48, 64, 96, 128, 256, 512, 1024)
@@ -90,13 +91,12 @@ class ByteBpe:
             self.token[rank] = token
         self.decimal = [str(i).encode() for i in range(len(self.token))]
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        pairs = [
-            (a, b, rank)
-            for token, rank in self.ranks.items()
-            for cut in range(1, len(token))
-            if (a := self.ranks.get(token[:cut])) is not None and (b := self.ranks.get(token[cut:])) is not None
-        ]
-        self.pairs = PairTable(*np.array(pairs, np.int32).T)
+        pairs = array("i")  # as plain numbers: a worker would keep the memory of a tuple for each
+        for token, rank in self.ranks.items():
+            for cut in range(1, len(token)):
+                if (a := self.ranks.get(token[:cut])) is not None and (b := self.ranks.get(token[cut:])) is not None:
+                    pairs.extend((a, b, rank))
+        self.pairs = PairTable(*np.array(pairs, np.int32).reshape(-1, 3).T)
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -204,6 +204,26 @@ def codec(rank_file: str, pattern: str) -> ByteBpe:
     return worker_state(f"bpe:{rank_file}:{pattern}", lambda: ByteBpe(rank_file, pattern))
 
 
+def _encoded(batches: Iterable[pa.RecordBatch], bpe: ByteBpe, id_col: str) -> Iterator[pa.RecordBatch]:
+    """Rows of ``encode_documents``, for a run of texts at a time: a piece takes some ten times its bytes here."""
+    for whole in batches:
+        for batch in runs(whole, "text_", RUN_BYTES // 4):
+            ids = bpe.encode(batch.column("text_").to_pylist())
+            decimal = bpe.decimal.__getitem__
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(id_col),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32())),
+                    pa.array(np.diff(offsets).astype(np.int64)),
+                    pa.array([hashlib.sha256(b" ".join(map(decimal, x.tolist()))).hexdigest() for x in ids]),
+                    pa.array([hashlib.sha256(x).hexdigest() for row in ids for x in bpe.decode([row])]),
+                ],
+                names=[id_col, "token_ids", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+
 def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode whole texts and decode the ids again.
 
@@ -213,27 +233,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str
     narrow = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text_"))
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, token_ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-    def encode(batches):
-        bpe = codec(rank_file, pattern)
-        for whole in batches:
-            for batch in runs(whole, "text_"):
-                ids = bpe.encode(batch.column("text_").to_pylist())
-                decoded = bpe.decode(ids)
-                decimal = bpe.decimal.__getitem__
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(id_col),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32())),
-                        pa.array(np.diff(offsets).astype(np.int64)),
-                        pa.array([hashlib.sha256(b" ".join(map(decimal, x.tolist()))).hexdigest() for x in ids]),
-                        pa.array([hashlib.sha256(x).hexdigest() for x in decoded]),
-                    ],
-                    names=[id_col, "token_ids", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
-
-    return narrow.mapInArrow(encode, schema)
+    return narrow.mapInArrow(lambda batches: _encoded(batches, codec(rank_file, pattern), id_col), schema)
 
 
 def decode_documents(tokens: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:

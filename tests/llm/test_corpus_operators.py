@@ -595,3 +595,13 @@ def test_toxicity_scores_by_brute_force(spark):
         x = [max(0, g) for g in (gains + [0, 0, 0])[:3]] + [math.log(1 + v) for v in (sum(high), len(high), len(gains))]
         z = model.beta[-1] + sum(b * (v - m) / s for b, v, m, s in zip(model.beta, x, model.mean, model.scale))
         assert abs(found[row["doc_id"]] - 1 / (1 + math.exp(-z))) < 1e-9
+
+
+def test_bpe_works_on_runs_of_a_megabyte():
+    """A batch of 8 MB is encoded in runs, whose pieces never stand in memory together."""
+    codec = bpe.codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    text = "what is said here stands " * 4_000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(80)), pa.array([text] * 80)], names=["doc_id", "text_"])
+    found = list(bpe._encoded([batch], codec, "doc_id"))
+    assert [x for b in found for x in b.column("doc_id").to_pylist()] == list(range(80)) and max(b.num_rows for b in found) <= 10
+    assert len({x for b in found for x in b.column("decoded_sha256").to_pylist()} ^ {hashlib.sha256(text.encode()).hexdigest()}) == 0
