@@ -142,6 +142,7 @@ def cross_references(texts: DataFrame, id_col: str, text_col: str, titles: DataF
     ``titles`` has ``title`` and ``target``; ``articles`` has ``target`` and ``article_no``. Titles match
     leftmost-longest; the longest article number that begins the rest wins; own titles don't count.
     """
+    titles, articles = stored(titles, "titles"), stored(articles, "articles")  # small ones are known to be so before hits are shuffled
     hits = pattern_join.find(texts, id_col, text_col, titles, "title", 2, "longest", tail)
     rest = hits.select("id", F.col("pattern").alias("title"), "begin", "rest")
     linked = rest.join(titles, "title").filter(F.col("target") != F.col("id"))

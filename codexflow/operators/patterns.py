@@ -6,6 +6,9 @@ places of a text whose gram meets it are joined with the anchors, and what they
 text, where each pattern is compared with the characters there. Which gram is the anchor and what the bitmap
 lets through decides the cost alone, not the rows.
 
+Dictionaries of ``FEW`` patterns at most take a shorter way to the same rows: they go to the tasks as they are and the texts stream past an
+automaton, so no hit is shuffled; only a count decides.
+
 Defined results: a null text or pattern is ignored, as are patterns shorter than a gram; repeated patterns count
 once, repeated rows of texts each; a text that holds nothing gives no row; ids need not be unique.
 """
@@ -25,6 +28,8 @@ from codexflow.sources.workspace import workspace
 
 #: Bits of the bitmap for each anchor, and bits at most (16 MB).
 BITS_EACH, MOST_BITS = 32, 1 << 27
+#: Patterns, and characters of them all, up to which a dictionary goes to the tasks.
+FEW, FEW_CHARACTERS = 50_000, 2_000_000
 #: Characters of text that are hashed at once.
 RUN = 1 << 20
 
@@ -138,12 +143,37 @@ def chosen(hits: list[tuple[int, int, str]], mode: str) -> list[tuple[int, int,
     return kept
 
 
-def _verified(texts: DataFrame, id_col: str, text_col: str, patterns: DataFrame, pattern_col: str, gram: int) -> DataFrame:
-    """``id_``, ``text_`` and ``hits`` of the texts that anchors propose patterns for."""
+def _verified(texts: DataFrame, id_col: str, text_col: str, patterns: DataFrame, pattern_col: str, gram: int, few: int) -> tuple[DataFrame, Broadcast | None]:
+    """``id_``, ``text_`` and ``hits`` of the texts that anchors propose patterns for; or all texts, without hits, and the dictionary if it is small."""
     wanted = patterns.select(F.col(pattern_col).alias("pattern")).filter(F.length("pattern") >= gram).distinct()
-    named = texts.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_")).withColumn("hash_", F.xxhash64("text_"))
+    named = texts.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
+    wanted = _stored(wanted, "patterns")
+    size = wanted.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("pattern")), F.lit(0)).alias("characters")).first()
+    if size["n"] <= few and size["characters"] <= FEW_CHARACTERS:
+        words = [r["pattern"] for r in wanted.collect()]  # ``few`` at most
+        return named, texts.sparkSession.sparkContext.broadcast(words)
+    named = named.withColumn("hash_", F.xxhash64("text_"))
     proposed = _stored(_proposed(named, wanted, gram), "proposed")
-    return named.join(proposed, F.col("id_").eqNullSafe(F.col("of")) & (F.col("hash_") == F.col("of_hash"))).select("id_", "text_", "hits")
+    return named.join(proposed, F.col("id_").eqNullSafe(F.col("of")) & (F.col("hash_") == F.col("of_hash"))).select("id_", "text_", "hits"), None
+
+
+def _hits(batches, words: Broadcast | None, mode: str):
+    """Slices of the batches, and of each their ids, texts and the hits that ``mode`` takes."""
+    automaton = None
+    if words is not None:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for word in words.value:
+            automaton.add_word(word, word)
+        automaton.make_automaton()
+    for batch in slices(batches):
+        columns = [c.to_pylist() for c in batch.columns]
+        if words is None:
+            yield batch, ((i, t, _there(t, hits, mode)) for i, t, hits in zip(*columns))
+        else:
+            held = (lambda t: [(end + 1 - len(p), end + 1, p) for end, p in automaton.iter(t)]) if words.value else (lambda t: [])
+            yield batch, ((i, t, chosen(held(t), mode)) for i, t in zip(*columns))
 
 
 def _there(text: str, hits: list[dict], mode: str) -> list[tuple[int, int, str]]:
@@ -151,32 +181,35 @@ def _there(text: str, hits: list[dict], mode: str) -> list[tuple[int, int, str]]
     return chosen(found, mode)
 
 
-def find(texts: DataFrame, id_col: str, text_col: str, patterns: DataFrame, pattern_col: str, gram: int, mode: str = "overlapping", tail: int = 0) -> DataFrame:
+def find(texts: DataFrame, id_col: str, text_col: str, patterns: DataFrame, pattern_col: str, gram: int, mode: str = "overlapping", tail: int = 0, few: int = FEW) -> DataFrame:
     """``id``, ``pattern``, ``begin`` and ``stop`` of every hit, and ``rest``, the ``tail`` characters behind it."""
 
+    proposed, words = _verified(texts, id_col, text_col, patterns, pattern_col, gram, few)
+
     def work(batches):
-        for batch in slices(batches):
+        for batch, found in _hits(batches, words, mode):
             rows = []
-            for i, t, hits in zip(*(c.to_pylist() for c in batch.columns)):
-                rows += [(i, p, a, b, t[b : b + tail]) for a, b, p in _there(t, hits, mode)]
+            for i, t, hits in found:
+                rows += [(i, p, a, b, t[b : b + tail]) for a, b, p in hits]
             columns = list(zip(*rows)) or [()] * 5
             kinds = [batch.schema.field(0).type, pa.string(), pa.int32(), pa.int32(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "pattern", "begin", "stop", "rest"])
 
     kind = texts.schema[id_col].dataType.simpleString()
-    found = _verified(texts, id_col, text_col, patterns, pattern_col, gram).mapInArrow(work, f"id {kind}, pattern string, begin int, stop int, rest string")
+    found = proposed.mapInArrow(work, f"id {kind}, pattern string, begin int, stop int, rest string")
     return found if tail else found.drop("rest")
 
 
-def held(texts: DataFrame, id_col: str, text_col: str, patterns: DataFrame, pattern_col: str, gram: int, mode: str = "overlapping") -> DataFrame:
+def held(texts: DataFrame, id_col: str, text_col: str, patterns: DataFrame, pattern_col: str, gram: int, mode: str = "overlapping", few: int = FEW) -> DataFrame:
     """``id`` and ``patterns``, the distinct ones in order, of every text that holds one; and ``lines``, the number of
     its lines that hold each. One row a text."""
 
+    proposed, words = _verified(texts, id_col, text_col, patterns, pattern_col, gram, few)
+
     def work(batches):
-        for batch in slices(batches):
+        for batch, every in _hits(batches, words, mode):
             ids, names, lines = [], [], []
-            for i, t, hits in zip(*(c.to_pylist() for c in batch.columns)):
-                found = _there(t, hits, mode)
+            for i, t, found in every:
                 if not found:
                     continue
                 breaks = [k for k, c in enumerate(t) if c == "\n"] if "\n" in t else []
@@ -190,4 +223,4 @@ def held(texts: DataFrame, id_col: str, text_col: str, patterns: DataFrame, patt
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(names, pa.list_(pa.string())), pa.array(lines, pa.list_(pa.int64()))], names=["id", "patterns", "lines"])
 
     kind = texts.schema[id_col].dataType.simpleString()
-    return _verified(texts, id_col, text_col, patterns, pattern_col, gram).mapInArrow(work, f"id {kind}, patterns array<string>, lines array<bigint>")
+    return proposed.mapInArrow(work, f"id {kind}, patterns array<string>, lines array<bigint>")

@@ -57,3 +57,16 @@ def test_many_patterns(spark):
     titles = spark.range(300_000).selectExpr("concat('law ', lpad(conv(id * 7919, 10, 36), 7, 'x'), ' of the ', id % 97) as title")
     texts = titles.selectExpr("title", "row_number() over (order by title) as n").filter("n % 1000 = 0").selectExpr("n as id", "concat('see ', title, '!') as text")
     assert patterns.find(texts, "id", "text", titles, "title", 8, "longest").count() == 300
+
+
+def test_few_patterns_give_the_same_rows_without_a_shuffle(spark):
+    rng = random.Random(5)
+    texts = spark.createDataFrame([(i % 50, "".join(rng.choice("abc\n") for _ in range(60))) for i in range(60)] + [(7, None), (8, "")], "id int, text string")
+    words = spark.createDataFrame([("".join(rng.choice("abc") for _ in range(rng.randint(1, 4))),) for _ in range(25)] + [(None,)], "w string")
+    for mode in ("overlapping", "earliest", "longest"):
+        found = [patterns.find(texts, "id", "text", words, "w", 2, mode, 3, few) for few in (0, 25)]
+        one, other = (sorted(map(tuple, f.collect())) for f in found)
+        assert one == other and one
+        assert "Exchange" not in found[1]._jdf.queryExecution().executedPlan().toString()
+        one, other = (sorted((r["id"], r["patterns"], r["lines"]) for r in patterns.held(texts, "id", "text", words, "w", 2, mode, few).collect()) for few in (0, 25))
+        assert one == other and one
