@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from codexflow.operators.batches import slices
+
 
 def carried(rows: DataFrame, group: str, order: list[str], value: Column, name: str) -> DataFrame:
     """The last value that isn't null, up to and with the row itself (captions, current issue)."""
@@ -134,17 +137,38 @@ def headed_segments(docs: DataFrame, id_col: str, text_col: str, is_heading) ->
     return grouped.filter("text <> ''")
 
 
+#: White space as the expressions of this module have it: that of Unicode, without separators of information.
+_BLANKS = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _before_and_after(text: str) -> list[tuple[int, str, str, str]]:
+    """``row``, ``preamble``, ``after`` and ``before`` of one text."""
+    rows: dict[int, tuple[list[str], list[str], list[str]]] = {}
+    row, news, olds, old = 0, 0, 0, False
+    for line in text.split("\n"):
+        bare = line.strip(_BLANKS)
+        if bare == "改正後":
+            row, news, olds = row + 1, news + 1, 0
+            continue
+        old |= bare == "改正前"
+        olds += bare == "改正前" and row > 0
+        # Only the first of the old headings of a row is one; in the preamble none is.
+        if bare in ("", "（傍線部分は改正部分）") or (bare == "改正前" and olds == 1):
+            continue
+        rows.setdefault(row, ([], [], []))[0 if row == 0 else 2 if olds else 1].append(line)
+    return [(n, *("\n".join(part).strip(_BLANKS) for part in parts)) for n, parts in rows.items()] if news and old else []
+
+
 def before_and_after(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Texts with both headings, cut into rows: ``row`` 0 has the ``preamble``, each other what stands below one
-    ``改正後`` (``after``) and below the ``改正前`` that follows it (``before``)."""
-    bare = F.regexp_replace("line", r"(?U)^\s+|\s+$", "")
-    lines = _lines(docs, id_col, text_col).withColumns({"new": bare == "改正後", "old": bare == "改正前", "noise": bare.isin("", "（傍線部分は改正部分）")})
-    row = F.sum(F.col("new").cast("int")).over(Window.partitionBy("id").orderBy("n"))
-    olds = F.sum(F.col("old").cast("int")).over(Window.partitionBy("id", "row").orderBy("n"))
-    placed = lines.withColumn("row", row).withColumn("olds", F.when(F.col("row") > 0, olds).otherwise(0))
-    # Only the first of the old headings of a row is one; in the preamble none is.
-    kept = placed.filter(~F.col("noise") & ~F.col("new") & ~(F.col("old") & (F.col("olds") == 1) & (F.col("row") > 0)))
-    part = lambda hit: _joined(F.collect_list(F.when(hit, F.struct("n", "line"))))
-    both = placed.groupBy("id").agg(F.bool_or("new").alias("a"), F.bool_or("old").alias("b")).filter("a and b").select("id")
-    rows = kept.groupBy("id", "row").agg(part(F.col("row") == 0).alias("preamble"), part((F.col("row") > 0) & (F.col("olds") == 0)).alias("after"), part((F.col("row") > 0) & (F.col("olds") > 0)).alias("before"))
-    return rows.join(both, "id", "left_semi")
+    ``改正後`` (``after``) and below the ``改正前`` that follows it (``before``). A text is cut where it is read; no line is shuffled."""
+
+    def work(batches):
+        for batch in slices(batches):
+            found = [(i, *row) for i, text in zip(*(c.to_pylist() for c in batch.columns)) for row in _before_and_after(text or "")]
+            columns = list(zip(*found)) or [()] * 5
+            kinds = [batch.schema.field(0).type, pa.int64(), pa.string(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "row", "preamble", "after", "before"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col).mapInArrow(work, f"id {kind}, row long, preamble string, after string, before string")

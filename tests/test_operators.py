@@ -265,3 +265,10 @@ def test_edit_script_beyond_the_trace_is_shortest(letters, sizes):
     assert "".join(t for op, t in script if op != "delete") == "".join(b)
     assert sum(len(t.split()) for op, t in script if op == "equal") == best[-1]
     assert textdiff._common_lengths(list(map(int, a)), list(map(int, b)))[-1] == best[-1]
+
+
+def test_before_and_after_shuffles_no_line(spark):
+    texts = ["前\n改正前\n改正後\n甲\n 改正前　\n乙\n改正前\n改正後\n\n", "改正後\nx", "改正前", None]
+    found = segments.before_and_after(spark.createDataFrame(list(enumerate(texts)), "k int, t string"), "k", "t")
+    assert rows(found) == [(0, 0, "前\n改正前", "", ""), (0, 1, "", "甲", "乙\n改正前")]
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
