@@ -19,8 +19,12 @@ def _key() -> Column:
     return F.col("o_orderkey")
 
 
+def _pages(t: Tables, *html: str | Column) -> DataFrame:
+    return t.orders.select(F.col("o_orderkey").alias("key"), _said(*html).alias("html"))
+
+
 def _nodes(t: Tables, *html: str | Column) -> DataFrame:
-    return markup.html_nodes(t.orders.select(F.col("o_orderkey").alias("key"), _said(*html).alias("html")), "key", "html")
+    return markup.html_nodes(_pages(t, *html), "key", "html")
 
 
 @query("""select 'm' || o_orderkey as meeting_id, 213 as session, 'shugiin' as house, 5 as speech_count from orders
@@ -60,7 +64,7 @@ def bill_progress_pages(t: Tables) -> DataFrame:
     lower = F.when(_key() % 2 == 0, "令和／甲委").otherwise("／")
     html = [*pair("議案種類", "閣法"), *pair("議案番号", _key()), *pair("議案件名", "件", _key()), *pair("議案件名", "other"), *pair("議案提出回次", "217回"), *pair("衆議院付託年月日／衆議院付託委員会", lower)]
     html += [*pair("参議院付託年月日／参議院付託委員会", "令和／乙委"), *pair("", "x"), *pair("衆議院審議終了年月日／衆議院審議結果", "／可決"), *pair("公布年月日／法律番号", "令和 7年／7"), *pair("議案提出者", "")]
-    return listings.bill_progress(_nodes(t, "<table>", *html, "</table>")).drop("submitter", "parties")
+    return listings.bill_progress_pages(_pages(t, "<table>", *html, "</table>"), "key", "html").drop("submitter", "parties")
 
 
 @query("select o_orderkey as id, 'b' || o_orderkey as bill_id, '題' || o_orderkey as title, '審議中' as status from orders")
@@ -138,7 +142,7 @@ def council_documents(t: Tables) -> DataFrame:
 
 @query("select o_orderkey as id, o_orderkey::varchar as case_id, '法第3条' as legal_basis from orders")
 def comment_details(t: Tables) -> DataFrame:
-    found = corpora.comment_cases(_nodes(t, "<table><tr><th>案件 番号</th><td>", _key(), "</td></tr><tr><th>案件番号</th><td>9</td></tr><tr><th>根拠法令条項</th><td>法第3条</td></tr></table>"))
+    found = corpora.comment_pages(_pages(t, "<table><tr><th>案件 番号</th><td>", _key(), "</td></tr><tr><th>案件番号</th><td>9</td></tr><tr><th>根拠法令条項</th><td>法第3条</td></tr></table>"), "key", "html")
     return found.select("id", "case_id", "legal_basis")
 
 

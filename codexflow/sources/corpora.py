@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from codexflow.functions import gazette
 from codexflow.functions.text import plain_number
-from codexflow.sources.markup import case_id, label_values
+from codexflow.sources.markup import case_id, label_values, labels_of, page_pairs
 
 
 def gazette_items(nodes: DataFrame) -> DataFrame:
@@ -50,6 +50,13 @@ def comment_cases(nodes: DataFrame) -> DataFrame:
     return values.groupBy("id").agg(*[F.max(F.when(F.startswith("label", F.lit(label)), F.col("value"))).alias(name) for label, name in CASE_LABELS.items()])
 
 
+def comment_pages(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """What ``comment_cases`` gives, of pages whose ids differ, without a shuffle."""
+    held = page_pairs(pages, id_col, html_col, labels_of)
+    value = lambda label: F.array_max(F.transform(F.filter("pairs", lambda p: F.startswith(p["label"], F.lit(label))), lambda p: p["value"]))
+    return held.select("id", *[value(label).alias(name) for label, name in CASE_LABELS.items()])
+
+
 def comment_list(nodes: DataFrame) -> DataFrame:
     """``case_id`` and ``title`` of the cards of a list page; the id comes from the link or its handler."""
     links = nodes.filter(F.col("tag") == "a").withColumn("case_id", F.coalesce(case_id(F.col("onclick")), case_id(F.col("href")))).filter("case_id is not null")

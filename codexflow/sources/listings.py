@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from codexflow.functions import gazette
 from codexflow.functions.text import after_mark, before_mark, chamber
+from codexflow.sources import markup
 from codexflow.sources.corpora import ordinance_articles
 from codexflow.sources.lawxml import law_ids
 from codexflow.sources.markup import links
@@ -78,7 +79,25 @@ def bill_progress(nodes: DataFrame) -> DataFrame:
     cells = nodes.filter((F.col("tag") == "td") & F.col("headers").isin("KOMOKU", "NAIYO")).withColumn("n", F.row_number().over(by))
     pairs = cells.groupBy("id", "n").agg(F.max(F.when(F.col("headers") == "KOMOKU", F.col("text"))).alias("label"), F.max(F.when(F.col("headers") == "NAIYO", F.col("text"))).alias("value"))
     kept = pairs.filter("label <> '' and value is not null").groupBy("id", "label").agg(F.nullif(F.min_by("value", "n"), F.lit("")).alias("value"))
-    wide = kept.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("label", "value"))).alias("f"))
+    return _progress(kept.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("label", "value"))).alias("f")))
+
+
+def progress_of(nodes: list[dict]) -> dict[str, str | None]:
+    """Labels and values of one progress page."""
+    texts = [[n["text"] for n in nodes if n["tag"] == "td" and n["headers"] == name] for name in ("KOMOKU", "NAIYO")]
+    found: dict[str, str | None] = {}
+    for label, value in zip(*texts):
+        if label:
+            found.setdefault(label, value or None)
+    return found
+
+
+def bill_progress_pages(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """What ``bill_progress`` gives, of pages whose ids differ, without a shuffle."""
+    return _progress(markup.page_pairs(pages, id_col, html_col, progress_of).select("id", F.map_from_entries("pairs").alias("f")))
+
+
+def _progress(wide: DataFrame) -> DataFrame:
     get = lambda label: F.try_element_at("f", F.lit(label))
     said = lambda what: F.coalesce(*[after_mark(get(what.format(house))) for house in ("衆議院", "参議院")])
     law = get("公布年月日／法律番号")

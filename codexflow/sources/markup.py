@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from codexflow.operators.batches import slices
+
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 HIDDEN = {"script", "style", "noscript", "template"}
 #: Characters of pages whose elements make up one batch.
@@ -81,6 +83,35 @@ def html_nodes(pages: DataFrame, id_col: str, html_col: str, tags: list[str] | N
     return pages.select(id_col, html_col).mapInArrow(work, f"id {kind}, place int, parent int, tag string, node_id string, classes string, href string, onclick string, headers string, text string, upto int")
 
 
+def page_pairs(pages: DataFrame, id_col: str, html_col: str, pairs) -> DataFrame:
+    """``id`` and ``pairs`` array<struct<label,value>>, what ``pairs`` makes of a page's elements (dicts with ``tag``, ``headers`` and
+    ``text``, in document order). One row a page that has some: its elements are neither rows nor shuffled."""
+
+    def work(batches):
+        kind = pa.list_(pa.struct([("label", pa.string()), ("value", pa.string())]))
+        for batch in slices(batches):
+            ids, held = [], []
+            for key, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = pairs(parse_nodes(html or ""))
+                if found:
+                    ids.append(key)
+                    held.append([{"label": a, "value": b} for a, b in found.items()])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(held, kind)], names=["id", "pairs"])
+
+    kind = pages.schema[id_col].dataType.simpleString()
+    return pages.select(id_col, html_col).mapInArrow(work, f"id {kind}, pairs array<struct<label:string,value:string>>")
+
+
+def labels_of(nodes: list[dict]) -> dict[str, str]:
+    """Labels (``th``, white space dropped) of one page with the ``td`` that follows; the first of equal labels wins."""
+    cells = [n for n in nodes if n["tag"] in ("th", "td")]
+    found: dict[str, str] = {}
+    for label, value in zip(cells, cells[1:]):
+        if label["tag"] == "th" and value["tag"] == "td":
+            found.setdefault("".join(label["text"].split()), value["text"])
+    return found
+
+
 def links(nodes: DataFrame) -> DataFrame:
     """Distinct targets of each page with the text of the first link to them; fragments are cut off."""
     found = nodes.filter((F.col("tag") == "a") & (F.coalesce("href", F.lit("")) != "")).withColumn("url", F.regexp_replace("href", "#.*$", ""))

@@ -78,3 +78,19 @@ def test_layouts(spark):
     row = spark.createDataFrame([(xhtml, svg)], "x string, s string").select(corpora.layout_words("x").alias("w"), corpora.layout_rules("s").alias("r")).first()
     assert [tuple(w) for w in row["w"]] == [(1, 15.0, 100.0, 150.0, "甲")]
     assert [tuple(r) for r in row["r"]] == [("v", 10.0, 600.0, 700.0), ("h", 5.0, 0.0, 50.0)]
+
+
+def test_pages_in_one_pass_equal_their_elements(spark):
+    from codexflow.sources import listings
+
+    cell = lambda kind, text: f"<td headers='{kind}'>{text}</td>"
+    html = [
+        "<th>案件 番号</th><td>1</td><th>案件番号</th><td>9</td><th>案件番号x</th><td>8</td><th>none</th><th>根拠法令条項</th><td></td>", "<th>a</th>", "", None,
+        cell("KOMOKU", "議案種類") + cell("KOMOKU", "議案番号") + cell("NAIYO", "閣法") + cell("NAIYO", "") + cell("NAIYO", "over"),
+        cell("KOMOKU", "議案番号") + cell("NAIYO", "") + cell("KOMOKU", "議案番号") + cell("NAIYO", "7") + cell("KOMOKU", "") + cell("NAIYO", "x") + cell("KOMOKU", "衆議院審議終了年月日／衆議院審議結果") + cell("NAIYO", "／可決"),
+    ]
+    pages = spark.createDataFrame(list(enumerate(html)), "k int, h string")
+    nodes = markup.html_nodes(pages, "k", "h")
+    for one, other in ((corpora.comment_pages(pages, "k", "h"), corpora.comment_cases(nodes)), (listings.bill_progress_pages(pages, "k", "h"), listings.bill_progress(nodes))):
+        assert one.columns == other.columns and sorted(map(repr, one.collect())) == sorted(map(repr, other.collect())) and one.count()
+        assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
