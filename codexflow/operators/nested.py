@@ -10,7 +10,12 @@ count as empty; a paragraph of place that changed its number alone is modified,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import lru_cache
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +26,8 @@ PARAGRAPH = "struct<paragraph_no:string,text:string>"
 ARTICLE = f"struct<article_no:string,caption:string,paragraphs:array<{PARAGRAPH}>>"
 _STEP = "struct<change:string,paragraph_no:string,old:string,new:string>"
 _OPS = "array<struct<op:string,text:string>>"
+#: Characters of both texts up to which a pair's operations are kept for the next equal pair, and pairs that are kept.
+SHORT, MOST_KEPT = 256, 10_000
 
 
 def _step(change: str | Column, number: Column, old: Column | None, new: Column | None) -> Column:
@@ -62,6 +69,31 @@ def article_pairs(earlier: DataFrame, later: DataFrame, keys: list[str]) -> Data
     return a.join(b, keys, "full_outer")
 
 
+def _operations(before: str, after: str) -> tuple[tuple[str, str], ...]:
+    return tuple(text_operations(before, after))
+
+
+def _said(steps: pa.Array, kept: Callable[[str, str], tuple[tuple[str, str], ...]]) -> pa.Array:
+    """Lists of steps with ``text`` (added, removed) or ``text_diff`` (modified) instead of both texts; only modified texts leave Arrow."""
+    change, number, old, new = steps.flatten().flatten()
+    modified = pc.equal(change, "modified")
+    removed, added = (pc.equal(change, kind).to_numpy(zero_copy_only=False) for kind in ("removed", "added"))
+    place = np.arange(len(change)) + np.where(added, len(change), 0)
+    text = pa.concat_arrays([old, new]).take(pa.array(place, mask=~(removed | added)))  # ``if_else`` cuts strings of sliced arrays wrongly
+    sizes, ops, texts = np.zeros(len(change), np.int32), [], []
+    sides = [pc.fill_null(side.filter(modified), "").to_pylist() for side in (old, new)]
+    for at, a, b in zip(np.flatnonzero(modified.to_numpy(zero_copy_only=False)), *sides):
+        found = (kept if len(a) + len(b) <= SHORT else _operations)(a, b)
+        sizes[at] = len(found)
+        for op, said in found:
+            ops.append(op)
+            texts.append(said)
+    listed = lambda lengths, values, mask: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values, mask=mask)
+    diff = listed(sizes, pa.StructArray.from_arrays([pa.array(ops, pa.string()), pa.array(texts, pa.string())], ["op", "text"]), pc.invert(modified))
+    rows = pa.StructArray.from_arrays([change, number, text, diff], ["change", "paragraph_no", "text", "text_diff"])
+    return listed(pc.fill_null(pc.list_value_length(steps), 0).to_numpy(), rows, steps.is_null())
+
+
 def diff_articles(pairs: DataFrame, unchanged: bool = False) -> DataFrame:
     """``change``, ``from_article``, ``to_article`` and ``paragraphs`` beside the other columns of ``pairs``.
 
@@ -81,21 +113,11 @@ def diff_articles(pairs: DataFrame, unchanged: bool = False) -> DataFrame:
         F.when(F.col("change").isin("added", "modified"), head("new")).alias("to_article"),
         steps.alias("steps"),
     )
-    op = pa.list_(pa.struct([("op", pa.string()), ("text", pa.string())]))
-    kind = pa.list_(pa.struct([("change", pa.string()), ("paragraph_no", pa.string()), ("text", pa.string()), ("text_diff", op)]))
-
-    def said(step: dict) -> dict:
-        out = {"change": step["change"], "paragraph_no": step["paragraph_no"], "text": None, "text_diff": None}
-        if step["change"] in ("added", "removed"):
-            out["text"] = step["new"] if step["change"] == "added" else step["old"]
-        elif step["change"] == "modified":
-            out["text_diff"] = [{"op": o, "text": t} for o, t in text_operations(step["old"] or "", step["new"] or "")]
-        return out
 
     def work(batches):
+        kept = lru_cache(MOST_KEPT)(_operations)
         for batch in slices(batches):
-            found = [None if steps is None else [said(s) for s in steps] for steps in batch.column(batch.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, kind)], names=[*batch.schema.names[:-1], "paragraphs"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _said(batch.column(batch.num_columns - 1), kept)], names=[*batch.schema.names[:-1], "paragraphs"])
 
     paragraphs = f"array<struct<change:string,paragraph_no:string,text:string,text_diff:{_OPS}>>"
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in shaped.schema.fields[:-1]]

@@ -99,13 +99,15 @@ union all select law, revision, article, change, null, null, old.no || old.capti
 def nested_diffs(t: Tables) -> DataFrame:
     """Heads of changed articles, and their changed paragraphs with both texts, put together again from the operations."""
     changes = nested.diff_articles(_nested_pairs(t))
-    keys = ["law", "revision", "number", F.col("change").alias("article_change")]
     said = lambda side: F.concat(f"{side}.article_no", f"{side}.caption")
     none = F.lit(None).cast("string")
-    heads = changes.select(*keys, none.alias("paragraph_no"), none.alias("change"), said("from_article").alias("before"), said("to_article").alias("after"))
-    steps = changes.select(*keys, F.explode("paragraphs").alias("p")).filter("p.change <> 'unchanged'")
-    side = lambda kind, name: F.when(F.col("p.change") == kind, F.col("p.text")).when(F.col("p.change") == "modified", nested.text_of(F.col("p.text_diff"), name))
-    return heads.unionByName(steps.select("law", "revision", "number", "article_change", "p.paragraph_no", "p.change", side("removed", "old").alias("before"), side("added", "new").alias("after")))
+    row = lambda number, change, before, after: F.struct(number.alias("paragraph_no"), change.alias("change"), before.alias("before"), after.alias("after"))
+    side = lambda p, kind, name: F.when(p.change == kind, p.text).when(p.change == "modified", nested.text_of(p.text_diff, name))
+    steps = F.transform(F.filter("paragraphs", lambda p: p.change != "unchanged"), lambda p: row(p.paragraph_no, p.change, side(p, "removed", "old"), side(p, "added", "new")))
+    # Head and paragraphs come from one pass: two readers of the changes would each run the diff.
+    head = F.array(row(none, none, said("from_article"), said("to_article")))
+    rows = F.when(F.col("paragraphs").isNull(), head).otherwise(F.concat(head, steps))
+    return changes.select("law", "revision", "number", F.col("change").alias("article_change"), F.explode(rows).alias("r")).select("law", "revision", "number", "article_change", "r.*")
 
 
 @query("select o_custkey as law, o_orderkey as revision, case when o_orderkey in (select l_orderkey from lineitem where l_linenumber = 1) then 'laws/' || o_custkey || '/revisions/' || o_orderkey || '.json' end as path from orders")

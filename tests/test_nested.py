@@ -55,3 +55,27 @@ def test_diffs(spark):
     (counts,) = nested.diff_counts(nested.diff_articles(pairs, unchanged=True), ["law"]).collect()
     assert sum(counts[c] for c in ("added", "removed", "modified", "unchanged")) == len(found) and counts["modified"] > 40
     assert nested.diff_articles(pairs).count() == len(found) - counts["unchanged"]
+
+
+def test_heads_and_paragraphs_come_from_one_pass(spark):
+    """Each reader of the changes would send them through Python again."""
+    from codexflow.plans.registry import QUERIES
+
+    plan = QUERIES["nested_diffs"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_steps_of_sliced_and_null_lists():
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    texts = ["品目3番", "数量は17個とする。", "割引4", "終わり", "ab" * 200, "", None]
+    made = lambda: {"change": rng.choice(["modified", "added", "removed", "unchanged"]), "paragraph_no": rng.choice(["1", None]), "old": rng.choice(texts), "new": rng.choice(texts)}
+    rows = [None if rng.random() < 0.4 else [made() for _ in range(rng.randint(0, 4))] for _ in range(60)]
+    ops = lambda p: [{"op": o, "text": t} for o, t in text_operations(p["old"] or "", p["new"] or "")]
+    said = lambda p: {"change": p["change"], "paragraph_no": p["paragraph_no"], "text": {"added": p["new"], "removed": p["old"]}.get(p["change"]), "text_diff": ops(p) if p["change"] == "modified" else None}
+    whole = pa.array(rows, pa.list_(pa.struct([(n, pa.string()) for n in ("change", "paragraph_no", "old", "new")])))
+    for begin in range(len(rows) + 1):
+        found = nested._said(whole.slice(begin), nested._operations)
+        found.validate(full=True)
+        assert found.to_pylist() == [None if r is None else [said(p) for p in r] for r in rows[begin:]]
