@@ -12,11 +12,14 @@ of equal positions the greater id is the later; a law without metadata is listed
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codexflow.operators.versions import current_by_status
 from codexflow.operators.views import EVENTS
+from codexflow.sources.workspace import stored
 
 #: The status of a revision in force, the kind of an event without a known amendment, the status of an enactment.
 IN_FORCE, SNAPSHOT, ENACTED, UNKNOWN = "CurrentEnforced", "snapshot", "Enacted", "Unknown"
@@ -60,19 +63,29 @@ def versions(meta: DataFrame, bodies: DataFrame, ids: DataFrame) -> DataFrame:
 
 def timeline(meta: DataFrame, bodies: DataFrame, ids: DataFrame, enacted: DataFrame) -> DataFrame:
     """Events of the laws that have files, in the order of ``part`` and ``position``: the enactment where its day is
-    known, then a revision each; of laws without metadata their bodies, the first of which is the initial one."""
-    known = _known(meta).join(ids.select("law"), "law", "left_semi")
+    known, then a revision each; of laws without metadata their bodies, the first of which is the initial one.
+
+    What is asked of a law is one row, stored, so the revisions are sorted once for one join. ``ids`` are those of
+    ``current_ids``: a law without metadata publishes its bodies by their own ids, so no body is looked up.
+    """
+    known, held = _known(meta), _known(bodies)
+    said = [
+        known.select("law", F.lit(True).alias("meta_")), held.select("law", F.col("position").alias("first_")), ids.select("law", F.lit(True).alias("files_")),
+        enacted.filter("date is not null").select("law", F.col("date").alias("promulgation_date")),
+    ]
+    about = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), said).groupBy("law").agg(*[F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in ("meta_", "files_")], *[F.min(c).alias(c) for c in ("first_", "promulgation_date")])
+    about = stored(about.filter("files_").drop("files_"), "laws")
     kind = F.lit(SNAPSHOT)
     for value, name in EVENTS.items():
         kind = F.when(F.col("amendment_type") == value, name).otherwise(kind)
     event_id = F.concat(F.lit("evt_"), F.col("revision").cast("string"))
-    amended = known.withColumns({"part": F.lit(1), "event_id": event_id, "event_type": kind, "status": F.coalesce("status", F.lit(UNKNOWN))}).drop("amendment_type")
-    first = enacted.filter("date is not null").join(known.select("law").distinct(), "law", "left_semi").groupBy("law").agg(F.min("date").alias("promulgation_date"))
+    amended = known.withColumns({"part": F.lit(1), "event_id": event_id, "event_type": kind, "status": F.coalesce("status", F.lit(UNKNOWN)), "of_meta_": F.lit(True)}).drop("amendment_type")
+    alone = held.withColumns({"part": F.lit(1), "event_id": event_id, "event_type": F.lit(SNAPSHOT), "status": F.lit(SNAPSHOT), "of_meta_": F.lit(False)})
+    rows = amended.unionByName(alone, allowMissingColumns=True).join(about.drop("promulgation_date"), "law").filter(F.col("of_meta_") == F.col("meta_"))
+    rows = rows.withColumn("event_type", F.when(~F.col("of_meta_") & (F.col("position") == F.col("first_")), "initial").otherwise(F.col("event_type"))).drop("of_meta_", "meta_", "first_")
+    first = about.filter(F.col("meta_") & F.col("promulgation_date").isNotNull())
     first = first.select("law", F.lit(0).alias("part"), F.concat(F.lit("evt_"), F.col("law").cast("string"), F.lit("_enactment")).alias("event_id"), F.lit("enactment").alias("event_type"), F.lit(ENACTED).alias("status"), "promulgation_date")
-    alone = published(bodies, ids).join(_known(meta).select("law").distinct(), "law", "left_anti")
-    begins = alone.groupBy("law").agg(F.min("position").alias("first_"))
-    alone = alone.join(begins, "law").withColumns({"part": F.lit(1), "event_id": event_id, "event_type": F.when(F.col("position") == F.col("first_"), "initial").otherwise(SNAPSHOT), "status": F.lit(SNAPSHOT)}).drop("first_")
-    return amended.unionByName(first, allowMissingColumns=True).unionByName(alone, allowMissingColumns=True)
+    return rows.unionByName(first, allowMissingColumns=True)
 
 
 def _lines(rows: DataFrame, path: Column, part: Column, order: Column, line: Column) -> DataFrame:

@@ -66,3 +66,10 @@ def test_a_large_law_is_written_by_several_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     assert spark.read.parquet(path).select(F.input_file_name()).distinct().count() > 1
     assert [r["position"] for r in law_files.read_files(spark.read.parquet(path), F.lit("A")).collect()] == list(range(40_000))
+
+
+def test_a_timeline_joins_once(spark):
+    """Each further join of the revisions sorts them again in the same task."""
+    bodies, meta, enacted = made(spark)
+    plan = law_files.timeline(meta, bodies, law_files.current_ids(bodies, meta), enacted)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Join " in line for line in plan.splitlines()) == 1, plan
