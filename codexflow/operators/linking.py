@@ -195,12 +195,13 @@ def best_within(left: DataFrame, right: DataFrame, left_id: str, key: tuple[str,
     known = right.select(F.col(key[1]).alias("key_"), F.col(value[1]).cast("double").alias("theirs_"), F.col(order).alias("order_")).filter("key_ is not null")
     known = stored(known.groupBy("key_", "theirs_").agg(F.min("order_").alias("order_")), "values")
     placed = known.filter(F.abs("theirs_") < HUGE * width).withColumn("at_", grid_cell(F.col("theirs_"), width))
-    signs = known.groupBy("key_", sign("theirs_").alias("sign_")).agg(F.min("order_").alias("order_"))
+    of = lambda c, name: F.min(F.when(c, F.col("order_"))).alias(name)
+    signs = known.groupBy("key_").agg(of(sign("theirs_"), "positive_"), of(~sign("theirs_"), "other_"), of(F.col("theirs_").isNull(), "null_"))
 
     rows = left.select(F.col(left_id).alias("id_"), F.col(key[0]).alias("key_"), F.col(value[0]).cast("double").alias("ours_")).filter("key_ is not null")
-    usual = rows.filter(F.abs("ours_") < (HUGE + 1) * width).withColumn("low_", grid_cell(F.col("ours_") - width, width))
-    usual = usual.withColumn("own_", sign("ours_"))
-    inner = usual.join(stored(_firsts_of_ranges(placed, usual.select("key_", "low_").distinct()), "ranges"), ["key_", "low_"])
+    rows = rows.withColumn("low_", F.when(F.abs("ours_") < (HUGE + 1) * width, grid_cell(F.col("ours_") - width, width)))
+    usual = rows.filter("low_ is not null")
+    ranges = stored(_firsts_of_ranges(placed, usual.select("key_", "low_").distinct()), "ranges")
     # The range's cells at its ends, by the cell where it begins: ``grid_cell`` of the other end is at most one more or less than 2 widths away.
     edge = [*range(-1, 2), *range(BLOCK + 2, (2 << LEVELS) + 3)]
     edges = placed.select("key_", "theirs_", "order_", F.explode(F.array(*[F.col("at_") - n for n in edge])).alias("low_"))
@@ -209,12 +210,14 @@ def best_within(left: DataFrame, right: DataFrame, left_id: str, key: tuple[str,
     score = lambda near, same: F.lit(weights[0]) + F.lit(weights[1] if near else 0.0) + F.when(same, F.lit(weights[2])).otherwise(F.lit(0.0))
     same = sign("ours_") == sign("theirs_")
     best_of = lambda s, found: F.when(found.isNotNull(), F.struct((-s).alias("s"), found.alias("order_")))
-    # Of the two firsts of a range the better one is kept at once.
-    two = F.least(best_of(score(True, F.col("own_")), F.col("above_")), best_of(score(True, ~F.col("own_")), F.col("below_")))
-    found = inner.select("id_", two.alias("b"))
+    own = sign("ours_")
+    like = F.when(own, F.col("positive_")).when(~own, F.col("other_"))
+    unlike = F.when(own, F.least("other_", "null_")).when(~own, F.least("positive_", "null_")).otherwise(F.least("positive_", "other_", "null_"))
+    # Of a row's firsts, by its range and by its key alone, the best is kept at once: it is one record of those that meet by id.
+    firsts = [best_of(score(True, own), F.col("above_")), best_of(score(True, ~own), F.col("below_")), best_of(score(False, F.lit(True)), like), best_of(score(False, F.lit(False)), unlike)]
+    found = rows.join(signs, "key_").join(ranges, ["key_", "low_"], "left").select("id_", F.least(*firsts).alias("b"))
     for part in (ends, large):
         found = found.unionByName(part.filter(F.abs(F.col("ours_") - F.col("theirs_")) < width).select("id_", best_of(score(True, same), F.col("order_")).alias("b")))
-    found = found.unionByName(rows.join(signs, "key_").select("id_", best_of(score(False, sign("ours_") == F.col("sign_")), F.col("order_")).alias("b")))
     best = found.groupBy("id_").agg(F.min("b").alias("b"))
     return best.select(F.col("id_").alias(left_id), F.col("b.order_").alias(order), (-F.col("b.s")).alias("score"))
 
@@ -223,18 +226,16 @@ def _firsts_of_ranges(placed: DataFrame, begins: DataFrame) -> DataFrame:
     """``above_`` and ``below_``, the least ``order_`` of positive and of other values, over the ``BLOCK`` cells from the second after ``low_``."""
     least = lambda hit: F.min(F.when(hit, F.col("order_")))
     cells = placed.groupBy("key_", "at_").agg(least(F.col("theirs_") > 0).alias("above_"), least(F.col("theirs_") <= 0).alias("below_"))
-    cells = cells.select("key_", "at_", F.lit(None).cast("bigint").alias("low_"), "above_", "below_")
-    sides = []
-    for from_end in (True, False):
-        # The first range side goes to the end of its block, the second up to before the same place in the next block.
-        none = [F.lit(None).cast(cells.schema[c].dataType).alias(c) for c in ("above_", "below_")]
-        asked = begins.select("key_", (F.col("low_") + (2 if from_end else 2 + BLOCK)).alias("at_"), "low_", *none)
-        at = F.col("at_").desc() if from_end else F.col("at_")
-        asks = F.col("low_").isNotNull()
-        by = Window.partitionBy("key_", F.floor(F.col("at_") / BLOCK)).orderBy(at, asks if from_end else ~asks).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        running = cells.unionByName(asked).select("key_", "low_", F.min("above_").over(by).alias("above_"), F.min("below_").over(by).alias("below_"))
-        sides.append(running.filter("low_ is not null and (above_ is not null or below_ is not null)"))
-    return sides[0].unionByName(sides[1]).groupBy("key_", "low_").agg(F.min("above_").alias("above_"), F.min("below_").alias("below_"))
+    own, later, ask = 0, 1, 2
+    none = [F.lit(None).cast(cells.schema[c].dataType).alias(c) for c in ("above_", "below_")]
+    # A block holds its own cells, those of the next block at the same places, and the ranges that begin in it, so these are sent on once.
+    met = cells.select("key_", "at_", F.lit(own).alias("kind_"), "above_", "below_").unionByName(cells.select("key_", (F.col("at_") - BLOCK).alias("at_"), F.lit(later).alias("kind_"), "above_", "below_"))
+    met = met.unionByName(begins.select("key_", (F.col("low_") + 2).alias("at_"), F.lit(ask).alias("kind_"), *none))
+    by = Window.partitionBy("key_", F.floor(F.col("at_") / BLOCK)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # From the range's place to the end of its block, and before the same place in the next block.
+    sides = {own: by.orderBy(F.col("at_").desc(), F.col("kind_")), later: by.orderBy(F.col("at_"), F.col("kind_").desc())}
+    first = lambda c: F.least(*[F.min(F.when(F.col("kind_") == kind, F.col(c))).over(w) for kind, w in sides.items()]).alias(c)
+    return met.select("key_", "kind_", (F.col("at_") - 2).alias("low_"), first("above_"), first("below_")).filter((F.col("kind_") == ask) & (F.col("above_").isNotNull() | F.col("below_").isNotNull())).drop("kind_")
 
 
 def best_by_keys(left: DataFrame, right: DataFrame, left_id: str, rules: list[tuple[str, str, str, float]], order: str) -> DataFrame:

@@ -131,3 +131,26 @@ def test_best_within_sends_a_row_on_a_fixed_number_of_times(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert n <= sent < 12 * n, sent
+
+
+def test_best_within_keeps_a_record_a_row(spark):
+    """What meets by id is one record a left row and the few partners at its range's ends; ranges are sent on once for both blocks."""
+    n = 3000
+    rng = random.Random(3)
+    left = spark.createDataFrame([(i, i % 3, round(rng.uniform(-1000, 10000), 2)) for i in range(n)], "id long, k int, v double")
+    right = spark.createDataFrame([(i, i % 3, round(rng.uniform(-1000, 10000), 2)) for i in range(200)], "o long, k int, v double")
+    found = linking.best_within(left, right, "id", ("k", "k"), ("v", "v"), 500.0, (0.4, 0.35, 0.15), "o")
+    assert len(found.collect()) == n
+    sent, plans = [], [found._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            plans.append(plan.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            plans.append(plan.plan())
+        if name == "Exchange":
+            sent.append(plan.metrics().apply("shuffleRecordsWritten").value())
+        plans += [plan.children().apply(k) for k in range(plan.children().size())]
+    assert n <= max(sent) < 1.2 * n, sent
