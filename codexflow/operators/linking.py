@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_left
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,8 +20,10 @@ from codexflow.sources.workspace import stored, workspace
 MOST_PATTERNS = 500_000
 #: Widths of a range from which on a value is compared with each of that size.
 HUGE = 1 << 30
-#: Grid cells that lie inside each range of two widths, wherever it begins; and those of a block.
-BLOCK = (2 << LEVELS) - 4
+#: Values near in a part of a cell beyond which it is cut into 2**CUT, and the k of cells (2**k of the grid) that are cut no further.
+CROWD, CUT, FINEST = 32, 4, 2
+#: Rows and values of a table of cells up to which it is broadcast, about 10 MB.
+SENT = 100_000
 
 
 def _finder(patterns: list[str], mode: str):
@@ -184,58 +187,99 @@ def best_within(left: DataFrame, right: DataFrame, left_id: str, key: tuple[str,
     ``weights`` are those of the equal key, of values less than ``width`` apart and of values that are both positive or both not; a null
     value meets neither. Equal scores go to the partner of the least ``order``.
 
-    Nothing is paired to be scored, and a left row is sent on a fixed number of times. A range has ``BLOCK`` cells of a grid, of a 65,536th
-    of ``width`` each, that lie wholly inside it: the end of one block of that many cells and the beginning of the next, so the first
-    partner of each sign there is a running minimum over a block's cells from either side. Ranges that begin in one cell share it, so
-    a block never holds more than ``BLOCK`` cells and as many ranges. Only the values in the few cells at the range's two ends are
-    compared themselves, and values of ``HUGE`` widths and more, beside which such a cell is no longer told apart.
+    Nothing is paired to be scored: what a left row can meet is looked up by the cell of a grid that its value lies in (``_firsts_by_cell``),
+    one record a cell, made of the right rows alone. So left rows are sent on once, to meet by id, and once more if the cells are too many
+    to be broadcast. Only values that differ by about ``width`` from those of a crowded cell of the finest grid are compared
+    themselves, and values of ``HUGE`` widths and more, beside which such a cell is no longer told apart.
     """
     sign = lambda v: F.col(v) > 0
     finite = lambda v: F.abs(v) < float("inf")
     known = right.select(F.col(key[1]).alias("key_"), F.col(value[1]).cast("double").alias("theirs_"), F.col(order).alias("order_")).filter("key_ is not null")
     known = stored(known.groupBy("key_", "theirs_").agg(F.min("order_").alias("order_")), "values")
-    placed = known.filter(F.abs("theirs_") < HUGE * width).withColumn("at_", grid_cell(F.col("theirs_"), width))
     of = lambda c, name: F.min(F.when(c, F.col("order_"))).alias(name)
-    signs = known.groupBy("key_").agg(of(sign("theirs_"), "positive_"), of(~sign("theirs_"), "other_"), of(F.col("theirs_").isNull(), "null_"))
+    signs = stored(known.groupBy("key_").agg(of(sign("theirs_"), "positive_"), of(~sign("theirs_"), "other_"), of(F.col("theirs_").isNull(), "null_")), "signs")
+    placed = known.filter(F.abs("theirs_") < HUGE * width).withColumn("at_", grid_cell(F.col("theirs_"), width))
+    levels, cuts, left_over = _firsts_by_cell(placed)
 
     rows = left.select(F.col(left_id).alias("id_"), F.col(key[0]).alias("key_"), F.col(value[0]).cast("double").alias("ours_")).filter("key_ is not null")
-    rows = rows.withColumn("low_", F.when(F.abs("ours_") < (HUGE + 1) * width, grid_cell(F.col("ours_") - width, width)))
-    usual = rows.filter("low_ is not null")
-    ranges = stored(_firsts_of_ranges(placed, usual.select("key_", "low_").distinct()), "ranges")
-    # The range's cells at its ends, by the cell where it begins: ``grid_cell`` of the other end is at most one more or less than 2 widths away.
-    edge = [*range(-1, 2), *range(BLOCK + 2, (2 << LEVELS) + 3)]
-    edges = placed.select("key_", "theirs_", "order_", F.explode(F.array(*[F.col("at_") - n for n in edge])).alias("low_"))
-    ends = usual.join(edges, ["key_", "low_"])
-    large = rows.filter(finite("ours_") & (F.abs("ours_") >= (HUGE - 1) * width)).join(known.filter(finite("theirs_") & (F.abs("theirs_") >= HUGE * width)), "key_")
+    rows = rows.withColumn("at_", F.when(F.abs("ours_") < (HUGE + 1) * width, grid_cell(F.col("ours_"), width)))
+    own = sign("ours_")
+    near = lambda theirs: F.abs(F.col("ours_") - theirs) < width
     score = lambda near, same: F.lit(weights[0]) + F.lit(weights[1] if near else 0.0) + F.when(same, F.lit(weights[2])).otherwise(F.lit(0.0))
-    same = sign("ours_") == sign("theirs_")
     best_of = lambda s, found: F.when(found.isNotNull(), F.struct((-s).alias("s"), found.alias("order_")))
-    own = sign("ours_")
     like = F.when(own, F.col("positive_")).when(~own, F.col("other_"))
     unlike = F.when(own, F.least("other_", "null_")).when(~own, F.least("positive_", "null_")).otherwise(F.least("positive_", "other_", "null_"))
-    # Of a row's firsts, by its range and by its key alone, the best is kept at once: it is one record of those that meet by id.
-    firsts = [best_of(score(True, own), F.col("above_")), best_of(score(True, ~own), F.col("below_")), best_of(score(False, F.lit(True)), like), best_of(score(False, F.lit(False)), unlike)]
-    found = rows.join(signs, "key_").join(ranges, ["key_", "low_"], "left").select("id_", F.least(*firsts).alias("b"))
-    for part in (ends, large):
-        found = found.unionByName(part.filter(F.abs(F.col("ours_") - F.col("theirs_")) < width).select("id_", best_of(score(True, same), F.col("order_")).alias("b")))
+    # Each place is looked up in a cell of the size to which it is cut; a cell's number and its k are one number here.
+    placing = rows.withColumn("k_", F.lit(levels[0][0]))
+    for k, crowded in cuts:
+        cut = crowded.select("key_", F.col("cell_").alias("cut_"), F.lit(k - CUT).alias("smaller_"))
+        placing = placing.withColumn("cut_", F.shiftright("at_", k)).join(_sent(cut, F.lit(1)), ["key_", "cut_"], "left")
+        placing = placing.select("id_", "key_", "ours_", "at_", F.coalesce("smaller_", "k_").alias("k_"))
+    placing = placing.select("id_", "key_", "ours_", (F.expr("shiftright(at_, k_)") * 32 + F.col("k_")).alias("cell_"))
+    cells = reduce(DataFrame.unionByName, [table.withColumn("cell_", F.col("cell_") * 32 + k) for k, table in levels])
+    met = placing.join(_sent(cells, 1 + F.size("some_")), ["key_", "cell_"], "left").join(_sent(signs, F.lit(1)), "key_")
+    some = F.transform(F.filter("some_", lambda c: near(c["theirs_"])), lambda c: best_of(score(True, own == (c["theirs_"] > 0)), c["order_"]))
+    # Of a row's firsts, by its cell and by its key alone, the best is kept at once: it is one record of those that meet by id.
+    firsts = [best_of(score(True, own), F.col("above_")), best_of(score(True, ~own), F.col("below_")), F.array_min(some), best_of(score(False, F.lit(True)), like), best_of(score(False, F.lit(False)), unlike)]
+    found = met.select("id_", F.least(*firsts).alias("b"))
+    pairs = []
+    if left_over is not None:
+        pairs.append(rows.withColumn("cell_", F.shiftright("at_", levels[-1][0])).join(left_over, ["key_", "cell_"]))
+    huge = known.filter(finite("theirs_") & (F.abs("theirs_") >= HUGE * width))
+    if not huge.isEmpty():
+        pairs.append(rows.filter(finite("ours_") & (F.abs("ours_") >= (HUGE - 1) * width)).join(huge, "key_"))
+    for part in pairs:
+        found = found.unionByName(part.filter(near(F.col("theirs_"))).select("id_", best_of(score(True, own == sign("theirs_")), F.col("order_")).alias("b")))
     best = found.groupBy("id_").agg(F.min("b").alias("b"))
     return best.select(F.col("id_").alias(left_id), F.col("b.order_").alias(order), (-F.col("b.s")).alias("score"))
 
 
-def _firsts_of_ranges(placed: DataFrame, begins: DataFrame) -> DataFrame:
-    """``above_`` and ``below_``, the least ``order_`` of positive and of other values, over the ``BLOCK`` cells from the second after ``low_``."""
-    least = lambda hit: F.min(F.when(hit, F.col("order_")))
-    cells = placed.groupBy("key_", "at_").agg(least(F.col("theirs_") > 0).alias("above_"), least(F.col("theirs_") <= 0).alias("below_"))
-    own, later, ask = 0, 1, 2
-    none = [F.lit(None).cast(cells.schema[c].dataType).alias(c) for c in ("above_", "below_")]
-    # A block holds its own cells, those of the next block at the same places, and the ranges that begin in it, so these are sent on once.
-    met = cells.select("key_", "at_", F.lit(own).alias("kind_"), "above_", "below_").unionByName(cells.select("key_", (F.col("at_") - BLOCK).alias("at_"), F.lit(later).alias("kind_"), "above_", "below_"))
-    met = met.unionByName(begins.select("key_", (F.col("low_") + 2).alias("at_"), F.lit(ask).alias("kind_"), *none))
-    by = Window.partitionBy("key_", F.floor(F.col("at_") / BLOCK)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # From the range's place to the end of its block, and before the same place in the next block.
-    sides = {own: by.orderBy(F.col("at_").desc(), F.col("kind_")), later: by.orderBy(F.col("at_"), F.col("kind_").desc())}
-    first = lambda c: F.least(*[F.min(F.when(F.col("kind_") == kind, F.col(c))).over(w) for kind, w in sides.items()]).alias(c)
-    return met.select("key_", "kind_", (F.col("at_") - 2).alias("low_"), first("above_"), first("below_")).filter((F.col("kind_") == ask) & (F.col("above_").isNotNull() | F.col("below_").isNotNull())).drop("kind_")
+def _sent(table: DataFrame, weight: Column) -> DataFrame:
+    """A stored table, broadcast if ``weight`` sums up to at most ``SENT``."""
+    return F.broadcast(table) if (table.agg(F.sum(weight)).first()[0] or 0) <= SENT else table
+
+
+def _firsts_by_cell(placed: DataFrame) -> tuple[list[tuple[int, DataFrame]], list[tuple[int, DataFrame]], DataFrame | None]:
+    """What a value meets within one width, by ``key_`` and its cell: tables for cells of 2**k cells of the grid, largest first, those
+    that are cut into smaller ones, and the values that are left for comparison, with their cell of the finest size.
+
+    ``above_`` and ``below_`` are the least ``order_`` of the positive and of the other values that are near wherever in the cell one is;
+    ``some_`` the values that are near in a part of the cell and come before that first. A cell with more than ``CROWD`` of these is
+    cut and has no row; in one of the finest size they are left over.
+    """
+    width, k, at, positive = 1 << LEVELS, LEVELS + 2, F.col("at_"), F.col("theirs_") > 0
+    parts = placed.select("key_", "theirs_", "order_", "at_", F.explode(F.sequence(F.shiftright(at - width - 1, k), F.shiftright(at + width + 1, k))).alias("cell_"))
+    within = F.explode(F.sequence(F.shiftleft("cell_", CUT), F.shiftleft("cell_", CUT) + ((1 << CUT) - 1))).alias("cell_")
+    outer, levels, cuts = None, [], []
+    while True:
+        k -= CUT
+        begin, end = F.shiftleft("cell_", k), F.shiftleft("cell_", k) + ((1 << k) - 1)
+        # A value's own cell and a cell's number round down, so one cell more at either end counts as not sure.
+        everywhere = (begin >= at - width + 2) & (end <= at + width - 2)
+        parts = parts.select("key_", "theirs_", "order_", "at_", within).filter((end >= at - width - 1) & (begin <= at + width + 1))
+        first = parts.filter(everywhere).select("key_", "cell_", F.when(positive, F.col("order_")).alias("above_"), F.when(~positive, F.col("order_")).alias("below_"))
+        if outer is not None:
+            first = first.unionByName(outer.select("key_", within, "above_", "below_"))
+        first = stored(first.groupBy("key_", "cell_").agg(F.min("above_").alias("above_"), F.min("below_").alias("below_")), "firsts")
+        before = F.when(positive, F.col("above_")).otherwise(F.col("below_"))
+        parts = parts.filter(~everywhere).join(first, ["key_", "cell_"], "left").filter(before.isNull() | (F.col("order_") < before))
+        parts = stored(parts.select("key_", "theirs_", "order_", "at_", "cell_"), "parts")
+        crowded = stored(parts.groupBy("key_", "cell_").agg(F.count("*").alias("n_")).filter(F.col("n_") > CROWD).select("key_", "cell_"), "crowded")
+        full = not crowded.isEmpty()
+        some = parts.join(crowded, ["key_", "cell_"], "left_anti") if full else parts
+        usual = first.join(crowded, ["key_", "cell_"], "left_anti") if full and k > FINEST else first
+        none = [F.lit(None).cast(first.schema[c].dataType).alias(c) for c in ("above_", "below_")]
+        cells = some.select("key_", "cell_", *none, F.struct("theirs_", "order_").alias("some_"))
+        cells = cells.unionByName(usual.select("*", F.lit(None).cast(cells.schema["some_"].dataType).alias("some_")))
+        cells = cells.groupBy("key_", "cell_").agg(F.min("above_").alias("above_"), F.min("below_").alias("below_"), F.collect_list("some_").alias("some_"))
+        levels.append((k, stored(cells, "cells")))
+        if not full:
+            return levels, cuts, None
+        parts = stored(parts.join(crowded, ["key_", "cell_"]), "parts")
+        if k <= FINEST:
+            return levels, cuts, parts
+        cuts.append((k, crowded))
+        outer = stored(crowded.join(first, ["key_", "cell_"], "left"), "outer")
 
 
 def best_by_keys(left: DataFrame, right: DataFrame, left_id: str, rules: list[tuple[str, str, str, float]], order: str) -> DataFrame:

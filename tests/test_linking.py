@@ -154,3 +154,54 @@ def test_best_within_keeps_a_record_a_row(spark):
             sent.append(plan.metrics().apply("shuffleRecordsWritten").value())
         plans += [plan.children().apply(k) for k in range(plan.children().size())]
     assert n <= max(sent) < 1.2 * n, sent
+
+
+def test_best_within_cuts_crowded_cells(spark, monkeypatch):
+    """Orders that fall as values grow, so that each value is the first somewhere; values a hair apart; ids that repeat; with and without broadcasts."""
+    rng = random.Random(5)
+    steps = [(i, round(-900 + i * 1.7, 2)) for i in range(900)] + [(1000 + i, 3000 + i * 1e-5) for i in range(80)]
+    right = [(5000 - o, o % 2 if o < 1000 else 0, v) for o, v in steps] + [(9000 + o, 1, 7e11 + o) for o in range(3)]
+    some = lambda: rng.choice([round(rng.uniform(-1500, 1500), 2), rng.choice([2500, 3500]) + rng.uniform(-1e-3, 1e-3), 7e11 + rng.choice([-499, 1, 501])])
+    left = [(rng.randint(0, 250), rng.randint(0, 1), some()) for _ in range(350)]
+    want = {}
+    for i, k, x in left:
+        for o, key, y in right:
+            if k == key:
+                score = 0.4 + (0.35 if abs(x - y) < 500 else 0) + (0.15 if (x > 0) == (y > 0) else 0)
+                want[i] = min(want.get(i, (0, 0)), (-round(score, 6), o))
+    made = lambda rows, name: spark.createDataFrame(rows, f"{name} long, k int, v double")
+    for sent in (linking.SENT, 0):
+        monkeypatch.setattr(linking, "SENT", sent)
+        found = linking.best_within(made(left, "id"), made(right, "o"), "id", ("k", "k"), ("v", "v"), 500.0, (0.4, 0.35, 0.15), "o").collect()
+        assert len(found) == len(want) and {r["id"]: (-round(r["score"], 6), r["o"]) for r in found} == want
+    from codexflow.operators.ranges import grid_cell
+    from pyspark.sql import functions as F
+
+    placed = made(right, "order_").select(F.col("k").alias("key_"), F.col("v").alias("theirs_"), "order_").filter("theirs_ < 1e9").withColumn("at_", grid_cell(F.col("theirs_"), 500.0))
+    levels, cuts, left_over = linking._firsts_by_cell(placed)
+    assert [k for k, _ in levels] == [14, 10, 6, 2] and [k for k, _ in cuts] == [14, 10, 6] and left_over.count() > 0
+    assert max(r["n"] for _, cells in levels for r in cells.select(F.size("some_").alias("n")).collect()) <= linking.CROWD
+
+
+def test_best_within_sends_a_row_on_once(spark):
+    """All that a run shuffles, in the tables it stores too: a left row once, right rows a few times."""
+    n = 4000
+    rng = random.Random(3)
+    left = spark.createDataFrame([(i, i % 3, round(rng.uniform(-1000, 10000), 2)) for i in range(n)], "id long, k int, v double")
+    right = spark.createDataFrame([(i, i % 3, round(rng.uniform(-1000, 10000), 2)) for i in range(200)], "o long, k int, v double")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    gateway = spark.sparkContext._gateway
+
+    def sent():
+        lists = gateway.jvm.java.util.ArrayList
+        stages = spark.sparkContext._jsc.sc().statusStore().stageList(lists(), False, False, gateway.new_array(gateway.jvm.double, 0), lists())
+        return {stages.apply(k).stageId(): stages.apply(k).shuffleWriteRecords() for k in range(stages.size())}
+
+    try:
+        before = sent()
+        assert len(linking.best_within(left, right, "id", ("k", "k"), ("v", "v"), 500.0, (0.4, 0.35, 0.15), "o").collect()) == n
+        rows = [r for stage, r in sent().items() if stage not in before]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len([r for r in rows if r >= n]) == 1 and max(rows) < 1.2 * n, rows
