@@ -272,3 +272,25 @@ def test_before_and_after_shuffles_no_line(spark):
     found = segments.before_and_after(spark.createDataFrame(list(enumerate(texts)), "k int, t string"), "k", "t")
     assert rows(found) == [(0, 0, "前\n改正前", "", ""), (0, 1, "", "甲", "乙\n改正前")]
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_edit_script_is_the_same_by_each_method(monkeypatch, seed):
+    rng = random.Random(seed)
+    a, b = ("".join(rng.choice("abcd ") for _ in range(rng.randint(1, 60))) for _ in range(2))
+    a, b = sorted((a, b + a[5:40]), key=len)
+    kept = textdiff._by_vectors(a, b)
+    assert kept == textdiff._by_frontiers(a, b, 200) and all(a[i] == b[j] for i, j in kept)
+    for name, value in (("MOST_BITS", 50), ("PARTS", 3), ("MOST_MASKS", 2)):
+        monkeypatch.setattr(textdiff, name, value)
+    assert kept == textdiff._by_vectors(a, b)
+    assert [x for op, x in textdiff.edit_script(a, b) if op != "insert"] and textdiff.edit_script(a, b) == textdiff.edit_script(list(a), list(b))
+    assert sum(len(t) for op, t in textdiff.edit_script(a, b) if op == "equal") == len(kept)
+
+
+def test_text_diffs_are_not_brought_into_one_task(spark):
+    from codexflow.plans.registry import QUERIES
+
+    found = QUERIES["text_diff_chars"](spark, "/root/testdata/sf0.001")
+    tasks = found.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(tasks) > 4 and sum(r["count"] for r in tasks) == found.count()
