@@ -294,3 +294,10 @@ def test_text_diffs_are_not_brought_into_one_task(spark):
     found = QUERIES["text_diff_chars"](spark, "/root/testdata/sf0.001")
     tasks = found.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
     assert len(tasks) > 4 and sum(r["count"] for r in tasks) == found.count()
+
+
+def test_long_texts_are_compared_by_characters_too():
+    before = "lighthouse keeper " * 4_000
+    after = before[:36_000] + "lighthouze" + before[36_010:]
+    assert len(before) > 50_000
+    assert textdiff.text_operations(before, after) == [("equal", before[:36_008]), ("delete", "s"), ("insert", "z"), ("equal", before[36_009:])]
