@@ -280,12 +280,12 @@ def test_edit_script_is_the_same_by_each_method(monkeypatch, seed):
     a, b = ("".join(rng.choice("abcd ") for _ in range(rng.randint(1, 60))) for _ in range(2))
     a, b = sorted((a, b + a[5:40]), key=len)
     kept = textdiff._by_vectors(a, b)
-    assert kept == textdiff._by_frontiers(a, b, 200) and all(a[i] == b[j] for i, j in kept)
+    assert kept == textdiff._by_frontiers(a, b, 200) and all(a[i] == b[j] for i, j in zip(*kept))
     for name, value in (("MOST_BITS", 50), ("PARTS", 3), ("MOST_MASKS", 2)):
         monkeypatch.setattr(textdiff, name, value)
     assert kept == textdiff._by_vectors(a, b)
     assert [x for op, x in textdiff.edit_script(a, b) if op != "insert"] and textdiff.edit_script(a, b) == textdiff.edit_script(list(a), list(b))
-    assert sum(len(t) for op, t in textdiff.edit_script(a, b) if op == "equal") == len(kept)
+    assert sum(len(t) for op, t in textdiff.edit_script(a, b) if op == "equal") == len(kept[0])
 
 
 def test_text_diffs_are_not_brought_into_one_task(spark):
