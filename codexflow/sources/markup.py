@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Collection
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -13,6 +15,15 @@ from codexflow.operators.batches import slices
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 HIDDEN = {"script", "style", "noscript", "template"}
+#: A plain page: lower-case tags with quoted attributes, without references, comments, hidden elements or such that hold no markup.
+PLAIN = re.compile(
+    r"""(?:[^<&]++|<(?:/[a-z][a-z0-9]*+|(?!script|style|noscript|template|title|textarea|iframe|noembed|noframes|xmp|plaintext)[a-z][a-z0-9]*+(?: [a-z-]++=(?:'[^'<>&]*+'|"[^"<>&]*+"))*+)>)*+"""
+)
+#: A cell of a plain page that holds text alone.
+CELL = re.compile(r"""<(t[hd])(?: headers=(?:'(\w+)'|"(\w+)"))?>([^<&]*)</\1>""")
+#: Of a plain page a closing tag, an opening tag with its attributes, and text.
+TOKEN = re.compile(r"</([a-z0-9]+)>|<([a-z0-9]+) ?([^>]*)>|([^<]+)")
+ATTRIBUTE = re.compile(r"""([a-z-]+)=(?:'([^']*)'|"([^"]*)")""")
 #: Characters of pages whose elements make up one batch.
 BATCH_CHARACTERS = 2 << 20
 
@@ -47,12 +58,60 @@ class _Nodes(HTMLParser):
                 row["text"].append(data)
 
 
-def parse_nodes(html: str) -> list[dict]:
+def parse_nodes(html: str, tags: Collection[str] | None = None) -> list[dict]:
+    """Elements in document order, or those of ``tags``."""
+    if PLAIN.fullmatch(html):
+        return _plain_nodes(html, tags)
     parser = _Nodes()
     parser.feed(html)
     parser.close()
     last = len(parser.rows) - 1
-    return [row | {"text": " ".join("".join(row["text"]).split()), "upto": last if row["upto"] is None else row["upto"]} for row in parser.rows]
+    return [row | {"text": " ".join("".join(row["text"]).split()), "upto": last if row["upto"] is None else row["upto"]} for row in parser.rows if tags is None or row["tag"] in tags]
+
+
+def parse_cells(html: str) -> list[dict]:
+    """``tag``, ``headers`` and ``text`` of the ``th`` and ``td`` of a page, in document order."""
+    if PLAIN.fullmatch(html):
+        cells = CELL.findall(html)
+        if len(cells) == html.count("<td") + html.count("<th"):
+            return [{"tag": tag, "headers": single or double or None, "text": " ".join(text.split())} for tag, single, double, text in cells]
+    return parse_nodes(html, ("th", "td"))
+
+
+def _plain_nodes(html: str, tags: Collection[str] | None) -> list[dict]:
+    """What the parser gives for a plain page, by one pass of a pattern."""
+    rows: list[dict] = []
+    texts: list[str] = []
+    holding: list[dict] = []
+    for closed, tag, attributes, text in TOKEN.findall(html):
+        if text:
+            texts.append(text)
+        elif tag:
+            row = {"tag": tag, "parent": holding[-1]["place"] if holding else None, "place": len(rows), "id": None, "class": None, "href": None, "onclick": None, "headers": None, "upto": None, "text": len(texts)}
+            if attributes:
+                for name, single, double in ATTRIBUTE.findall(attributes):
+                    if name in row and name not in ("tag", "parent", "place", "upto", "text"):
+                        row[name] = single or double
+            if tag in VOID:
+                row["upto"], row["text"] = row["place"], ""
+            else:
+                holding.append(row)
+            rows.append(row)
+        else:
+            for depth in range(len(holding) - 1, -1, -1):
+                if holding[depth]["tag"] == closed:
+                    _close(holding[depth:], texts, len(rows) - 1, tags)
+                    del holding[depth:]
+                    break
+    _close(holding, texts, len(rows) - 1, tags)
+    return rows if tags is None else [row for row in rows if row["tag"] in tags]
+
+
+def _close(ended: list[dict], texts: list[str], last: int, tags: Collection[str] | None) -> None:
+    for row in ended:
+        row["upto"] = last
+        if tags is None or row["tag"] in tags:
+            row["text"] = " ".join("".join(texts[row["text"] :]).split())
 
 
 def html_nodes(pages: DataFrame, id_col: str, html_col: str, tags: list[str] | None = None) -> DataFrame:
@@ -70,7 +129,7 @@ def html_nodes(pages: DataFrame, id_col: str, html_col: str, tags: list[str] | N
         for batch in batches:
             ids, nodes, size = [], [], 0
             for key, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = [n for n in parse_nodes(html or "") if tags is None or n["tag"] in tags]
+                own = parse_nodes(html or "", tags)
                 ids += [key] * len(own)
                 nodes += own
                 size += len(html or "")
@@ -84,19 +143,21 @@ def html_nodes(pages: DataFrame, id_col: str, html_col: str, tags: list[str] | N
 
 
 def page_pairs(pages: DataFrame, id_col: str, html_col: str, pairs) -> DataFrame:
-    """``id`` and ``pairs`` array<struct<label,value>>, what ``pairs`` makes of a page's elements (dicts with ``tag``, ``headers`` and
-    ``text``, in document order). One row a page that has some: its elements are neither rows nor shuffled."""
+    """``id`` and ``pairs`` array<struct<label,value>>, what ``pairs`` makes of a page's ``th`` and ``td`` (dicts with ``tag``,
+    ``headers`` and ``text``, in document order). One row a page that has some: its elements are neither rows nor shuffled."""
 
     def work(batches):
-        kind = pa.list_(pa.struct([("label", pa.string()), ("value", pa.string())]))
         for batch in slices(batches):
-            ids, held = [], []
+            ids, ends, labels, values = [], [0], [], []
             for key, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = pairs(parse_nodes(html or ""))
+                found = pairs(parse_cells(html or ""))
                 if found:
                     ids.append(key)
-                    held.append([{"label": a, "value": b} for a, b in found.items()])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(held, kind)], names=["id", "pairs"])
+                    labels += found
+                    values += found.values()
+                    ends.append(len(labels))
+            held = pa.StructArray.from_arrays([pa.array(labels, pa.string()), pa.array(values, pa.string())], ["label", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), held)], names=["id", "pairs"])
 
     kind = pages.schema[id_col].dataType.simpleString()
     return pages.select(id_col, html_col).mapInArrow(work, f"id {kind}, pairs array<struct<label:string,value:string>>")

@@ -2,6 +2,8 @@
 
 import hashlib
 import io
+import random
+import re
 import shutil
 import zipfile
 
@@ -119,3 +121,24 @@ def test_folder_manifest_and_health(spark, tmp_path):
     assert tuple(sinks.health(found, sinks.mismatches(found, again), days, "day").first()) == (True, "2031-01-02", 3, 2, 4, 0)
     none = found.limit(0)
     assert tuple(sinks.health(none, sinks.mismatches(found, none), days.limit(0), "day").first()) == (False, None, 0, 0, 0, 2)
+
+
+def test_plain_pages_are_read_like_others(monkeypatch):
+    plain = ["<td>", "</td>", "<td>a</td>", "<th>b  c</th>", "<td headers='X'>　z\n</td>", "<tr>", "</tr>", "<td headers=\"NAIYO\" class='a b'>", " x\n y", "<br>", "<img href='q'>", "</p>", "<p>", "<a href='/x?y=1' class='file' href=''>", "</a>", "<h1 id='i' headers='' tag='n'>"]
+    other = ["&amp;", "<!-- c -->", "<script>", "</script>", "<TD>", "<td headers=K>", "<td/>", "< x", "<title>", "</title>", "<td headers='a>b'>", "</td >", "<noscript>", "<?pi?>", "<td  headers='K'>"]
+    rng = random.Random(8)
+    pages = ["".join(rng.choice(plain + other * (n % 2)) for _ in range(rng.randint(0, 12))) for n in range(3000)]
+    found = [(markup.parse_nodes(p), markup.parse_nodes(p, ("td", "a")), markup.parse_cells(p)) for p in pages]
+    assert sum(bool(markup.PLAIN.fullmatch(p)) for p in pages) > 1500
+    monkeypatch.setattr(markup, "PLAIN", re.compile("(?!)"))
+    for page, (nodes, some, cells) in zip(pages, found):
+        wanted = markup.parse_nodes(page)
+        assert nodes == wanted and some == [n for n in wanted if n["tag"] in ("td", "a")]
+        assert [(c["tag"], c["headers"], c["text"]) for c in cells] == [(n["tag"], n["headers"], n["text"]) for n in wanted if n["tag"] in ("th", "td")]
+
+
+def test_pages_of_orders_are_not_read_in_one_task(spark):
+    from codexflow.plans.registry import QUERIES
+
+    found = QUERIES["bill_progress_pages"](spark, "/root/testdata/sf0.001")
+    assert found.select(F.spark_partition_id().alias("task")).distinct().count() > 4
