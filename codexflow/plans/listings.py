@@ -185,19 +185,24 @@ case when n > 0 then array_to_string([case when x % 3 > 0 then '別紙' || x els
 def comment_attachments(t: Tables) -> DataFrame:
     """Cases with as many attachments as their order has lines, under labels that differ; other tables and links don't count."""
     row = lambda label, *value: _said("<tr><th>", label, "</th><td>", *value, "</td></tr>")
-    number = F.col("l_partkey").cast("string")
-    name = F.when(F.col("l_partkey") % 3 > 0, F.concat(F.lit("別紙"), number)).otherwise("")
-    link = F.when(F.col("l_partkey") % 2 == 0, _said("<a href='/pcm/download?id=", number, "'>", name, "</a>")).otherwise(_said("<a class='file' href='https://b.example/", number, ".pdf'>", name, "</a>"))
-    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), link.alias("a")).alias("l"))
-    links = lines.groupBy("o_orderkey").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["a"]), "<a href='/else'>x</a>").alias("links"))
-    cases = t.orders.join(links, "o_orderkey", "left")
+
+    def link(part: Column) -> Column:
+        number = part.cast("string")
+        name = F.when(part % 3 > 0, F.concat(F.lit("別紙"), number)).otherwise("")
+        return F.when(part % 2 == 0, _said("<a href='/pcm/download?id=", number, "'>", name, "</a>")).otherwise(_said("<a class='file' href='https://b.example/", number, ".pdf'>", name, "</a>"))
+
+    # Lines and orders meet in the parts in which the pages are read.
+    parts = _parts(t)
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p")).alias("l")).repartition(parts, "o_orderkey")
+    links = lines.groupBy("o_orderkey").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: link(x["p"])), "<a href='/else'>x</a>").alias("links"))
+    cases = t.orders.repartition(parts, "o_orderkey").join(links, "o_orderkey", "left")
     html = F.concat(
         F.when(_key() % 3 > 0, _said("<h1 class='egovui-article-title'>件", _key(), "</h1>")).otherwise("<h1>other</h1>"), F.lit("<table class='egovui-normal-horizontal'>"),
         F.when(_key() % 2 == 0, row("命令等の題名", "令", _key())).otherwise(""), F.when(_key() % 4 > 0, row("根拠法令 条項", "法", _key() % 9, "第", _key(), "条（甲）")).otherwise(row("根拠法令条項", "")),
         F.when(_key() % 5 > 0, row("（所管省庁・部局名等）", "水産庁灯台課")).otherwise(row("所管省庁", "office ", F.col("o_orderpriority"))), row("意見募集開始日", F.date_format("o_orderdate", "yyyy-MM-dd")), row("意見募集開始日", "again"),
         row("提出意見数", F.coalesce(F.concat(F.col("n").cast("string"), F.lit("件")), F.lit("なし"))), F.lit("</table><table><tr><th>カテゴリー</th><td>other</td></tr></table><a class='file' href=''>none</a>"), F.coalesce("links", F.lit("")),
     )
-    found = comments.cases(markup.html_nodes(cases.select(_key().alias("key"), html.alias("html")), "key", "html"), "https://a.example")
+    found = comments.case_pages(cases.select(_key().alias("key"), html.alias("html")), "key", "html", "https://a.example")
     files_ = F.array_join(F.transform("attachments", lambda f: F.concat_ws(" ", f["name"], f["url"])), ";")
     return found.select("id", "title", "related_law_name", "ministry", "reception_start", "opinion_count", files_.alias("files"))
 

@@ -6,11 +6,16 @@ are one page. Of equal labels the last of a card counts and the first of a case'
 
 from __future__ import annotations
 
+import re
+from itertools import accumulate
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codexflow.functions.text import law_of_basis, short_ministry
-from codexflow.sources.markup import case_id, has_class, inside
+from codexflow.operators.batches import slices
+from codexflow.sources.markup import case_id, has_class, inside, parse_nodes
 
 #: Labels of a card and the fields they fill.
 CARD_LABELS = {"案件番号": "own_id", "結果の公示日": "result_published", "結果公示日": "result_published", "案の公示日": "reception_start", "受付締切日時": "reception_end", "所管省庁": "ministry"}
@@ -27,6 +32,9 @@ CASE_LABELS = {
 }
 #: Fixed value: what an attachment without a name is called.
 UNNAMED = "添付"
+CASE_TAGS = {"table", "tr", "th", "td", "h1", "a"}
+#: White space between the names of classes.
+SPACE = re.compile("[ \\t\\n\\x0b\\f\\r]+")
 ATTACHMENT = "struct<name: string, url: string>"
 
 
@@ -82,8 +90,67 @@ def cases(nodes: DataFrame, base_url: str) -> DataFrame:
         F.min("heading")["text"].alias("heading"),
         F.transform(F.array_sort(F.flatten(F.collect_list("files"))), lambda f: F.struct(f["name"].alias("name"), f["url"].alias("url"))).cast(f"array<{ATTACHMENT}>").alias("attachments"),
     )
+    return _told(pages)
+
+
+def _told(pages: DataFrame) -> DataFrame:
     digits = F.regexp_replace("opinion_count", "[^0-9]", "").try_cast("long")
     return pages.select(
         "id", F.coalesce(F.nullif("heading", F.lit("")), "command_title", F.lit("")).alias("title"), short_ministry(F.col("responsible_office")).alias("ministry"),
         *[c for c in CASE_LABELS if c != "opinion_count"], F.when(digits < 1 << 32, digits).alias("opinion_count"), law_of_basis(F.col("legal_basis")).alias("related_law_name"), "attachments",
     )
+
+
+def case_of(nodes: list[dict], base_url: str) -> tuple[dict[str, str], str | None, list[tuple[str, str]]]:
+    """Labels and values of a case's tables, its heading and its files, of a page's elements of ``CASE_TAGS``."""
+    table = row = heading = None
+    cells: dict[int, dict[str, str]] = {}
+    files: list[tuple[str, str]] = []
+    for n in nodes:
+        tag, place, href = n["tag"], n["place"], n["href"] or ""
+        # The last such element before this one counts, if it holds this one.
+        held = table is not None and place <= table["upto"]
+        if (tag == "th" or tag == "td") and held and row is not None and place <= row["upto"]:
+            cells.setdefault(row["place"], {}).setdefault(tag, n["text"])
+        elif tag == "tr" and held:
+            row = n
+        elif tag == "table" and "egovui-normal-horizontal" in _classes(n):
+            table = n
+        elif tag == "h1" and heading is None and "egovui-article-title" in _classes(n):
+            heading = n["text"]
+        elif tag == "a" and href and ("/pcm/download" in href or "file" in _classes(n)):
+            files.append((n["text"] or UNNAMED, href if href.startswith("http") else base_url + href))
+    found: dict[str, str] = {}
+    for own in cells.values():
+        if "th" in own and "td" in own:
+            found.setdefault("".join(own["th"].split()), own["td"])
+    return found, heading, files
+
+
+def _classes(node: dict) -> list[str]:
+    return SPACE.split(node["class"] or "")
+
+
+def case_pages(pages: DataFrame, id_col: str, html_col: str, base_url: str) -> DataFrame:
+    """What ``cases`` gives, of pages whose ids differ, without a shuffle."""
+    names = [*CASE_LABELS, "heading"]
+
+    def work(batches):
+        for batch in slices(batches):
+            ids, columns, files = [], [[] for _ in names], []
+            for key, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                nodes = parse_nodes(html or "", CASE_TAGS)
+                if not nodes and not (html and parse_nodes(html)):
+                    continue
+                found, heading, own = case_of(nodes, base_url)
+                ids.append(key)
+                files.append(own)
+                for column, labels in zip(columns, CASE_LABELS.values()):
+                    column.append(next((v for v in map(found.get, labels) if v), None))
+                columns[-1].append(heading)
+            said = pa.StructArray.from_arrays([pa.array([f[k] for own in files for f in own], pa.string()) for k in range(2)], ["name", "url"])
+            listed = pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, files))], pa.int32()), said)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), *[pa.array(c, pa.string()) for c in columns], listed], names=["id", *names, "attachments"])
+
+    kind = pages.schema[id_col].dataType.simpleString()
+    return _told(pages.select(id_col, html_col).mapInArrow(work, f"id {kind}, {', '.join(f'{n} string' for n in names)}, attachments array<{ATTACHMENT}>"))

@@ -15,6 +15,7 @@ from codexflow.operators.batches import slices
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 HIDDEN = {"script", "style", "noscript", "template"}
+NAMED = {"id", "class", "href", "onclick", "headers"}
 #: A plain page: lower-case tags with quoted attributes, without references, comments, hidden elements or such that hold no markup.
 PLAIN = re.compile(
     r"""(?:[^<&]++|<(?:/[a-z][a-z0-9]*+|(?!script|style|noscript|template|title|textarea|iframe|noembed|noframes|xmp|plaintext)[a-z][a-z0-9]*+(?: [a-z-]++=(?:'[^'<>&]*+'|"[^"<>&]*+"))*+)>)*+"""
@@ -83,35 +84,39 @@ def _plain_nodes(html: str, tags: Collection[str] | None) -> list[dict]:
     rows: list[dict] = []
     texts: list[str] = []
     holding: list[dict] = []
+    open_tags: list[str] = []
+    place = -1
     for closed, tag, attributes, text in TOKEN.findall(html):
         if text:
             texts.append(text)
         elif tag:
-            row = {"tag": tag, "parent": holding[-1]["place"] if holding else None, "place": len(rows), "id": None, "class": None, "href": None, "onclick": None, "headers": None, "upto": None, "text": len(texts)}
+            place += 1
+            row = {"tag": tag, "parent": holding[-1]["place"] if holding else None, "place": place, "id": None, "class": None, "href": None, "onclick": None, "headers": None, "upto": place, "text": ""}
             if attributes:
                 for name, single, double in ATTRIBUTE.findall(attributes):
-                    if name in row and name not in ("tag", "parent", "place", "upto", "text"):
+                    if name in NAMED:
                         row[name] = single or double
-            if tag in VOID:
-                row["upto"], row["text"] = row["place"], ""
-            else:
+            if tag not in VOID:
+                row["text"] = len(texts)
                 holding.append(row)
+                open_tags.append(tag)
             rows.append(row)
-        else:
-            for depth in range(len(holding) - 1, -1, -1):
-                if holding[depth]["tag"] == closed:
-                    _close(holding[depth:], texts, len(rows) - 1, tags)
-                    del holding[depth:]
-                    break
-    _close(holding, texts, len(rows) - 1, tags)
+        elif closed in open_tags:
+            tag = None
+            while tag != closed:
+                tag = open_tags.pop()
+                _close(holding.pop(), texts, place, tags)
+    for row in holding:
+        _close(row, texts, place, tags)
     return rows if tags is None else [row for row in rows if row["tag"] in tags]
 
 
-def _close(ended: list[dict], texts: list[str], last: int, tags: Collection[str] | None) -> None:
-    for row in ended:
-        row["upto"] = last
-        if tags is None or row["tag"] in tags:
-            row["text"] = " ".join("".join(texts[row["text"] :]).split())
+def _close(row: dict, texts: list[str], last: int, tags: Collection[str] | None) -> None:
+    row["upto"] = last
+    if tags is None or row["tag"] in tags:
+        first = row["text"]
+        said = texts[first] if len(texts) == first + 1 else "".join(texts[first:])
+        row["text"] = " ".join(said.split())
 
 
 def html_nodes(pages: DataFrame, id_col: str, html_col: str, tags: list[str] | None = None) -> DataFrame:

@@ -60,3 +60,24 @@ def test_cards_of_pages_that_change_from_run_to_run(spark):
 def test_cases_parse_a_page_once(spark):
     found = comments.cases(nodes(spark, CASE), "https://a.example")
     assert found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("MapInArrow") == 1
+
+
+def test_cases_in_one_pass_equal_their_elements(spark):
+    parts = [
+        "<table class='x egovui-normal-horizontal'>", "<table>", "</table>", "<tr>", "</tr>", "<tr><th>命令等の題名</th><td>令</td></tr>", "<th>提出 意見数</th>", "<td>1,204件</td>", "<th>根拠法令条項</th>", "<td>甲法第3条</td>", "<td></td>",
+        "<h1 class='egovui-article-title'>", "件</h1>", "<a class='file' href='/a.pdf'>甲</a>", "<a href='https://b.example/pcm/download?i=1'></a>", "<a class='files' href='/c'>none</a>", "<th>所管省庁</th><td>水産庁灯台課</td>", "<b>&lt;", "text",
+    ]
+    rng = random.Random(4)
+    html = [CASE, None, "", "text", "<p>x</p>"] + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 25))) for _ in range(600)]
+    html += ["<table class='egovui-normal-horizontal'><tr>" + page for page in html[5:]]
+    pages = spark.createDataFrame(list(enumerate(html)), "id int, html string")
+    one, other = comments.case_pages(pages, "id", "html", "https://a.example"), comments.cases(markup.html_nodes(pages, "id", "html"), "https://a.example")
+    assert one.columns == other.columns and sorted(map(repr, one.collect())) == sorted(map(repr, other.collect())) and one.filter("opinion_count is not null").count() > 20
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cases_of_orders_are_not_read_in_one_task(spark):
+    from codexflow.plans.registry import QUERIES
+
+    found = QUERIES["comment_attachments"](spark, "/root/testdata/sf0.001")
+    assert found.selectExpr("spark_partition_id() as task").distinct().count() > 4
